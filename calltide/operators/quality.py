@@ -157,7 +157,11 @@ def freshness(df: DataFrame, ts: str, as_of: str, limit_hours: float = 2.0) -> D
 
 
 def run_metrics(runs: DataFrame, goal: float = 0.995) -> DataFrame:
-    """Success rate and durations per job and day of a run log (job, day, success, duration_s)."""
+    """Success rate and durations per job and day of a run log (job, day, success, duration_s).
+
+    The median is a bounded-size quantile summary: exact for days of a few
+    thousand runs, within 0.01 % of rank beyond.
+    """
     return (
         runs.groupBy("job", "day")
         .agg(
@@ -165,7 +169,7 @@ def run_metrics(runs: DataFrame, goal: float = 0.995) -> DataFrame:
             (F.count_if("success") / F.count(F.lit(1))).alias("success_rate"),
             F.avg("duration_s").alias("mean_duration_s"),
             F.max("duration_s").alias("max_duration_s"),
-            F.percentile("duration_s", 0.5).alias("median_duration_s"),
+            F.percentile_approx("duration_s", 0.5, 10_000).alias("median_duration_s"),
         )
         .withColumn("meets_goal", F.col("success_rate") >= goal)
     )

@@ -203,18 +203,18 @@ def ingest_summary(spark, sf_dir):
     return slices.ingest_summary(orders(spark, sf_dir), "o_orderdate")
 
 
-@query(f"SELECT {ORDERS} FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1998-08-01'")
+@query(f"SELECT {ORDERS} FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1998-07-17'")
 def load_day(spark, sf_dir):
-    return slices.load_day(orders(spark, sf_dir), "o_orderdate", "1998-08-01")
+    return slices.load_day(orders(spark, sf_dir), "o_orderdate", "1998-07-17")
 
 
 @query("""
 SELECT o_orderkey, o_orderstatus, CAST(o_orderdate AS DATE) AS day FROM orders
-WHERE o_orderdate >= TIMESTAMP '1996-08-02' AND o_orderdate < TIMESTAMP '1998-08-02'
+WHERE o_orderdate >= TIMESTAMP '1998-05-04' AND o_orderdate < TIMESTAMP '1998-08-02'
 """)
 def backfill(spark, sf_dir):
     layer = new_layer(spark, "backfilled")
-    rows = slices.backfill(orders(spark, sf_dir), "o_orderdate", "1998-08-02T06:00:00", days=730)
+    rows = slices.backfill(orders(spark, sf_dir), "o_orderdate", "1998-08-02T06:00:00", days=90)
     dated = rows.select("o_orderkey", "o_orderstatus", F.to_date("o_orderdate").alias("day"))
     layers.overwrite_layer(dated, layer, ["day"], only_present=True)
     return layers.read_layer(spark, layer)

@@ -11,6 +11,7 @@ from calltide.plans.ingest_queries import CLEAN, SILVER, new_layer, raw_requests
 from calltide.plans.registry import DAILY, REQ, TOTAL, fit_sql, forecast_sql, query, rounded, with_sql
 from calltide.plans.series_queries import BAND, GOLD, ROUND_BAND, STREAK, Z50, Z95
 from calltide.sources import layers
+from calltide.sources.pages import read_landed_pages
 from calltide.sources.requests import requests, table
 from calltide.sources.scratch import shared_dir
 from calltide.streaming import streams
@@ -86,8 +87,7 @@ def bronze_job(spark, sf_dir):
     landed = shared_dir(spark, "pages")
     raw = raw_requests(spark, sf_dir)
     raw.write.json(landed)
-    pages = spark.read.schema(raw.schema).json(landed)
-    bronze = jobs.bronze_job(pages, new_layers(spark), AS_OF)
+    bronze = jobs.bronze_job(read_landed_pages(spark, landed, raw.columns), new_layers(spark), AS_OF)
     return bronze.select(
         "unique_key",
         F.col("created_date").try_cast("timestamp_ntz").alias("created_date"),

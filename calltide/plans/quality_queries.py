@@ -121,7 +121,7 @@ def freshness(spark, sf_dir):
 SELECT event_type AS job, CAST(ts AS DATE) AS day, count(*) AS runs,
        round(count(*) FILTER (WHERE value > 1) / count(*), 6) AS success_rate,
        round(avg(value), 6) AS mean_duration_s, max(value) AS max_duration_s,
-       round(quantile_cont(value, 0.5), 6) AS median_duration_s,
+       round(quantile_disc(value, 0.5), 6) AS median_duration_s,
        count(*) FILTER (WHERE value > 1) / count(*) >= 0.995 AS meets_goal
 FROM events GROUP BY ALL
 """)

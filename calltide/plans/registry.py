@@ -63,7 +63,8 @@ def fit_sql(source: str, keys: Sequence[str], train: str = "TRUE") -> str:
     using_e = f"USING ({', '.join([*keys, 'dow'])})"
     return f"""
 x AS (SELECT *, CAST(ds - DATE '2000-01-01' AS DOUBLE) AS x, dayofweek(ds) AS dow FROM {source}),
-m AS (SELECT {k}coalesce(regr_slope(y, x), 0) AS slope, coalesce(regr_intercept(y, x), avg(y)) AS intercept,
+m AS (SELECT {k}CASE WHEN var_pop(x) > 0 THEN regr_slope(y, x) ELSE 0 END AS slope,
+        CASE WHEN var_pop(x) > 0 THEN regr_intercept(y, x) ELSE avg(y) END AS intercept,
         min(ds) AS first_ds, max(ds) AS last_ds, count(*) AS n_days FROM x WHERE {train} {group}),
 r AS (SELECT x.*, y - intercept - slope * x AS rest FROM x {using} WHERE {train}),
 e AS (SELECT {k}dow, avg(rest) AS effect FROM r GROUP BY ALL),

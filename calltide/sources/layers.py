@@ -157,34 +157,46 @@ def _one_of(partition_by: Sequence[str], values: list) -> Column:
     return reduce(lambda a, b: a | b, rows)
 
 
-def _partitions_to_rewrite(
+@dataclass(frozen=True)
+class _Touched:
+    """Partition values an upsert rewrites in place, and those it leaves empty."""
+
+    rewritten: list
+    emptied: list
+
+
+def _touched_partitions(
     target: DataFrame, staged: DataFrame, keys: Sequence[str], partition_by: Sequence[str], stable: bool
-) -> list | None:
-    """Partition values an upsert has to rewrite in place, or None to rewrite the layer.
+) -> _Touched | None:
+    """Partitions an upsert has to rewrite, or None when there are too many to list.
 
     Only partition values come to the driver. Unless keys are known to stay in
-    their partition, the key columns of the target are scanned for staged keys
-    in other partitions; a partition that would end up empty cannot be
-    overwritten in place.
+    their partition, the target's keys are searched for staged keys in other
+    partitions. The search reads the key and partition columns within the
+    staged key range, a scalar subquery that prunes row groups.
     """
-    arriving = staged.select(*partition_by).distinct().take(MAX_LISTED_PARTITIONS + 1)
-    if not stable:
-        staged_keys = staged.select(*keys).filter(~any_null(keys)).withColumn("__hit", F.lit(1))
-        held = (
-            target.select(*dict.fromkeys([*partition_by, *keys]))
-            .filter(~any_null(keys))
-            .join(staged_keys, list(keys), "left")
-            .groupBy(*partition_by)
-            .agg(F.count(F.lit(1)).alias("rows"), F.count("__hit").alias("hits"))
-            .filter("hits > 0")
-            .take(MAX_LISTED_PARTITIONS + 1)
-        )
-        known = {tuple(r[c] for c in partition_by) for r in arriving}
-        moved = [r for r in held if tuple(r[c] for c in partition_by) not in known]
-        if any(r["rows"] == r["hits"] for r in moved):
-            return None
-        arriving = arriving + moved
-    return arriving if 0 < len(arriving) <= MAX_LISTED_PARTITIONS else None
+    arriving = staged.select(*partition_by).distinct()
+    values = arriving.take(MAX_LISTED_PARTITIONS + 1)
+    if not 0 < len(values) <= MAX_LISTED_PARTITIONS:
+        return None
+    if stable:
+        return _Touched(values, [])
+
+    staged_keys = staged.select(*keys).filter(~any_null(keys))
+    low, high = [staged_keys.agg(*[f(k).alias(k) for k in keys]) for f in (F.min, F.max)]
+    in_range = all_of([F.col(k).between(low.select(k).scalar(), high.select(k).scalar()) for k in keys])
+    held = target.select(*dict.fromkeys([*partition_by, *keys])).filter(in_range)
+    giving = held.join(staged_keys, list(keys), "left_semi").groupBy(*partition_by).agg(F.count(F.lit(1)).alias("moved"))
+    elsewhere = all_of([giving[c].eqNullSafe(arriving[c]) for c in partition_by])
+    moved = giving.join(arriving, elsewhere, "left_anti").take(MAX_LISTED_PARTITIONS + 1)
+    if len(moved) > MAX_LISTED_PARTITIONS:
+        return None
+    if not moved:
+        return _Touched(values, [])
+    sizes = target.filter(_one_of(partition_by, moved)).groupBy(*partition_by).count().take(len(moved))
+    rows = {tuple(r[c] for c in partition_by): r["count"] for r in sizes}
+    emptied = [r for r in moved if rows[tuple(r[c] for c in partition_by)] == r["moved"]]
+    return _Touched(values + [r for r in moved if r not in emptied], emptied)
 
 
 def upsert_layer(
@@ -232,12 +244,23 @@ def _merge_into(
 ) -> None:
     touched = None
     if partition_by and set(fresh.columns) == set(target.columns):
-        touched = _partitions_to_rewrite(target, fresh, keys, partition_by, stable)
+        touched = _touched_partitions(target, fresh, keys, partition_by, stable)
     if touched is None:
         overwrite_layer(upsert(target, fresh, keys), layer, partition_by)
-    else:
-        merged = upsert(target.filter(_one_of(partition_by, touched)), fresh, keys)
-        overwrite_layer(merged, layer, only_present=True)
+        return
+    merged = upsert(target.filter(_one_of(partition_by, touched.rewritten)), fresh, keys)
+    overwrite_layer(merged, layer, only_present=True)
+    if touched.emptied:  # an overwrite in place cannot clear a partition that receives no row
+        _drop_partitions(target.filter(_one_of(partition_by, touched.emptied)))
+
+
+def _drop_partitions(rows: DataFrame) -> None:
+    """Delete the folders that hold the given rows."""
+    spark = rows.sparkSession
+    folders = rows.select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")).distinct()
+    for row in folders.take(MAX_LISTED_PARTITIONS):
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["folder"]))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_bronze(
