@@ -25,18 +25,30 @@ NTH_WEEKDAY = [
 # (name, month, weekday, first year): the last such weekday of the month
 LAST_WEEKDAY = [("Memorial Day", 5, "MON", 1971)]
 
-HOLIDAY_NAMES = [r[0] for r in FIXED_DATE + NTH_WEEKDAY + LAST_WEEKDAY]
+HOLIDAY_NAMES = [r[0] for r in FIXED_DATE + NTH_WEEKDAY + LAST_WEEKDAY] + [
+    f"{r[0]} (observed)" for r in FIXED_DATE
+]
 
 
 def _from(first_year: int, year: Column, ds: Column) -> Column:
     return F.when(year >= first_year, ds)
 
 
+def _observed(ds: Column) -> Column:
+    """Day off for a fixed date: Friday for a Saturday, Monday for a Sunday, else NULL."""
+    weekday = F.dayofweek(ds)
+    return F.when(weekday == 7, F.date_sub(ds, 1)).when(weekday == 1, F.date_add(ds, 1))
+
+
 def holiday_dates(year: Column) -> dict[str, Column]:
-    """Date of every holiday in ``year``, NULL before it was introduced."""
+    """Date of every holiday and observed day of ``year``, NULL where there is none.
+
+    The observed New Year's Day may fall on the last day of the year before.
+    """
     dates: dict[str, Column] = {}
     for name, month, day, since in FIXED_DATE:
         dates[name] = _from(since, year, F.make_date(year, F.lit(month), F.lit(day)))
+        dates[f"{name} (observed)"] = _observed(dates[name])
     for name, month, weekday, nth, since in NTH_WEEKDAY:
         eve = F.date_sub(F.make_date(year, F.lit(month), F.lit(1)), 1)
         dates[name] = _from(since, year, F.date_add(F.next_day(eve, weekday), 7 * (nth - 1)))
@@ -46,25 +58,10 @@ def holiday_dates(year: Column) -> dict[str, Column]:
     return dates
 
 
-def observed(ds: Column) -> Column:
-    """Day off for a fixed date: Friday for a Saturday, Monday for a Sunday."""
-    weekday = F.dayofweek(ds)
-    return F.when(weekday == 7, F.date_sub(ds, 1)).when(weekday == 1, F.date_add(ds, 1))
-
-
 def holiday_flags(ds: Column) -> Column:
-    """Array of 0/1 values, one per name in HOLIDAY_NAMES, for the day ``ds``.
-
-    A weekend holiday marks its observed day too.
-    """
-    year = F.year(ds)
-    fixed = {r[0] for r in FIXED_DATE}
-    flags = []
-    for name, on in holiday_dates(year).items():
-        hit = on == ds
-        if name in fixed:
-            hit = hit | (observed(on) == ds)
-        if name == "New Year's Day":
-            hit = hit | (observed(F.make_date(year + 1, F.lit(1), F.lit(1))) == ds)
-        flags.append(F.when(hit, 1.0).otherwise(0.0))
-    return F.array(*flags)
+    """Array of 0/1 values, one per name in HOLIDAY_NAMES, for the day ``ds``."""
+    this_year, next_year = holiday_dates(F.year(ds)), holiday_dates(F.year(ds) + 1)
+    early = "New Year's Day (observed)"
+    hits = {name: this_year[name] == ds for name in HOLIDAY_NAMES}
+    hits[early] = F.coalesce(hits[early], F.lit(False)) | (next_year[early] == ds)
+    return F.array(*[F.when(hits[name], 1.0).otherwise(0.0) for name in HOLIDAY_NAMES])

@@ -2,28 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from calltide.functions.holidays import FIXED_DATE, holiday_dates, observed
+from calltide.functions.holidays import holiday_dates
 
 
 def us_holidays(days: DataFrame, ds: str = "ds") -> DataFrame:
     """(ds, holiday) for all years covered by the column ``ds`` of ``days``.
 
-    A fixed date on a weekend also yields its "(observed)" day. Twelve rows a
-    year at most, spread from the one-row min/max of the days.
+    A fixed date on a weekend also yields its "(observed)" day. Sixteen rows
+    a year at most, spread from the one-row min/max of the days.
     """
     span = days.agg(F.year(F.min(ds)).alias("lo"), F.year(F.max(ds)).alias("hi"))
     years = span.select(F.explode(F.sequence("lo", F.col("hi") + 1)).alias("year"), "lo", "hi")
-    fixed = {r[0] for r in FIXED_DATE}
-    entries = []
-    for name, on in holiday_dates(F.col("year")).items():
-        entries.append(F.struct(on.alias("ds"), F.lit(name).alias("holiday")))
-        if name in fixed:
-            entries.append(F.struct(observed(on).alias("ds"), F.lit(f"{name} (observed)").alias("holiday")))
+    entries = [
+        F.struct(on.alias("ds"), F.lit(name).alias("holiday")) for name, on in holiday_dates(F.col("year")).items()
+    ]
     return (
         years.select("lo", "hi", F.inline(F.array(*entries)))
         .filter(F.year("ds").between(F.col("lo"), F.col("hi")))

@@ -68,7 +68,7 @@ def _current(spark: SparkSession, layer: Layer) -> dict | None:
 def _publish(spark: SparkSession, layer: Layer, folder: str, schema: T.StructType, partition_by: Sequence[str]) -> None:
     """Write the next commit record and make it visible by a rename."""
     number = (_commit_numbers(spark, layer) or [0])[-1] + 1
-    record = {"folder": folder, "schema": schema.jsonValue(), "partition_by": list(partition_by)}
+    record = {"folder": folder, "schema": _nullable(schema).jsonValue(), "partition_by": list(partition_by)}
     fs, draft = _files(spark, f"{layer.commits}/_draft-{number:08d}")
     out = fs.create(draft, True)
     try:
@@ -80,6 +80,17 @@ def _publish(spark: SparkSession, layer: Layer, folder: str, schema: T.StructTyp
         raise RuntimeError(f"another writer has published commit {number} of {layer.path}")
 
 
+def _nullable(kind: T.DataType) -> T.DataType:
+    """The type as Parquet gives it back, with NULL allowed everywhere."""
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_nullable(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(_nullable(kind.keyType), _nullable(kind.valueType))
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType)) for f in kind.fields])
+    return kind
+
+
 def _next_folder(spark: SparkSession, layer: Layer) -> str:
     return f"data-{(_commit_numbers(spark, layer) or [0])[-1] + 1:08d}"
 
@@ -142,8 +153,9 @@ def append_layer(df: DataFrame, layer: Layer, partition_by: Sequence[str] = ())
         overwrite_layer(df, layer, partition_by)
         return
     old = T.StructType.fromJson(current["schema"])
-    added = [f for f in df.schema.fields if f.name not in old.names]
-    changed = [f.name for f in df.schema.fields if f.name in old.names and f.dataType != old[f.name].dataType]
+    new = _nullable(df.schema)
+    added = [f for f in new.fields if f.name not in old.names]
+    changed = [f.name for f in new.fields if f.name in old.names and f.dataType != old[f.name].dataType]
     if changed:
         raise ValueError(f"appended columns change type: {changed}")
     _write(df, f"{layer.path}/{current['folder']}", current["partition_by"], "append")

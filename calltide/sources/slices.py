@@ -61,7 +61,7 @@ def incremental_slice(source: DataFrame, target: DataFrame, mark: str, overlap_d
     never visits the driver. An empty target selects the whole source.
     """
     if isinstance(target.schema[mark].dataType, T.DateType):
-        low, floor = F.date_sub(F.max(mark), overlap_days), F.lit(date.min)
+        low, floor = F.date_sub(F.max(mark), overlap_days), ntz(datetime.min).cast("date")
     else:
         low, floor = F.max(mark) - F.expr(f"interval {int(overlap_days)} days"), ntz(datetime.min)
     newest = target.agg(F.coalesce(low, floor).alias("low")).scalar()
