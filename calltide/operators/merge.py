@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from calltide.functions.columns import all_of, any_null
+from calltide.functions.columns import any_null
 
 _UNORDERED = (T.MapType, T.VariantType)
 
@@ -45,17 +45,13 @@ def dedup_latest(
 def _unmatched(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key is not staged.
 
-    NULL keys never match; a salt by input partition keeps them from meeting
-    in one reducer.
+    NULL keys never match, so those rows stay out of the join and cannot meet
+    in one reducer. On a stored layer the IS NULL filter is pushed to the scan,
+    which skips row groups without NULL keys.
     """
-    salt = F.when(any_null(keys), F.spark_partition_id() + 1).otherwise(0)
-    left = target.withColumn("__salt", salt)
-    renamed = {k: f"__staged_{k}" for k in keys}
-    right = (
-        staged.select(*keys).filter(~any_null(keys)).withColumnsRenamed(renamed).withColumn("__staged_salt", F.lit(0))
-    )
-    on = all_of([F.col(k) == F.col(r) for k, r in renamed.items()] + [F.col("__salt") == F.col("__staged_salt")])
-    return left.join(right, on, "left_anti").drop("__salt")
+    staged_keys = staged.select(*keys).filter(~any_null(keys))
+    kept = target.filter(~any_null(keys)).join(staged_keys, list(keys), "left_anti")
+    return kept.select(*target.columns).unionByName(target.filter(any_null(keys)))
 
 
 def upsert(
