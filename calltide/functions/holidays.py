@@ -25,6 +25,8 @@ NTH_WEEKDAY = [
 # (name, month, weekday, first year): the last such weekday of the month
 LAST_WEEKDAY = [("Memorial Day", 5, "MON", 1971)]
 
+WEEKDAY_NUMBER = {"SUN": 1, "MON": 2, "TUE": 3, "WED": 4, "THU": 5, "FRI": 6, "SAT": 7}
+
 HOLIDAY_NAMES = [r[0] for r in FIXED_DATE + NTH_WEEKDAY + LAST_WEEKDAY] + [
     f"{r[0]} (observed)" for r in FIXED_DATE
 ]
@@ -58,10 +60,27 @@ def holiday_dates(year: Column) -> dict[str, Column]:
     return dates
 
 
-def holiday_flags(ds: Column) -> Column:
-    """Array of 0/1 values, one per name in HOLIDAY_NAMES, for the day ``ds``."""
-    this_year, next_year = holiday_dates(F.year(ds)), holiday_dates(F.year(ds) + 1)
-    early = "New Year's Day (observed)"
-    hits = {name: this_year[name] == ds for name in HOLIDAY_NAMES}
-    hits[early] = F.coalesce(hits[early], F.lit(False)) | (next_year[early] == ds)
-    return F.array(*[F.when(hits[name], 1.0).otherwise(0.0) for name in HOLIDAY_NAMES])
+def holiday_flags(ds: Column) -> list[Column]:
+    """0/1 columns, one per name in HOLIDAY_NAMES, that mark the day ``ds``.
+
+    Tests month, day and weekday instead of building the dates of the year.
+    """
+    flags: dict[str, Column] = {}
+    weekday = F.dayofweek(ds)
+
+    def falls_on(day: Column, month: int, day_of_month: int, since: int) -> Column:
+        return (F.month(day) == month) & (F.dayofmonth(day) == day_of_month) & (F.year(day) >= since)
+
+    for name, month, day, since in FIXED_DATE:
+        friday = (weekday == 6) & falls_on(F.date_add(ds, 1), month, day, since)
+        monday = (weekday == 2) & falls_on(F.date_sub(ds, 1), month, day, since)
+        flags[name] = falls_on(ds, month, day, since)
+        flags[f"{name} (observed)"] = friday | monday
+    for name, month, day_name, nth, since in NTH_WEEKDAY:
+        week = F.floor((F.dayofmonth(ds) - 1) / 7) + 1
+        on_day = (weekday == WEEKDAY_NUMBER[day_name]) & (week == nth)
+        flags[name] = (F.month(ds) == month) & on_day & (F.year(ds) >= since)
+    for name, month, day_name, since in LAST_WEEKDAY:
+        last_week = F.month(F.date_add(ds, 7)) != month
+        flags[name] = (F.month(ds) == month) & (weekday == WEEKDAY_NUMBER[day_name]) & last_week & (F.year(ds) >= since)
+    return [F.when(flags[name], 1.0).otherwise(0.0) for name in HOLIDAY_NAMES]

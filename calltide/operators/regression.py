@@ -11,10 +11,13 @@ from __future__ import annotations
 
 import math
 import random
+import sys
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +28,9 @@ from calltide.functions.times import day_number
 from calltide.operators.evaluate import tuning_days
 from calltide.operators.forecast import open_days, with_band
 
+# Executors need not have this package: the solver travels with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Shape of the model.
 KNOTS = 25
 KNOT_RANGE = 0.8
@@ -55,15 +61,15 @@ _FIT_COLUMNS = [
 ]
 
 
-def trend_features(ds: str, first: str, last: str) -> Column:
+def trend_features(ds: str, first: str, last: str) -> list[Column]:
     """[1, t, hinges]: t runs from 0 to 1 over the training span, knots on its first 80 %."""
     span = F.greatest(F.datediff(last, first), F.lit(1))
     t = F.datediff(ds, first) / span
     hinges = [F.greatest(t - KNOT_RANGE * (k + 1) / (KNOTS + 1), F.lit(0.0)) for k in range(KNOTS)]
-    return F.array(F.lit(1.0), t, *hinges)
+    return [F.lit(1.0), t, *hinges]
 
 
-def season_features(ds: str) -> Column:
+def season_features(ds: str) -> list[Column]:
     """Weekly and yearly Fourier terms and the holiday flags of a day."""
     day = day_number(ds)
     waves = []
@@ -71,7 +77,7 @@ def season_features(ds: str) -> Column:
         for k in range(1, order + 1):
             angle = day * (2 * math.pi * k / period)
             waves += [F.sin(angle), F.cos(angle)]
-    return F.concat(F.array(*waves), holiday_flags(F.col(ds)))
+    return waves + holiday_flags(F.col(ds))
 
 
 def _solve(x: np.ndarray, y: np.ndarray, prior_sd: np.ndarray) -> np.ndarray:
@@ -117,7 +123,12 @@ def _with_features(points: DataFrame, groups: Sequence[str], held_days: int = 0)
         .withColumns(
             {"first_ds": F.min("ds").over(series), "last_ds": F.date_sub(F.max("ds").over(series), held_days)}
         )
-        .withColumns({"trend": trend_features("ds", "first_ds", "last_ds"), "season": season_features("ds")})
+        .withColumns(
+            {
+                "trend": F.array(*trend_features("ds", "first_ds", "last_ds")),
+                "season": F.array(*season_features("ds")),
+            }
+        )
     )
 
 
@@ -152,9 +163,9 @@ def fit_regression(
     return _with_features(points, keys).groupBy(*keys).applyInPandas(fit, schema)
 
 
-def _dot(features: Column, coef: str) -> Column:
-    products = F.zip_with(features, F.col(coef), lambda a, b: a * b)
-    return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
+def _dot(features: list[Column], coef: str) -> Column:
+    """Sum of products, written out so that it stays in generated code."""
+    return reduce(lambda a, b: a + b, [f * F.col(coef)[i] for i, f in enumerate(features)])
 
 
 def predict_regression(

@@ -20,12 +20,14 @@ from calltide.operators.merge import dedup_latest
 from calltide.operators.models import apply_promotions, promote_if_better, register_runs
 from calltide.operators.quality import SILVER_RULES, Rule, enforce
 from calltide.operators.regression import draw_trials, fit_regression, predict_regression, tune
-from calltide.operators.series import DAILY_KEYS, gold_features, series_total
+from calltide.operators.series import DAILY_KEYS, add_lag, add_moving_avg, series_total
 from calltide.params import Params
 from calltide.sources.layers import (
+    MAX_LISTED_PARTITIONS,
     Layer,
     append_layer,
     layer_exists,
+    one_of,
     overwrite_layer,
     read_layer,
     upsert_layer,
@@ -86,10 +88,55 @@ def silver_job(
     return read_layer(spark, layers.silver)
 
 
-def gold_job(spark: SparkSession, layers: Layers) -> DataFrame:
-    """Daily counts with lag and mean, laid out by month."""
-    daily = gold_features(read_layer(spark, layers.silver))
-    overwrite_layer(daily.withColumn("month", F.trunc("ds", "month")), layers.gold, ["month"])
+def _months_to_count(silver: DataFrame, daily: DataFrame) -> list | None:
+    """Months whose daily counts are out of date, or None when all must be counted.
+
+    A month has changed when it holds rows stamped on or after the newest stamp
+    already counted, or when its number of rows differs (rows have left it).
+    Only two narrow columns of Silver are read; one row per month comes back.
+    """
+    last = daily.agg(F.max("loaded")).scalar()
+    now = silver.groupBy(F.col("created_month").alias("month")).agg(
+        F.count(F.lit(1)).alias("rows"), F.max("ingestion_date").alias("stamp")
+    )
+    counted = daily.groupBy(F.col("month").alias("counted_month")).agg(F.sum("y").alias("counted"))
+    same_month = F.col("month").eqNullSafe(F.col("counted_month"))
+    fresh = F.coalesce(F.col("stamp") < last, F.lit(False)) & (F.col("rows") == F.col("counted"))
+    stale = (
+        now.join(counted, same_month, "full")
+        .filter(~F.coalesce(fresh, F.lit(False)))
+        .select("month", F.col("rows").isNull().alias("vanished"))
+        .take(MAX_LISTED_PARTITIONS + 1)
+    )
+    if len(stale) > MAX_LISTED_PARTITIONS or any(r["vanished"] for r in stale):
+        return None
+    return stale
+
+
+def gold_job(spark: SparkSession, layers: Layers, full: bool = False) -> DataFrame:
+    """Daily counts with lag and mean, laid out by month.
+
+    The counts are kept in a layer of their own and only the months that
+    changed in Silver are counted again, unless ``full``. The features need the
+    rows before a month, so they are computed over all daily counts, whose
+    number depends on days and series and not on requests.
+    """
+    silver = read_layer(spark, layers.silver)
+    months = None
+    if not full and layer_exists(spark, layers.daily):
+        months = _months_to_count(silver, read_layer(spark, layers.daily))
+    if months is None or months:
+        rows = silver if months is None else silver.filter(
+            one_of(["created_month"], [{"created_month": r["month"]} for r in months])
+        )
+        counts = (
+            rows.groupBy(F.to_date("created_ts_utc").alias("ds"), *DAILY_KEYS)
+            .agg(F.count(F.lit(1)).alias("y"), F.max("ingestion_date").alias("loaded"))
+            .withColumn("month", F.trunc("ds", "month"))
+        )
+        overwrite_layer(counts, layers.daily, ["month"], only_present=months is not None)
+    daily = read_layer(spark, layers.daily).drop("loaded")
+    overwrite_layer(add_moving_avg(add_lag(daily)), layers.gold, ["month"])
     return read_layer(spark, layers.gold)
 
 

@@ -163,7 +163,7 @@ def append_layer(df: DataFrame, layer: Layer, partition_by: Sequence[str] = ())
         _publish(spark, layer, current["folder"], T.StructType(old.fields + added), current["partition_by"])
 
 
-def _one_of(partition_by: Sequence[str], values: list) -> Column:
+def one_of(partition_by: Sequence[str], values: list) -> Column:
     """Literal filter on partition values, which prunes the scan when it is planned."""
     rows = [all_of([F.col(c).eqNullSafe(F.lit(v[c])) for c in partition_by]) for v in values]
     return reduce(lambda a, b: a | b, rows)
@@ -205,7 +205,7 @@ def _touched_partitions(
         return None
     if not moved:
         return _Touched(values, [])
-    sizes = target.filter(_one_of(partition_by, moved)).groupBy(*partition_by).count().take(len(moved))
+    sizes = target.filter(one_of(partition_by, moved)).groupBy(*partition_by).count().take(len(moved))
     rows = {tuple(r[c] for c in partition_by): r["count"] for r in sizes}
     emptied = [r for r in moved if rows[tuple(r[c] for c in partition_by)] == r["moved"]]
     return _Touched(values + [r for r in moved if r not in emptied], emptied)
@@ -260,10 +260,10 @@ def _merge_into(
     if touched is None:
         overwrite_layer(upsert(target, fresh, keys), layer, partition_by)
         return
-    merged = upsert(target.filter(_one_of(partition_by, touched.rewritten)), fresh, keys)
+    merged = upsert(target.filter(one_of(partition_by, touched.rewritten)), fresh, keys)
     overwrite_layer(merged, layer, only_present=True)
     if touched.emptied:  # an overwrite in place cannot clear a partition that receives no row
-        _drop_partitions(target.filter(_one_of(partition_by, touched.emptied)))
+        _drop_partitions(target.filter(one_of(partition_by, touched.emptied)))
 
 
 def _drop_partitions(rows: DataFrame) -> None:

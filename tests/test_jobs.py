@@ -21,12 +21,16 @@ def where(tmp_path):
     return jobs.Layers(str(tmp_path / "layers"))
 
 
+def half_year(spark, sf_dir):
+    return requests(spark, sf_dir, closed=True).filter("created_date BETWEEN DATE '1998-01-01' AND DATE '1998-06-30'")
+
+
 def snapshot(spark, layer, columns):
     return sorted(map(tuple, layers.read_layer(spark, layer).select(*columns).collect()), key=str)
 
 
 def test_rerun_changes_nothing(spark, sf_dir, where):
-    raw = requests(spark, sf_dir, closed=True)
+    raw = half_year(spark, sf_dir)
     states = []
     for _ in range(2):
         result = jobs.run_all(spark, raw, where, "2001-08-02", method="trend")
@@ -42,9 +46,9 @@ def test_rerun_changes_nothing(spark, sf_dir, where):
 
 
 def test_late_batch_updates_silver_and_gold(spark, sf_dir, where):
-    raw = requests(spark, sf_dir, closed=True)
-    first = raw.filter(F.col("created_date") < F.lit("1999-06-01").cast("timestamp_ntz"))
-    late = raw.filter(F.col("created_date") >= F.lit("1999-01-01").cast("timestamp_ntz")).withColumn("status", F.lit("R"))
+    raw = half_year(spark, sf_dir)
+    first = raw.filter(F.col("created_date") < F.lit("1998-05-01").cast("timestamp_ntz"))
+    late = raw.filter(F.col("created_date") >= F.lit("1998-03-15").cast("timestamp_ntz")).withColumn("status", F.lit("R"))
     jobs.bronze_job(first, where, "1999-06-01")
     jobs.silver_job(spark, where, "1999-06-01")
     jobs.bronze_job(late, where, "2001-08-02")
@@ -55,8 +59,55 @@ def test_late_batch_updates_silver_and_gold(spark, sf_dir, where):
     assert jobs.gold_job(spark, where).agg(F.sum("y")).first()[0] == raw.count()
 
 
+def gold_rows(spark, where):
+    return snapshot(spark, where.gold, ["ds", "complaint_type", "borough", "agency", "y", "y_lag7", "y_ma7", "month"])
+
+
+def load(spark, where, rows, as_of):
+    jobs.bronze_job(rows, where, as_of)
+    return jobs.silver_job(spark, where, as_of)
+
+
+@pytest.mark.parametrize("as_of", ["2001-08-02", "2001-08-03"])
+def test_incremental_gold_equals_full_recount(spark, sf_dir, where, as_of):
+    raw = half_year(spark, sf_dir)
+    load(spark, where, raw, "2001-08-02")
+    jobs.gold_job(spark, where)
+
+    a, b, c, d = [r.unique_key for r in raw.orderBy("created_date").limit(4).collect()]
+    changes = [
+        (a, "created_date", "TIMESTAMP_NTZ '1998-05-03'"),  # moves to another month
+        (b, "complaint_type", "'other'"),
+        (c, "created_date", "CAST(NULL AS TIMESTAMP_NTZ)"),
+        (d, "unique_key", "-1L"),  # new request
+    ]
+    batch = [raw.filter(f"unique_key = {k}").withColumn(column, F.expr(value)) for k, column, value in changes]
+    for changed in batch[1:]:
+        batch[0] = batch[0].unionByName(changed)
+    silver = load(spark, where, batch[0], as_of)
+    jobs.gold_job(spark, where)
+    incremental = gold_rows(spark, where)
+    jobs.gold_job(spark, where, full=True)
+    assert incremental == gold_rows(spark, where)
+    assert sum(r[4] for r in incremental) == silver.count() == raw.count() + 1
+
+
+def test_incremental_gold_reads_only_changed_months(spark, sf_dir, where):
+    """The overlap stamps the last load once more; after that a small load touches its own month only."""
+    raw = half_year(spark, sf_dir)
+    one = raw.orderBy("created_date").limit(1)
+    load(spark, where, raw, "2001-07-01")
+    load(spark, where, one.withColumn("status", F.lit("R")), "2001-08-05")
+    load(spark, where, one.withColumn("status", F.lit("S")), "2001-08-09")
+    jobs.gold_job(spark, where)
+    changed = load(spark, where, one.withColumn("status", F.lit("T")), "2001-08-12")
+    assert changed.filter("ingestion_date = DATE '2001-08-12'").count() == 1
+    stale = jobs._months_to_count(changed, layers.read_layer(spark, where.daily))
+    assert [str(r["month"]) for r in stale] == ["1998-01-01"]
+
+
 def test_append_only_bronze_keeps_every_load_and_silver_takes_the_newest(spark, sf_dir, where):
-    raw = requests(spark, sf_dir, closed=True)
+    raw = half_year(spark, sf_dir)
     jobs.bronze_job(raw, where, "2001-08-02", append_only=True)
     bronze = jobs.bronze_job(raw.withColumn("status", F.lit("R")), where, "2001-08-03", append_only=True)
     assert bronze.count() == 2 * raw.count()
@@ -66,7 +117,7 @@ def test_append_only_bronze_keeps_every_load_and_silver_takes_the_newest(spark,
 
 
 def test_bad_rows_stop_the_silver_job(spark, sf_dir, where):
-    raw = requests(spark, sf_dir, closed=True).withColumn("complaint_type", F.lit(None).cast("string"))
+    raw = half_year(spark, sf_dir).withColumn("complaint_type", F.lit(None).cast("string"))
     jobs.bronze_job(raw, where, "2001-08-02")
     with pytest.raises(QualityError):
         jobs.silver_job(spark, where, "2001-08-02")
@@ -74,7 +125,7 @@ def test_bad_rows_stop_the_silver_job(spark, sf_dir, where):
 
 
 def test_lookup_enriches_silver(spark, sf_dir, where):
-    jobs.bronze_job(requests(spark, sf_dir, closed=True), where, "2001-08-02")
+    jobs.bronze_job(half_year(spark, sf_dir), where, "2001-08-02")
     lookup = table(spark, sf_dir, "region").selectExpr("r_name AS borough", "r_regionkey AS borough_code")
     silver = jobs.silver_job(spark, where, "2001-08-02", lookup=lookup)
     assert silver.filter("borough_code IS NULL").count() == 0
@@ -88,8 +139,7 @@ def test_every_stage_runs_once(spark):
 
 
 def test_forecast_versions_and_tuning(spark, sf_dir, where):
-    jobs.bronze_job(requests(spark, sf_dir, closed=True), where, "2001-08-02")
-    jobs.silver_job(spark, where, "2001-08-02")
+    load(spark, where, half_year(spark, sf_dir), "2001-08-02")
     jobs.gold_job(spark, where)
     keys = ["borough"]
     for _ in range(2):
