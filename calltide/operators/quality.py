@@ -36,6 +36,11 @@ def between(column: str, low: float, high: float, mostly: float = 1.0) -> Rule:
     return Rule(f"{column}_between", present, f"(`{column}` BETWEEN {low} AND {high})", mostly)
 
 
+def missing_notes(columns: Sequence[str]) -> list[Rule]:
+    """Rules that always pass and put the names of absent input columns into the report."""
+    return [Rule(f"{c}_column_missing", "false", "true") for c in columns]
+
+
 # The rules of the cleaned table.
 SILVER_RULES = (
     not_null("complaint_type"),
@@ -82,11 +87,16 @@ def expect_between(df: DataFrame, column: str, low: float, high: float, mostly:
     return quality_report(df, [between(column, low, high, mostly)])
 
 
-def enforce(df: DataFrame, rules: Sequence[Rule] = SILVER_RULES) -> DataFrame:
-    """Return ``df`` unchanged, or raise QualityError naming the failed rules."""
-    failed = quality_report(df, rules).filter(~F.col("success")).take(len(rules))
+def enforce_report(report: DataFrame) -> None:
+    """Raise QualityError naming the rules that failed in a quality report."""
+    failed = report.filter(~F.col("success")).collect()  # one row per failed rule
     if failed:
         raise QualityError("; ".join(f"{r.rule}: {r.failed} of {r.total} values fail" for r in failed))
+
+
+def enforce(df: DataFrame, rules: Sequence[Rule] = SILVER_RULES) -> DataFrame:
+    """Return ``df`` unchanged, or raise QualityError naming the failed rules."""
+    enforce_report(quality_report(df, rules))
     return df
 
 

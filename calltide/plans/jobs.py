@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from calltide.operators.anomaly import actual_vs_forecast, breach_streak, flag_breaches
-from calltide.operators.conform import CORE_TYPES, conform, enrich_lookup, to_silver
+from calltide.operators.conform import CORE_TYPES, conform, enrich_lookup, missing_columns, to_silver
 from calltide.operators.evaluate import mape_tail, tuning_days
 from calltide.operators.forecast import forecast_trend_seasonal, require_rows
 from calltide.operators.merge import dedup_latest
 from calltide.operators.models import apply_promotions, promote_if_better, register_runs
-from calltide.operators.quality import SILVER_RULES, Rule, enforce
+from calltide.operators.quality import SILVER_RULES, Rule, enforce_report, missing_notes, quality_report
 from calltide.operators.regression import draw_trials, fit_regression, predict_regression, tune
 from calltide.operators.series import DAILY_KEYS, add_lag, add_moving_avg, series_total
 from calltide.params import Params
@@ -67,6 +67,9 @@ def silver_job(
 ) -> DataFrame:
     """Conform new Bronze rows, check every one of them, and merge them by key.
 
+    The quality report is stored before it is enforced and names core columns
+    the input lacked.
+
     Silver is laid out by month of creation, which a request keeps for life, so
     a daily run rewrites only the months its rows fall in.
     """
@@ -78,13 +81,13 @@ def silver_job(
     if lookup is not None:
         latest = enrich_lookup(latest, lookup, "borough")
     stamped = stamp_ingestion(latest, as_of).withColumn("created_month", F.trunc("created_ts_utc", "month"))
-    upsert_layer(
-        stamped,
-        layers.silver,
-        ["unique_key"],
-        partition_by=["created_month"],
-        check=lambda staged: enforce(staged, rules),
-    )
+    notes = missing_notes(missing_columns(rows))
+
+    def check(staged: DataFrame) -> None:
+        overwrite_layer(quality_report(staged, [*rules, *notes]), layers.quality)
+        enforce_report(read_layer(spark, layers.quality))
+
+    upsert_layer(stamped, layers.silver, ["unique_key"], partition_by=["created_month"], check=check)
     return read_layer(spark, layers.silver)
 
 

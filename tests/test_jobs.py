@@ -122,6 +122,10 @@ def test_bad_rows_stop_the_silver_job(spark, sf_dir, where):
     with pytest.raises(QualityError):
         jobs.silver_job(spark, where, "2001-08-02")
     assert not layers.layer_exists(spark, where.silver)
+    report = {r.rule: r for r in layers.read_layer(spark, where.quality).collect()}
+    assert not report["complaint_type_not_null"].success
+    assert {"latitude_column_missing", "descriptor_column_missing"} <= set(report)
+    assert "status_column_missing" not in report
 
 
 def test_lookup_enriches_silver(spark, sf_dir, where):

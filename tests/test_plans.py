@@ -138,3 +138,40 @@ def test_result_does_not_depend_on_partitioning(spark, sf_dir, rows, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_hot_customer_is_split_over_tasks(spark, tmp_path):
+    """A customer with a third of all orders: adaptive execution splits its join partition."""
+    n = 120_000
+    tables = {
+        "orders": spark.range(n).selectExpr(
+            "id AS o_orderkey",
+            "CASE WHEN id % 3 = 0 THEN 7L ELSE id % 1000 END AS o_custkey",
+            "'F' AS o_orderstatus",
+            "TIMESTAMP_NTZ '1998-01-01' + make_interval(0, 0, 0, CAST(id % 90 AS INT)) AS o_orderdate",
+            "'1-URGENT' AS o_orderpriority",
+        ),
+        "customer": spark.range(1000).selectExpr("id AS c_custkey", "CAST(id % 25 AS INT) AS c_nationkey", "'A' AS c_mktsegment"),
+        "nation": spark.range(25).selectExpr("CAST(id AS INT) AS n_nationkey", "'N' || id AS n_name", "CAST(id % 5 AS INT) AS n_regionkey"),
+        "region": spark.range(5).selectExpr("CAST(id AS INT) AS r_regionkey", "'R' || id AS r_name"),
+    }
+    for name, df in tables.items():
+        df.repartition(8).write.parquet(f"{tmp_path}/{name}.parquet")
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "40000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        daily = series.daily_counts(requests(spark, str(tmp_path)), "created_date")
+        assert daily.agg(F.sum("y")).first()[0] == n
+        daily.collect()
+        assert "skew=true" in plan(daily)
+    finally:
+        for k in small:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
