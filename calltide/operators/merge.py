@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from calltide.functions.columns import any_null
 
@@ -19,24 +18,20 @@ def dedup_latest(
 ) -> DataFrame:
     """One row per key: the latest by ``latest_by``, ties broken by all other columns.
 
-    Spark drops the losers inside each input partition before the shuffle
-    (window group limit), so a key that holds a third of all rows reaches its
-    reducer as one row per input partition. NULL is not a key value: such rows
-    are all kept, or all dropped with ``null_keys="drop"``.
+    The row is the greatest struct of a key, an aggregate that Spark combines
+    inside each input partition before the shuffle: a key that holds a third of
+    all rows reaches its reducer as one row per input partition. NULL counts as
+    the smallest value. NULL is not a key: such rows are all kept, or all
+    dropped with ``null_keys="drop"``.
     """
-    rest = [
-        f.name
-        for f in df.schema.fields
-        if f.name not in (*keys, *latest_by) and not isinstance(f.dataType, _UNORDERED)
-    ]
-    order = [F.col(c).desc_nulls_last() for c in (*latest_by, *rest)]
-    newest_first = Window.partitionBy(*keys).orderBy(*order)
-    keyed = (
-        df.filter(~any_null(keys))
-        .withColumn("__rank", F.row_number().over(newest_first))
-        .filter(F.col("__rank") == 1)
-        .drop("__rank")
-    )
+    others = [f for f in df.schema.fields if f.name not in (*keys, *latest_by)]
+    unordered = [f.name for f in others if isinstance(f.dataType, _UNORDERED)]
+    order = F.struct(*latest_by, *[f.name for f in others if f.name not in unordered])
+    newest = [F.max(order).alias("__newest")]
+    if unordered:
+        newest.append(F.max_by(F.struct(*unordered), order).alias("__with"))
+    keyed = df.filter(~any_null(keys)).groupBy(*keys).agg(*newest)
+    keyed = keyed.select(*keys, "__newest.*", *(["__with.*"] if unordered else [])).select(*df.columns)
     if null_keys == "drop":
         return keyed
     return keyed.unionByName(df.filter(any_null(keys)))

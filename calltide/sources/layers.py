@@ -231,6 +231,9 @@ def upsert_layer(
     """
     spark = staged.sparkSession
     fresh = dedup_latest(staged, keys, latest_by) if latest_by else staged
+    if check is None and not layer_exists(spark, layer):
+        overwrite_layer(fresh, layer, partition_by)
+        return
     parked = shared_dir(spark, "staged")
     fresh.write.parquet(parked)
     fresh = spark.read.schema(fresh.schema).parquet(parked)

@@ -141,6 +141,11 @@ def test_dedup_keeps_latest_and_all_null_keys(spark, rows):
     assert rows(merge.dedup_latest(df, ["k"], ["t"], null_keys="drop")) == [(1, 2, "c"), (2, None, "d")]
 
 
+def test_dedup_carries_columns_without_an_order(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, 1, map('a', 1)), (1, 2, map('b', 2)) AS t(k, t, m)")
+    assert [tuple(r) for r in merge.dedup_latest(df, ["k"], ["t"]).collect()] == [(1, 2, {"b": 2})]
+
+
 def test_upsert_replaces_inserts_and_widens(spark, rows):
     target = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string")
     staged = spark.createDataFrame([(2, "B", 9), (3, "C", 9), (None, "m", 9)], "k int, v string, extra int")

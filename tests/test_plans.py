@@ -62,7 +62,7 @@ def test_dedup_drops_losers_before_the_shuffle(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate")
     text = plan(merge.dedup_latest(lines, ["l_orderkey"], ["l_shipdate"], null_keys="drop"))
     below = text.split("Exchange hashpartitioning")[1]
-    assert re.search(r"WindowGroupLimit .*row_number\(\), 1, Partial", below)
+    assert "partial_max" in below
 
 
 def test_hot_key_reaches_the_reducer_as_one_row_per_task(spark, tmp_path):
