@@ -218,6 +218,7 @@ def upsert_layer(
     latest_by: Sequence[str] | None = None,
     partition_by: Sequence[str] = (),
     stable_partitions: bool = False,
+    in_place: bool = True,
     check: Callable[[DataFrame], object] | None = None,
 ) -> None:
     """Upsert into a layer, created if missing.
@@ -228,6 +229,10 @@ def upsert_layer(
     ``latest_by`` unless the keys of the batch are unique. ``check`` sees the
     staged rows and may raise before the layer is touched. Running the same
     batch twice gives the same layer.
+
+    Partitions are swapped one by one when the write job commits. Where a
+    driver lost at that moment must not leave a partition missing, use
+    ``in_place=False``: the whole layer is rewritten and published at once.
     """
     spark = staged.sparkSession
     fresh = dedup_latest(staged, keys, latest_by) if latest_by else staged
@@ -244,7 +249,11 @@ def upsert_layer(
         if current is None:
             overwrite_layer(fresh, layer, partition_by)
         else:
-            _merge_into(read_layer(spark, layer), fresh, layer, keys, current["partition_by"], stable_partitions)
+            target, columns = read_layer(spark, layer), current["partition_by"]
+            touched = None
+            if in_place and columns and set(fresh.columns) == set(target.columns):
+                touched = _touched_partitions(target, fresh, keys, columns, stable_partitions)
+            _merge_into(target, fresh, layer, keys, columns, touched)
     finally:
         _drop(spark, parked)
 
@@ -255,11 +264,8 @@ def _merge_into(
     layer: Layer,
     keys: Sequence[str],
     partition_by: Sequence[str],
-    stable: bool,
+    touched: _Touched | None,
 ) -> None:
-    touched = None
-    if partition_by and set(fresh.columns) == set(target.columns):
-        touched = _touched_partitions(target, fresh, keys, partition_by, stable)
     if touched is None:
         overwrite_layer(upsert(target, fresh, keys), layer, partition_by)
         return

@@ -122,3 +122,23 @@ def test_short_and_null_series(spark):
     rows = [("one", START, 5.0), (None, START, 1.0), (None, START + timedelta(days=1), 2.0)]
     df = regression.forecast_regression(spark.createDataFrame(rows, "k string, ds date, y double"), ["k"], horizon=7)
     assert {(r.k, r.n) for r in df.groupBy("k").agg(F.count("yhat").alias("n")).collect()} == {("one", 8), (None, 9)}
+
+
+def test_tune_equals_a_direct_holdout_score(spark, series):
+    one = series.filter("k = 'additive'").drop("k")
+    trials = regression.draw_trials(4, seed=5)
+    got = {r.trial: r.mape for r in regression.tune(one, trials=trials, horizon=14).collect()}
+    pdf = regression._with_features(one, [], 14).toPandas().sort_values("ds")
+    trend, season, y = regression._matrices(pdf)
+    for number, params in enumerate(trials):
+        scale = np.abs(y[:-14]).max()
+        a, b, _ = regression.solve_series(trend[:-14], season[:-14], y[:-14] / scale, params)
+        level, wave = trend[-14:] @ a, season[-14:] @ b
+        yhat = scale * (level + wave if params["seasonality_mode"] == "additive" else level * (1 + wave))
+        assert got[number] == pytest.approx(float(np.mean(np.abs(y[-14:] - yhat) / np.maximum(y[-14:], 1))), rel=1e-6)
+
+
+def test_tune_skips_series_without_training_days(spark, series):
+    short = spark.createDataFrame([("short", START, 5.0)], "k string, ds date, y double")
+    got = regression.tune(series.filter("k = 'additive'").unionByName(short), ["k"], regression.draw_trials(2))
+    assert {(r.k, r.trial) for r in got.collect()} == {("additive", 0), ("additive", 1)}

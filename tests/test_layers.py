@@ -149,3 +149,34 @@ def test_unpublished_data_is_invisible(spark, layer):
     assert read(spark, layer) == [(1, 1, "a", 1)]
     layers.overwrite_layer(frame(spark, [(3, 1, "done", 1)]), layer)
     assert read(spark, layer) == [(3, 1, "done", 1)]
+
+
+def test_upsert_into_a_new_folder(spark, layer):
+    layers.upsert_layer(frame(spark, [(1, 1, "a", 1), (2, 1, "b", 2)]), layer, ["k"], ["t"], ["p"])
+    layers.upsert_layer(frame(spark, [(1, 2, "moved", 2)]), layer, ["k"], ["t"], in_place=False)
+    assert read(spark, layer) == [(1, 2, "moved", 2), (2, 1, "b", 2)]
+    assert len(folders(layer)) == 2
+
+
+def test_read_layer_by_table_name_and_path(spark, layer, sf_dir):
+    layers.overwrite_layer(frame(spark, [(1, 1, "a", 1)]), layer)
+    layers.read_layer(spark, layer).createOrReplaceTempView("requests_view")
+    assert layers.read_layer(spark, "requests_view").count() == 1
+    assert layers.read_layer(spark, f"{sf_dir}/region.parquet").count() == 5
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_upserts_equal_a_dictionary(spark, layer, seed):
+    """Batches with moved keys and repeated keys against a plain Python merge."""
+    import random
+
+    rng = random.Random(seed)
+    state = {}
+    for step in range(3):
+        batch = {}
+        for i in range(12):
+            k, p = rng.randrange(15), rng.choice([None, 1, 2, 3, 4])
+            batch.setdefault(k, []).append((k, 100 * step + i, f"v{step}-{i}", p))
+        layers.upsert_layer(frame(spark, [r for rows in batch.values() for r in rows]), layer, ["k"], ["t"], ["p"])
+        state.update({k: max(rows, key=lambda r: r[1]) for k, rows in batch.items()})
+        assert read(spark, layer) == sorted(state.values(), key=str)

@@ -175,3 +175,17 @@ def test_hot_customer_is_split_over_tasks(spark, tmp_path):
         for k in small:
             spark.conf.unset(k)
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_no_rows_travel_through_the_driver():
+    """Only the failed rules of a quality report are collected."""
+    from pathlib import Path
+
+    import calltide
+
+    found = []
+    for path in Path(calltide.__file__).parent.rglob("*.py"):
+        for line in path.read_text().splitlines():
+            if re.search(r"\.(collect|toPandas|toLocalIterator|localCheckpoint|crossJoin|rdd)\b", line):
+                found.append(f"{path.name}: {line.strip()}")
+    assert len(found) == 1 and "one row per failed rule" in found[0], found
