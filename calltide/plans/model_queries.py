@@ -118,9 +118,8 @@ def forecast_infer(spark, sf_dir):
     coefficients = regression.fit_regression(points, ["model_name", "borough"]).withColumn(
         "version", F.lit(1).cast("bigint")
     )
-    live = points.select("model_name").distinct().selectExpr(
-        "model_name", "CAST(1 AS BIGINT) AS version", "'Production' AS stage"
-    )
+    live = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("model_name")).distinct()
+    live = live.withColumns({"version": F.lit(1).cast("bigint"), "stage": F.lit("Production")})
     return rounded(
         regression.forecast_infer(coefficients, live, ["borough"]), ["yhat", "yhat_lower", "yhat_upper"]
     )

@@ -17,7 +17,7 @@ from calltide.plans.registry import (
     rounded,
     with_sql,
 )
-from calltide.sources.requests import requests
+from calltide.sources.requests import requests, table
 
 KEYS = list(series.DAILY_KEYS)
 PAIR = ["complaint_type", "borough"]
@@ -169,9 +169,14 @@ holidays AS (
 )
 
 
+def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of the orders, read from one column."""
+    return table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("ds"))
+
+
 @query(with_sql(REQ, DAILY, TOTAL, HOLIDAYS, select="SELECT * FROM holidays"))
 def us_holidays(spark, sf_dir):
-    return holidays.us_holidays(total(spark, sf_dir))
+    return holidays.us_holidays(order_days(spark, sf_dir))
 
 
 @query(
@@ -187,8 +192,7 @@ SELECT total.ds, y, names AS holiday, names IS NOT NULL AS is_holiday FROM total
     )
 )
 def join_holidays(spark, sf_dir):
-    days = total(spark, sf_dir)
-    return holidays.join_holidays(days, holidays.us_holidays(days))
+    return holidays.join_holidays(total(spark, sf_dir), holidays.us_holidays(order_days(spark, sf_dir)))
 
 
 FORECAST = [fit_sql("pairs", PAIR), forecast_sql(PAIR, 14, Z95)]
