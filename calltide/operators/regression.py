@@ -37,6 +37,8 @@ KNOT_RANGE = 0.8
 WEEKLY_ORDER = 3
 YEARLY_ORDER = 10
 DEFAULTS = {
+    "growth": "linear",
+    "daily_seasonality": "false",
     "changepoint_prior_scale": "0.05",
     "seasonality_prior_scale": "10.0",
     "holidays_prior_scale": "10.0",
@@ -221,6 +223,7 @@ def draw_trials(n_trials: int = 20, seed: int = 7) -> list[dict[str, str]]:
 
     return [
         {
+            **DEFAULTS,
             "changepoint_prior_scale": log_uniform(0.01, 0.5),
             "seasonality_prior_scale": log_uniform(0.01, 10.0),
             "holidays_prior_scale": log_uniform(0.01, 10.0),

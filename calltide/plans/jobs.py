@@ -219,6 +219,7 @@ def tune_job(
     append_layer(register_runs(_registry(spark, layers), named), layers.model_runs)
     registry = _registry(spark, layers)
     overwrite_layer(promote_if_better(registry), layers.promotions)
+    require_rows(read_layer(spark, layers.promotions), "model versions with a score")
     overwrite_layer(apply_promotions(registry), layers.model_runs)
     return read_layer(spark, layers.promotions)
 

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from calltide.functions.columns import all_of, any_null
 from calltide.operators.merge import dedup_latest, upsert
 from calltide.sources.scratch import shared_dir
+from calltide.sources.slices import preview
 
 MAX_LISTED_PARTITIONS = 10_000
 
@@ -126,6 +127,11 @@ def read_layer(spark: SparkSession, source: Layer | str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{source.path}/{current['folder']}").select(*schema.names)
 
 
+def preview_layer(spark: SparkSession, layer: Layer, order_by: list, n: int = 5) -> DataFrame | None:
+    """First rows of a layer in a stated order, or None when there is no such layer."""
+    return preview(read_layer(spark, layer), order_by, n) if layer_exists(spark, layer) else None
+
+
 def overwrite_layer(
     df: DataFrame, layer: Layer, partition_by: Sequence[str] = (), only_present: bool = False
 ) -> None:

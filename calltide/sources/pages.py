@@ -13,19 +13,34 @@ from calltide.functions.columns import normalize_columns
 from calltide.functions.times import as_utc
 
 
-def read_landed_pages(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> DataFrame:
+def read_landed_pages(
+    spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None, fold_names: bool = False
+) -> DataFrame:
     """Read JSON page files as text columns in one scan.
 
-    Every file is a task, so there is no page loop. A record without a column
-    gives NULL; empty files give no rows.
+    Every file, or split of a large one, is a task, so there is no page loop. A
+    record without a column gives NULL; empty files give no rows.
+
+    With ``fold_names`` the given columns are normalised names and each record's
+    own names are normalised before the match, for pages whose headings differ
+    in case or spacing. Without ``columns`` the names are found by a first pass
+    over the files.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.schema(schema).json(path)
+    if columns is None:
+        return spark.read.option("primitivesAsString", True).json(path)
+    if not fold_names:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        return spark.read.schema(schema).json(path)
+    record = F.from_json("value", T.MapType(T.StringType(), T.StringType()))
+    folded = F.transform_keys(record, lambda name, _: F.replace(F.lower(F.trim(name)), F.lit(" "), F.lit("_")))
+    lines = spark.read.text(path).select(folded.alias("record"))
+    return lines.select(*[F.col("record")[c].alias(c) for c in columns])
 
 
 def union_pages(pages: Sequence[DataFrame]) -> DataFrame:
-    """Stack pages by column name; a column missing from a page is NULL there."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pages)
+    """Stack pages by normalised column name; a column missing from a page is NULL there."""
+    named = [normalize_columns(page) for page in pages]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
 
 
 def add_received_parts(df: DataFrame, created: str = "created_date") -> DataFrame:

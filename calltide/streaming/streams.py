@@ -85,7 +85,16 @@ def write_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     )
 
 
-def read_stream(spark: SparkSession, folder: str, file_name: str) -> DataFrame:
-    """Stream the Parquet files of a folder that match ``file_name``."""
+def read_stream(
+    spark: SparkSession, folder: str, file_name: str, files_per_batch: int | None = None
+) -> DataFrame:
+    """Stream the Parquet files of a folder that match ``file_name``.
+
+    ``files_per_batch`` bounds a micro-batch; rows of files read later than the
+    watermark allows are then late.
+    """
     schema = spark.read.parquet(f"{folder}/{file_name}").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", file_name).parquet(folder)
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", file_name)
+    if files_per_batch:
+        stream = stream.option("maxFilesPerTrigger", files_per_batch)
+    return stream.parquet(folder)

@@ -100,6 +100,17 @@ def test_read_landed_pages(spark, tmp_path):
     assert sorted(tuple(r) for r in df.collect()) == [("1", '{"a": 1}'), ("2", None), ("3", None)]
 
 
+def test_pages_with_differing_headings(spark, tmp_path):
+    (tmp_path / "1.json").write_text('{"Unique Key": "1", " BOROUGH": "Bronx"}\n')
+    (tmp_path / "2.json").write_text('{"unique_key": "2", "borough": "Queens", "location": {"lat": 1}}\n')
+    df = pages.read_landed_pages(spark, str(tmp_path), ["unique_key", "borough", "location"], fold_names=True)
+    assert sorted(tuple(r)[:2] for r in df.collect()) == [("1", "Bronx"), ("2", "Queens")]
+    found = pages.read_landed_pages(spark, str(tmp_path))
+    assert {"Unique Key", "unique_key"} <= set(found.columns)
+    split = [spark.read.json(f"{tmp_path}/{n}.json") for n in (1, 2)]
+    assert sorted(r.unique_key for r in pages.union_pages(split).collect()) == ["1", "2"]
+
+
 def test_received_parts_need_a_creation_time(spark):
     df = spark.createDataFrame([("2024-02-03",), ("?",)], "created_date string")
     got = {(r.received_year, r.received_month) for r in pages.add_received_parts(df).collect()}

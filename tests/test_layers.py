@@ -35,6 +35,12 @@ def test_missing_layer(spark, layer):
         layers.read_layer(spark, layer)
 
 
+def test_preview_layer(spark, layer):
+    assert layers.preview_layer(spark, layer, ["k"]) is None
+    layers.overwrite_layer(frame(spark, [(k, 1, "a", 1) for k in range(9, 0, -1)]), layer)
+    assert [r.k for r in layers.preview_layer(spark, layer, ["k"], 3).collect()] == [1, 2, 3]
+
+
 def test_append_widens_schema_and_rejects_type_changes(spark, layer):
     layers.append_layer(spark.createDataFrame([(1, "a")], "k int, v string"), layer)
     layers.append_layer(spark.createDataFrame([(2, "b", 7)], "k int, v string, w int"), layer)
