@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +21,7 @@ from calltide.operators.merge import dedup_latest, upsert
 from calltide.sources.scratch import shared_dir
 from calltide.sources.slices import preview
 
-MAX_LISTED_PARTITIONS = 10_000
+MAX_LISTED_PARTITIONS = 4_000
 
 
 @dataclass(frozen=True)
@@ -151,6 +150,14 @@ def overwrite_layer(
     _publish(spark, layer, folder, df.schema, partition_by)
 
 
+def _same_types(stored: T.StructType, arriving: T.StructType) -> None:
+    """Raise when a column arrives with another type than the stored one."""
+    new = _nullable(arriving)
+    changed = [f.name for f in new.fields if f.name in stored.names and f.dataType != stored[f.name].dataType]
+    if changed:
+        raise ValueError(f"columns change type: {changed}")
+
+
 def append_layer(df: DataFrame, layer: Layer, partition_by: Sequence[str] = ()) -> None:
     """Add rows; new columns join the schema and are NULL on older rows."""
     spark = df.sparkSession
@@ -159,20 +166,25 @@ def append_layer(df: DataFrame, layer: Layer, partition_by: Sequence[str] = ())
         overwrite_layer(df, layer, partition_by)
         return
     old = T.StructType.fromJson(current["schema"])
-    new = _nullable(df.schema)
-    added = [f for f in new.fields if f.name not in old.names]
-    changed = [f.name for f in new.fields if f.name in old.names and f.dataType != old[f.name].dataType]
-    if changed:
-        raise ValueError(f"appended columns change type: {changed}")
+    _same_types(old, df.schema)
+    added = [f for f in _nullable(df.schema).fields if f.name not in old.names]
     _write(df, f"{layer.path}/{current['folder']}", current["partition_by"], "append")
     if added:
         _publish(spark, layer, current["folder"], T.StructType(old.fields + added), current["partition_by"])
 
 
 def one_of(partition_by: Sequence[str], values: list) -> Column:
-    """Literal filter on partition values, which prunes the scan when it is planned."""
-    rows = [all_of([F.col(c).eqNullSafe(F.lit(v[c])) for c in partition_by]) for v in values]
-    return reduce(lambda a, b: a | b, rows)
+    """Literal filter on partition values, which prunes the scan when it is planned.
+
+    The alternatives are halved into a balanced tree, so that thousands of
+    values stay a shallow expression.
+    """
+    if len(values) == 1:
+        return all_of([F.col(c).eqNullSafe(F.lit(values[0][c])) for c in partition_by])
+    if not values:
+        return F.lit(False)
+    middle = len(values) // 2
+    return one_of(partition_by, values[:middle]) | one_of(partition_by, values[middle:])
 
 
 @dataclass(frozen=True)
@@ -195,7 +207,7 @@ def _touched_partitions(
     """
     arriving = staged.select(*partition_by).distinct()
     values = arriving.take(MAX_LISTED_PARTITIONS + 1)
-    if not 0 < len(values) <= MAX_LISTED_PARTITIONS:
+    if len(values) > MAX_LISTED_PARTITIONS:
         return None
     if stable:
         return _Touched(values, [])
@@ -254,8 +266,9 @@ def upsert_layer(
         current = _current(spark, layer)
         if current is None:
             overwrite_layer(fresh, layer, partition_by)
-        else:
+        elif not fresh.isEmpty():
             target, columns = read_layer(spark, layer), current["partition_by"]
+            _same_types(T.StructType.fromJson(current["schema"]), fresh.schema)
             touched = None
             if in_place and columns and set(fresh.columns) == set(target.columns):
                 touched = _touched_partitions(target, fresh, keys, columns, stable_partitions)
@@ -303,7 +316,7 @@ def write_bronze(
     partitioned by month of receipt, which later loads of a key do not change.
     """
     if append_only or key not in df.columns:
-        append_layer(df, layer, ["ingestion_date"])
+        append_layer(df, layer, [c for c in ["ingestion_date"] if c in df.columns])
         return
     months = [c for c in ("received_year", "received_month") if c in df.columns]
     upsert_layer(df, layer, [key], [c for c in latest_by if c in df.columns], months)

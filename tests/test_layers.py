@@ -186,3 +186,26 @@ def test_random_upserts_equal_a_dictionary(spark, layer, seed):
         layers.upsert_layer(frame(spark, [r for rows in batch.values() for r in rows]), layer, ["k"], ["t"], ["p"])
         state.update({k: max(rows, key=lambda r: r[1]) for k, rows in batch.items()})
         assert read(spark, layer) == sorted(state.values(), key=str)
+
+
+def test_empty_and_mistyped_batches(spark, layer):
+    layers.upsert_layer(frame(spark, [(1, 1, "a", 1)]), layer, ["k"], ["t"], ["p"])
+    layers.upsert_layer(frame(spark, []), layer, ["k"], ["t"])
+    assert read(spark, layer) == [(1, 1, "a", 1)] and folders(layer) == ["data-00000001"]
+    with pytest.raises(ValueError, match="t"):
+        layers.upsert_layer(frame(spark, [(1, 1, "a", 1)]).withColumn("t", F.lit("x")), layer, ["k"])
+
+
+def test_too_many_partitions_fall_back_to_a_rewrite(spark, layer, monkeypatch):
+    base = [(k, 1, "old", k) for k in range(6)]
+    layers.upsert_layer(frame(spark, base), layer, ["k"], ["t"], ["p"])
+    monkeypatch.setattr(layers, "MAX_LISTED_PARTITIONS", 3)
+    layers.upsert_layer(frame(spark, [(k, 2, "new", k + 1) for k in range(5)]), layer, ["k"], ["t"])
+    assert read(spark, layer) == sorted([(k, 2, "new", k + 1) for k in range(5)] + base[5:], key=str)
+    assert len(folders(layer)) == 2
+
+
+def test_many_partition_values_stay_a_shallow_filter(spark):
+    df = spark.range(3000).withColumn("q", F.col("id") % 2)
+    wanted = [{"id": i, "q": i % 2} for i in range(2000)]
+    assert df.filter(layers.one_of(["id", "q"], wanted)).count() == 2000
