@@ -117,11 +117,17 @@ def solve_series(trend: np.ndarray, season: np.ndarray, y: np.ndarray, params: d
 
 
 def _with_features(points: DataFrame, groups: Sequence[str], held_days: int = 0) -> DataFrame:
-    """Add training span and features; the window shares the grouping's partitioning."""
+    """Add training span and features; the window shares the grouping's partitioning.
+
+    The series are spread over a fixed number of partitions: their rows are few
+    and their fits are not, so adaptive execution must not merge them by size.
+    """
     series = Window.partitionBy(*groups)
+    known = points.filter(F.col("y").isNotNull())
+    if groups:
+        known = known.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), *groups)
     return (
-        points.filter(F.col("y").isNotNull())
-        .withColumn("y", F.col("y").cast("double"))
+        known.withColumn("y", F.col("y").cast("double"))
         .withColumns(
             {"first_ds": F.min("ds").over(series), "last_ds": F.date_sub(F.max("ds").over(series), held_days)}
         )
