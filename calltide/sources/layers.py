@@ -150,12 +150,19 @@ def overwrite_layer(
     _publish(spark, layer, folder, df.schema, partition_by)
 
 
-def _same_types(stored: T.StructType, arriving: T.StructType) -> None:
-    """Raise when a column arrives with another type than the stored one."""
-    new = _nullable(arriving)
-    changed = [f.name for f in new.fields if f.name in stored.names and f.dataType != stored[f.name].dataType]
+def _widen(spark: SparkSession, layer: Layer, current: dict, arriving: T.StructType) -> None:
+    """Publish new columns of arriving rows; files written before give NULL for them.
+
+    Raises when a column arrives with another type than the stored one.
+    """
+    stored = T.StructType.fromJson(current["schema"])
+    fields = _nullable(arriving).fields
+    changed = [f.name for f in fields if f.name in stored.names and f.dataType != stored[f.name].dataType]
     if changed:
         raise ValueError(f"columns change type: {changed}")
+    added = [f for f in fields if f.name not in stored.names]
+    if added:
+        _publish(spark, layer, current["folder"], T.StructType(stored.fields + added), current["partition_by"])
 
 
 def append_layer(df: DataFrame, layer: Layer, partition_by: Sequence[str] = ()) -> None:
@@ -165,12 +172,8 @@ def append_layer(df: DataFrame, layer: Layer, partition_by: Sequence[str] = ())
     if current is None:
         overwrite_layer(df, layer, partition_by)
         return
-    old = T.StructType.fromJson(current["schema"])
-    _same_types(old, df.schema)
-    added = [f for f in _nullable(df.schema).fields if f.name not in old.names]
+    _widen(spark, layer, current, df.schema)
     _write(df, f"{layer.path}/{current['folder']}", current["partition_by"], "append")
-    if added:
-        _publish(spark, layer, current["folder"], T.StructType(old.fields + added), current["partition_by"])
 
 
 def one_of(partition_by: Sequence[str], values: list) -> Column:
@@ -267,8 +270,8 @@ def upsert_layer(
         if current is None:
             overwrite_layer(fresh, layer, partition_by)
         elif not fresh.isEmpty():
+            _widen(spark, layer, current, fresh.schema)
             target, columns = read_layer(spark, layer), current["partition_by"]
-            _same_types(T.StructType.fromJson(current["schema"]), fresh.schema)
             touched = None
             if in_place and columns and set(fresh.columns) == set(target.columns):
                 touched = _touched_partitions(target, fresh, keys, columns, stable_partitions)

@@ -119,6 +119,9 @@ def test_upsert_with_new_column(spark, layer):
     layers.upsert_layer(frame(spark, [(1, 1, "a", 1)]), layer, ["k"], ["t"], ["p"])
     layers.upsert_layer(frame(spark, [(2, 1, "b", 1)]).withColumn("w", F.lit(5)), layer, ["k"], ["t"])
     assert sorted((r.k, r.w) for r in layers.read_layer(spark, layer).collect()) == [(1, None), (2, 5)]
+    assert folders(layer) == ["data-00000001"]
+    with pytest.raises(ValueError, match="w"):
+        layers.upsert_layer(frame(spark, [(3, 1, "c", 1)]), layer, ["k"], ["t"])
 
 
 def test_failed_check_leaves_the_layer_alone(spark, layer):
