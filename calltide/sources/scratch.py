@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,13 +10,6 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path below the cluster's checkpoint folder.
-
-    Only a local session without the setting falls back to a temporary folder.
-    """
-    base = spark.conf.get(_SETTING, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="calltide-")
+    """A fresh path below the cluster's checkpoint folder, else below the warehouse, which a cluster shares as well."""
+    base = spark.conf.get(_SETTING, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
