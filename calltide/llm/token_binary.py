@@ -7,10 +7,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from calltide.llm.common import fresh, prefix_sums, tasks, text_chunks
+from calltide.llm.common import tasks, text_chunks
 from calltide.llm.tokens import word_encoder
 
 SHARD_IDS = 1 << 20  # a shard is closed by the document that reaches this many ids
@@ -79,7 +79,7 @@ def _shards(batches: Iterator[pa.RecordBatch], encoder_path: str, end_id: int, l
     part = TaskContext.get().partitionId()
     ids: list[bytes] = []
     docs: list[int | None] = []
-    size, seq = 0, 0
+    size, seq, before = 0, 0, 0
 
     def shard() -> pa.RecordBatch:
         lengths = np.array([len(x) // 4 for x in ids], np.int64)
@@ -87,7 +87,7 @@ def _shards(batches: Iterator[pa.RecordBatch], encoder_path: str, end_id: int, l
         flat = np.frombuffer(b"".join(ids), "<u4")
         width = 2 if flat.max() < 1 << 16 else 4
         row = {
-            "part": part, "seq": seq, "n_ids": len(flat), "doc_ids": docs, "width": width,
+            "part": part, "seq": seq, "before": before, "n_ids": len(flat), "doc_ids": docs, "width": width,
             "ids": flat.astype(f"<u{width}").tobytes(), "ef_n": ends.n, "ef_low_bits": ends.low_bits,
             "ef_low": ends.low.tobytes(), "ef_high": ends.high.tobytes(), "ef_samples": ends.samples.tobytes(),
         }
@@ -100,13 +100,13 @@ def _shards(batches: Iterator[pa.RecordBatch], encoder_path: str, end_id: int, l
             size += len(ids[-1]) // 4
             if size >= limit:
                 yield shard()
-                ids, docs, size, seq = [], [], 0, seq + 1
+                ids, docs, size, seq, before = [], [], 0, seq + 1, before + size
     if ids:
         yield shard()
 
 
 SHARD_SCHEMA = (
-    "part int, seq int, n_ids long, doc_ids array<long>, width int, ids binary, ef_n int, ef_low_bits int, ef_low binary,"
+    "part int, seq int, before long, n_ids long, doc_ids array<long>, width int, ids binary, ef_n int, ef_low_bits int, ef_low binary,"
     " ef_high binary, ef_samples binary"
 )
 
@@ -139,8 +139,17 @@ def write_token_files(
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """Shards with ``base``: the number of ids in all shards before."""
-    return prefix_sums(spark.read.schema(SHARD_SCHEMA).parquet(path), "part", "seq", "n_ids", "base")
+    """Shards with ``base``: the number of ids in all shards before.
+
+    Shards know what precedes them in their range; the sums of the ranges, one row each, are added up in one task and sent
+    to all. There are as many ranges as partitions were asked for, so that table is bounded.
+    """
+    shards = spark.read.schema(SHARD_SCHEMA).parquet(path)
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = shards.groupBy("part").agg(F.sum("n_ids").alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start")
+    )
+    return shards.join(F.broadcast(ranges), "part").withColumn("base", F.col("start") + F.col("before")).drop("start")
 
 
 def document_index(shards: DataFrame) -> DataFrame:
