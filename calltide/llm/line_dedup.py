@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from calltide.llm.common import with_row_id
+from calltide.llm.common import staged, with_row_id
 
 WINDOW = 3
 
@@ -25,7 +25,7 @@ def dedup_lines(
     judged on the input. ``kept`` is the rest, joined by line feeds; it is empty if all lines go. NULL texts have no lines
     and stay NULL, texts of fewer lines than the window stay as they are. NULL ids come first; rows that agree in
     everything are interchangeable. Windows are counted before they are joined back, and a frequent one is split by
-    adaptive execution. With ``row_col`` the result has that column as well.
+    adaptive execution, which needs the counts as a table of their own. With ``row_col`` the result has that column as well.
     """
     given = [F.col(row_col).alias("__given")] if row_col else []
     rows = with_row_id(
@@ -40,11 +40,12 @@ def dedup_lines(
         ).alias("line", "key"))
         .select("doc_id", "__row", "line", "key.x", "key.y")
     )
-    repeated = (
+    repeated = staged(
         windows.groupBy("x", "y")
         .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "__row", "line")).alias("first"))
         .where("n > 1")
-        .select(F.col("x").alias("rx"), F.col("y").alias("ry"), F.col("first.__row").alias("row"), F.col("first.line").alias("at"))
+        .select(F.col("x").alias("rx"), F.col("y").alias("ry"), F.col("first.__row").alias("row"), F.col("first.line").alias("at")),
+        "windows",
     )
     later = (
         windows.join(repeated, (F.col("x") == F.col("rx")) & (F.col("y") == F.col("ry")))
