@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from calltide.llm import line_dedup, mixing, token_binary
+from calltide.llm import (
+    crf, decontaminate, langid, line_dedup, mixing, ngram_join, quality, suffix_dedup, token_binary, token_counts,
+)
 from calltide.sources.scratch import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +72,77 @@ def op6_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "token-files")
     token_binary.write_token_files(table(spark, sf_dir, "documents"), path, vocabulary())
     return token_binary.document_index(token_binary.read_token_files(spark, path))
+
+
+def chain(spark: SparkSession, sf_dir: str) -> crf.Chain:
+    """The line model, fitted to the labelled documents outside the held-out fold."""
+    return crf.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, end_id = shared_dir(spark, "flat-tokens"), 49_408  # one above the vocabulary
+    token_counts.write_flat(table(spark, sf_dir, "documents"), path, vocabulary(), end_id)
+    blocks = spark.read.schema(token_counts.BLOCK_SCHEMA).parquet(path)
+    return token_counts.scan(blocks, end_id).select("doc_id", "n_tokens")
+
+
+@query()
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.quality_rules(docs, chain(spark, sf_dir))
+
+
+@query()
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", (F.size("matches") > 0).alias("contaminated"), F.get("matches", F.lit(0))["item_id"].alias("item_id"),
+        F.get("matches", F.lit(0))["coverage"].alias("coverage"), F.size("matches").alias("n_items"),
+        (F.size("matches") == 0).alias("kept"),
+    )
+
+
+@query(
+    r"""
+WITH RECURSIVE t AS (
+  SELECT text, min(doc_id) AS rep, count(*) AS n_copies,
+    regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM documents WHERE text IS NOT NULL GROUP BY text),
+s AS (SELECT DISTINCT rep, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT rep, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM t WHERE len(w) > 0)),
+n AS (SELECT rep, count(*) AS n FROM s GROUP BY rep),
+p AS (SELECT a.rep AS a, b.rep AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.rep <> b.rep GROUP BY ALL),
+e AS (SELECT p.a, p.b FROM p JOIN n x ON x.rep = p.a JOIN n y ON y.rep = p.b
+  WHERE shared >= 0.8 * (x.n + y.n - shared) - 1e-9),
+r(a, b) AS (SELECT rep, rep FROM t UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a AS rep, min(b) AS class_id FROM r GROUP BY a),
+l AS (SELECT a AS rep, count(*) AS n_links FROM e GROUP BY a)
+SELECT d.doc_id, coalesce(class_id, d.doc_id) AS class_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links,
+  CAST(coalesce(n_copies, 1) AS BIGINT) AS n_copies
+FROM documents d LEFT JOIN t USING (text) LEFT JOIN c USING (rep) LEFT JOIN l USING (rep)
+"""
+)
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_join(table(spark, sf_dir, "documents")).drop("is_first")
+
+
+@query()
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents"), kept="sha256")
+    return found.withColumn("kept_sha256", F.lower(F.hex("kept"))).drop("kept")
+
+
+@query()
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    filters = langid.learn(docs.where(~crf.held_out(F.col("doc_id"))))
+    found = langid.identify(docs.select("doc_id", "text"), filters)
+    return found.select("doc_id", crf.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality.quality_score(docs, chain(spark, sf_dir))
+    return found.select("doc_id", crf.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
