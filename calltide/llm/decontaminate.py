@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from calltide.llm.common import staged, text_chunks
 
 MIN_MATCH = 4  # tokens of the shortest tile, and of a seed
-MIN_COVERAGE = 0.6
+MIN_COVERAGE = 0.5
 BLOCK_CHARS = 8_000_000  # benchmark text that is compared in one pass over the documents
 START = 32  # first search length
 _BASE, _MOD = 1_000_003, (1 << 61) - 1
