@@ -8,6 +8,7 @@ bytes lies within segments of equal anchors. Only anchors that occur with differ
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -20,10 +21,11 @@ from calltide.llm.common import staged, tasks, text_chunks
 from calltide.llm.run_index import RunIndex
 
 LENGTH, PIECE = 100, 32
-CHUNK = 1_000_000  # characters handled at once
+CHUNK = 1_000_000  # bytes handled at once
 CUT = 4_000_000  # longer documents are searched in parts of so many bytes
 HELD = 300_000  # segments a task gathers before it sends them on
-GROUP = 16  # different segments of an anchor that are compared through an index; more are compared window by window
+GROUP = 16  # different segments of an anchor that are compared through an index
+LARGE = 20_000  # more of them are compared string by string in one task, and beyond this number by counts over all tasks
 INDEX_BYTES = 1_000_000  # text of one index
 _PLACE = np.uint64((1 << 28) - 1)
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
@@ -32,6 +34,14 @@ _NO_ID = np.iinfo(np.int64).min  # NULL ids come first
 _FIELDS = (("a", "<u8"), ("x", "<u8"), ("id", "<i8"), ("row", "<i8"), ("p", "<i8"), ("back", "u1"), ("size", "u1"))
 
 
+def _compress(raw: bytes) -> bytes:
+    return pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
+
+
+def _decompress(packed: bytes, size: int) -> bytes:
+    return pa.decompress(packed, size, codec="zstd", asbytes=True)
+
+
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(30))
     h = h * np.uint64(0xBF58476D1CE4E5B9)
@@ -84,27 +94,52 @@ def segments(parts: list[bytes]) -> dict[str, np.ndarray]:
     return {"part": part, "a": h[p], "x": _mixed(x), "p": p - base, "start": start - base, "size": stop - start}
 
 
-def _pieces(texts: list[str | None]) -> Iterator[tuple[int, int, bytes]]:
+def _texts(batches: Iterator[pa.RecordBatch], limit: int = CHUNK) -> Iterator[tuple[list[tuple], list[bytes]]]:
+    """Rows of the stored texts without their last two columns, size and packed bytes, and the bytes, a bounded part at a time."""
+    rows, raws, held = [], [], 0
+    for batch in batches:
+        for *row, size, packed in zip(*(c.to_pylist() for c in batch.columns)):
+            rows.append(tuple(row))
+            raws.append(_decompress(packed, size) if size else b"")
+            held += size
+            if held >= limit:
+                yield rows, raws
+                rows, raws, held = [], [], 0
+    if rows:
+        yield rows, raws
+
+
+def _pieces(texts: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
     """Parts of the documents as (document, offset, bytes); parts overlap by what a window needs."""
-    for i, t in enumerate(texts):
-        raw = (t or "").encode("utf-8", "surrogatepass")
+    for i, raw in enumerate(texts):
         for at in range(0, max(1, len(raw) - LENGTH + 1), CUT):
             if len(raw) - at >= LENGTH:
                 yield i, at, raw[at : at + CUT + LENGTH - 1]
 
 
 def _pack(columns: dict[str, np.ndarray], pick: np.ndarray) -> bytes:
-    return b"".join(columns[name][pick].astype(kind).tobytes() for name, kind in _FIELDS)
+    """Columns of some segments, those in order as differences, by byte plane and compressed."""
+    parts = []
+    for name, kind in _FIELDS:
+        v = columns[name][pick].astype(kind)
+        if name in ("id", "row", "p"):
+            v = np.diff(v, prepend=v.dtype.type(0))
+        parts.append(np.ascontiguousarray(v.view(np.uint8).reshape(len(v), -1).T).tobytes())
+    raw = b"".join(parts)
+    return len(raw).to_bytes(8, "little") + _compress(raw)
 
 
 def _unpack(payloads: list[bytes]) -> dict[str, np.ndarray]:
     width = sum(np.dtype(kind).itemsize for _, kind in _FIELDS)
     out = {name: [] for name, _ in _FIELDS}
-    for raw in payloads:
+    for packed in payloads:
+        raw = _decompress(packed[8:], int.from_bytes(packed[:8], "little"))
         n, at = len(raw) // width, 0
         for name, kind in _FIELDS:
-            out[name].append(np.frombuffer(raw, kind, n, at))
-            at += n * np.dtype(kind).itemsize
+            size = np.dtype(kind).itemsize
+            v = np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T).view(kind).ravel()
+            out[name].append(np.cumsum(v, dtype=kind) if name in ("id", "row", "p") else v)
+            at += n * size
     return {name: np.concatenate(v) if v else np.zeros(0, kind) for (name, kind), v in zip(_FIELDS, out.values())}
 
 
@@ -141,6 +176,7 @@ def _send(batches: Iterator[pa.RecordBatch], buckets: int):
         order = np.lexsort((c["x"], c["a"]))
         a, x = c["a"][order], c["x"][order]
         first = order[np.concatenate([[True], (a[1:] != a[:-1]) | (x[1:] != x[:-1])])]
+        first.sort()
         again = np.ones(len(a), bool)
         again[first] = False
         bucket = (c["a"] % np.uint64(buckets)).astype(np.int64)
@@ -173,9 +209,9 @@ def _send(batches: Iterator[pa.RecordBatch], buckets: int):
         )
         size += len(doc)
 
-    for part, texts in text_chunks(batches, "text", CHUNK):
-        ids = np.array([_NO_ID if v is None else v for v in part.column(1).to_pylist()], np.int64)
-        row_ids = np.array(part.column(0).to_pylist(), np.int64)
+    for keys, texts in _texts(batches):
+        ids = np.array([_NO_ID if doc is None else doc for _, doc in keys], np.int64)
+        row_ids = np.array([row for row, _ in keys], np.int64)
         parts, n = [], 0
         for piece in _pieces(texts):
             parts.append(piece)
@@ -247,21 +283,6 @@ def _without(raw: bytes, spans: list[list[int]]) -> bytes:
     return b"".join(kept)
 
 
-def _result(raw: bytes, spans: list[list[int]], whole: bool) -> dict:
-    left = _without(raw, spans)
-    return {
-        "n_bytes": len(raw), "n_removed": sum(b - a for a, b in spans), "n_spans": len(spans),
-        "kept": left if whole else hashlib.sha256(left).digest(),
-    }
-
-
-_SPAN = "array<struct<since: bigint, until: bigint>>"
-_FIRST = (
-    "row long, doc_id long, given long, n_bytes long, n_removed long, n_spans long, kept binary, text string,"
-    f" spans {_SPAN}, compare array<struct<a: bigint, rank: int, n: int, since: bigint, bytes: binary>>"
-)
-
-
 def _compare_groups(rows: list[tuple]) -> list[tuple[int, int, int]]:
     """Spans (row, since, until) of segments that earlier segments of the same anchor cover.
 
@@ -297,55 +318,113 @@ def _compare_groups(rows: list[tuple]) -> list[tuple[int, int, int]]:
     return out
 
 
-def _small(batches: Iterator[pa.RecordBatch]):
+def _hashed_windows(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Two hashes of each 100-byte string of the segments, the segment it is from and its place there."""
+    h = piece_hashes(np.frombuffer(b"".join(raws), np.uint8))
+    sizes = np.array([len(r) for r in raws], np.int64)
+    counts = sizes - LENGTH + 1
+    k = np.repeat(np.arange(len(raws)), counts)
+    own = np.arange(len(k)) - np.repeat(np.cumsum(counts) - counts, counts)
+    i = own + (np.cumsum(sizes) - sizes)[k]
+    w = [np.zeros(len(i), np.uint64), np.ones(len(i), np.uint64)]
+    for n in range(2):
+        for at, odd in zip((0, 32, 64, LENGTH - PIECE), _ODD):
+            w[n] = _mixed(w[n] + np.uint64(n)) + h[i + at] * odd
+    return w[0], w[1], k, own
+
+
+def _compare_windows(rows: list[tuple]) -> list[tuple[int, int, int]]:
+    """The same for one anchor, string by string."""
+    w1, w2, k, own = _hashed_windows([r[4] for r in rows])
+    order = np.lexsort((w2, w1))
+    a, b = w1[order], w2[order]
+    again = order[np.concatenate([[False], (a[1:] == a[:-1]) & (b[1:] == b[:-1])])]
+    again.sort()
+    if not len(again):
+        return []
+    since = np.array([r[3] for r in rows], np.int64)[k[again]] + own[again]
+    new = np.concatenate([[True], (k[again][1:] != k[again][:-1]) | (since[1:] != since[:-1] + 1)])
+    first = np.flatnonzero(new)
+    last = np.concatenate([first[1:] - 1, [len(again) - 1]])
+    return [(rows[k[again[f]]][2], int(since[f]), int(since[t]) + LENGTH) for f, t in zip(first, last)]
+
+
+def _near(batches: Iterator[pa.RecordBatch]):
+    """Spans from segments that come by anchor, in order."""
     held: list[tuple] = []
+    group: list[tuple] = []
     size = 0
 
-    def flush():
-        got = _compare_groups(held)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([g[i] for g in got], pa.int64()) for i in range(3)], names=["row", "since", "until"]
-        )
+    def spans(got):
+        return pa.RecordBatch.from_arrays([pa.array([g[i] for g in got], pa.int64()) for i in range(3)], names=["row", "since", "until"])
+
+    def close():
+        nonlocal held, group, size
+        if len(group) > GROUP:
+            yield spans(_compare_windows(group))
+        else:
+            held += group
+            size += sum(len(r[4]) for r in group)
+            if size >= INDEX_BYTES:
+                yield spans(_compare_groups(held))
+                held, size = [], 0
+        group = []
 
     for batch in batches:
         for r in zip(*(batch.column(i).to_pylist() for i in range(5))):
-            if size >= INDEX_BYTES and r[0] != held[-1][0]:
-                yield flush()
-                held, size = [], 0
-            held.append(r)
-            size += len(r[4])
+            if group and r[0] != group[-1][0]:
+                yield from close()
+            group.append(r)
+    if group:
+        yield from close()
     if held:
-        yield flush()
+        yield spans(_compare_groups(held))
 
 
 def _windows(batches: Iterator[pa.RecordBatch]):
-    """Two hashes of each 100-byte string of the segments, with its place."""
     for batch in batches:
         for at in range(0, batch.num_rows, 2048):
-            some = batch.slice(at, 2048)
-            ids, rows, since, raws = (some.column(i).to_pylist() for i in range(4))
-            if not raws:
-                continue
-            h = piece_hashes(np.frombuffer(b"".join(raws), np.uint8))
-            counts = np.array([len(r) - LENGTH + 1 for r in raws], np.int64)
-            sizes = np.array([len(r) for r in raws], np.int64)
-            k = np.repeat(np.arange(len(raws)), counts)
-            own = np.arange(len(k)) - np.repeat(np.cumsum(counts) - counts, counts)
-            i = own + (np.cumsum(sizes) - sizes)[k]
-            quarters = [h[i + o] for o in (0, 32, 64, LENGTH - PIECE)]
-            w = [np.zeros(len(i), np.uint64), np.ones(len(i), np.uint64)]
-            for n in range(2):
-                for q, odd in zip(quarters, _ODD):
-                    w[n] = _mixed(w[n] + np.uint64(n)) + q * odd
+            ids, rows, since, raws = (batch.slice(at, 2048).column(i).to_pylist() for i in range(4))
+            w1, w2, k, own = _hashed_windows(raws)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(w[0].view(np.int64)), pa.array(w[1].view(np.int64)), pa.array(np.array(ids, np.int64)[k]),
+                    pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), pa.array(np.array(ids, np.int64)[k]),
                     pa.array(np.array(rows, np.int64)[k]), pa.array(np.array(since, np.int64)[k] + own),
                 ],
                 names=["w1", "w2", "id", "row", "since"],
             )
 
 
+def _cut(batches: Iterator[pa.RecordBatch]):
+    """The bytes of the segments that have to be compared."""
+    names = ["a", "rank", "n", "id", "row", "since"]
+    for keys, texts in _texts(batches):
+        out = [
+            (m["a"], m["rank"], m["n"], m["id"], row, m["since"], raw[m["since"] : m["until"]])
+            for (row, marks), raw in zip(keys, texts) for m in marks
+        ]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=[*names, "bytes"]
+        )
+
+
+def _stored(rows: DataFrame, n: int) -> DataFrame:
+    """A table of the packed texts in buckets by row: what is joined to it by row comes to it, the texts don't move again."""
+
+    def pack(batches):
+        for part, texts in text_chunks(batches, "text", CHUNK):
+            raws = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+            packed = pa.array([_compress(r) if r else b"" for r in raws], pa.binary())
+            sizes = pa.array([len(r) for r in raws], pa.int64())
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], sizes, packed], names=["row", "doc_id", "given", "size", "packed"])
+
+    name = f"texts_{uuid.uuid4().hex}"
+    packed = rows.mapInArrow(pack, "row long, doc_id long, given long, size long, packed binary")
+    packed.repartition(n, "row").write.bucketBy(n, "row").format("parquet").saveAsTable(name)
+    return rows.sparkSession.table(name)
+
+
 def dedup_substrings(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kept: str = "bytes", row_col: str | None = None
 ) -> DataFrame:
@@ -357,8 +436,8 @@ def dedup_substrings(
 
     Segments are sent to tasks by anchor as packed arrays; of equal segments a task sends one. Where they meet, segments
     equal to an earlier one are marked whole. Those that differ under one anchor are compared by their bytes: up to ``GROUP``
-    of them through run-length compressed indexes whose matching statistics mark long matches, more (an anchor in very many
-    contexts) string by string, counted with partial sums, so no anchor needs one task.
+    of them through run-length compressed indexes whose matching statistics mark long matches, more (an anchor in many
+    contexts) string by string, beyond ``LARGE`` by counts with partial sums, so no anchor needs one task.
     """
     if kept not in ("bytes", "sha256"):
         raise ValueError(kept)
@@ -367,51 +446,26 @@ def dedup_substrings(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), given.alias("given"),
         F.col(text_col).cast("string").alias("text"),
     )
-    texts = staged(rows, "texts")
     n = tasks(docs)
-    sent = texts.where("octet_length(text) >= 100").select("row", "doc_id", "text").mapInArrow(
+    texts = _stored(rows, n)
+    sent = texts.where(F.col("size") >= LENGTH).select("row", "doc_id", "size", "packed").mapInArrow(
         lambda b: _send(b, n), "bucket int, segments binary, again binary"
     )
-    marks = sent.repartition(n, "bucket").mapInArrow(_meet, _MARKS)
-    by_row = marks.groupBy(F.col("row").alias("r")).agg(
+    marks = staged(sent.repartition(n, "bucket").mapInArrow(_meet, _MARKS), "marks")
+    contested = marks.where("a is not null").groupBy(F.col("row").alias("r")).agg(
         F.collect_list(F.struct("since", "until", "id", "a", "rank", "n")).alias("marks")
     )
-    whole = kept == "bytes"
-
-    def first(batches):
-        for part, own in text_chunks(batches, "text", CHUNK):
-            out = []
-            for row, doc, gave, marks_, text in zip(*(part.column(i).to_pylist() for i in (0, 1, 2, 3)), own):
-                raw = (text or "").encode("utf-8", "surrogatepass")
-                marks_ = marks_ or []
-                spans = merged([(m["since"], m["until"]) for m in marks_ if m["a"] is None])
-                compare = [
-                    {"a": m["a"], "rank": m["rank"], "n": m["n"], "since": m["since"], "bytes": raw[m["since"] : m["until"]]}
-                    for m in marks_ if m["a"] is not None
-                ]
-                made = {"row": row, "doc_id": doc, "given": gave}
-                if compare:
-                    made |= {"text": text, "spans": [{"since": a, "until": b} for a, b in spans], "compare": compare}
-                else:
-                    made |= _result(raw, spans, whole)
-                out.append(made)
-            yield pa.RecordBatch.from_pylist(out, schema=arrow)
-
-    arrow = _arrow(_FIRST)
-    judged = staged(
-        texts.join(by_row, F.col("row") == F.col("r"), "left").select("row", "doc_id", "given", "marks", "text").mapInArrow(first, _FIRST),
-        "judged",
-    )
-    open_rows = judged.where("compare is not null")
-    compare = open_rows.select("row", F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), F.explode("compare").alias("c"))
-    small = (
-        compare.where(F.col("c.n") <= GROUP)
-        .select(F.col("c.a").alias("a"), F.col("c.rank").alias("rank"), "row", F.col("c.since").alias("since"), F.col("c.bytes").alias("bytes"))
-        .repartition(n, "a")
-        .sortWithinPartitions("a", "rank")
-        .mapInArrow(_small, "row long, since long, until long")
-    )
-    windows = compare.where(F.col("c.n") > GROUP).select("id", "row", "c.since", "c.bytes").mapInArrow(
+    compare = staged(
+        texts.join(contested, F.col("row") == F.col("r")).select("row", "marks", "size", "packed")
+        .mapInArrow(_cut, "a long, rank int, n int, id long, row long, since long, bytes binary"),
+        "segments",
+    )
+    near = (
+        compare.where(F.col("n") <= LARGE).select("a", "rank", "row", "since", "bytes")
+        .repartition(n, "a").sortWithinPartitions("a", "rank")
+        .mapInArrow(_near, "row long, since long, until long")
+    )
+    windows = compare.where(F.col("n") > LARGE).select("id", "row", "since", "bytes").mapInArrow(
         _windows, "w1 long, w2 long, id long, row long, since long"
     )
     repeated = staged(
@@ -419,32 +473,25 @@ def dedup_substrings(
         .where("times > 1").select(F.col("w1").alias("r1"), F.col("w2").alias("r2"), "first"),
         "windows",
     )
-    large = windows.join(repeated, (F.col("w1") == F.col("r1")) & (F.col("w2") == F.col("r2"))).where(
+    far = windows.join(repeated, (F.col("w1") == F.col("r1")) & (F.col("w2") == F.col("r2"))).where(
         (F.col("row") != F.col("first.row")) | (F.col("since") != F.col("first.since"))
     ).select("row", "since", (F.col("since") + LENGTH).alias("until"))
-    more = small.unionByName(large).groupBy(F.col("row").alias("r")).agg(F.collect_list(F.struct("since", "until")).alias("more"))
+    spans = marks.where("a is null").select("row", "since", "until").unionByName(near).unionByName(far)
+    by_row = spans.groupBy(F.col("row").alias("r")).agg(F.collect_list(F.struct("since", "until")).alias("spans"))
+    whole = kept == "bytes"
 
     def last(batches):
-        for part, own in text_chunks(batches, "text", CHUNK):
+        names = ["doc_id", "given", "n_bytes", "n_removed", "n_spans", "kept"]
+        for keys, raws in _texts(batches):
             out = []
-            for row, doc, gave, spans, extra, text in zip(*(part.column(i).to_pylist() for i in range(5)), own):
-                raw = text.encode("utf-8", "surrogatepass")
-                both = merged([(s["since"], s["until"]) for s in [*spans, *(extra or [])]])
-                out.append({"row": row, "doc_id": doc, "given": gave} | _result(raw, both, whole))
-            yield pa.RecordBatch.from_pylist(out, schema=result)
-
-    final = "row long, doc_id long, given long, n_bytes long, n_removed long, n_spans long, kept binary"
-    result = _arrow(final)
-    finished = open_rows.select("row", "doc_id", "given", "spans", "text").join(more, F.col("row") == F.col("r"), "left").select(
-        "row", "doc_id", "given", "spans", "more", "text"
-    ).mapInArrow(last, final)
-    names = [c.split()[0] for c in final.split(", ")]
-    out = judged.where("compare is null").select(*names).unionByName(finished)
+            for (doc, gave, found), raw in zip(keys, raws):
+                own = merged([(s["since"], s["until"]) for s in found or []])
+                left = _without(raw, own)
+                out.append((doc, gave, len(raw), sum(b - a for a, b in own), len(own), left if whole else hashlib.sha256(left).digest()))
+            kinds = [pa.int64()] * 5 + [pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=names)
+
+    out = texts.join(by_row, F.col("row") == F.col("r"), "left").select("doc_id", "given", "spans", "size", "packed").mapInArrow(
+        last, "doc_id long, given long, n_bytes long, n_removed long, n_spans long, kept binary"
+    )
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept", *([F.col("given").alias(row_col)] if row_col else []))
-
-
-def _arrow(ddl: str) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    return to_arrow_schema(StructType.fromDDL(ddl))
