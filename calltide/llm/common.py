@@ -6,13 +6,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from calltide.sources.scratch import shared_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
-CHUNK_CHARS = 2_000_000  # text handled at once inside a task
+CHUNK_BYTES = 500_000  # text handled at once inside a task
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -45,19 +46,18 @@ def keyed_hash(*columns: Column, seed: int = 0) -> Column:
 
 
 def text_chunks(
-    batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_CHARS
+    batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
     """Slices of the batches with a bounded amount of text (or a single row), and their texts."""
     for batch in batches:
-        texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-        at, held = 0, 0
-        for i, t in enumerate(texts):
-            held += len(t or "")
-            if held >= limit:
-                yield batch.slice(at, i + 1 - at), texts[at : i + 1]
-                at, held = i + 1, 0
-        if at < len(texts):
-            yield batch.slice(at), texts[at:]
+        column = batch.column(batch.schema.get_field_index(text))
+        upto = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            held = upto[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(upto, held + limit, side="right")))
+            yield batch.slice(at, end - at), column.slice(at, end - at).to_pylist()
+            at = end
 
 
 def map_texts(
@@ -75,12 +75,12 @@ def map_texts(
     def run(batches):
         for part, texts in text_chunks(batches, text):
             made = fn(texts)
-            columns = [part.column(part.schema.get_field_index(c)).cast(arrow.field(c).type) for c in keep]
+            columns = [part.column(part.schema.get_field_index(c)) for c in keep]
             for f in new:
                 v = made[f.name]
                 kind = arrow.field(f.name).type
                 columns.append(v if isinstance(v, pa.Array) else pa.array(v, type=kind))
-            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+            yield pa.RecordBatch.from_arrays(columns, names=arrow.names)
 
     return df.mapInArrow(run, out)
 

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from calltide.llm.common import components, staged, text_chunks
 from calltide.llm.quality import words_of
@@ -21,7 +22,7 @@ HASHES = ROWS * BANDS
 STEP = 28  # MinHash values compared at once
 TOLERANCE = 1e-6  # a pair is dropped when it reaches the threshold with less than this posterior probability
 LINKING = 0.4  # agreement of MinHash values below which a band in common doesn't put texts into one component
-BLOCK = 256  # texts of a component on one side of a tile, on average
+BLOCK = 128  # texts of a component on one side of a tile, on average
 _ODD = 0x9E3779B97F4A7C15
 
 
@@ -174,8 +175,8 @@ def _signed(docs: DataFrame, label: str) -> DataFrame:
                 names=[*part.schema.names, "n", "sig", "bands"],
             )
 
-    kinds = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
-    return staged(rows.mapInArrow(run, f"{kinds}, n int, sig binary, bands array<long>"), label)
+    more = StructType.fromDDL("n int, sig binary, bands array<long>")
+    return staged(rows.mapInArrow(run, StructType([*rows.schema, *more])), label)
 
 
 def _agree(edges: DataFrame) -> DataFrame:
@@ -283,7 +284,8 @@ def jaccard_join(
     text of fewer words is one window, one without words has no links. Equal texts are handled once. ``n_links`` counts the
     different texts a text is linked to, ``n_copies`` the rows with the same text, the row itself included. A class is
     what links and copies connect, and is named by its smallest doc_id; ``is_first`` holds for one row of it, the one with
-    that id. A NULL text is a class of its own. NULL ids rank last. With ``row_col`` the result has that column as well.
+    that id. A NULL text is a class of its own. NULL ids rank last. With ``row_col``, of any type, the result has
+    that column as well.
 
     Texts that share a band of MinHash values are put into components by one edge to the first text of the band, so a band
     of many texts gives few rows. Inside a component, blocks of texts of like size meet as tiles: pairs compare MinHash
