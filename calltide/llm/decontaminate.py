@@ -191,8 +191,8 @@ def decontaminate(
                     )
                     for o, t in zip(old, texts)
                 ]
-                columns = [part.column(part.schema.get_field_index(c)).cast(arrow.field(c).type) for c in names]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(new, arrow.field(out).type)], schema=arrow)
+                columns = [part.column(part.schema.get_field_index(c)) for c in names]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(new, arrow.field(out).type)], names=arrow.names)
 
         return df.mapInArrow(run, schema)
 

@@ -1,4 +1,4 @@
-"""A corpus from documents to token files, in stages."""
+"""A corpus from documents to token files, in five stages."""
 
 from __future__ import annotations
 
@@ -10,6 +10,9 @@ from calltide.llm import stages
 from calltide.sources.scratch import shared_dir
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality rules", stages.quality_rules),
+    ("n-gram Jaccard join", stages.near_duplicates),
+    ("benchmark decontamination", stages.decontaminated),
     ("mixing sources to target weights", stages.mixed),
     ("token-ID / binary output", stages.token_files),
 ]
