@@ -1,0 +1,184 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from calltide.llm import ngram_join, suffix_dedup
+from calltide.llm.common import components
+from calltide.llm.run_index import RunIndex
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_statistics(texts, pattern):
+    return [
+        max((k for k in range(len(pattern) - i + 1) if any(pattern[i : i + k] in t for t in texts)), default=0)
+        for i in range(len(pattern))
+    ]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.binary(max_size=25).map(lambda b: bytes(x % 3 for x in b)), min_size=1, max_size=5), st.binary(max_size=25))
+def test_matching_statistics(texts, pattern):
+    pattern = bytes(x % 4 for x in pattern)
+    found, sizes = RunIndex(texts).matching_statistics([pattern, texts[0], b""])
+    for k, p in enumerate([pattern, texts[0]]):
+        assert found[k, found.shape[1] - len(p) :].tolist() == brute_statistics(texts, p)
+
+
+def test_runs_are_few_in_repetitive_text():
+    base = bytes(random.Random(1).choices(b"abcdefgh", k=150))
+    few, many = RunIndex([base] * 2), RunIndex([base] * 200)
+    assert many.runs < few.runs + 250
+
+
+def brute_substrings(texts, n=100):
+    seen, out = set(), []
+    for t in texts:
+        raw = (t or "").encode()
+        gone = bytearray(len(raw))
+        for i in range(len(raw) - n + 1):
+            w = raw[i : i + n]
+            if w in seen:
+                gone[i : i + n] = b"\1" * n
+            seen.add(w)
+        spans = sum(gone[i] and (i == 0 or not gone[i - 1]) for i in range(len(gone)))
+        out.append((len(raw), sum(gone), spans, bytes(b for b, g in zip(raw, gone) if not g)))
+    return out
+
+
+def substring_rows(seed):
+    """Texts pieced together from a few passages, so that matches start, end, overlap and repeat everywhere."""
+    rng = random.Random(seed)
+    passages = ["".join(rng.choices("abcde fghé\n", k=rng.randint(60, 400))) for _ in range(6)] + ["ab" * 90, "z" * 150, "x"]
+    rows = []
+    for i in range(80):
+        text = "".join(
+            p[rng.randint(0, len(p) // 2) : rng.randint(len(p) // 2, len(p))] + rng.choice(["", "", "-", "~~~~"])
+            for p in rng.choices(passages, k=rng.randint(0, 6))
+        )
+        rows.append((100 + i, text))
+    return rows + [(300, rows[7][1]), (301, rows[7][1])]
+
+
+@pytest.mark.parametrize(("seed", "group"), [(1, 16), (2, 16), (3, 2), (4, 0)])
+def test_substrings_equal_brute_force(frame, edge_rows, monkeypatch, seed, group):
+    monkeypatch.setattr(suffix_dedup, "GROUP", group)
+    rows = sorted(edge_rows, key=lambda r: (r[0] is not None, r[0] or 0)) + substring_rows(seed)
+    got = suffix_dedup.dedup_substrings(frame(rows[::-1])).collect()
+    want = Counter((r[0], *w) for r, w in zip(rows, brute_substrings([r[1] for r in rows])))
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == want
+
+
+def test_parts_of_a_long_text_hold_all_windows(monkeypatch):
+    text = "".join(random.Random(5).choices("abcdefg ", k=5000))
+    whole = suffix_dedup.segments([text.encode()])
+    monkeypatch.setattr(suffix_dedup, "CUT", 700)
+    parts = list(suffix_dedup._pieces([text]))
+    cut = suffix_dedup.segments([p for _, _, p in parts])
+    windows = lambda s, base: {
+        (int(a), int(w)) for a, b, n, d in zip(s["a"], s["start"], s["size"], s["part"])
+        for w in range(base[d] + b, base[d] + b + n - 99)
+    }
+    assert windows(cut, [o for _, o, _ in parts]) == windows(whole, [0])
+
+
+def test_substrings_of_nothing(frame):
+    assert suffix_dedup.dedup_substrings(frame([])).count() == 0
+    with pytest.raises(ValueError):
+        suffix_dedup.dedup_substrings(frame([]), kept="other")
+
+
+def brute_classes(rows, similarity=0.8):
+    sets = []
+    for _, text in rows:
+        w = WORD.findall(text or "")
+        n = min(5, len(w))
+        sets.append({tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if w else set())
+    n = len(rows)
+    links, parent = defaultdict(set), list(range(n))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(n):
+        for j in range(i):
+            if rows[i][1] is None or rows[j][1] is None:
+                continue
+            same = rows[i][1] == rows[j][1]
+            shared = len(sets[i] & sets[j])
+            if not same and shared and shared >= similarity * len(sets[i] | sets[j]) - 1e-9:
+                links[i].add(rows[j][1])
+                links[j].add(rows[i][1])
+                same = True
+            if same:
+                parent[max(find(i), find(j))] = min(find(i), find(j))
+    out = []
+    for i in range(n):
+        own = [rows[k][0] for k in range(n) if find(k) == find(i) and rows[k][0] is not None]
+        copies = sum(t == rows[i][1] for _, t in rows) if rows[i][1] is not None else 1
+        out.append((rows[i][0], min(own) if own else None, len(links[i]), copies))
+    return out
+
+
+@pytest.mark.parametrize("block", [256, 5])
+def test_classes_equal_brute_force(frame, edge_rows, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rng = random.Random(block)
+    vocabulary = [f"w{i}" for i in range(400)]
+    rows = [(r[0], r[1]) for r in edge_rows]
+    for base in range(6):
+        words = rng.choices(vocabulary, k=60 + 30 * base)
+        for _ in range(25):
+            own = list(words)
+            for _ in range(rng.randint(0, 4)):
+                own[rng.randrange(len(own))] = rng.choice(vocabulary)
+            own += rng.choices(vocabulary, k=rng.choice([0, 0, 3, 10]))
+            rows.append((len(rows) + 100, " ".join(own)))
+    rows += [(900, rows[40][1]), (901, rows[40][1].replace(" ", "\n")), (902, "three words only"), (903, "three  words\tonly")]
+    got = ngram_join.jaccard_join(frame(rows)).collect()
+    assert Counter((r.doc_id, r.class_id, r.n_links, r.n_copies) for r in got) == Counter(brute_classes(rows))
+    firsts = Counter(r.class_id for r in got if r.is_first and r.class_id is not None)
+    assert set(firsts.values()) == {1} and set(firsts) == {r.class_id for r in got if r.class_id is not None}
+
+
+def test_classes_of_nothing(frame):
+    assert ngram_join.jaccard_join(frame([])).count() == 0
+
+
+def test_matrix_products_count_like_sets():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 9000, rng.integers(1, 6000)).astype(np.uint64)) for _ in range(12)]
+    i, j = np.triu_indices(12, 1)
+    assert ngram_join._shared(sets, i, j).tolist() == [len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)]
+
+
+def test_pruning_bounds_rise():
+    bounds = ngram_join.least_matches()
+    assert len(bounds) == ngram_join.HASHES // ngram_join.STEP and bounds == sorted(bounds)
+    assert bounds[-1] < 0.8 * ngram_join.HASHES
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components_equal_union_find(spark, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(100 + i, 101 + i) for i in range(40)] + [(7, 7)]
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            a, b = find(a), find(b)
+            parent[max(a, b)] = min(a, b)
+    got = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert Counter((r.node, r.component) for r in got) == Counter((x, find(x)) for x in list(parent))
