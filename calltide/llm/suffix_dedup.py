@@ -25,7 +25,7 @@ CHUNK = 1_000_000  # bytes handled at once
 CUT = 4_000_000  # longer documents are searched in parts of so many bytes
 HELD = 300_000  # segments a task gathers before it sends them on
 GROUP = 16  # different segments of an anchor that are compared through an index
-LARGE = 20_000  # more of them are compared string by string in one task, and beyond this number by counts over all tasks
+LARGE = 2_000  # more of them are compared string by string in one task, and beyond this number by counts over all tasks
 INDEX_BYTES = 1_000_000  # text of one index
 _PLACE = np.uint64((1 << 28) - 1)
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
