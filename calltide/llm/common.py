@@ -100,15 +100,16 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     edges = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     for _ in range(max_rounds):
         full = both(edges)
-        least = minima(full)
+        # As tables of their own, so that adaptive execution can split the rows of a node that many others touch.
+        least = staged(minima(full), "minima")
         # Large star: larger neighbours of a node are linked to the smallest one around it.
         large = (
             full.where("b > a").join(least, F.col("a") == F.col("v"))
             .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         )
         # Small star: a node and its smaller neighbours are linked to the smallest of them.
-        down = large.where("a > b")
-        low = down.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("m"))
+        down = staged(large.where("a > b"), "edges")
+        low = staged(down.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("m")), "minima")
         small = down.join(low, F.col("a") == F.col("v"))
         new = (
             small.select(F.col("b").alias("a"), F.col("m").alias("b"))

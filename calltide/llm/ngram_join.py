@@ -250,7 +250,8 @@ def _links(signed: DataFrame, comps: DataFrame, similarity: float) -> DataFrame:
             names = [c for c in part.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in names), sets], names=[*names, "hashes"])
 
-    members = signed.select("row", "n", "sig", "text").join(comps, F.col("row") == F.col("node")).select(
+    # Both sides of these joins grow with the corpus, so neither is ever broadcast.
+    members = signed.select("row", "n", "sig", "text").join(comps.hint("merge"), F.col("row") == F.col("node")).select(
         "row", F.col("component").alias("comp"), F.floor(F.log("n") / math.log(1.26 * 0.8 / similarity)).cast("int").alias("l"), "sig", "text"
     )
     members = staged(members.mapInArrow(hashes, "row long, comp long, l int, sig binary, hashes binary"), "members")
@@ -301,7 +302,7 @@ def jaccard_join(
         "texts",
     )
     bands = (
-        signed.where("n > 0").select("row", "bands").join(texts.select("rep"), F.col("row") == F.col("rep"))
+        signed.where("n > 0").select("row", "bands").join(texts.select("rep").hint("merge"), F.col("row") == F.col("rep"))
         .select("row", F.explode("bands").alias("band"))
     )
     shared = staged(
@@ -309,12 +310,12 @@ def jaccard_join(
         "bands",
     )
     met = staged(
-        bands.join(shared, F.col("band") == F.col("key")).where("row <> b").select(F.col("row").alias("a"), "b").distinct(), "met"
+        bands.join(shared.hint("merge"), F.col("band") == F.col("key")).where("row <> b").select(F.col("row").alias("a"), "b").distinct(), "met"
     )
     sigs = signed.select("row", "sig")
     ends = (
-        met.join(sigs.select(F.col("row").alias("a"), F.col("sig").alias("siga")), "a")
-        .join(sigs.select(F.col("row").alias("b"), F.col("sig").alias("sigb")), "b")
+        met.hint("merge").join(sigs.select(F.col("row").alias("a"), F.col("sig").alias("siga")), "a")
+        .join(sigs.select(F.col("row").alias("b"), F.col("sig").alias("sigb")).hint("merge"), "b")
     )
     comps = staged(components(_agree(ends)), "candidates")
     links = _links(signed, comps, similarity)
@@ -332,7 +333,7 @@ def jaccard_join(
         "by-text",
     )
     rows = signed.select("doc_id", "row", F.when(F.col("text").isNotNull(), F.col("k1")).alias("k1"), "k2", *(["given"] if row_col else []))
-    return rows.join(by_text, ["k1", "k2"], "left").select(
+    return rows.join(by_text.hint("merge"), ["k1", "k2"], "left").select(
         "doc_id",
         F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("class.doc_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
