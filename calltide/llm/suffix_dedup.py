@@ -263,7 +263,7 @@ def _meet(batches: Iterator[pa.RecordBatch]):
     yield _marks(c, several, rank[several], n[several])
 
 
-def merged(spans: list[tuple[int, int]]) -> list[list[int]]:
+def merged(spans: list) -> list[list[int]]:
     """Overlapping and touching spans as one."""
     out: list[list[int]] = []
     for since, until in sorted(spans):
@@ -288,11 +288,12 @@ def _compare_groups(rows: list[tuple]) -> list[tuple[int, int, int]]:
 
     ``rows`` are (anchor, rank, row, since, bytes) in order. The first segment of every anchor enters one index; all later
     ones are streamed against it and matches of 100 bytes marked. Then the next segment of each anchor takes its turn, until
-    no anchor has two. Segments that are covered whole need no turn: what they share was found where it came from.
+    no anchor has two. A segment all of whose 100-byte strings were found needs no turn: each was found where it came from.
     """
-    groups = [[list(r) + [[]] for r in own] for _, own in groupby(rows, key=lambda r: r[0])]
-    out = []
+    # To each segment the runs of its strings that were found, by their starts.
+    groups = [[(*r, []) for r in own] for _, own in groupby(rows, key=lambda r: r[0])]
     groups = [g for g in groups if len(g) > 1]
+    out = []
     while groups:
         index = RunIndex([g[0][4] for g in groups])
         later = [r for g in groups for r in g[1:]]
@@ -300,20 +301,18 @@ def _compare_groups(rows: list[tuple]) -> list[tuple[int, int, int]]:
         width = found.shape[1]
         for k, at in zip(*np.nonzero(found >= LENGTH)):
             since = int(at) - (width - int(sizes[k]))
-            later[k][5].append((since, since + int(found[k, at])))
+            later[k][5].append((since, since + int(found[k, at]) - LENGTH + 1))
         going = []
         for g in groups:
             left = []
             for r in g[1:]:
-                r[5] = [tuple(s) for s in merged(r[5])]
-                if r[5] == [(0, len(r[4]))]:
-                    out.append((r[2], r[3], r[3] + len(r[4])))
-                else:
+                r[5][:] = [tuple(x) for x in merged(r[5])]
+                if r[5] != [(0, len(r[4]) - LENGTH + 1)]:
                     left.append(r)
+                if r not in left[1:]:  # found whole, or the next to take its turn: nothing comes before it any more
+                    out += [(r[2], r[3] + a, r[3] + b + LENGTH - 1) for a, b in r[5]]
             if len(left) > 1:
                 going.append(left)
-            for r in left[:1]:  # nothing comes before it any more
-                out += [(r[2], r[3] + a, r[3] + b) for a, b in r[5]]
         groups = going
     return out
 
