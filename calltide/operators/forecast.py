@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from calltide.functions.times import day_number
+from calltide.operators.series import days_ahead, explode_days
 
 _ORIGIN = 10957  # day number of 2000-01-01, keeps the trend axis small
 
@@ -65,6 +66,7 @@ def fit_trend_seasonal(points: DataFrame, keys: Sequence[str] = ()) -> DataFrame
         F.count(F.lit(1)).alias("n_days"),
         F.min("ds").alias("first_ds"),
         F.max("ds").alias("last_ds"),
+        F.sort_array(F.collect_set("ds")).alias("days"),
     )
 
 
@@ -79,10 +81,15 @@ def with_band(df: DataFrame, interval_width: float) -> DataFrame:
     return df.withColumns({"yhat_lower": F.col("yhat") - half, "yhat_upper": F.col("yhat") + half})
 
 
-def open_days(model: DataFrame, horizon: int, include_history: bool = True) -> DataFrame:
-    """One row per model and day, from its first (or the day after its last) day to the horizon."""
-    start = F.col("first_ds") if include_history else F.date_add("last_ds", 1)
-    return model.withColumn("ds", F.explode(F.sequence(start, F.date_add("last_ds", horizon))))
+def open_days(model: DataFrame, horizon: int, include_history: bool = True, fill_gaps: bool = False) -> DataFrame:
+    """One row per model and day: its observed days, unless only the horizon is wanted, and the horizon after its last.
+
+    With ``fill_gaps`` the days between the observed ones are opened as well.
+    """
+    if include_history and fill_gaps:
+        return explode_days(model, F.col("first_ds"), F.date_add("last_ds", horizon))
+    ahead = days_ahead("last_ds", horizon)
+    return model.withColumn("ds", F.explode(F.concat("days", ahead) if include_history else ahead))
 
 
 def predict_trend_seasonal(
@@ -91,9 +98,10 @@ def predict_trend_seasonal(
     horizon: int = 14,
     include_history: bool = True,
     interval_width: float = 0.95,
+    fill_gaps: bool = False,
 ) -> DataFrame:
     """Forecast rows (keys, ds, yhat, yhat_lower, yhat_upper) of a fitted model table."""
-    days = open_days(model, horizon, include_history).withColumn("yhat", _yhat())
+    days = open_days(model, horizon, include_history, fill_gaps).withColumn("yhat", _yhat())
     return with_band(days, interval_width).select(*keys, "ds", "yhat", "yhat_lower", "yhat_upper")
 
 
@@ -103,10 +111,11 @@ def forecast_trend_seasonal(
     horizon: int = 14,
     include_history: bool = True,
     interval_width: float = 0.95,
+    fill_gaps: bool = False,
 ) -> DataFrame:
-    """Fit and forecast every series: history and ``horizon`` days, with a band."""
+    """Fit and forecast every series: its observed days and ``horizon`` days, with a band."""
     model = fit_trend_seasonal(points, keys)
-    return predict_trend_seasonal(model, keys, horizon, include_history, interval_width)
+    return predict_trend_seasonal(model, keys, horizon, include_history, interval_width, fill_gaps)
 
 
 def held_out(points: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,11 @@ from calltide.functions.columns import any_null
 _UNORDERED = (T.MapType, T.VariantType)
 
 
+def _apart(keys: Sequence[str]) -> Column:
+    """NULL for a row with a whole key, a number of its own for any other row."""
+    return F.when(any_null(keys), F.monotonically_increasing_id())
+
+
 def dedup_latest(
     df: DataFrame, keys: Sequence[str], latest_by: Sequence[str], null_keys: str = "keep"
 ) -> DataFrame:
@@ -20,45 +25,65 @@ def dedup_latest(
 
     The row is the greatest struct of a key, an aggregate that Spark combines
     inside each input partition before the shuffle: a key that holds a third of
-    all rows reaches its reducer as one row per input partition. NULL counts as
-    the smallest value. NULL is not a key: such rows are all kept, or all
-    dropped with ``null_keys="drop"``.
+    all rows reaches its reducer as one row per input partition (the rows are
+    sorted by key for it on both sides of the shuffle). NULL counts as the
+    smallest value. NULL is not a key: such rows are all kept, each as a group
+    of its own in the same pass, or all dropped with ``null_keys="drop"``.
+    Without ``latest_by`` the other columns alone decide.
     """
     others = [f for f in df.schema.fields if f.name not in (*keys, *latest_by)]
     unordered = [f.name for f in others if isinstance(f.dataType, _UNORDERED)]
-    order = F.struct(*latest_by, *[f.name for f in others if f.name not in unordered])
+    ordered = [*latest_by, *[f.name for f in others if f.name not in unordered]]
+    order = F.struct(*ordered) if ordered else F.struct(F.lit(1).alias("__one"))
     newest = [F.max(order).alias("__newest")]
     if unordered:
         newest.append(F.max_by(F.struct(*unordered), order).alias("__with"))
-    keyed = df.filter(~any_null(keys)).groupBy(*keys).agg(*newest)
-    keyed = keyed.select(*keys, "__newest.*", *(["__with.*"] if unordered else [])).select(*df.columns)
     if null_keys == "drop":
-        return keyed
-    return keyed.unionByName(df.filter(any_null(keys)))
+        grouped = df.filter(~any_null(keys)).groupBy(*keys).agg(*newest)
+    else:
+        grouped = df.withColumn("__apart", _apart(keys)).groupBy(*keys, "__apart").agg(*newest)
+    return grouped.select(*keys, "__newest.*", *(["__with.*"] if unordered else [])).select(*df.columns)
 
 
 def _unmatched(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows whose key is not staged.
+    """Target rows whose key is not staged, in one pass over the target.
 
-    NULL keys never match, so those rows stay out of the join and cannot meet
-    in one reducer. On a stored layer the IS NULL filter is pushed to the scan,
-    which skips row groups without NULL keys.
+    NULL keys never match; a number of their own joins the key, so that those
+    rows spread over the reducers.
     """
-    staged_keys = staged.select(*keys).filter(~any_null(keys))
-    kept = target.filter(~any_null(keys)).join(staged_keys, list(keys), "left_anti")
-    return kept.select(*target.columns).unionByName(target.filter(any_null(keys)))
+    # Always -1, but not a literal, which the optimizer would take out of the join key.
+    whole = (F.pmod(F.hash(*keys), F.lit(1)) - 1).cast("bigint")
+    staged_keys = staged.filter(~any_null(keys)).select(*keys, whole.alias("__apart"))
+    apart = target.withColumn("__apart", F.coalesce(_apart(keys), F.lit(-1).cast("bigint")))
+    return apart.join(staged_keys, [*keys, "__apart"], "left_anti").select(*target.columns)
+
+
+def _new_rows(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Staged rows without those of NULL key that the target holds already, equal in all columns."""
+    plain = [f.name for f in target.schema.fields if not isinstance(f.dataType, _UNORDERED)]
+    held = target.filter(any_null(keys)).select(F.xxhash64(*plain).alias("__held")).distinct()
+    hashed = staged.withColumn("__held", F.when(any_null(keys), F.xxhash64(*plain)))
+    return hashed.join(held, "__held", "left_anti").select(*staged.columns)
 
 
 def upsert(
-    target: DataFrame, staged: DataFrame, keys: Sequence[str], latest_by: Sequence[str] | None = None
+    target: DataFrame,
+    staged: DataFrame,
+    keys: Sequence[str],
+    latest_by: Sequence[str] | None = None,
+    null_keys: str = "insert",
 ) -> DataFrame:
     """Staged rows replace target rows of the same key; other staged rows are inserted.
 
     ``staged`` must hold every target column. Extra staged columns are NULL on
-    the old rows. Give ``latest_by`` when one batch may hold a key twice.
+    the old rows. Give ``latest_by`` when one batch may hold a key twice. Rows
+    with a NULL key are inserted each time, as in SQL; with ``null_keys="once"``
+    only those that the target does not hold already, so that a batch can be
+    replayed.
     """
     lacking = [c for c in target.columns if c not in staged.columns]
     if lacking:
         raise ValueError(f"staged rows lack target columns: {lacking}")
-    fresh = dedup_latest(staged, keys, latest_by) if latest_by else staged
-    return _unmatched(target, fresh, keys).unionByName(fresh, allowMissingColumns=True)
+    fresh = dedup_latest(staged, keys, latest_by) if latest_by is not None else staged
+    arriving = _new_rows(target, fresh, keys) if null_keys == "once" else fresh
+    return _unmatched(target, fresh, keys).unionByName(arriving, allowMissingColumns=True)

@@ -6,6 +6,8 @@ as recorded), stage.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,9 +22,13 @@ def metric_value(tag: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def register_runs(registry: DataFrame, runs: DataFrame, order_by: str = "trial") -> DataFrame:
+def register_runs(
+    registry: DataFrame, runs: DataFrame, order_by: str = "trial", keep: Sequence[str] = ()
+) -> DataFrame:
     """Number new runs after the newest version of their model; returns the rows to append.
 
+    Columns of ``runs`` named by ``keep`` are returned as well.
+
     ``runs`` has model_name, params, mape and an ordering column. Runs of one
     model come from one search, so their number is the number of trials.
     """
@@ -37,6 +43,7 @@ def register_runs(registry: DataFrame, runs: DataFrame, order_by: str = "trial")
             "params",
             F.col("mape").cast("string").alias("mape"),
             F.lit(NO_STAGE).alias("stage"),
+            *keep,
         )
     )
 

@@ -60,6 +60,7 @@ _FIT_COLUMNS = [
     T.StructField("sigma", T.DoubleType()),
     T.StructField("first_ds", T.DateType()),
     T.StructField("last_ds", T.DateType()),
+    T.StructField("days", T.ArrayType(T.DateType())),
 ]
 
 
@@ -148,6 +149,20 @@ def _matrices(pdf: pd.DataFrame):
     )
 
 
+def _fitted(pdf: pd.DataFrame, kept: list[str], settings: dict[str, str]) -> pd.DataFrame:
+    """The coefficient row of one series."""
+    trend, season, y = _matrices(pdf)
+    scale = max(float(np.abs(y).max()), 1e-12)
+    a, b, fitted = solve_series(trend, season, y / scale, settings)
+    row = pdf.iloc[:1][kept].copy()
+    row["params"] = [settings]
+    row["trend_coef"], row["season_coef"] = [a.tolist()], [b.tolist()]
+    row["y_scale"], row["sigma"] = scale, scale * float(np.std(y / scale - fitted)) if len(y) > 1 else None
+    row["first_ds"], row["last_ds"] = pdf["first_ds"].iloc[0], pdf["last_ds"].iloc[0]
+    row["days"] = [sorted(pdf["ds"])]
+    return row
+
+
 def fit_regression(
     points: DataFrame, keys: Sequence[str] = (), params: dict[str, str] | None = None
 ) -> DataFrame:
@@ -157,20 +172,37 @@ def fit_regression(
     kept = list(keys)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        trend, season, y = _matrices(pdf)
-        scale = max(float(np.abs(y).max()), 1e-12)
-        a, b, fitted = solve_series(trend, season, y / scale, settings)
-        sigma = scale * float(np.std(y / scale - fitted)) if len(y) > 1 else None
-        row = pdf.iloc[:1][kept].copy()
-        row["params"] = [settings]
-        row["trend_coef"], row["season_coef"] = [a.tolist()], [b.tolist()]
-        row["y_scale"], row["sigma"] = scale, sigma
-        row["first_ds"], row["last_ds"] = pdf["first_ds"].iloc[0], pdf["last_ds"].iloc[0]
-        return row
+        return _fitted(pdf, kept, settings)
 
     return _with_features(points, keys).groupBy(*keys).applyInPandas(fit, schema)
 
 
+def fit_trials(
+    points: DataFrame, keys: Sequence[str], trials: list[dict[str, str]], trials_per_task: int = 5
+) -> DataFrame:
+    """Coefficient table of every series and trial, fitted on all days: the columns of ``fit_regression`` and ``trial``."""
+    schema = T.StructType([points.schema[k] for k in keys] + [T.StructField("trial", T.IntegerType())] + _FIT_COLUMNS)
+    kept = list(keys)
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = int(pdf["block"].iloc[0]) * trials_per_task
+        rows = []
+        for number, params in list(enumerate(trials))[first : first + trials_per_task]:
+            row = _fitted(pdf, kept, params)
+            row.insert(len(kept), "trial", number)
+            rows.append(row)
+        return pd.concat(rows)
+
+    groups = [*keys, "block"]
+    return _with_features(_in_blocks(points, trials, trials_per_task), groups).groupBy(*groups).applyInPandas(fit, schema)
+
+
+def _in_blocks(points: DataFrame, trials: list[dict[str, str]], trials_per_task: int) -> DataFrame:
+    """Daily points once for every block of trials."""
+    n_blocks = math.ceil(len(trials) / trials_per_task)
+    return points.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+
+
 def _dot(features: list[Column], coef: str) -> Column:
     """Sum of products, written out so that it stays in generated code."""
     return reduce(lambda a, b: a + b, [f * F.col(coef)[i] for i, f in enumerate(features)])
@@ -182,13 +214,14 @@ def predict_regression(
     horizon: int = 14,
     include_history: bool = True,
     interval_width: float = 0.95,
+    fill_gaps: bool = False,
 ) -> DataFrame:
     """Forecast from a coefficient table without refitting, all inside Spark."""
     level = _dot(trend_features("ds", "first_ds", "last_ds"), "trend_coef")
     season = _dot(season_features("ds"), "season_coef")
     additive = F.col("params")["seasonality_mode"] == "additive"
     yhat = F.col("y_scale") * F.when(additive, level + season).otherwise(level * (1 + season))
-    days = open_days(model, horizon, include_history).withColumn("yhat", yhat)
+    days = open_days(model, horizon, include_history, fill_gaps).withColumn("yhat", yhat)
     return with_band(days, interval_width).select(*keys, "ds", "yhat", "yhat_lower", "yhat_upper")
 
 
@@ -210,19 +243,35 @@ def forecast_infer(
     keys: Sequence[str] = (),
     horizon: int = 14,
     stage: str = "Production",
+    interval_width: float = 0.95,
 ) -> DataFrame:
     """Next ``horizon`` days from the stored coefficients of the newest version in ``stage``.
 
     ``coefficients`` is a coefficient table with model_name and version.
     """
-    live = registry.filter(F.col("stage") == stage).groupBy("model_name").agg(F.max("version").alias("version"))
-    models = coefficients.join(live, ["model_name", "version"], "left_semi")
-    return predict_regression(models, ["model_name", "version", *keys], horizon, include_history=False)
+    models = coefficients.join(_live(registry, stage), ["model_name", "version"], "left_semi")
+    named = ["model_name", "version", *keys]
+    return predict_regression(models, named, horizon, include_history=False, interval_width=interval_width)
+
+
+def _live(registry: DataFrame, stage: str) -> DataFrame:
+    """Newest version of each model in the stage."""
+    return registry.filter(F.col("stage") == stage).groupBy("model_name").agg(F.max("version").alias("version"))
+
+
+def require_models(coefficients: DataFrame, registry: DataFrame, stage: str = "Production") -> None:
+    """Raise when the stage holds no version, or a live one has no stored coefficients."""
+    live = _live(registry, stage)
+    if live.isEmpty():
+        raise ValueError(f"no model is in {stage}")
+    lacking = live.join(coefficients, ["model_name", "version"], "left_anti").orderBy("model_name").limit(1).first()
+    if lacking:
+        raise ValueError(f"no stored model for version {lacking['version']} of {lacking['model_name']}")
 
 
 def draw_trials(n_trials: int = 20, seed: int = 7) -> list[dict[str, str]]:
     """Seeded random draw from the search space, one parameter map per trial."""
-    rng = random.Random(seed)
+    rng = random.Random(seed)  # Fixed values: the ranges below.
 
     def log_uniform(low: float, high: float) -> str:
         return repr(math.exp(rng.uniform(math.log(low), math.log(high))))
@@ -250,12 +299,12 @@ def tune(
 ) -> DataFrame:
     """Score every trial on a real holdout: (keys, trial, params, mape), one row per series and trial.
 
+    A series without days on either side of the cut has no score: its mape is NULL.
     Daily points open into blocks of trials, so the blocks of one series run in
     parallel; features are computed after the shuffle and never travel.
     """
     trials = trials or draw_trials()
     held_days = tuning_days(horizon)
-    n_blocks = math.ceil(len(trials) / trials_per_task)
     schema = T.StructType(
         [points.schema[k] for k in keys]
         + [
@@ -272,7 +321,10 @@ def tune(
         block = list(enumerate(trials))[first : first + trials_per_task]
         trend, season, y = _matrices(pdf)
         out = []
-        for number, params in block if held.any() and (~held).any() else []:
+        for number, params in block:
+            if held.all() or not held.any():
+                out.append({**{k: pdf[k].iloc[0] for k in kept}, "trial": number, "params": params, "mape": None})
+                continue
             scale = max(float(np.abs(y[~held]).max()), 1e-12)
             a, b, _ = solve_series(trend[~held], season[~held], y[~held] / scale, params)
             level, wave = trend[held] @ a, season[held] @ b
@@ -282,5 +334,4 @@ def tune(
         return pd.DataFrame(out, columns=[*kept, "trial", "params", "mape"])
 
     groups = [*keys, "block"]
-    opened = points.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    return _with_features(opened, groups, held_days).groupBy(*groups).applyInPandas(score, schema)
+    return _with_features(_in_blocks(points, trials, trials_per_task), groups, held_days).groupBy(*groups).applyInPandas(score, schema)

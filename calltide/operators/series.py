@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -58,11 +58,30 @@ def add_calendar_features(daily: DataFrame, keys: Sequence[str] = DAILY_KEYS, da
     )
 
 
-def date_spine(daily: DataFrame, keys: Sequence[str] = (), horizon: int = 14) -> DataFrame:
-    """Every day from the first of each series to ``horizon`` days past its last."""
-    span = daily.groupBy(*keys).agg(F.min("ds").alias("__first"), F.max("ds").alias("__last"))
-    days = F.sequence("__first", F.date_add("__last", horizon))
-    return span.select(*keys, F.explode(days).alias("ds"))
+def explode_days(df: DataFrame, first: Column, last: Column, out: str = "ds") -> DataFrame:
+    """A row for every day from ``first`` to ``last``, opened by month and then by day.
+
+    A span of thousands of years, which one wrong date can cause, so never
+    becomes one array.
+    """
+    month = F.explode(F.sequence(F.trunc("__first", "month"), F.trunc("__last", "month"), F.expr("interval 1 month")))
+    day = F.explode(F.sequence(F.greatest("__first", "__month"), F.least("__last", F.last_day("__month"))))
+    spans = df.withColumns({"__first": first, "__last": last}).filter("__first <= __last")
+    return spans.withColumn("__month", month).withColumn(out, day).drop("__first", "__last", "__month")
+
+
+def days_ahead(last: str, horizon: int) -> Column:
+    """The ``horizon`` days after ``last`` as an array."""
+    return F.transform(F.sequence(F.lit(1), F.lit(horizon)), lambda i: F.date_add(last, i)) if horizon > 0 else F.array().cast("array<date>")
+
+
+def date_spine(daily: DataFrame, keys: Sequence[str] = (), horizon: int = 14, fill_gaps: bool = False) -> DataFrame:
+    """The observed days of each series and ``horizon`` days past its last; with ``fill_gaps`` every day in between too."""
+    if fill_gaps:
+        span = daily.groupBy(*keys).agg(F.min("ds").alias("__from"), F.max("ds").alias("__to"))
+        return explode_days(span, F.col("__from"), F.date_add("__to", horizon)).select(*keys, "ds")
+    span = daily.groupBy(*keys).agg(F.collect_set("ds").alias("__days"), F.max("ds").alias("__to"))
+    return span.select(*keys, F.explode(F.concat("__days", days_ahead("__to", horizon))).alias("ds"))
 
 
 def last_n(df: DataFrame, keys: Sequence[str], n: int, order_by: str = "ds") -> DataFrame:

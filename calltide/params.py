@@ -18,8 +18,10 @@ class Params:
     interval_width: float = 0.95
     alert_after: int = 3
     source_tz: str = "UTC"
+    in_place: bool = True  # rewrite touched partitions only; False publishes a whole new layer at once
 
     def __post_init__(self) -> None:
+        # Allowed ranges.
         _within("sample_days", self.sample_days, 7, 365)
         _within("horizon_days", self.horizon_days, 7, 60)
         _within("overlap_days", self.overlap_days, 0, 7)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from calltide.functions.times import to_utc as to_utc_wall
 from calltide.operators import conform as conforming
 from calltide.operators import merge
 from calltide.plans.registry import REQ, query, with_sql
-from calltide.sources import layers, pages, slices
+from calltide.sources import layers, pages, slices, tables
 from calltide.sources.requests import requests, table
 from calltide.sources.scratch import shared_dir
 
@@ -90,6 +92,71 @@ def read_landed_pages(spark, sf_dir):
     )
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as raw records whose headings vary in case and spacing."""
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id AS ` Event ID`", "event_type AS `EVENT TYPE`", "value AS `Value\t`", "to_date(ts) AS day"
+    )
+
+
+@query("SELECT event_id, event_type, value FROM events")
+def read_array_pages(spark, sf_dir):
+    """Pages as arrays on a line, as indented arrays that fill a file, and as lines of records, one third of the days each."""
+    rows, folded = _events(spark, sf_dir), ["event_id", "event_type", "value"]
+    third = F.pmod(F.datediff("day", F.lit("2024-01-01")), F.lit(3))
+    record = F.struct("` Event ID`", "`EVENT TYPE`", "`Value\t`")
+    paged = rows.withColumn("third", third).groupBy("day", "EVENT TYPE", "third").agg(F.collect_list(record).alias("page"))
+    lines, files, loose = (shared_dir(spark, f"pages-{i}") for i in range(3))
+    paged.filter("third = 0").select(F.to_json("page")).write.text(lines)
+    indented = paged.filter("third = 1").select(F.to_json("page", {"pretty": "true"}))
+    indented.write.option("maxRecordsPerFile", 1).text(files)
+    rows.filter(third == 2).select(F.to_json(record)).write.text(loose)
+    read = pages.read_landed_pages(spark, [lines, loose], folded, fold_names=True).unionByName(
+        pages.read_landed_pages(spark, files, folded, fold_names=True, multiline=True)
+    )
+    return read.withColumns({"event_id": F.col("event_id").try_cast("bigint"), "value": F.col("value").try_cast("double")})
+
+
+@query("""
+SELECT CASE WHEN value < 5 THEN 'no record' ELSE 'name given twice' END AS reason, count(*) AS records
+FROM events WHERE value < 10 GROUP BY ALL
+""")
+def landed_rejects(spark, sf_dir):
+    """Lines cut short and lines that name a column twice among whole ones."""
+    whole = F.to_json(F.struct("event_id", "event_type", "value"))
+    twice = F.concat(F.lit('{"Value": "0", '), F.substring(whole, 2, 100_000))
+    line = F.when(F.col("value") < 5, F.substring(whole, 1, 12)).when(F.col("value") < 10, twice).otherwise(whole)
+    landed = shared_dir(spark, "pages")
+    table(spark, sf_dir, "events").select(line).write.text(landed)
+    rejects = pages.landed_rejects(spark, landed, ["event_id", "event_type", "value"], fold_names=True)
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+
+
+def new_table(spark: SparkSession, name: str) -> str:
+    return f"{name}_{uuid.uuid4().hex}"
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem")
+def overwrite_table(spark, sf_dir):
+    name = new_table(spark, "replaced")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    tables.overwrite_table(lines.withColumn("l_quantity", -F.col("l_quantity")), name, ["l_returnflag"])
+    tables.overwrite_table(spark.table(name).withColumn("l_quantity", -F.col("l_quantity")), name, ["l_returnflag"])
+    return spark.table(name)
+
+
+@query("""
+SELECT event_id, event_type, NULL AS note, CAST(ts AS DATE) AS day FROM events
+UNION ALL SELECT event_id, event_type, 'late', CAST(ts AS DATE) FROM events
+""")
+def append_table(spark, sf_dir):
+    name = new_table(spark, "appended")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", F.to_date("ts").alias("day"))
+    tables.append_table(events, name)
+    tables.append_table(events.withColumn("note", F.lit("late")), name)
+    return spark.table(name)
+
+
 @query("""
 SELECT o_orderkey AS unique_key, o_orderdate AS created_date, o_orderstatus AS status, NULL AS event_type FROM orders
 UNION ALL SELECT event_id, ts, NULL, event_type FROM events
@@ -140,8 +207,9 @@ UNION ALL SELECT unique_key, created_date, 'R', 'late' FROM req WHERE created_da
 def two_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Two loads whose time ranges overlap by seven months; the second one changes the status."""
     rows = requests(spark, sf_dir).select("unique_key", "created_date", "status")
-    target = slices.slice_time(rows, "created_date", "1990-01-01", "1999-01-01")
-    staged = slices.slice_time(rows, "created_date", "1998-06-01", "2010-01-01").withColumn("status", F.lit("R"))
+    created = F.col("created_date")
+    target = rows.filter(created.isNull() | (created < F.lit("1999-01-01").cast(NTZ)))
+    staged = rows.filter(created >= F.lit("1998-06-01").cast(NTZ)).withColumn("status", F.lit("R"))
     return target, staged
 
 
@@ -151,6 +219,14 @@ def upsert(spark, sf_dir):
     return merge.upsert(target, staged.withColumn("note", F.lit("late")), ["unique_key"])
 
 
+@query(TWO_BATCHES.replace(", NULL AS note", "").replace(", 'late'", ""))
+def upsert_table(spark, sf_dir):
+    name = new_table(spark, "merged")
+    for batch in two_batches(spark, sf_dir):
+        tables.upsert_table(batch, name, ["unique_key"], ["created_date"])
+    return spark.table(name)
+
+
 @query(
     with_sql(
         REQ,

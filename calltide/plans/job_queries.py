@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from calltide.params import Params
 from calltide.plans import jobs
 from calltide.plans.ingest_queries import CLEAN, SILVER, new_layer, raw_requests
-from calltide.plans.registry import DAILY, REQ, TOTAL, fit_sql, forecast_sql, query, rounded, with_sql
-from calltide.plans.series_queries import BAND, GOLD, ROUND_BAND, STREAK, Z50, Z95
+from calltide.plans.registry import DAILY, PAIRS, REQ, TOTAL, fit_sql, forecast_sql, query, rounded, with_sql
+from calltide.plans.series_queries import BAND, GOLD, PAIR, ROUND_BAND, SPINE_AHEAD, STREAK, Z50, Z95
 from calltide.sources import layers
 from calltide.sources.pages import read_landed_pages
 from calltide.sources.requests import requests, table
@@ -98,22 +98,90 @@ def bronze_job(spark, sf_dir):
     )
 
 
-@query(
-    with_sql(
-        REQ,
-        CLEAN,
-        SILVER,
-        select=f"""
-SELECT *, DATE '{AS_OF}' AS ingestion_date, CAST(date_trunc('month', created_ts_utc) AS DATE) AS created_month FROM silver
+SILVER_ROWS = with_sql(
+    REQ,
+    CLEAN,
+    SILVER,
+    select=f"""
+SELECT *, DATE '{AS_OF}' AS bronze_date, DATE '{AS_OF}' AS ingestion_date,
+       CAST(date_trunc('month', created_ts_utc) AS DATE) AS created_month FROM silver WHERE unique_key IS NOT NULL
 """,
-    )
 )
+
+
+@query(SILVER_ROWS)
 def silver_job(spark, sf_dir):
     where = new_layers(spark)
     jobs.bronze_job(raw_requests(spark, sf_dir), where, AS_OF)
     return jobs.silver_job(spark, where, AS_OF)
 
 
+@query(SILVER_ROWS)
+def silver_job_rerun(spark, sf_dir):
+    """Three runs over the same Bronze, the last one over all of it."""
+    where = new_layers(spark)
+    jobs.bronze_job(raw_requests(spark, sf_dir), where, AS_OF)
+    jobs.silver_job(spark, where, AS_OF)
+    jobs.silver_job(spark, where, AS_OF)
+    return jobs.silver_job(spark, where, AS_OF, full=True)
+
+
+@query(with_sql(REQ, select=f"SELECT 'x' || unique_key AS unique_key, DATE '{AS_OF}' AS ingestion_date FROM req WHERE unique_key % 97 = 0"))
+def silver_rejects(spark, sf_dir):
+    """Rows with an unreadable key, after two runs and a reload of their load date."""
+    where = new_layers(spark)
+    jobs.bronze_job(raw_requests(spark, sf_dir), where, AS_OF)
+    for dates in (None, None, (AS_OF, AS_OF)):
+        jobs.silver_job(spark, where, AS_OF, load_dates=dates)
+    rejects = layers.read_layer(spark, where.rejects)
+    return rejects.select(F.get_json_object("raw", "$.unique_key").alias("unique_key"), "ingestion_date")
+
+
+@query(
+    with_sql(
+        REQ,
+        select="""
+SELECT unique_key, status, CASE WHEN created_date < TIMESTAMP '1996-01-01' THEN DATE '2001-03-01' ELSE DATE '2001-03-05' END AS bronze_date
+FROM req WHERE unique_key % 97 <> 0
+""",
+    )
+)
+def silver_job_late_load(spark, sf_dir):
+    """A load that arrives after a Silver run and bears an earlier date than that run."""
+    where, raw = new_layers(spark), raw_requests(spark, sf_dir)
+    rows = requests(spark, sf_dir).select("unique_key", "created_date")
+    early = rows.filter("created_date < TIMESTAMP_NTZ '1996-01-01'").select(F.col("unique_key").alias("early"))
+    key = F.regexp_replace("unique_key", "x", "").cast("bigint")
+    jobs.bronze_job(raw.join(early, key == F.col("early"), "left_semi"), where, "2001-03-01")
+    jobs.silver_job(spark, where, "2001-03-10")
+    jobs.bronze_job(raw.join(early, key == F.col("early"), "left_anti"), where, "2001-03-05")
+    jobs.silver_job(spark, where, "2001-03-10")
+    return jobs.silver_job(spark, where, "2001-03-11").select("unique_key", "status", "bronze_date")
+
+
+CORRECTED = """req AS (SELECT * REPLACE (CASE WHEN created_date >= TIMESTAMP '1997-03-01' AND created_date < TIMESTAMP '1997-04-01'
+  THEN 'other' ELSE complaint_type END AS complaint_type) FROM req0)"""
+
+
+@query(
+    with_sql(
+        REQ.replace("req AS", "req0 AS", 1),
+        CORRECTED,
+        DAILY,
+        GOLD,
+        select="SELECT *, CAST(date_trunc('month', ds) AS DATE) AS month FROM gold",
+    )
+)
+def gold_job_backfill(spark, sf_dir):
+    """A correction of one month, loaded under an earlier date than the first load."""
+    where, rows = new_layers(spark), requests(spark, sf_dir, closed=True)
+    up_to_gold(spark, sf_dir, where)
+    month = rows.filter("created_date >= TIMESTAMP_NTZ '1997-03-01' AND created_date < TIMESTAMP_NTZ '1997-04-01'")
+    jobs.bronze_job(month.withColumn("complaint_type", F.lit("other")), where, "2001-07-01")
+    jobs.silver_job(spark, where, "2001-07-01")
+    return rounded(jobs.gold_job(spark, where), ["y_ma7"])
+
+
 @query(with_sql(REQ, DAILY, GOLD, select="SELECT *, CAST(date_trunc('month', ds) AS DATE) AS month FROM gold"))
 def gold_job(spark, sf_dir):
     where = new_layers(spark)
@@ -130,11 +198,25 @@ def forecast_job(spark, sf_dir):
     return rounded(jobs.forecast_job(spark, where, method="trend"), BAND)
 
 
-@query()
+def banded(df: DataFrame) -> DataFrame:
+    """Whether a forecast lies inside its band, in place of its numbers, which no SQL can give."""
+    inside = (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
+    return df.withColumn("banded", F.coalesce(inside, F.lit(False))).drop(*BAND)
+
+
+@query(
+    with_sql(
+        REQ,
+        DAILY,
+        PAIRS,
+        select="SELECT complaint_type, borough, ds, TRUE AS banded FROM pairs UNION ALL SELECT *, TRUE FROM ("
+        + SPINE_AHEAD.format(first="max(ds) + 1") + ")",
+    )
+)
 def forecast_job_regression(spark, sf_dir):
     where = new_layers(spark)
     up_to_gold(spark, sf_dir, where)
-    return rounded(jobs.forecast_job(spark, where), BAND)
+    return banded(jobs.forecast_job(spark, where, PAIR))
 
 
 TOTAL_FLAGS = """flags AS (
@@ -161,11 +243,35 @@ def anomaly_job(spark, sf_dir):
     return rounded(jobs.anomaly_job(spark, where), ["yhat_upper"])
 
 
-@query()
+@query(with_sql(REQ, DAILY, select="""
+SELECT DISTINCT 'requests/' || replace(borough, '/', '\\/') AS model_name, TRUE AS promoted, TRUE AS is_lowest, CAST(4 AS BIGINT) AS versions,
+       CAST(4 AS BIGINT) AS models FROM daily
+"""))
 def tune_job(spark, sf_dir):
+    """Each series: the promoted version has the lowest score, and every version has a stored model."""
+    where = new_layers(spark)
+    up_to_gold(spark, sf_dir, where)
+    decided = jobs.tune_job(spark, where, ["borough"], n_trials=4)
+    runs = layers.read_layer(spark, where.model_runs).groupBy("model_name").agg(
+        F.min(F.col("mape").cast("double")).alias("lowest"), F.count(F.lit(1)).alias("versions")
+    )
+    models = layers.read_layer(spark, where.coefficients).groupBy("model_name").agg(F.countDistinct("version").alias("models"))
+    joined = decided.join(runs, "model_name").join(models, "model_name")
+    return joined.select("model_name", "promoted", (F.col("best_mape") == F.col("lowest")).alias("is_lowest"), "versions", "models")
+
+
+@query(with_sql(REQ, DAILY, select="""
+SELECT borough, CAST(t AS DATE) AS ds, TRUE AS banded FROM (
+  SELECT borough, unnest(generate_series(CAST(max(ds) + 1 AS TIMESTAMP), CAST(max(ds) + 14 AS TIMESTAMP), INTERVAL 1 DAY)) AS t
+  FROM daily GROUP BY borough)
+"""))
+def infer_job(spark, sf_dir):
+    """Tune, promote, set the stage, and forecast from the stored models."""
     where = new_layers(spark)
     up_to_gold(spark, sf_dir, where)
-    return rounded(jobs.tune_job(spark, where, n_trials=20), ["best_mape", "stage_mape"])
+    jobs.tune_job(spark, where, ["borough"], n_trials=4)
+    jobs.stage_job(spark, where)
+    return banded(jobs.infer_job(spark, where, ["borough"])).drop("model_name", "version")
 
 
 @query(ANOMALIES)

@@ -6,35 +6,47 @@ through the driver.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from calltide.functions.columns import all_of
+from calltide.functions.times import NTZ, as_utc, ntz
 from calltide.operators.anomaly import actual_vs_forecast, breach_streak, flag_breaches
 from calltide.operators.conform import CORE_TYPES, conform, enrich_lookup, missing_columns, to_silver
-from calltide.operators.evaluate import mape_tail, tuning_days
+from calltide.operators.evaluate import mape_tail
 from calltide.operators.forecast import forecast_trend_seasonal, require_rows
 from calltide.operators.merge import dedup_latest
-from calltide.operators.models import apply_promotions, promote_if_better, register_runs
+from calltide.operators.models import apply_promotions, promote_if_better, register_runs, set_stage
 from calltide.operators.quality import SILVER_RULES, Rule, enforce_report, missing_notes, quality_report
-from calltide.operators.regression import draw_trials, fit_regression, predict_regression, tune
+from calltide.operators.regression import (
+    draw_trials,
+    fit_regression,
+    fit_trials,
+    forecast_infer,
+    predict_regression,
+    require_models,
+    tune,
+)
 from calltide.operators.series import DAILY_KEYS, add_lag, add_moving_avg, series_total
 from calltide.params import Params
 from calltide.sources.layers import (
-    MAX_LISTED_PARTITIONS,
     Layer,
     append_layer,
+    append_only_layer,
+    in_partitions,
     layer_exists,
-    one_of,
     overwrite_layer,
+    parked,
     read_layer,
     upsert_layer,
     write_bronze,
 )
 from calltide.sources.pages import raw_to_bronze, stamp_ingestion
-from calltide.sources.slices import incremental_slice
+from calltide.sources.slices import ingest_summary, window_bounds
 
 REGISTRY_SCHEMA = "model_name string, version bigint, params map<string,string>, mape string, stage string"
 
@@ -51,10 +63,97 @@ class Layers:
         return Layer(self.root, name)
 
 
-def bronze_job(raw: DataFrame, layers: Layers, as_of: str, append_only: bool = False) -> DataFrame:
-    """Land raw pages: names, received parts, load date, then merge by key or append."""
-    write_bronze(raw_to_bronze(raw, as_of), layers.bronze, append_only=append_only)
-    return read_layer(raw.sparkSession, layers.bronze)
+def _stored(spark: SparkSession, layer: Layer, schema: str) -> DataFrame:
+    """The layer, or an empty table before its first write."""
+    return read_layer(spark, layer) if layer_exists(spark, layer) else spark.createDataFrame([], schema)
+
+
+def _load_columns(df: DataFrame) -> list[str]:
+    """Load date and, where rows have them, the parts of their time of receipt."""
+    return [c for c in ("ingestion_date", "received_year", "received_month") if c in df.columns]
+
+
+def bronze_job(
+    raw: DataFrame,
+    layers: Layers,
+    as_of: str,
+    append_only: bool = False,
+    params: Params = Params(),
+    only_window: bool = False,
+) -> DataFrame:
+    """Land raw pages: names, received parts, load date, then merge by key or append.
+
+    Raw rows are read once. Each load is recorded with a number of its own and
+    the partitions it has rows in, which the Silver job looks for, and with its
+    record count and time range. With ``only_window`` just the rows created in
+    the trailing ``sample_days`` (and overlap) before ``as_of`` are taken.
+    """
+    spark = raw.sparkSession
+    rows = raw_to_bronze(raw, as_of)
+    if only_window:
+        created = as_utc(rows, "created_date", params.source_tz)
+        start, end = window_bounds(as_of, params.sample_days, params.overlap_days)
+        rows = rows.filter((created >= ntz(start)) & (created < ntz(end)))
+    arrived: list[DataFrame] = []
+    write_bronze(rows, layers.bronze, append_only=append_only, in_place=params.in_place, check=arrived.append)
+    number = F.lit(uuid.uuid4().hex).alias("load_id")
+    load = arrived[0].select(*_load_columns(rows)).distinct()
+    append_layer(load.select(number, "*"), layers.bronze_loads)
+    timed = arrived[0].select(
+        "ingestion_date", (as_utc(rows, "created_date", params.source_tz) if "created_date" in rows.columns else F.lit(None).cast(NTZ)).alias("ts")
+    )
+    summary = ingest_summary(timed, "ts").select(number, F.lit(str(as_of)[:10]).cast("date").alias("ingestion_date"), "*")
+    append_layer(summary, layers.ingest_summaries)
+    return read_layer(spark, layers.bronze)
+
+
+def _bronze_slice(
+    spark: SparkSession, layers: Layers, params: Params, full: bool, load_dates: tuple[str, str] | None
+) -> tuple[DataFrame, DataFrame]:
+    """Bronze rows the Silver job has to read, and the loads they come from.
+
+    These are the loads not yet taken over, whatever their date, and those of
+    the last ``overlap_days`` dates once more (1: the newest date). A load names its partitions, so no
+    others are read.
+    """
+    bronze = read_layer(spark, layers.bronze)
+    loads = _stored(spark, layers.bronze_loads, "load_id string, ingestion_date date")
+    columns = _load_columns(loads)
+    done = _stored(spark, layers.silver_loads, "load_id string, ingestion_date date")
+    if load_dates is not None:
+        low, high = [F.lit(d).cast("date") for d in load_dates]
+        wanted = loads.filter(F.col("ingestion_date").between(low, high))
+        return bronze.filter(F.col("ingestion_date").between(low, high)), wanted
+    if full or not layer_exists(spark, layers.silver) or not layer_exists(spark, layers.silver_loads):
+        return bronze, loads
+    recent = done.agg(F.date_sub(F.max("ingestion_date"), params.overlap_days).alias("low")).select("low").scalar()
+    seen = loads.join(done.select("load_id").distinct().withColumn("old", F.lit(True)), "load_id", "left")
+    due = F.col("old").isNull() | (F.col("ingestion_date") > recent)
+    # A filter on stored rows, not a finished list, is what makes Spark prune the other side of a join.
+    judged = parked(seen.select(*loads.columns, F.when(due, "due").otherwise("done").alias("state")), "loads")
+    wanted = judged.filter("state = 'due'").drop("state")
+    rows = in_partitions(bronze, wanted.select(*columns).distinct(), columns)
+    if append_only_layer(spark, layers.bronze) and "unique_key" in bronze.columns:
+        # A key may have rows in other loads, and the latest of all of them counts.
+        keys = rows.select(F.col("unique_key").alias("__key")).distinct()
+        rows = bronze.join(keys, F.col("unique_key") == F.col("__key"), "left_semi").unionByName(
+            rows.filter(F.col("unique_key").isNull())
+        )
+    return rows, wanted
+
+
+def _replace_rejects(rows: DataFrame, layers: Layers) -> None:
+    """Store rows without a readable key as raw text, in place of those of the same loads."""
+    spark, columns = rows.sparkSession, _load_columns(rows)
+    text = F.to_json(F.struct(*[c for c in rows.columns if c not in columns])).alias("raw")
+    readable = F.col("unique_key").try_cast("bigint").isNotNull() if "unique_key" in rows.columns else F.lit(False)
+    rejected = rows.filter(~readable).select(text, F.lit("unreadable key").alias("reason"), *columns)
+    if layer_exists(spark, layers.rejects):
+        old = read_layer(spark, layers.rejects)
+        seen = rows.select(*[F.col(c).alias(f"__{c}") for c in columns]).distinct()
+        other = old.join(seen, all_of([old[c].eqNullSafe(seen[f"__{c}"]) for c in columns]), "left_anti")
+        rejected = other.unionByName(rejected, allowMissingColumns=True)
+    overwrite_layer(rejected, layers.rejects)
 
 
 def silver_job(
@@ -64,20 +163,27 @@ def silver_job(
     params: Params = Params(),
     rules: Sequence[Rule] = SILVER_RULES,
     lookup: DataFrame | None = None,
+    full: bool = False,
+    load_dates: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Conform new Bronze rows, check every one of them, and merge them by key.
 
+    New are loads that no run has taken over yet, also those with an earlier
+    load date; ``full`` reads all of Bronze and ``load_dates`` (first and last)
+    a range of loads again. ``bronze_date`` keeps Bronze's own load date. Rows
+    without a readable key cannot be merged: they go to the layer ``rejects``
+    as text, replaced whenever their load is read again.
+
     The quality report is stored before it is enforced and names core columns
     the input lacked.
 
     Silver is laid out by month of creation, which a request keeps for life, so
     a daily run rewrites only the months its rows fall in.
     """
-    rows = read_layer(spark, layers.bronze)
-    if layer_exists(spark, layers.silver):
-        rows = incremental_slice(rows, read_layer(spark, layers.silver), "ingestion_date", params.overlap_days)
+    rows, loads = _bronze_slice(spark, layers, params, full, load_dates)
     typed = conform(rows, {**CORE_TYPES, "ingestion_date": "date"}, params.source_tz)
-    latest = dedup_latest(to_silver(typed), ["unique_key"], ["ingestion_date", "created_ts_utc"])
+    keyed = to_silver(typed).filter(F.col("unique_key").isNotNull()).withColumnRenamed("ingestion_date", "bronze_date")
+    latest = dedup_latest(keyed, ["unique_key"], ["bronze_date", "created_ts_utc"], null_keys="drop")
     if lookup is not None:
         latest = enrich_lookup(latest, lookup, "borough")
     stamped = stamp_ingestion(latest, as_of).withColumn("created_month", F.trunc("created_ts_utc", "month"))
@@ -87,71 +193,84 @@ def silver_job(
         overwrite_layer(quality_report(staged, [*rules, *notes]), layers.quality)
         enforce_report(read_layer(spark, layers.quality))
 
-    upsert_layer(stamped, layers.silver, ["unique_key"], partition_by=["created_month"], check=check)
+    upsert_layer(
+        stamped, layers.silver, ["unique_key"], partition_by=["created_month"], in_place=params.in_place, check=check
+    )
+    _replace_rejects(rows, layers)
+    append_layer(loads.select("load_id", "ingestion_date").distinct(), layers.silver_loads)
     return read_layer(spark, layers.silver)
 
 
-def _months_to_count(silver: DataFrame, daily: DataFrame) -> list | None:
-    """Months whose daily counts are out of date, or None when all must be counted.
+def _compared_months(silver: DataFrame, daily: DataFrame) -> DataFrame:
+    """Every month, and whether its daily counts are fresh or stale against Silver.
 
-    A month has changed when it holds rows stamped on or after the newest stamp
-    already counted, or when its number of rows differs (rows have left it).
-    Only two narrow columns of Silver are read; one row per month comes back.
+    A month is compared by content: the sum over its rows of a hash of day and
+    series, which the counts give as well (hash times count). Dates of loads
+    play no part. Only the grouped columns of Silver are read.
     """
-    last = daily.agg(F.max("loaded")).scalar()
-    now = silver.groupBy(F.col("created_month").alias("month")).agg(
-        F.count(F.lit(1)).alias("rows"), F.max("ingestion_date").alias("stamp")
+    content = lambda: F.xxhash64(F.col("ds"), *DAILY_KEYS).cast("decimal(38,0)")
+    now = silver.withColumn("ds", F.to_date("created_ts_utc")).groupBy(F.col("created_month").alias("month")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(content()).alias("content")
+    )
+    counted = daily.groupBy(F.col("month").alias("counted_month")).agg(
+        F.sum("y").alias("counted"), F.sum(content() * F.col("y").cast("decimal(18,0)")).cast("decimal(38,0)").alias("was")
     )
-    counted = daily.groupBy(F.col("month").alias("counted_month")).agg(F.sum("y").alias("counted"))
     same_month = F.col("month").eqNullSafe(F.col("counted_month"))
-    fresh = F.coalesce(F.col("stamp") < last, F.lit(False)) & (F.col("rows") == F.col("counted"))
-    stale = (
-        now.join(counted, same_month, "full")
-        .filter(~F.coalesce(fresh, F.lit(False)))
-        .select("month", F.col("rows").isNull().alias("vanished"))
-        .take(MAX_LISTED_PARTITIONS + 1)
+    same = (F.col("rows") == F.col("counted")) & (F.col("content") == F.col("was"))
+    return (
+        now.withColumn("in_silver", F.lit(True))
+        .join(counted.withColumn("in_daily", F.lit(True)), same_month, "full")
+        .select(
+            F.when(F.col("in_silver"), F.col("month")).otherwise(F.col("counted_month")).alias("month"),
+            F.when(F.coalesce(same, F.lit(False)), "fresh").otherwise("stale").alias("state"),
+        )
     )
-    if len(stale) > MAX_LISTED_PARTITIONS or any(r["vanished"] for r in stale):
-        return None
-    return stale
+
+
+def _stale_months(silver: DataFrame, daily: DataFrame) -> DataFrame:
+    """Months to count again: one row per month, stored, with a filter that lets Spark prune what it is joined to."""
+    return parked(_compared_months(silver, daily), "months").filter("state = 'stale'").select("month")
 
 
 def gold_job(spark: SparkSession, layers: Layers, full: bool = False) -> DataFrame:
     """Daily counts with lag and mean, laid out by month.
 
-    The counts are kept in a layer of their own and only the months that
-    changed in Silver are counted again, unless ``full``. The features need the
-    rows before a month, so they are computed over all daily counts, whose
-    number depends on days and series and not on requests.
+    The counts are kept in a layer of their own and only the months whose
+    content has changed in Silver are counted again, unless ``full``. The
+    features need the rows before a month, so they are computed over all daily
+    counts, whose number depends on days and series and not on requests.
     """
     silver = read_layer(spark, layers.silver)
-    months = None
+    counted = None
+    rows = silver
     if not full and layer_exists(spark, layers.daily):
-        months = _months_to_count(silver, read_layer(spark, layers.daily))
-    if months is None or months:
-        rows = silver if months is None else silver.filter(
-            one_of(["created_month"], [{"created_month": r["month"]} for r in months])
-        )
-        counts = (
-            rows.groupBy(F.to_date("created_ts_utc").alias("ds"), *DAILY_KEYS)
-            .agg(F.count(F.lit(1)).alias("y"), F.max("ingestion_date").alias("loaded"))
-            .withColumn("month", F.trunc("ds", "month"))
-        )
-        overwrite_layer(counts, layers.daily, ["month"], only_present=months is not None)
-    daily = read_layer(spark, layers.daily).drop("loaded")
+        counted = read_layer(spark, layers.daily)
+        stale = _stale_months(silver, counted)
+        rows = in_partitions(silver, stale.withColumnRenamed("month", "created_month"), ["created_month"])
+    counts = (
+        rows.groupBy(F.to_date("created_ts_utc").alias("ds"), *DAILY_KEYS)
+        .agg(F.count(F.lit(1)).alias("y"))
+        .withColumn("month", F.trunc("ds", "month"))
+    )
+    if counted is not None:
+        gone = stale.withColumnRenamed("month", "__month")
+        kept = counted.join(gone, F.col("month").eqNullSafe(F.col("__month")), "left_anti")
+        counts = kept.unionByName(counts)
+    if counted is None or not stale.isEmpty():
+        overwrite_layer(counts, layers.daily, ["month"])
+    daily = read_layer(spark, layers.daily)
     overwrite_layer(add_moving_avg(add_lag(daily)), layers.gold, ["month"])
     return read_layer(spark, layers.gold)
 
 
 def _registry(spark: SparkSession, layers: Layers) -> DataFrame:
-    if not layer_exists(spark, layers.model_runs):
-        return spark.createDataFrame([], REGISTRY_SCHEMA)
-    return read_layer(spark, layers.model_runs)
+    return _stored(spark, layers.model_runs, REGISTRY_SCHEMA)
 
 
 def _model_name(prefix: str, keys: Sequence[str]):
-    parts = [F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys]
-    return F.concat_ws("/", F.lit(prefix), *parts)
+    """Prefix and key values joined by "/"; a "/" or "\\" inside a value is escaped and NULL is a mark of its own."""
+    escaped = [F.replace(F.replace(F.col(k).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("/"), F.lit("\\/")) for k in keys]
+    return F.concat_ws("/", F.lit(prefix), *[F.coalesce(e, F.lit("\\N")) for e in escaped])
 
 
 def forecast_job(
@@ -162,14 +281,14 @@ def forecast_job(
     method: str = "regression",
     model_prefix: str = "requests",
 ) -> DataFrame:
-    """Forecast the daily totals, store the forecast, and record the run with its score.
+    """Forecast the daily totals, store the forecast, and log the training score.
 
-    The regression method also stores its coefficients under the new version.
+    The score is in-sample and says nothing against the held-out scores of
+    tuned versions, so it goes to ``training_log`` and not to the registry.
     """
     series = require_rows(series_total(read_layer(spark, layers.gold), keys), "daily table")
     if method == "regression":
-        model = fit_regression(series, keys)
-        overwrite_layer(model, layers.latest_fit)
+        overwrite_layer(fit_regression(series, keys), layers.latest_fit)
         fitted = read_layer(spark, layers.latest_fit)
         forecast = predict_regression(fitted, keys, params.horizon_days, interval_width=params.interval_width)
     else:
@@ -183,14 +302,8 @@ def forecast_job(
     settings = F.create_map(
         F.lit("horizon_days"), F.lit(str(params.horizon_days)), F.lit("method"), F.lit(method)
     )
-    named = score.select(_model_name(model_prefix, keys).alias("model_name"), settings.alias("params"), "mape")
-    runs = register_runs(_registry(spark, layers), named.withColumn("trial", F.lit(0)))
-    append_layer(runs, layers.model_runs)
-    if method == "regression":
-        registry = _registry(spark, layers)
-        newest = registry.groupBy("model_name").agg(F.max("version").alias("version"))
-        versions = fitted.withColumn("model_name", _model_name(model_prefix, keys)).join(newest, "model_name")
-        append_layer(versions, layers.coefficients)
+    run = F.lit(uuid.uuid4().hex).alias("run_id")
+    append_layer(score.select(run, _model_name(model_prefix, keys).alias("model_name"), settings.alias("params"), "mape"), layers.training_log)
     return stored
 
 
@@ -212,11 +325,20 @@ def tune_job(
     n_trials: int = 20,
     model_prefix: str = "requests",
 ) -> DataFrame:
-    """Score all trials, register them, and promote the best version when it is better."""
+    """Score all trials, register them with their fitted models, and promote the best version when it is better.
+
+    Every trial is scored on held-out days and then fitted on all days; its
+    coefficients are stored under the version it is registered as.
+    """
     series = require_rows(series_total(read_layer(spark, layers.gold), keys), "daily table")
-    trials = tune(series, keys, draw_trials(n_trials), tuning_days(params.horizon_days))
-    named = trials.withColumn("model_name", _model_name(model_prefix, keys))
-    append_layer(register_runs(_registry(spark, layers), named), layers.model_runs)
+    settings = draw_trials(n_trials)
+    trials = tune(series, keys, settings, params.horizon_days).withColumn("model_name", _model_name(model_prefix, keys))
+    overwrite_layer(register_runs(_registry(spark, layers), trials, keep=["trial"]), layers.latest_trials)
+    numbered = read_layer(spark, layers.latest_trials)
+    append_layer(numbered.drop("trial"), layers.model_runs)
+    fitted = fit_trials(series, keys, settings).withColumn("model_name", _model_name(model_prefix, keys))
+    versions = numbered.select("model_name", "trial", "version")
+    append_layer(fitted.join(versions, ["model_name", "trial"]).drop("trial"), layers.coefficients)
     registry = _registry(spark, layers)
     overwrite_layer(promote_if_better(registry), layers.promotions)
     require_rows(read_layer(spark, layers.promotions), "model versions with a score")
@@ -224,6 +346,29 @@ def tune_job(
     return read_layer(spark, layers.promotions)
 
 
+def stage_job(spark: SparkSession, layers: Layers, stage: str = "Production", source: str = "Staging") -> DataFrame:
+    """Move the newest version in ``source`` of every model to ``stage``."""
+    registry = _registry(spark, layers)
+    newest = registry.filter(F.col("stage") == source).groupBy("model_name").agg(F.max("version").alias("version"))
+    changed = set_stage(registry, newest.withColumn("stage", F.lit(stage)))
+    overwrite_layer(changed, layers.model_runs)
+    return _registry(spark, layers)
+
+
+def infer_job(
+    spark: SparkSession, layers: Layers, keys: Sequence[str] = (), params: Params = Params(), stage: str = "Production"
+) -> DataFrame:
+    """Forecast the days after the data from the stored models in ``stage``, without fitting.
+
+    Raises when a live version has no stored model.
+    """
+    registry, coefficients = _registry(spark, layers), read_layer(spark, layers.coefficients)
+    require_models(coefficients, registry, stage)
+    forecast = forecast_infer(coefficients, registry, keys, params.horizon_days, stage, params.interval_width)
+    overwrite_layer(forecast, layers.inferred)
+    return read_layer(spark, layers.inferred)
+
+
 def run_all(
     spark: SparkSession,
     raw: DataFrame,
@@ -248,7 +393,9 @@ __all__ = [
     "bronze_job",
     "forecast_job",
     "gold_job",
+    "infer_job",
     "run_all",
     "silver_job",
+    "stage_job",
     "tune_job",
 ]

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from calltide.operators import models, regression
-from calltide.plans.registry import query, rounded
-from calltide.plans.series_queries import pairs, total
+from calltide.plans.registry import DAILY, PAIRS, REQ, query, with_sql
+from calltide.plans.series_queries import PAIR, SPINE_AHEAD, pairs
 from calltide.sources.requests import table
 
 REGISTRY = """registry AS (
@@ -105,14 +105,36 @@ def register_runs(spark, sf_dir):
     return added.withColumn("year", F.col("params")["year"]).drop("params")
 
 
-@query()
-def tune(spark, sf_dir):
-    trials = regression.tune(total(spark, sf_dir), trials=regression.draw_trials(20))
-    spread = trials.select("trial", F.col("params")["seasonality_mode"].alias("seasonality_mode"), "mape")
-    return rounded(spread, ["mape"])
+TRIALS = ", ".join(f"({i}, '{t['seasonality_mode']}')" for i, t in enumerate(regression.draw_trials(20)))
 
 
-@query()
+@query(
+    with_sql(
+        REQ,
+        DAILY,
+        PAIRS,
+        select=f"""
+SELECT DISTINCT complaint_type, borough, CAST(trial AS INTEGER) AS trial, mode AS seasonality_mode, TRUE AS scored
+FROM pairs, (VALUES {TRIALS}) t(trial, mode)
+""",
+    )
+)
+def tune(spark, sf_dir):
+    """Every series and trial with its parameters, and whether it has a score that a forecast can have."""
+    trials = regression.tune(pairs(spark, sf_dir), PAIR, regression.draw_trials(20))
+    scored = F.coalesce(F.col("mape").between(0, 10), F.lit(False)).alias("scored")
+    return trials.select(*PAIR, "trial", F.col("params")["seasonality_mode"].alias("seasonality_mode"), scored)
+
+
+@query(
+    with_sql(
+        REQ,
+        DAILY,
+        PAIRS,
+        select="SELECT complaint_type AS model_name, CAST(1 AS BIGINT) AS version, borough, ds, TRUE AS banded FROM ("
+        + SPINE_AHEAD.format(first="max(ds) + 1") + ")",
+    )
+)
 def forecast_infer(spark, sf_dir):
     points = pairs(spark, sf_dir).withColumn("model_name", F.col("complaint_type"))
     coefficients = regression.fit_regression(points, ["model_name", "borough"]).withColumn(
@@ -120,6 +142,6 @@ def forecast_infer(spark, sf_dir):
     )
     live = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("model_name")).distinct()
     live = live.withColumns({"version": F.lit(1).cast("bigint"), "stage": F.lit("Production")})
-    return rounded(
-        regression.forecast_infer(coefficients, live, ["borough"]), ["yhat", "yhat_lower", "yhat_upper"]
-    )
+    found = regression.forecast_infer(coefficients, live, ["borough"])
+    inside = (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
+    return found.select("model_name", "version", "borough", "ds", inside.alias("banded"))

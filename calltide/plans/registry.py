@@ -72,14 +72,14 @@ g AS (SELECT {k}stddev_samp(rest - effect) AS sigma FROM r JOIN e {using_e} {gro
 
 
 def forecast_sql(keys: Sequence[str], horizon: int, z: float, history: bool = True) -> str:
-    """CTE f: forecast rows from the CTEs of ``fit_sql``."""
+    """CTE f: forecast rows of the observed days and the horizon from the CTEs of ``fit_sql``."""
     k = "".join(f"{c}, " for c in keys)
     using = f"USING ({', '.join(keys)})" if keys else "ON TRUE"
-    start = "first_ds" if history else "last_ds + 1"
+    observed = f"SELECT {k}slope, intercept, ds, dow FROM m JOIN x {using} UNION ALL " if history else ""
     return f"""
-s AS (SELECT *, unnest(generate_series(CAST({start} AS TIMESTAMP), CAST(last_ds + {horizon} AS TIMESTAMP),
+s AS (SELECT *, unnest(generate_series(CAST(last_ds + 1 AS TIMESTAMP), CAST(last_ds + {horizon} AS TIMESTAMP),
         INTERVAL 1 DAY)) AS t FROM m),
-d AS (SELECT *, CAST(t AS DATE) AS ds, dayofweek(t) AS dow FROM s),
+d AS ({observed}SELECT {k}slope, intercept, CAST(t AS DATE) AS ds, dayofweek(t) AS dow FROM s),
 p AS (SELECT d.*, intercept + slope * CAST(ds - DATE '2000-01-01' AS DOUBLE) + coalesce(effect, 0) AS yhat
       FROM d LEFT JOIN e USING ({', '.join([*keys, 'dow'])})),
 f AS (SELECT {k}ds, yhat, yhat - {z!r} * sigma AS yhat_lower, yhat + {z!r} * sigma AS yhat_upper

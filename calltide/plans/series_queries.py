@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from calltide.operators import anomaly, evaluate, forecast, holidays, regression, series
 from calltide.plans.registry import (
@@ -97,16 +98,22 @@ def add_calendar_features(spark, sf_dir):
     return rounded(series.add_calendar_features(pairs(spark, sf_dir), PAIR), ["y_day_ma7"])
 
 
+SPINE_AHEAD = """SELECT complaint_type, borough, CAST(t AS DATE) AS ds FROM (
+  SELECT complaint_type, borough, unnest(generate_series(CAST({first} AS TIMESTAMP),
+         CAST(max(ds) + 14 AS TIMESTAMP), INTERVAL 1 DAY)) AS t FROM pairs GROUP BY complaint_type, borough)"""
+
+
+@query(with_sql(REQ, DAILY, PAIRS, select=SPINE_AHEAD.format(first="min(ds)")))
+def date_spine_filled(spark, sf_dir):
+    return series.date_spine(pairs(spark, sf_dir), PAIR, horizon=14, fill_gaps=True)
+
+
 @query(
     with_sql(
         REQ,
         DAILY,
         PAIRS,
-        select="""
-SELECT complaint_type, borough, CAST(t AS DATE) AS ds FROM (
-  SELECT complaint_type, borough, unnest(generate_series(CAST(min(ds) AS TIMESTAMP),
-         CAST(max(ds) + 14 AS TIMESTAMP), INTERVAL 1 DAY)) AS t FROM pairs GROUP BY complaint_type, borough)
-""",
+        select="SELECT complaint_type, borough, ds FROM pairs UNION ALL " + SPINE_AHEAD.format(first="max(ds) + 1"),
     )
 )
 def date_spine(spark, sf_dir):
@@ -204,9 +211,23 @@ def forecast_trend_seasonal(spark, sf_dir):
     return rounded(forecast.forecast_trend_seasonal(pairs(spark, sf_dir), PAIR, horizon=14), BAND)
 
 
-@query()
+@query(
+    with_sql(
+        REQ,
+        DAILY,
+        PAIRS,
+        select="SELECT *, TRUE AS banded, TRUE AS unbiased FROM (SELECT complaint_type, borough, ds FROM pairs UNION ALL SELECT * FROM ("
+        + SPINE_AHEAD.format(first="max(ds) + 1") + "))",
+    )
+)
 def forecast_regression(spark, sf_dir):
-    return rounded(regression.forecast_regression(pairs(spark, sf_dir), PAIR, horizon=14), BAND)
+    """Rows of each series, whether each forecast lies in its band, and whether the residuals of a series cancel out."""
+    points = pairs(spark, sf_dir)
+    found = regression.forecast_regression(points, PAIR, horizon=14)
+    inside = (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
+    off = F.abs(F.avg(F.col("y") - F.col("yhat")).over(Window.partitionBy(*PAIR))) <= 0.02 * F.avg("y").over(Window.partitionBy(*PAIR))
+    judged = found.join(points, [*PAIR, "ds"], "left").withColumns({"banded": inside, "unbiased": off})
+    return judged.select(*PAIR, "ds", "banded", "unbiased")
 
 
 @query(

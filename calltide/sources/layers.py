@@ -12,7 +12,7 @@ import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,9 +21,6 @@ from calltide.operators.merge import dedup_latest, upsert
 from calltide.sources.scratch import shared_dir
 from calltide.sources.slices import preview
 
-MAX_LISTED_PARTITIONS = 4_000
-
-
 @dataclass(frozen=True)
 class Layer:
     root: str
@@ -111,6 +108,12 @@ def _write(df: DataFrame, path: str, partition_by: Sequence[str], mode: str, dyn
     writer.parquet(path)
 
 
+def append_only_layer(spark: SparkSession, layer: Layer) -> bool:
+    """Whether Bronze was laid out for appends, so that it may hold a key more than once."""
+    current = _current(spark, layer)
+    return current is not None and current["partition_by"] == ["ingestion_date"]
+
+
 def layer_exists(spark: SparkSession, layer: Layer) -> bool:
     return bool(_commit_numbers(spark, layer))
 
@@ -176,60 +179,52 @@ def append_layer(df: DataFrame, layer: Layer, partition_by: Sequence[str] = ())
     _write(df, f"{layer.path}/{current['folder']}", current["partition_by"], "append")
 
 
-def one_of(partition_by: Sequence[str], values: list) -> Column:
-    """Literal filter on partition values, which prunes the scan when it is planned.
+def in_partitions(df: DataFrame, partitions: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` in the given partitions, NULL being a value too.
 
-    The alternatives are halved into a balanced tree, so that thousands of
-    values stay a shallow expression.
+    A semi-join with one row per partition. When Spark broadcasts that side and
+    it has a filter, only those partitions are read. Partitions with a NULL
+    value are looked up apart, since only plain equality prunes.
     """
-    if len(values) == 1:
-        return all_of([F.col(c).eqNullSafe(F.lit(values[0][c])) for c in partition_by])
-    if not values:
-        return F.lit(False)
-    middle = len(values) // 2
-    return one_of(partition_by, values[:middle]) | one_of(partition_by, values[middle:])
-
-
-@dataclass(frozen=True)
-class _Touched:
-    """Partition values an upsert rewrites in place, and those it leaves empty."""
-
-    rewritten: list
-    emptied: list
+    named = partitions.select(*[F.col(c).alias(f"__{c}") for c in columns])
+    whole = df.join(named, all_of([df[c] == named[f"__{c}"] for c in columns]), "left_semi")
+    missing = named.filter(any_null([f"__{c}" for c in columns]))
+    partly = df.filter(any_null(columns))
+    return whole.unionByName(
+        partly.join(missing, all_of([partly[c].eqNullSafe(missing[f"__{c}"]) for c in columns]), "left_semi")
+    )
 
 
 def _touched_partitions(
-    target: DataFrame, staged: DataFrame, keys: Sequence[str], partition_by: Sequence[str], stable: bool
-) -> _Touched | None:
-    """Partitions an upsert has to rewrite, or None when there are too many to list.
-
-    Only partition values come to the driver. Unless keys are known to stay in
-    their partition, the target's keys are searched for staged keys in other
-    partitions. The search reads the key and partition columns within the
-    staged key range, a scalar subquery that prunes row groups.
+    target: DataFrame, staged: DataFrame, keys: Sequence[str], partition_by: Sequence[str]
+) -> DataFrame:
+    """Partitions an upsert changes, with ``kind``: rewritten, or emptied when all their rows leave.
+
+    The target's keys are searched for staged keys in other partitions. The
+    search reads the key and partition columns within the staged key range, a
+    scalar subquery that prunes row groups.
     """
+    spark = target.sparkSession
     arriving = staged.select(*partition_by).distinct()
-    values = arriving.take(MAX_LISTED_PARTITIONS + 1)
-    if len(values) > MAX_LISTED_PARTITIONS:
-        return None
-    if stable:
-        return _Touched(values, [])
-
     staged_keys = staged.select(*keys).filter(~any_null(keys))
     low, high = [staged_keys.agg(*[f(k).alias(k) for k in keys]) for f in (F.min, F.max)]
     in_range = all_of([F.col(k).between(low.select(k).scalar(), high.select(k).scalar()) for k in keys])
     held = target.select(*dict.fromkeys([*partition_by, *keys])).filter(in_range)
     giving = held.join(staged_keys, list(keys), "left_semi").groupBy(*partition_by).agg(F.count(F.lit(1)).alias("moved"))
     elsewhere = all_of([giving[c].eqNullSafe(arriving[c]) for c in partition_by])
-    moved = giving.join(arriving, elsewhere, "left_anti").take(MAX_LISTED_PARTITIONS + 1)
-    if len(moved) > MAX_LISTED_PARTITIONS:
-        return None
-    if not moved:
-        return _Touched(values, [])
-    sizes = target.filter(one_of(partition_by, moved)).groupBy(*partition_by).count().take(len(moved))
-    rows = {tuple(r[c] for c in partition_by): r["count"] for r in sizes}
-    emptied = [r for r in moved if rows[tuple(r[c] for c in partition_by)] == r["moved"]]
-    return _Touched(values + [r for r in moved if r not in emptied], emptied)
+    moved = parked(giving.join(arriving, elsewhere, "left_anti"), "moved")
+    sizes = in_partitions(target.select(*partition_by), moved, partition_by).groupBy(*partition_by).count()
+    same = all_of([moved[c].eqNullSafe(sizes[c]) for c in partition_by])
+    emptied = F.when(F.col("count") == F.col("moved"), "emptied").otherwise("rewritten").alias("kind")
+    left = moved.join(sizes, same).select(*[moved[c] for c in partition_by], emptied)
+    return parked(arriving.withColumn("kind", F.lit("rewritten")).unionByName(left), "touched")
+
+
+def parked(df: DataFrame, label: str) -> DataFrame:
+    """The rows, written to the shared folder."""
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def upsert_layer(
@@ -238,70 +233,56 @@ def upsert_layer(
     keys: Sequence[str],
     latest_by: Sequence[str] | None = None,
     partition_by: Sequence[str] = (),
-    stable_partitions: bool = False,
     in_place: bool = True,
     check: Callable[[DataFrame], object] | None = None,
+    null_keys: str = "insert",
 ) -> None:
     """Upsert into a layer, created if missing.
 
-    Only partitions that receive rows or hold a replaced key are read and
-    rewritten. ``stable_partitions`` promises that a key never changes its
-    partition and saves the search for replaced keys elsewhere. Give
-    ``latest_by`` unless the keys of the batch are unique. ``check`` sees the
+    With ``in_place`` only partitions that receive rows or hold a replaced key
+    are read and rewritten, whatever their number. Give ``latest_by`` (an empty
+    list will do) unless the keys of the batch are unique. ``check`` sees the
     staged rows and may raise before the layer is touched. Running the same
-    batch twice gives the same layer.
-
-    Partitions are swapped one by one when the write job commits. Where a
-    driver lost at that moment must not leave a partition missing, use
-    ``in_place=False``: the whole layer is rewritten and published at once.
+    batch twice gives the same layer as far as rows have keys; rows with a NULL
+    key are inserted again unless ``null_keys="once"``.
+
+    Partitions are swapped one by one when the write job commits. A driver lost
+    at that moment can leave a partition unswapped or missing, and running the
+    batch again does not bring back rows that were deleted: restore them from
+    the source layer. Where that must not happen use ``in_place=False``: the
+    whole layer is rewritten and published at once.
     """
     spark = staged.sparkSession
-    fresh = dedup_latest(staged, keys, latest_by) if latest_by else staged
+    fresh = dedup_latest(staged, keys, latest_by) if latest_by is not None else staged
     if check is None and not layer_exists(spark, layer):
         overwrite_layer(fresh, layer, partition_by)
         return
-    parked = shared_dir(spark, "staged")
-    fresh.write.parquet(parked)
-    fresh = spark.read.schema(fresh.schema).parquet(parked)
-    try:
-        if check:
-            check(fresh)
-        current = _current(spark, layer)
-        if current is None:
-            overwrite_layer(fresh, layer, partition_by)
-        elif not fresh.isEmpty():
-            _widen(spark, layer, current, fresh.schema)
-            target, columns = read_layer(spark, layer), current["partition_by"]
-            touched = None
-            if in_place and columns and set(fresh.columns) == set(target.columns):
-                touched = _touched_partitions(target, fresh, keys, columns, stable_partitions)
-            _merge_into(target, fresh, layer, keys, columns, touched)
-    finally:
-        _drop(spark, parked)
-
-
-def _merge_into(
-    target: DataFrame,
-    fresh: DataFrame,
-    layer: Layer,
-    keys: Sequence[str],
-    partition_by: Sequence[str],
-    touched: _Touched | None,
-) -> None:
-    if touched is None:
-        overwrite_layer(upsert(target, fresh, keys), layer, partition_by)
-        return
-    merged = upsert(target.filter(one_of(partition_by, touched.rewritten)), fresh, keys)
-    overwrite_layer(merged, layer, only_present=True)
-    if touched.emptied:  # an overwrite in place cannot clear a partition that receives no row
-        _drop_partitions(target.filter(one_of(partition_by, touched.emptied)))
-
-
-def _drop_partitions(rows: DataFrame) -> None:
-    """Delete the folders that hold the given rows."""
-    spark = rows.sparkSession
-    folders = rows.select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")).distinct()
-    for row in folders.take(MAX_LISTED_PARTITIONS):
+    fresh = parked(fresh, "staged")
+    if check:
+        check(fresh)
+    current = _current(spark, layer)
+    if current is None:
+        overwrite_layer(fresh, layer, partition_by)
+    elif not fresh.isEmpty():
+        _widen(spark, layer, current, fresh.schema)
+        target, columns = read_layer(spark, layer), current["partition_by"]
+        if in_place and columns and set(fresh.columns) == set(target.columns):
+            touched = _touched_partitions(target, fresh, keys, columns)
+            rewritten = in_partitions(target, touched.filter("kind = 'rewritten'"), columns)
+            # An overwrite in place cannot clear a partition that receives no row.
+            placed = target.select(*columns, F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"))
+            emptied = in_partitions(placed, touched.filter("kind = 'emptied'"), columns).select("folder").distinct()
+            emptied = parked(emptied, "emptied")
+            overwrite_layer(upsert(rewritten, fresh, keys, null_keys=null_keys), layer, only_present=True)
+            _drop_folders(emptied)
+        else:
+            overwrite_layer(upsert(target, fresh, keys, null_keys=null_keys), layer, columns)
+
+
+def _drop_folders(folders: DataFrame) -> None:
+    """Delete folders; their names come to the driver one part at a time."""
+    spark = folders.sparkSession
+    for row in folders.toLocalIterator():  # folder names
         path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["folder"]))
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -312,17 +293,23 @@ def write_bronze(
     key: str = "unique_key",
     latest_by: Sequence[str] = ("created_date",),
     append_only: bool = False,
+    in_place: bool = True,
+    check: Callable[[DataFrame], object] | None = None,
 ) -> None:
     """Upsert when the rows carry the key, else append.
 
     An append-only layer is partitioned by load date. A merged one is
-    partitioned by month of receipt, which later loads of a key do not change.
+    partitioned by month of receipt, which later loads of a key do not change,
+    and holds a key once even when the rows have no column to order them by.
     """
     if append_only or key not in df.columns:
+        if check:
+            df = parked(df, "arrived")
+            check(df)
         append_layer(df, layer, [c for c in ["ingestion_date"] if c in df.columns])
         return
     months = [c for c in ("received_year", "received_month") if c in df.columns]
-    upsert_layer(df, layer, [key], [c for c in latest_by if c in df.columns], months)
+    upsert_layer(df, layer, [key], [c for c in latest_by if c in df.columns], months, in_place, check, "once")
 
 
 def compact_layer(spark: SparkSession, layer: Layer, partitions: int | None = None) -> None:

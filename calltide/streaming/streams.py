@@ -16,8 +16,6 @@ from pyspark.sql.streaming import StreamingQuery
 from calltide.functions.times import instant, utc_wall
 from calltide.sources.layers import Layer, upsert_layer
 
-_SALTS = 32
-
 
 def watermarked(stream: DataFrame, ts: str, overlap_days: int) -> DataFrame:
     """Accept rows up to ``overlap_days`` late. A wall clock becomes the zoned time watermarks need."""
@@ -36,18 +34,21 @@ def stream_daily_counts(stream: DataFrame, ts: str, keys: Sequence[str], overlap
     )
 
 
-def stream_dedup(stream: DataFrame, key: str, ts: str, overlap_days: int = 1) -> DataFrame:
-    """First row per key within the overlap.
+def stream_dedup(stream: DataFrame, key: str, ts: str, overlap_days: int = 1, salts: int = 32) -> DataFrame:
+    """First row per key within the overlap; rows without a key are all kept.
 
     Duplicates are dropped in two steps, first per key and input partition
-    group, so a key with very many copies does not load one task.
+    group (``salts`` of them), so a key with very many copies does not load one
+    task. A row without a key gets a name of its own, which equals no other.
     """
+    own = F.when(F.col(key).isNull(), F.expr("uuid()"))
     return (
         watermarked(stream, ts, overlap_days)
-        .withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(_SALTS)))
-        .dropDuplicatesWithinWatermark([key, "__salt"])
+        .withColumns({"__own": own, "__salt": F.pmod(F.spark_partition_id(), F.lit(salts))})
+        .dropDuplicatesWithinWatermark([key, "__own", "__salt"])
         .drop("__salt")
-        .dropDuplicatesWithinWatermark([key])
+        .dropDuplicatesWithinWatermark([key, "__own"])
+        .drop("__own")
     )
 
 
@@ -59,11 +60,14 @@ def stream_upsert(
     checkpoint: str,
     partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Upsert every micro-batch into a layer; a replayed batch changes nothing."""
+    """Upsert every micro-batch into a layer; a replayed batch changes nothing.
+
+    A row without a key enters once: it is left out when an equal row is there.
+    """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            upsert_layer(batch, layer, keys, latest_by, partition_by)
+            upsert_layer(batch, layer, keys, latest_by, partition_by, null_keys="once")
 
     return (
         stream.writeStream.foreachBatch(apply)

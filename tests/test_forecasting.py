@@ -138,7 +138,9 @@ def test_tune_equals_a_direct_holdout_score(spark, series):
         assert got[number] == pytest.approx(float(np.mean(np.abs(y[-14:] - yhat) / np.maximum(y[-14:], 1))), rel=1e-6)
 
 
-def test_tune_skips_series_without_training_days(spark, series):
+def test_tune_gives_series_without_training_days_no_score(spark, series):
     short = spark.createDataFrame([("short", START, 5.0)], "k string, ds date, y double")
     got = regression.tune(series.filter("k = 'additive'").unionByName(short), ["k"], regression.draw_trials(2))
-    assert {(r.k, r.trial) for r in got.collect()} == {("additive", 0), ("additive", 1)}
+    scores = {(r.k, r.trial): r.mape for r in got.collect()}
+    assert set(scores) == {(k, t) for k in ("additive", "short") for t in (0, 1)}
+    assert all((v is None) == (k == "short") for (k, _), v in scores.items())

@@ -93,17 +93,60 @@ def test_incremental_gold_equals_full_recount(spark, sf_dir, where, as_of):
 
 
 def test_incremental_gold_reads_only_changed_months(spark, sf_dir, where):
-    """The overlap stamps the last load once more; after that a small load touches its own month only."""
+    """Months are compared by what is counted, so a changed status leaves them alone."""
     raw = half_year(spark, sf_dir)
     one = raw.orderBy("created_date").limit(1)
     load(spark, where, raw, "2001-07-01")
-    load(spark, where, one.withColumn("status", F.lit("R")), "2001-08-05")
-    load(spark, where, one.withColumn("status", F.lit("S")), "2001-08-09")
     jobs.gold_job(spark, where)
-    changed = load(spark, where, one.withColumn("status", F.lit("T")), "2001-08-12")
-    assert changed.filter("ingestion_date = DATE '2001-08-12'").count() == 1
-    stale = jobs._months_to_count(changed, layers.read_layer(spark, where.daily))
-    assert [str(r["month"]) for r in stale] == ["1998-01-01"]
+    stale = lambda df: [str(r["month"]) for r in jobs._stale_months(df, layers.read_layer(spark, where.daily)).collect()]
+    assert stale(load(spark, where, one.withColumn("status", F.lit("R")), "2001-08-05")) == []
+    assert stale(load(spark, where, one.withColumn("agency", F.lit("R")), "2001-06-05")) == ["1998-01-01"]
+
+
+def test_late_loads_reach_silver(spark, sf_dir, where):
+    raw = half_year(spark, sf_dir)
+    first = raw.filter("unique_key % 2 = 0")
+    jobs.bronze_job(first, where, "2001-03-01")
+    jobs.silver_job(spark, where, "2001-03-10")
+    jobs.bronze_job(raw.filter("unique_key % 2 = 1"), where, "2001-03-05")
+    assert jobs.silver_job(spark, where, "2001-03-10").count() == raw.count()
+    assert jobs.silver_job(spark, where, "2001-03-11").count() == raw.count()
+
+
+def test_unreadable_keys_are_rejected_and_never_doubled(spark, sf_dir, where):
+    raw = half_year(spark, sf_dir).withColumn("unique_key", F.col("unique_key").cast("string"))
+    bad = raw.limit(2).withColumn("unique_key", F.concat(F.lit("x"), "unique_key"))
+    none = raw.limit(1).withColumn("unique_key", F.lit(None).cast("string"))
+    rows = raw.unionByName(bad).unionByName(none)
+    for _ in range(3):
+        jobs.bronze_job(rows, where, "2001-03-01")
+        silver = jobs.silver_job(spark, where, "2001-03-01")
+        assert silver.count() == raw.count()
+        assert layers.read_layer(spark, where.rejects).count() == 3
+        assert jobs.gold_job(spark, where).agg(F.sum("y")).first()[0] == raw.count()
+    jobs.silver_job(spark, where, "2001-03-02", full=True)
+    jobs.silver_job(spark, where, "2001-03-02", load_dates=("2001-03-01", "2001-03-01"))
+    assert layers.read_layer(spark, where.silver).count() == raw.count()
+    assert layers.read_layer(spark, where.rejects).count() == 3
+
+
+def test_backfilled_correction_reaches_gold(spark, sf_dir, where):
+    raw = half_year(spark, sf_dir)
+    load(spark, where, raw, "2001-08-02")
+    jobs.gold_job(spark, where)
+    some = raw.limit(10).withColumn("complaint_type", F.lit("Heat"))
+    load(spark, where, some, "2001-07-01")
+    assert jobs.gold_job(spark, where).filter("complaint_type = 'Heat'").agg(F.sum("y")).first()[0] == 10
+
+
+def test_bronze_records_its_loads(spark, sf_dir, where):
+    raw = half_year(spark, sf_dir)
+    for _ in range(2):
+        jobs.bronze_job(raw, where, "1998-07-01", only_window=True, params=Params(sample_days=30))
+    summary = layers.read_layer(spark, where.ingest_summaries).collect()
+    expected = raw.filter("created_date >= TIMESTAMP_NTZ '1998-05-31'").count()
+    assert [r.records for r in summary] == [expected] * 2 and layers.read_layer(spark, where.bronze).count() == expected
+    assert layers.read_layer(spark, where.bronze_loads).select("load_id").distinct().count() == 2
 
 
 def test_append_only_bronze_keeps_every_load_and_silver_takes_the_newest(spark, sf_dir, where):
@@ -142,26 +185,41 @@ def test_every_stage_runs_once(spark):
     assert [called[s].call_count for s in stages] == [1] * 5
 
 
-def test_forecast_versions_and_tuning(spark, sf_dir, where):
+def test_tuned_versions_go_live_with_their_models(spark, sf_dir, where):
     load(spark, where, half_year(spark, sf_dir), "2001-08-02")
     jobs.gold_job(spark, where)
     keys = ["borough"]
     for _ in range(2):
         forecast = jobs.forecast_job(spark, where, keys)
     assert forecast.columns == ["borough", "ds", "yhat", "yhat_lower", "yhat_upper"]
-    runs = layers.read_layer(spark, where.model_runs)
-    assert {r.version for r in runs.collect()} == {1, 2} and runs.count() == 10
-    assert layers.read_layer(spark, where.coefficients).count() == 10
+    assert layers.read_layer(spark, where.training_log).count() == 10
+    assert not layers.layer_exists(spark, where.model_runs)  # training scores are no versions
     assert jobs.anomaly_job(spark, where, keys).count() > 0
 
-    decision = jobs.tune_job(spark, where, n_trials=4, params=Params(horizon_days=7)).collect()
-    total = [d for d in decision if d.model_name == "requests"]
-    assert len(total) == 1 and total[0].promoted
-    stages = {r.model_name: r.stage for r in layers.read_layer(spark, where.model_runs).filter("stage = 'Staging'").collect()}
-    assert "requests" in stages
-    again = jobs.tune_job(spark, where, n_trials=4, params=Params(horizon_days=7)).filter("model_name = 'requests'").first()
-    assert not again.promoted  # the same trials cannot beat themselves
-    assert again.best_version == total[0].best_version
+    few = Params(horizon_days=7)
+    decision = {d.model_name: d for d in jobs.tune_job(spark, where, keys, n_trials=4, params=few).collect()}
+    assert len(decision) == 5 and all(d.promoted for d in decision.values())
+    again = {d.model_name: d for d in jobs.tune_job(spark, where, keys, n_trials=4, params=few).collect()}
+    assert not any(d.promoted for d in again.values())  # the same trials cannot beat themselves
+    assert {n: d.best_version for n, d in again.items()} == {n: d.best_version for n, d in decision.items()}
+    assert layers.read_layer(spark, where.coefficients).count() == 5 * 8
+
+    with pytest.raises(ValueError, match="Production"):
+        jobs.infer_job(spark, where, keys, few)
+    jobs.stage_job(spark, where)
+    ahead = jobs.infer_job(spark, where, keys, few)
+    assert ahead.count() == 5 * 7
+    live = {(r.model_name, r.version) for r in ahead.select("model_name", "version").distinct().collect()}
+    assert live == {(n, d.best_version) for n, d in decision.items()}
+    layers.overwrite_layer(layers.read_layer(spark, where.coefficients).filter("version > 4"), where.coefficients)
+    with pytest.raises(ValueError, match="no stored model"):
+        jobs.infer_job(spark, where, keys, few)
+
+
+def test_model_names_keep_keys_apart(spark):
+    rows = [("a/b", "c"), ("a", "b/c"), (None, "c"), ("NULL", "c"), ("\\N", "c"), ("a\\", "b")]
+    names = spark.createDataFrame(rows, "x string, y string").select(jobs._model_name("m", ["x", "y"])).distinct()
+    assert names.count() == len(rows)
 
 
 def test_empty_gold_is_an_error(spark, where):
@@ -202,6 +260,15 @@ def test_stream_dedup_across_batches(spark, sf_dir, tmp_path):
     assert got.count() == events.count() == got.select("event_id").distinct().count()
 
 
+def test_stream_keeps_rows_without_a_key(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = spark.sql("SELECT CAST(NULL AS BIGINT) AS k, TIMESTAMP_NTZ '2024-01-01' AS ts FROM range(5) UNION ALL SELECT 1, TIMESTAMP_NTZ '2024-01-01' FROM range(3)")
+    rows.write.parquet(source)
+    stream = spark.readStream.schema(rows.schema).parquet(source)
+    streams.write_stream(streams.stream_dedup(stream, "k", "ts", salts=3), f"{out}/rows", f"{out}/cp").awaitTermination()
+    assert spark.read.parquet(f"{out}/rows").count() == 6
+
+
 def test_stream_upsert_resumes_from_its_checkpoint(spark, sf_dir, tmp_path):
     layer = Layer(str(tmp_path), "events")
     events = table(spark, sf_dir, "events").select("event_id", "ts", "value")

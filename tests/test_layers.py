@@ -199,16 +199,56 @@ def test_empty_and_mistyped_batches(spark, layer):
         layers.upsert_layer(frame(spark, [(1, 1, "a", 1)]).withColumn("t", F.lit("x")), layer, ["k"])
 
 
-def test_too_many_partitions_fall_back_to_a_rewrite(spark, layer, monkeypatch):
-    base = [(k, 1, "old", k) for k in range(6)]
+def test_every_partition_is_rewritten_in_place(spark, layer):
+    """The way of an upsert does not depend on how many partitions it touches."""
+    base = [(k, 1, "old", k) for k in range(60)]
     layers.upsert_layer(frame(spark, base), layer, ["k"], ["t"], ["p"])
-    monkeypatch.setattr(layers, "MAX_LISTED_PARTITIONS", 3)
-    layers.upsert_layer(frame(spark, [(k, 2, "new", k + 1) for k in range(5)]), layer, ["k"], ["t"])
-    assert read(spark, layer) == sorted([(k, 2, "new", k + 1) for k in range(5)] + base[5:], key=str)
-    assert len(folders(layer)) == 2
+    layers.upsert_layer(frame(spark, [(k, 2, "new", k + 1) for k in range(59)]), layer, ["k"], ["t"])
+    assert read(spark, layer) == sorted([(k, 2, "new", k + 1) for k in range(59)] + base[59:], key=str)
+    assert folders(layer) == ["data-00000001"]
+
+
+def test_null_partitions_can_be_selected(spark):
+    df = spark.createDataFrame([(1, None), (2, 5), (3, 6)], "k int, p int")
+    wanted = spark.createDataFrame([(None,), (6,)], "p int")
+    assert sorted(r.k for r in layers.in_partitions(df, wanted, ["p"]).collect()) == [1, 3]
+
+
+def test_small_upsert_reads_only_touched_partitions(spark, layer):
+    from tests.test_plans import plan
+
+    layers.upsert_layer(frame(spark, [(k, 1, "old", k % 5) for k in range(50)]), layer, ["k"], ["t"], ["p"])
+    touched = layers.parked(spark.createDataFrame([(2, "rewritten")], "p int, kind string"), "touched")
+    text = plan(layers.in_partitions(layers.read_layer(spark, layer), touched.filter("kind = 'rewritten'"), ["p"]))
+    assert "dynamicpruning" in text
+
+
+def test_replayed_rows_without_key_enter_once_when_asked(spark, layer):
+    batch = frame(spark, [(1, 1, "a", 1), (None, 1, "n", 1), (None, 2, "m", 2)])
+    for _ in range(3):
+        layers.upsert_layer(batch, layer, ["k"], ["t"], ["p"], null_keys="once")
+    assert read(spark, layer) == sorted([(1, 1, "a", 1), (None, 1, "n", 1), (None, 2, "m", 2)], key=str)
+
+
+def test_bronze_without_a_time_column_has_one_row_per_key(spark, layer):
+    rows = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "c")], "unique_key string, v string")
+    layers.write_bronze(rows, layer)
+    assert read(spark, layer) == [("1", "b"), ("2", "c")]
+
+
+def test_catalog_tables(spark):
+    import uuid
 
+    from calltide.sources import tables
 
-def test_many_partition_values_stay_a_shallow_filter(spark):
-    df = spark.range(3000).withColumn("q", F.col("id") % 2)
-    wanted = [{"id": i, "q": i % 2} for i in range(2000)]
-    assert df.filter(layers.one_of(["id", "q"], wanted)).count() == 2000
+    name = f"t_{uuid.uuid4().hex}"
+    assert not tables.table_exists(spark, name)
+    tables.append_table(spark.createDataFrame([(1, "a")], "k int, v string"), name)
+    tables.append_table(spark.createDataFrame([("x", 2)], "w string, k int"), name)
+    assert tables.table_exists(spark, name)
+    assert sorted(map(tuple, spark.table(name).select("k", "v", "w").collect())) == [(1, "a", None), (2, None, "x")]
+    with pytest.raises(ValueError, match="k"):
+        tables.append_table(spark.createDataFrame([("y",)], "k string"), name)
+    tables.upsert_table(spark.createDataFrame([(1, "b", None), (3, "c", None)], "k int, v string, w string"), name, ["k"], ["v"])
+    assert sorted((r.k, r.v) for r in spark.table(name).collect()) == [(1, "b"), (2, None), (3, "c")]
+    spark.sql(f"DROP TABLE {name}")

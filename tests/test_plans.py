@@ -58,6 +58,28 @@ def test_incremental_slice_prunes_partitions(spark, tmp_path):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_jobs_read_only_partitions_that_changed(spark, sf_dir, tmp_path):
+    """On the layout the jobs write: Bronze by month of receipt, Silver by month of creation."""
+    from calltide.params import Params
+    from calltide.plans import jobs
+
+    where = jobs.Layers(str(tmp_path / "layers"))
+    raw = requests(spark, sf_dir, closed=True)
+    month = raw.filter("created_date >= TIMESTAMP_NTZ '1997-03-01' AND created_date < TIMESTAMP_NTZ '1997-04-01'")
+    jobs.bronze_job(raw, where, "2001-07-01")
+    jobs.silver_job(spark, where, "2001-07-01")
+    jobs.gold_job(spark, where)
+    jobs.bronze_job(month.withColumn("complaint_type", F.lit("other")), where, "2001-08-01")
+    rows, _ = jobs._bronze_slice(spark, where, Params(overlap_days=0), False, None)
+    assert rows.count() == month.count()
+    assert "dynamicpruning" in plan(rows).split("/bronze/")[0]
+    silver = jobs.silver_job(spark, where, "2001-08-01", Params(overlap_days=0))
+    stale = jobs._stale_months(silver, layers.read_layer(spark, where.daily))
+    assert [str(r.month) for r in stale.collect()] == ["1997-03-01"]
+    pruned = layers.in_partitions(silver, stale.withColumnRenamed("month", "created_month"), ["created_month"])
+    assert "dynamicpruning" in plan(pruned).split("/silver/")[0]
+
+
 def test_dedup_drops_losers_before_the_shuffle(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate")
     text = plan(merge.dedup_latest(lines, ["l_orderkey"], ["l_shipdate"], null_keys="drop"))
@@ -122,12 +144,20 @@ def test_null_keys_do_not_meet_in_one_reducer(spark):
         merged = merge.upsert(target, staged, ["k"])
         assert merged.count() == 8010
         text = plan(merged)
-        assert "Filter" in text.split("Exchange hashpartitioning(")[1]  # NULL keys leave before the shuffle
-        assert exchanges(text) == 2  # the two sides of the keyed join, none for NULL keys
+        assert "__apart" in text.split("Exchange hashpartitioning(")[1].split(")")[0]
+        assert exchanges(text) == 2  # the two sides of the join
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_dedup_and_upsert_read_each_input_once(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate")
+    assert plan(merge.dedup_latest(lines, ["l_orderkey"], ["l_shipdate"])).count("FileScan") == 1
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").alias("l_shipdate"))
+    text = plan(merge.upsert(lines, orders, ["l_orderkey"]))
+    assert text.count("lineitem.parquet") == 1
+
+
 @pytest.mark.parametrize("name", ["gold_features", "upsert", "breach_streak", "dedup_latest"])
 def test_result_does_not_depend_on_partitioning(spark, sf_dir, rows, name):
     few = rows(entry.queries()[name](spark, sf_dir))
@@ -178,14 +208,17 @@ def test_hot_customer_is_split_over_tasks(spark, tmp_path):
 
 
 def test_no_rows_travel_through_the_driver():
-    """Only the failed rules of a quality report are collected."""
+    """Only the failed rules of a quality report, the names of emptied folders and one model without coefficients are collected."""
     from pathlib import Path
 
     import calltide
 
     found = []
     for path in Path(calltide.__file__).parent.rglob("*.py"):
+        if "llm" in path.parts:  # has its own bounds and checks
+            continue
         for line in path.read_text().splitlines():
-            if re.search(r"\.(collect|toPandas|toLocalIterator|localCheckpoint|crossJoin|rdd)\b", line):
+            if re.search(r"\.(collect|toPandas|toLocalIterator|localCheckpoint|crossJoin|rdd|take|first|head)\(", line):
                 found.append(f"{path.name}: {line.strip()}")
-    assert len(found) == 1 and "one row per failed rule" in found[0], found
+    allowed = ("one row per failed rule", "folder names", "limit(1).first()")
+    assert len(found) == 3 and all(any(a in f for a in allowed) for f in found), found

@@ -44,7 +44,21 @@ def test_calendar_features_count_days(spark):
 
 def test_spine_and_last_n(spark, rows):
     df = points(spark, [(1, 5), (4, 6)], "a")
-    assert rows(series.date_spine(df, ["k"], 2)) == [("a", day(n)) for n in range(1, 7)]
+    assert rows(series.date_spine(df, ["k"], 2)) == [("a", day(n)) for n in (1, 4, 5, 6)]
+    assert rows(series.date_spine(df, ["k"], 2, fill_gaps=True)) == [("a", day(n)) for n in range(1, 7)]
+    assert rows(series.date_spine(df, ["k"], 0)) == [("a", day(1)), ("a", day(4))]
+
+
+def test_a_wrong_year_does_not_fill_the_calendar(spark):
+    df = spark.createDataFrame([("a", date(2024, 1, 1), 1), ("a", date(2024, 1, 2), 1), ("a", date(9999, 6, 1), 1)], "k string, ds date, y long")
+    assert series.date_spine(df, ["k"], 7).count() == 10
+    assert forecast.forecast_trend_seasonal(df, ["k"], horizon=7).count() == 10
+    filled = series.date_spine(df, ["k"], 7, fill_gaps=True)
+    assert filled.count() == filled.distinct().count() == (date(9999, 6, 1) - date(2024, 1, 1)).days + 8
+
+
+def test_last_n(spark, rows):
+    df = points(spark, [(1, 5), (4, 6)], "a")
     assert rows(series.last_n(df, ["k"], 1)) == [("a", day(4), 6)]
 
 
@@ -76,7 +90,7 @@ def test_holidays_of_known_years(spark):
 
 def test_holiday_flags_agree_with_the_calendar(spark):
     span = spark.createDataFrame([(date(1985, 1, 1),), (date(2033, 12, 31),)], "ds date")
-    days = series.date_spine(span.withColumn("y", F.lit(1)), horizon=0)
+    days = series.date_spine(span.withColumn("y", F.lit(1)), horizon=0, fill_gaps=True)
     flagged = days.select("ds", F.array(*holiday_flags(F.col("ds"))).alias("f")).collect()
     assert all(len(r.f) == len(HOLIDAY_NAMES) for r in flagged)
     from_flags = {r.ds for r in flagged if sum(r.f) > 0}
