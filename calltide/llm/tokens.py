@@ -7,7 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 
-CACHE_WORDS = 600_000  # entries of either cache; what comes later is encoded anew each time
+CACHE_WORDS = 300_000  # entries of either cache; what comes later is encoded anew each time
 
 # Lower-case words of one script block, and what may follow them in a word. The tokenizer's own rules cut between the two,
 # and neither normalises further, so both parts can be encoded alone.
