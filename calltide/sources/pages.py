@@ -23,7 +23,7 @@ def _records(spark: SparkSession, path: str | list[str], multiline: bool) -> Dat
     A page is an array of records or a single one. It is a line of a file, or
     with ``multiline`` a whole file.
     """
-    pages = spark.read.option("wholetext", multiline).text(path).filter(F.length(F.trim("value")) > 0)
+    pages = spark.read.text(path, wholetext=multiline).filter(F.length(F.trim("value")) > 0)
     record = T.MapType(T.StringType(), T.StringType())
     is_array = F.col("value").rlike(r"^\s*\[")
     listed = F.when(is_array, F.from_json("value", T.ArrayType(T.StringType()))).otherwise(F.array("value"))
