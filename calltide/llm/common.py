@@ -61,13 +61,14 @@ def text_chunks(
 
 
 def map_texts(
-    df: DataFrame, text: str, fn: Callable[[list[str | None]], dict[str, list | np.ndarray | pa.Array]], schema: str
-) -> DataFrame:
-    """Append columns computed from bounded slices of the texts; the text itself is not returned."""
+    df: DataFrame, text: str, fn: Callable[[list[str | None]], dict[str, list | np.ndarray | pa.Array]], schema: str,
+    keep_text: bool = False,
+) -> DataFrame:
+    """Append columns computed from bounded slices of the texts; the text itself is returned only when asked for."""
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    keep = [c for c in df.columns if c != text]
+    keep = [c for c in df.columns if keep_text or c != text]
     new = StructType.fromDDL(schema)
     out = StructType([*(df.schema[c] for c in keep), *new])
     arrow = to_arrow_schema(out)

@@ -277,8 +277,9 @@ def _links(signed: DataFrame, comps: DataFrame, similarity: float) -> DataFrame:
 
 
 def jaccard_join(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, row_col: str | None = None
-) -> DataFrame:
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
+    row_col: str | None = None, keep_text: bool = False,
+) -> DataFrame:
     """Classes of texts that hang together by similarity: ``doc_id, class_id, n_links, n_copies, is_first``.
 
     Two different texts are linked if their sets of five-word windows have a Jaccard similarity of at least ``similarity``; a
@@ -286,7 +287,7 @@ def jaccard_join(
     different texts a text is linked to, ``n_copies`` the rows with the same text, the row itself included. A class is
     what links and copies connect, and is named by its smallest doc_id; ``is_first`` holds for one row of it, the one with
     that id. A NULL text is a class of its own. NULL ids rank last. With ``row_col``, of any type, the result has
-    that column as well.
+    that column as well, with ``keep_text`` the text.
 
     Texts that share a band of MinHash values are put into components by one edge to the first text of the band, so a band
     of many texts gives few rows. Inside a component, blocks of texts of like size meet as tiles: pairs compare MinHash
@@ -332,7 +333,7 @@ def jaccard_join(
         .select("k1", "k2", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("class", "first").alias("class")),
         "by-text",
     )
-    rows = signed.select("doc_id", "row", F.when(F.col("text").isNotNull(), F.col("k1")).alias("k1"), "k2", *(["given"] if row_col else []))
+    rows = signed.select("doc_id", "row", F.when(F.col("text").isNotNull(), F.col("k1")).alias("k1"), "k2", *(["given"] if row_col else []), *(["text"] if keep_text else []))
     return rows.join(by_text.hint("merge"), ["k1", "k2"], "left").select(
         "doc_id",
         F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("class.doc_id")).alias("class_id"),
@@ -340,4 +341,5 @@ def jaccard_join(
         F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
         F.coalesce(F.col("class.row") == F.col("row"), F.lit(True)).alias("is_first"),
         *([F.col("given").alias(row_col)] if row_col else []),
+        *([F.col("text").alias(text_col)] if keep_text else []),
     )

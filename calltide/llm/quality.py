@@ -66,9 +66,9 @@ def content_share(chain: crf.Chain, texts: list[str | None]) -> np.ndarray:
 
 
 def quality_rules(
-    docs: DataFrame, chain: crf.Chain, text_col: str = "text", min_content: float = MIN_CONTENT
+    docs: DataFrame, chain: crf.Chain, text_col: str = "text", min_content: float = MIN_CONTENT, keep_text: bool = False
 ) -> DataFrame:
-    """Append counts, ``base_failed``, ``content_share`` and ``kept`` to the other columns; the text is not returned.
+    """Append counts, ``base_failed``, ``content_share`` and ``kept`` to the other columns, with ``keep_text`` to all.
 
     A document is kept if it passes the base rules (10 words at least, at most a fifth of them in repeated five-word windows)
     and at least ``min_content`` of it is content. NULL and empty texts have no words and fail. Each row is judged alone, so
@@ -81,7 +81,7 @@ def quality_rules(
         made["content_share"] = content_share(chain, texts)
         return made
 
-    found = map_texts(docs, text_col, run, ", ".join(f"{c} long" for c in _COUNTS) + ", content_share double")
+    found = map_texts(docs, text_col, run, ", ".join(f"{c} long" for c in _COUNTS) + ", content_share double", keep_text)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     return found.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (F.col("content_share") >= min_content)
