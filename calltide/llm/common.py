@@ -19,7 +19,7 @@ CHUNK_BYTES = 500_000  # text handled at once inside a task
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage and survives lost executors."""
     path = shared_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -135,7 +135,9 @@ def write_token_files(
         .sortWithinPartitions("doc", "row")
         .drop("row")
     )
-    ordered.mapInArrow(lambda b: _shards(b, tokenizer_path, end_id, shard_ids, arrow), schema).write.parquet(path)
+    ordered.mapInArrow(lambda b: _shards(b, tokenizer_path, end_id, shard_ids, arrow), schema).write.option(
+        "compression", "zstd"
+    ).parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
