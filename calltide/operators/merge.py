@@ -58,12 +58,45 @@ def _unmatched(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> Dat
     return apart.join(staged_keys, [*keys, "__apart"], "left_anti").select(*target.columns)
 
 
+def _comparable(value: Column, kind: T.DataType) -> Column:
+    """The value with maps as sorted entries and variants as JSON with their type, so that ``=`` and hashes take it."""
+    if isinstance(kind, T.VariantType):
+        # A NULL of its own type for a missing variant, which differs from the JSON null.
+        return F.when(value.isNotNull(), F.struct(F.to_json(value).alias("json"), F.schema_of_variant(value).alias("type")))
+    if isinstance(kind, T.MapType):
+        entry = lambda e: F.struct(
+            _comparable(e["key"], kind.keyType).alias("key"), _comparable(e["value"], kind.valueType).alias("value")
+        )
+        return F.sort_array(F.transform(F.map_entries(value), entry))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda v: _comparable(v, kind.elementType)) if _holds_unordered(kind) else value
+    if isinstance(kind, T.StructType) and _holds_unordered(kind):
+        fields = [_comparable(value.getField(f.name), f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    return value
+
+
+def _holds_unordered(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _holds_unordered(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_holds_unordered(f.dataType) for f in kind.fields)
+    return isinstance(kind, _UNORDERED)
+
+
 def _new_rows(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Staged rows without those of NULL key that the target holds already, equal in all columns."""
-    plain = [f.name for f in target.schema.fields if not isinstance(f.dataType, _UNORDERED)]
-    held = target.filter(any_null(keys)).select(F.xxhash64(*plain).alias("__held")).distinct()
-    hashed = staged.withColumn("__held", F.when(any_null(keys), F.xxhash64(*plain)))
-    return hashed.join(held, "__held", "left_anti").select(*staged.columns)
+    """Staged rows without those of NULL key that the target holds already, equal in all columns.
+
+    A hash finds candidates and the rows themselves decide, NULL being a value
+    too: the hash skips NULLs. Columns the target lacks are NULL on its rows.
+    """
+    kinds = {f.name: f.dataType for f in staged.schema.fields}
+    stored = target.select("*", *[F.lit(None).cast(k).alias(c) for c, k in kinds.items() if c not in target.columns])
+    row = F.struct(*[_comparable(F.col(c), k).alias(f"c{i}") for i, (c, k) in enumerate(kinds.items())])
+    held = stored.filter(any_null(keys)).select(row.alias("__stored")).withColumn("__held", F.xxhash64("__stored"))
+    hashed = staged.withColumn("__row", row).withColumn("__hash", F.xxhash64("__row"))
+    same = (F.col("__hash") == F.col("__held")) & F.col("__row").eqNullSafe(F.col("__stored"))
+    return hashed.join(held, same, "left_anti").select(*staged.columns)
 
 
 def upsert(

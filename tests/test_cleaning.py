@@ -182,6 +182,24 @@ def test_upsert_is_idempotent_and_disjoint_batches_commute(spark, rows):
     )
 
 
+def test_unlike_rows_without_a_key_all_enter_once(spark, rows):
+    """Rows that hash alike because hashes skip NULLs, and rows that differ only in a map or variant."""
+    made = lambda values: spark.sql(
+        "SELECT CAST(k AS INT) AS k, a, b, m, parse_json(v) AS v FROM VALUES " + values + " t(k, a, b, m, v)"
+    )
+    shown = lambda df: rows(df.selectExpr("k", "a", "b", "to_json(m) AS m", "to_json(v) AS v"))
+    held = made("(NULL, NULL, 'x', map('p', 1, 'q', 2), '{\"n\": 1}')")
+    batch = made("""
+        (NULL, 'x', NULL, map('p', 1, 'q', 2), '{"n": 1}'), (NULL, NULL, 'x', map('p', 1, 'q', 3), '{"n": 1}'),
+        (NULL, NULL, 'x', map('p', 1, 'q', 2), '{"n": "1"}'), (NULL, NULL, 'x', NULL, '{"n": 1}'),
+        (NULL, NULL, 'x', map('p', 1, 'q', 2), NULL), (NULL, NULL, 'x', map('q', 2, 'p', 1), '{"n": 1}')""")
+    once = merge.upsert(held, batch, ["k"], null_keys="once")
+    assert once.count() == 6
+    assert shown(merge.upsert(once, batch, ["k"], null_keys="once")) == shown(once)
+    wider = held.withColumn("w", F.lit(1))
+    assert merge.upsert(held, wider, ["k"], null_keys="once").count() == 2
+
+
 def test_upsert_takes_latest_of_a_batch(spark, rows):
     target = spark.createDataFrame([(1, 0, "old")], "k int, t int, v string")
     staged = spark.createDataFrame([(1, 1, "a"), (1, 2, "b")], "k int, t int, v string")

@@ -230,6 +230,14 @@ def test_replayed_rows_without_key_enter_once_when_asked(spark, layer):
     assert read(spark, layer) == sorted([(1, 1, "a", 1), (None, 1, "n", 1), (None, 2, "m", 2)], key=str)
 
 
+def test_bronze_keeps_sparse_rows_without_a_key_apart(spark, layer):
+    """The same value in one column or another: a hash that skips NULLs cannot tell such rows apart."""
+    schema = "unique_key string, status string, city string, created_date string"
+    for row in [(None, "x", None, None), (None, None, "x", None), (None, "x", None, None)]:
+        layers.write_bronze(spark.createDataFrame([row], schema), layer)
+    assert read(spark, layer) == sorted([(None, "x", None, None), (None, None, "x", None)], key=str)
+
+
 def test_bronze_without_a_time_column_has_one_row_per_key(spark, layer):
     rows = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "c")], "unique_key string, v string")
     layers.write_bronze(rows, layer)
