@@ -66,6 +66,80 @@ def water_fill(sources: DataFrame, total: float, max_epochs: float = MAX_EPOCHS)
     return sources.withColumn("target", F.when(clamped, cap).otherwise(F.col("weight") * F.lit(level)))
 
 
+def _up_to(cut: Column, row: str) -> Column:
+    """Whether a row comes before a cut or at it; a cut without an edge takes all rows."""
+    before = F.coalesce(F.struct("h", "doc_id", row) <= cut["last"], F.lit(False))
+    for j in reversed(range(LEVELS)):
+        before = (F.col(f"b{j}") < cut[f"e{j}"]) | ((F.col(f"b{j}") == cut[f"e{j}"]) & before)
+    return cut["e0"].isNull() | before
+
+
+def _cut(pool: DataFrame, row: str) -> DataFrame:
+    """Where the gap of each source of ``pool`` is used up: hash ranges ``e0, e1, ...`` and the last row in them that fits.
+
+    Sources whose rows all fit are left out.
+    """
+    # For each level: the hash range in which the gap is used up, and what is left on entering it.
+    edge = None
+    for i in range(LEVELS):
+        held = [f"e{j}" for j in range(i)]
+        inside = pool.withColumn("left", F.col("gap")) if edge is None else _at(pool, edge, i)
+        sums = inside.groupBy("source", "left", *held, f"b{i}").agg(F.sum("size").alias("size"))
+        upto = Window.partitionBy("source").orderBy(f"b{i}")
+        sums = sums.withColumn("upto", F.sum("size").over(upto)).where(F.col("upto") > F.col("left"))
+        edge = staged(
+            sums.groupBy("source", "left", *held)
+            .agg(F.min(F.struct(f"b{i}", "upto", "size")).alias("at"))
+            .select("source", (F.col("left") - F.col("at.upto") + F.col("at.size")).alias("left"), *held, F.col(f"at.b{i}").alias(f"e{i}")),
+            "edges",
+        )
+    order = Window.partitionBy("source").orderBy("h", "doc_id", row)
+    fits = _at(pool, edge, LEVELS).withColumn("upto", F.sum("size").over(order)).where(F.col("upto") <= F.col("left"))
+    last = fits.groupBy("source").agg(F.max(F.struct("h", "doc_id", row)).alias("last")).withColumnRenamed("source", "t")
+    return edge.drop("left").join(last, edge.source.eqNullSafe(last.t), "left").drop("t")
+
+
+def _at(pool: DataFrame, edge: DataFrame, levels: int) -> DataFrame:
+    """Rows of the edge range of their source, with ``left``."""
+    inside = pool.join(edge, pool.source.eqNullSafe(edge.source)).drop(edge.source)
+    for j in range(levels):
+        inside = inside.where(F.col(f"b{j}") == F.col(f"e{j}"))
+    return inside
+
+
+def _cuts(keyed: DataFrame, gaps: DataFrame, row: str) -> DataFrame:
+    """Rounds in which documents fill the gap of each source in hash order, leaving out those that do not fit.
+
+    ``source, cuts``: a round takes the rows no larger than the gap on entering it, up to its cut. What is left is smaller
+    than the row that did not fit, so the next round looks among the smaller rows only, until none is left that fits. The
+    rows that end rounds have ever smaller sizes in a random order, so rounds grow with the logarithm of the rows.
+    """
+    at, found = 0, None
+    pool = keyed
+    while True:
+        fitting = pool.join(gaps.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+        pool = staged(fitting.where((F.col("gap") > 0) & (F.col("size") <= F.col("gap"))), "pool")
+        if at and pool.isEmpty():
+            break
+        edges = _cut(pool, row).withColumnRenamed("source", "s")
+        held = gaps.where("gap > 0").join(edges, gaps.source.eqNullSafe(F.col("s")), "left").drop("s")
+        cuts = staged(held.withColumn("round", F.lit(at)), "cuts")
+        found = cuts if found is None else found.unionByName(cuts)
+        cut = F.struct(*(f"e{j}" for j in range(LEVELS)), "last")
+        now = cuts.select(F.col("source").alias("s"), cut.alias("cut"))
+        marked = pool.join(now, pool.source.eqNullSafe(now.s)).withColumn("taken", _up_to(F.col("cut"), row)).drop("s", "cut")
+        spent = marked.where("taken").groupBy(F.col("source").alias("s")).agg(F.sum("size").alias("spent"))
+        gaps = staged(
+            gaps.join(spent, gaps.source.eqNullSafe(spent.s), "left")
+            .select("source", (F.col("gap") - F.coalesce("spent", F.lit(0))).alias("gap")),
+            "gaps",
+        )
+        pool = marked.where("not taken and size > 0").drop("taken", "gap")
+        at += 1
+    fields = ["round", "gap", *(f"e{j}" for j in range(LEVELS)), "last"]
+    return found.groupBy("source").agg(F.collect_list(F.struct(*fields)).alias("cuts"))
+
+
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS, seed: int = 7,
@@ -75,9 +149,9 @@ def mix(
 
     The sources' targets share ``share`` of all words by weight and stop at ``max_epochs`` times the source's words, the
     excess being shared anew. A source with a target of e epochs gives each document floor(e) whole times; the rest of the
-    target is filled with documents in a seeded hash order, up to the last that fits, and then the one document that comes
-    nearest to what is still missing. The order is found by sums over hash ranges (two levels), so no task ever holds a
-    source. NULL sources are one source, last in order; NULL or wordless texts have size 0. Rows with the same id and size
+    target is filled with documents in a seeded hash order, leaving out those that no longer fit, and then the one document
+    that comes nearest to what is still missing. The order is found by sums over hash ranges (two levels), so no task ever
+    holds a source. NULL sources are one source, last in order; NULL or wordless texts have size 0. Rows with the same id and size
     are interchangeable, and equal ids are ordered by their row. With ``row_col`` the result has that column as well.
     """
     row = "__row"
@@ -105,42 +179,13 @@ def mix(
     parts = [F.pmod(F.shiftrightunsigned(h, 16 * i), F.lit(BUCKETS)).cast("int").alias(f"b{i}") for i in range(LEVELS)]
     keyed = sized.select("*", *parts, h.alias("h"))
 
-    # For each level: the hash range in which the rest of the target is used up, and what is left on entering it.
-    edge = plan.select("source", F.col("rest").alias("left"))
-    for i in range(LEVELS):
-        inside = keyed.join(edge, keyed.source.eqNullSafe(edge.source)).drop(edge.source)
-        for j in range(i):
-            inside = inside.where(F.col(f"b{j}") == F.col(f"e{j}"))
-        held = [f"e{j}" for j in range(i)]
-        sums = inside.groupBy("source", "left", *held, f"b{i}").agg(F.sum("size").alias("size"))
-        upto = Window.partitionBy("source").orderBy(f"b{i}")
-        sums = sums.withColumn("upto", F.sum("size").over(upto)).where(F.col("upto") > F.col("left"))
-        edge = staged(
-            sums.groupBy("source", "left", *held)
-            .agg(F.min(F.struct(f"b{i}", "upto", "size")).alias("at"))
-            .select("source", (F.col("left") - F.col("at.upto") + F.col("at.size")).alias("left"), *held, F.col(f"at.b{i}").alias(f"e{i}")),
-            "edges",
-        )
-    last = edge.withColumnRenamed("source", "s")
-    tail = keyed.join(last, keyed.source.eqNullSafe(last.s))
-    for j in range(LEVELS):
-        tail = tail.where(F.col(f"b{j}") == F.col(f"e{j}"))
-    order = Window.partitionBy("source").orderBy("h", "doc_id", row)
-    fits = (
-        tail.withColumn("upto", F.sum("size").over(order))
-        .where(F.col("upto") <= F.col("left"))
-        .select(F.col(row).alias("r"))
-    )
-    before = F.lit(False)
-    for j in reversed(range(LEVELS)):
-        before = (F.col(f"b{j}") < F.col(f"e{j}")) | ((F.col(f"b{j}") == F.col(f"e{j}")) & before)
-    # A source without an edge is taken whole when it has something left to fill, which only equality can bring about.
-    targets = plan.join(last, plan.source.eqNullSafe(last.s), "left").drop("s", "left")
+    cuts = _cuts(keyed, plan.select("source", F.col("rest").alias("gap")), row).withColumnRenamed("source", "s")
+    taken = F.exists("cuts", lambda c: (F.col("size") <= c["gap"]) & ((F.col("size") > 0) | (c["round"] == 0)) & _up_to(c, row))
+    targets = plan.join(cuts, plan.source.eqNullSafe(cuts.s), "left").drop("s")
     chosen = (
         keyed.join(targets, keyed.source.eqNullSafe(targets.source), "left").drop(targets.source)
-        .join(fits, F.col(row) == F.col("r"), "left")
-        .withColumn("extra", F.coalesce(before, F.col("rest") > 0) | F.col("r").isNotNull())
-        .drop("r", "h", *(f"b{j}" for j in range(LEVELS)), *(f"e{j}" for j in range(LEVELS)))
+        .withColumn("extra", F.coalesce(taken, F.lit(False)))
+        .drop("cuts", "h", *(f"b{j}" for j in range(LEVELS)))
     )
     chosen = staged(chosen, "chosen")
     filled = chosen.where("extra").groupBy("source").agg(F.sum("size").alias("filled"))

@@ -46,6 +46,41 @@ def test_targets_and_sizes_equal_brute_force(spark, frame, edge_rows):
     assert Counter((r.doc_id, r["size"], r.taken) for r in again) == Counter((r.doc_id, r["size"], r.taken) for r in got)
 
 
+def test_short_documents_fill_the_target_behind_a_long_one(spark):
+    """One document is larger than the rest of the target of its source, whatever its place in the order."""
+    docs = spark.range(301).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("w "), F.when(F.col("id") == 7, 100_000).otherwise(500).cast("int")).alias("text"),
+        F.lit("s").alias("source"),
+    )
+    for seed in range(3):
+        taken, target = mixing.mix(docs, seed=seed).agg(F.sum("taken"), F.first("target")).first()
+        assert abs(taken - target) <= 250
+
+
+def test_rest_is_filled_first_fit_in_hash_order(spark, frame, edge_rows):
+    """Every source, also the one with the very long text: no document that would still fit is left out."""
+    rows = [*edge_rows, *((100 + i, "word " * (1 + i * i % 211), "en", None if i % 11 == 0 else f"é{i % 5}") for i in range(300))]
+    rows += [(500 + i, "word " * (1 + i * 37 % 400)) for i in range(100)]
+    docs = frame(rows)
+    got = mixing.mix(docs).withColumn("h", mixing.keyed_hash(F.col("doc_id"), F.col("size"), seed=7)).collect()
+    signed = lambda h: [h >> 16 * i & 0xFFFF & 255 for i in range(2)] + [h]
+    for source in {r.source for r in got}:
+        mine = sorted((r for r in got if r.source == source), key=lambda r: (*signed(r.h), r.doc_id or -1))
+        held = mine[0].source_size
+        whole = int(mine[0].target // held) if held else 0
+        gap = mine[0].target - whole * held
+        want = []
+        for r in mine:
+            if 0 < r["size"] <= gap:
+                want.append(r["size"])
+                gap -= r["size"]
+        left = Counter(r["size"] for r in mine if r["size"]) - Counter(want)
+        near = min(left, key=lambda z: abs(z - gap), default=0)
+        want += [near] if near and abs(near - gap) < gap else []
+        assert Counter(r["size"] for r in mine if r.copies > whole and r["size"]) == Counter(want)
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= min(left, default=0) / 2 + 1e-6
+
+
 def test_one_source_holds_nearly_all(spark):
     docs = spark.range(20_000).select(
         F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") % 13).cast("int")).alias("text"),
