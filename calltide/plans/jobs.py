@@ -208,7 +208,9 @@ def _compared_months(silver: DataFrame, daily: DataFrame) -> DataFrame:
     series, which the counts give as well (hash times count). Dates of loads
     play no part. Only the grouped columns of Silver are read.
     """
-    content = lambda: F.xxhash64(F.col("ds"), *DAILY_KEYS).cast("decimal(38,0)")
+    # A hash skips NULLs, so the flags say which key is missing.
+    flags = [F.col(k).isNull() for k in ("ds", *DAILY_KEYS)]
+    content = lambda: F.xxhash64(F.col("ds"), *flags, *DAILY_KEYS).cast("decimal(38,0)")
     now = silver.withColumn("ds", F.to_date("created_ts_utc")).groupBy(F.col("created_month").alias("month")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(content()).alias("content")
     )

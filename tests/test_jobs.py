@@ -139,6 +139,18 @@ def test_backfilled_correction_reaches_gold(spark, sf_dir, where):
     assert jobs.gold_job(spark, where).filter("complaint_type = 'Heat'").agg(F.sum("y")).first()[0] == 10
 
 
+def test_value_moved_to_a_missing_key_reaches_gold(spark, sf_dir, where):
+    """Counts stay the same and only the column that holds the value changes."""
+    raw = half_year(spark, sf_dir).limit(10)
+    load(spark, where, raw.withColumns({"agency": F.lit("X"), "borough": F.lit(None).cast("string")}), "2001-08-02")
+    jobs.gold_job(spark, where)
+    load(spark, where, raw.withColumns({"agency": F.lit(None).cast("string"), "borough": F.lit("X")}), "2001-08-03")
+    jobs.gold_job(spark, where)
+    incremental = gold_rows(spark, where)
+    jobs.gold_job(spark, where, full=True)
+    assert incremental == gold_rows(spark, where)
+
+
 def test_bronze_records_its_loads(spark, sf_dir, where):
     raw = half_year(spark, sf_dir)
     for _ in range(2):
