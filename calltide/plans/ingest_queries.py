@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from calltide.functions.columns import join_series
 from calltide.functions.columns import normalize_columns as normalize_names
 from calltide.functions.times import NTZ
 from calltide.functions.times import parse_utc as parse_utc_text
@@ -99,13 +100,25 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+PAGE = 1000  # records of a page, as a mean; hashes deal them out
+
+
+def _paged(rows: DataFrame) -> DataFrame:
+    """Records of a day and event type in pages of bounded size, as many as the group's count asks for."""
+    group = ["day", "EVENT TYPE"]
+    n = rows.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / PAGE).alias("pages"))
+    numbered = join_series(rows, n, group).withColumn("number", F.pmod(F.xxhash64("` Event ID`"), F.col("pages")))
+    record = F.struct("` Event ID`", "`EVENT TYPE`", "`Value\t`")
+    return numbered.groupBy(*group, "number").agg(F.collect_list(record).alias("page"))
+
+
 @query("SELECT event_id, event_type, value FROM events")
 def read_array_pages(spark, sf_dir):
     """Pages as arrays on a line, as indented arrays that fill a file, and as lines of records, one third of the days each."""
     rows, folded = _events(spark, sf_dir), ["event_id", "event_type", "value"]
     third = F.pmod(F.datediff("day", F.lit("2024-01-01")), F.lit(3))
     record = F.struct("` Event ID`", "`EVENT TYPE`", "`Value\t`")
-    paged = rows.withColumn("third", third).groupBy("day", "EVENT TYPE", "third").agg(F.collect_list(record).alias("page"))
+    paged = _paged(rows).withColumn("third", third)
     lines, files, loose = (shared_dir(spark, f"pages-{i}") for i in range(3))
     paged.filter("third = 0").select(F.to_json("page")).write.text(lines)
     indented = paged.filter("third = 1").select(F.to_json("page", {"pretty": "true"}))

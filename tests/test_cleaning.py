@@ -9,6 +9,7 @@ from calltide.functions.columns import join_series, nan_to_null, normalize_colum
 from calltide.functions.times import instant, parse_utc, to_utc, utc_wall, wall_seconds
 from calltide.operators import conform, merge, quality
 from calltide.params import Params
+from calltide.plans import ingest_queries
 from calltide.sources import pages, slices
 
 
@@ -111,6 +112,13 @@ def test_pages_with_differing_headings(spark, tmp_path):
     assert sorted(r.unique_key for r in pages.union_pages(split).collect()) == ["1", "2"]
 
 
+def test_pages_of_a_hot_group_are_bounded(spark):
+    """One event type holds all records of a day; pages grow in number and not in size."""
+    events = spark.range(20_000).selectExpr("id AS ` Event ID`", "'hot' AS `EVENT TYPE`", "1.0D AS `Value\t`", "DATE '2024-01-01' AS day")
+    sizes = [r[0] for r in ingest_queries._paged(events).select(F.size("page")).collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 2 * ingest_queries.PAGE
+
+
 def test_received_parts_need_a_creation_time(spark):
     df = spark.createDataFrame([("2024-02-03",), ("?",)], "created_date string")
     got = {(r.received_year, r.received_month) for r in pages.add_received_parts(df).collect()}
