@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from calltide.llm import (
-    crf, decontaminate, divergence, hard_negatives, langid, line_dedup, mixing, ngram_join, quality, suffix_dedup, token_binary,
-    token_counts,
+    crf, decontaminate, divergence, hard_negatives, langid, line_dedup, mixing, ngram_join, odd_sketch, quality, suffix_dedup,
+    token_binary, token_counts,
 )
 from calltide.sources.scratch import shared_dir
 
@@ -205,3 +205,27 @@ QUALIFY part = 'pair' OR row_number() OVER (PARTITION BY lang, source, part ORDE
 )
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+@query(
+    r"""
+WITH RECURSIVE t AS (
+  SELECT text, min(doc_id) AS rep, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM (
+    SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents WHERE text IS NOT NULL)
+  GROUP BY text),
+s AS (SELECT DISTINCT rep, array_to_string(w[i:i + 3], ' ') AS g
+  FROM (SELECT rep, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM t WHERE len(w) > 0)),
+n AS (SELECT rep, count(*) AS n FROM s GROUP BY rep),
+p AS (SELECT a.rep AS a, b.rep AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.rep <> b.rep GROUP BY ALL),
+e AS (SELECT p.a, p.b FROM p JOIN n x ON x.rep = p.a JOIN n y ON y.rep = p.b
+  WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+r(a, b) AS (SELECT rep, rep FROM t UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a AS rep, min(b) AS component_id FROM r GROUP BY a),
+d AS (SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+f AS (SELECT doc_id, coalesce(n, 0) AS n_shingles, CASE WHEN n IS NULL THEN doc_id ELSE component_id END AS component_id
+  FROM d LEFT JOIN t USING (text) LEFT JOIN n USING (rep) LEFT JOIN c USING (rep))
+SELECT *, doc_id = component_id AS kept FROM f
+"""
+)
+def op13_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"))

@@ -31,4 +31,4 @@ def test_query_returns_every_document(spark, sf_dir, name):
 
 
 def test_all_are_registered():
-    assert {"pipeline", *queries.QUERIES} <= set(entry.queries()) and len(queries.QUERIES) == 12
+    assert {"pipeline", *queries.QUERIES} <= set(entry.queries()) and len(queries.QUERIES) == 13
