@@ -18,6 +18,7 @@ class Params:
     interval_width: float = 0.95
     alert_after: int = 3
     source_tz: str = "UTC"
+    precedence: str = "arrival"  # which row of a key counts: of the load that arrived last, or ("load_date") that has the latest date
     in_place: bool = True  # rewrite touched partitions only; False publishes a whole new layer at once
 
     def __post_init__(self) -> None:
@@ -27,3 +28,5 @@ class Params:
         _within("overlap_days", self.overlap_days, 0, 7)
         _within("interval_width", self.interval_width, 0.01, 0.9999)
         _within("alert_after", self.alert_after, 1, 365)
+        if self.precedence not in ("arrival", "load_date"):
+            raise ValueError(f"precedence must be arrival or load_date, got {self.precedence}")

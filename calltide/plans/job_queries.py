@@ -159,6 +159,39 @@ def silver_job_late_load(spark, sf_dir):
     return jobs.silver_job(spark, where, "2001-03-11").select("unique_key", "status", "bronze_date")
 
 
+APPENDED = """loads AS (
+  SELECT *, 'first' AS state, DATE '2001-03-01' AS bronze_date, 1 AS nth FROM req
+  UNION ALL SELECT *, 'second', DATE '2001-03-08', 2 FROM req WHERE unique_key % 3 = 0
+  UNION ALL SELECT *, 'third', DATE '2001-03-05', 3 FROM req WHERE unique_key % 6 = 0)"""
+
+
+@query(
+    with_sql(
+        REQ,
+        APPENDED,
+        select="""
+SELECT CAST(unique_key AS VARCHAR) AS unique_key, arg_max(state, nth) AS status, arg_max(bronze_date, nth) AS bronze_date, FALSE AS rejected
+FROM loads WHERE unique_key % 97 <> 0 GROUP BY unique_key
+UNION ALL SELECT 'x' || unique_key, state, bronze_date, TRUE FROM loads WHERE unique_key % 97 = 0
+""",
+    )
+)
+def silver_job_append_only(spark, sf_dir):
+    """Three loads of many keys into append-only Bronze, the last under an earlier date, and the first one read again."""
+    where, raw = new_layers(spark), raw_requests(spark, sf_dir)
+    key = F.regexp_replace("unique_key", "x", "").cast("bigint")
+    loads = (("first", "2001-03-01", 1), ("second", "2001-03-08", 3), ("third", "2001-03-05", 6))
+    for state, as_of, nth in loads:
+        jobs.bronze_job(raw.filter(key % nth == 0).withColumn("status", F.lit(state)), where, as_of, append_only=True)
+        jobs.silver_job(spark, where, "2001-03-10")
+    silver = jobs.silver_job(spark, where, "2001-03-11", load_dates=("2001-03-01", "2001-03-01"))
+    rejects = layers.read_layer(spark, where.rejects)
+    text = lambda c: F.get_json_object("raw", f"$.{c}").alias(c)
+    return silver.select(F.col("unique_key").cast("string"), "status", "bronze_date", F.lit(False).alias("rejected")).unionByName(
+        rejects.select(text("unique_key"), text("status"), F.col("ingestion_date").alias("bronze_date"), F.lit(True).alias("rejected"))
+    )
+
+
 CORRECTED = """req AS (SELECT * REPLACE (CASE WHEN created_date >= TIMESTAMP '1997-03-01' AND created_date < TIMESTAMP '1997-04-01'
   THEN 'other' ELSE complaint_type END AS complaint_type) FROM req0)"""
 
@@ -182,6 +215,41 @@ def gold_job_backfill(spark, sf_dir):
     return rounded(jobs.gold_job(spark, where), ["y_ma7"])
 
 
+CHANGED = """req AS (
+  SELECT * REPLACE (
+    CASE WHEN unique_key % 50 = 1 THEN created_date + INTERVAL 40 DAY ELSE created_date END AS created_date,
+    CASE WHEN unique_key % 50 = 2 THEN NULL ELSE complaint_type END AS complaint_type)
+  FROM req0 WHERE unique_key % 50 <> 4)"""
+
+
+@query(
+    with_sql(
+        REQ.replace("req AS", "req0 AS", 1),
+        CHANGED,
+        DAILY,
+        GOLD,
+        select="SELECT *, CAST(date_trunc('month', ds) AS DATE) AS month FROM gold",
+    )
+)
+def gold_job_delta(spark, sf_dir):
+    """Gold after new, moved and corrected requests, a load under an earlier date, and deletions, by their changes alone."""
+    where, rows = new_layers(spark), requests(spark, sf_dir, closed=True)
+    kind = F.col("unique_key") % 50
+
+    def silver(part: DataFrame, as_of: str) -> None:
+        jobs.bronze_job(part, where, as_of)
+        jobs.silver_job(spark, where, as_of)
+
+    silver(rows.filter(kind != 3), "2001-07-01")
+    jobs.gold_job(spark, where)
+    silver(rows.filter(kind == 1).withColumn("created_date", F.col("created_date") + F.expr("interval 40 days")), "2001-07-02")
+    silver(rows.filter(kind == 2).withColumn("complaint_type", F.lit(None).cast("string")), "2001-07-03")
+    jobs.gold_job(spark, where)
+    silver(rows.filter(kind == 3), "2001-06-01")
+    jobs.forget_job(spark, where, rows.filter(kind == 4).select("unique_key"))
+    return rounded(jobs.gold_job(spark, where), ["y_ma7"])
+
+
 @query(with_sql(REQ, DAILY, GOLD, select="SELECT *, CAST(date_trunc('month', ds) AS DATE) AS month FROM gold"))
 def gold_job(spark, sf_dir):
     where = new_layers(spark)

@@ -7,7 +7,7 @@ through the driver.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,21 +31,25 @@ from calltide.operators.regression import (
     require_models,
     tune,
 )
-from calltide.operators.series import DAILY_KEYS, add_lag, add_moving_avg, series_total
+from calltide.operators.carry import months_to_redo, rows_after, tails, with_features
+from calltide.operators.series import DAILY_KEYS, series_total
 from calltide.params import Params
 from calltide.sources.layers import (
     Layer,
     append_layer,
     append_only_layer,
+    delete_keys,
     in_partitions,
     layer_exists,
     overwrite_layer,
     parked,
     read_layer,
+    replace_partitions,
     upsert_layer,
     write_bronze,
 )
 from calltide.sources.pages import raw_to_bronze, stamp_ingestion
+from calltide.sources.scratch import own_scratch
 from calltide.sources.slices import ingest_summary, window_bounds
 
 REGISTRY_SCHEMA = "model_name string, version bigint, params map<string,string>, mape string, stage string"
@@ -73,6 +77,7 @@ def _load_columns(df: DataFrame) -> list[str]:
     return [c for c in ("ingestion_date", "received_year", "received_month") if c in df.columns]
 
 
+@own_scratch
 def bronze_job(
     raw: DataFrame,
     layers: Layers,
@@ -86,19 +91,27 @@ def bronze_job(
     Raw rows are read once. Each load is recorded with a number of its own and
     the partitions it has rows in, which the Silver job looks for, and with its
     record count and time range. With ``only_window`` just the rows created in
-    the trailing ``sample_days`` (and overlap) before ``as_of`` are taken.
+    the trailing ``sample_days`` (and overlap) before ``as_of`` are taken. Rows
+    of an append-only layer carry the number of their load, which says what
+    arrived last.
     """
     spark = raw.sparkSession
     rows = raw_to_bronze(raw, as_of)
+    first = F.lit(1).cast("bigint")
+    if layer_exists(spark, layers.bronze_loads) and "load_number" in read_layer(spark, layers.bronze_loads).columns:
+        before = read_layer(spark, layers.bronze_loads).agg(F.max("load_number").alias("last"))
+        first = F.coalesce(before.select("last").scalar(), F.lit(0).cast("bigint")) + 1
+    if append_only or "unique_key" not in rows.columns:
+        rows = rows.withColumn("load_number", first)
     if only_window:
         created = as_utc(rows, "created_date", params.source_tz)
         start, end = window_bounds(as_of, params.sample_days, params.overlap_days)
         rows = rows.filter((created >= ntz(start)) & (created < ntz(end)))
     arrived: list[DataFrame] = []
-    write_bronze(rows, layers.bronze, append_only=append_only, in_place=params.in_place, check=arrived.append)
+    write_bronze(rows, layers.bronze, append_only=append_only, in_place=params.in_place, check=arrived.append, precedence=params.precedence)
     number = F.lit(uuid.uuid4().hex).alias("load_id")
     load = arrived[0].select(*_load_columns(rows)).distinct()
-    append_layer(load.select(number, "*"), layers.bronze_loads)
+    append_layer(load.select(number, "*", first.alias("load_number")), layers.bronze_loads)
     timed = arrived[0].select(
         "ingestion_date", (as_utc(rows, "created_date", params.source_tz) if "created_date" in rows.columns else F.lit(None).cast(NTZ)).alias("ts")
     )
@@ -109,12 +122,13 @@ def bronze_job(
 
 def _bronze_slice(
     spark: SparkSession, layers: Layers, params: Params, full: bool, load_dates: tuple[str, str] | None
-) -> tuple[DataFrame, DataFrame]:
-    """Bronze rows the Silver job has to read, and the loads they come from.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Bronze rows of the loads the Silver job takes over, all rows of their keys, and those loads.
 
-    These are the loads not yet taken over, whatever their date, and those of
+    The loads are those not yet taken over, whatever their date, and those of
     the last ``overlap_days`` dates once more (1: the newest date). A load names its partitions, so no
-    others are read.
+    others are read. In append-only Bronze a key may have rows in other loads,
+    and the latest of all of them counts.
     """
     bronze = read_layer(spark, layers.bronze)
     loads = _stored(spark, layers.bronze_loads, "load_id string, ingestion_date date")
@@ -123,39 +137,76 @@ def _bronze_slice(
     if load_dates is not None:
         low, high = [F.lit(d).cast("date") for d in load_dates]
         wanted = loads.filter(F.col("ingestion_date").between(low, high))
-        return bronze.filter(F.col("ingestion_date").between(low, high)), wanted
-    if full or not layer_exists(spark, layers.silver) or not layer_exists(spark, layers.silver_loads):
-        return bronze, loads
-    recent = done.agg(F.date_sub(F.max("ingestion_date"), params.overlap_days).alias("low")).select("low").scalar()
-    seen = loads.join(done.select("load_id").distinct().withColumn("old", F.lit(True)), "load_id", "left")
-    due = F.col("old").isNull() | (F.col("ingestion_date") > recent)
-    # A filter on stored rows, not a finished list, is what makes Spark prune the other side of a join.
-    judged = parked(seen.select(*loads.columns, F.when(due, "due").otherwise("done").alias("state")), "loads")
-    wanted = judged.filter("state = 'due'").drop("state")
-    rows = in_partitions(bronze, wanted.select(*columns).distinct(), columns)
-    if append_only_layer(spark, layers.bronze) and "unique_key" in bronze.columns:
-        # A key may have rows in other loads, and the latest of all of them counts.
-        keys = rows.select(F.col("unique_key").alias("__key")).distinct()
-        rows = bronze.join(keys, F.col("unique_key") == F.col("__key"), "left_semi").unionByName(
-            rows.filter(F.col("unique_key").isNull())
-        )
-    return rows, wanted
+        own = bronze.filter(F.col("ingestion_date").between(low, high))
+    elif full or not layer_exists(spark, layers.silver) or not layer_exists(spark, layers.silver_loads):
+        return bronze, bronze, loads
+    else:
+        recent = done.agg(F.date_sub(F.max("ingestion_date"), params.overlap_days).alias("low")).select("low").scalar()
+        seen = loads.join(done.select("load_id").distinct().withColumn("old", F.lit(True)), "load_id", "left")
+        due = F.col("old").isNull() | (F.col("ingestion_date") > recent)
+        # A filter on stored rows, not a finished list, is what makes Spark prune the other side of a join.
+        judged = parked(seen.select(*loads.columns, F.when(due, "due").otherwise("done").alias("state")), "loads")
+        wanted = judged.filter("state = 'due'").drop("state")
+        own = in_partitions(bronze, wanted.select(*columns).distinct(), columns)
+    if not append_only_layer(spark, layers.bronze) or "unique_key" not in bronze.columns:
+        return own, own, wanted
+    keys = own.select(F.col("unique_key").alias("__key")).distinct()
+    rows = bronze.join(keys, F.col("unique_key") == F.col("__key"), "left_semi")
+    return own, rows.unionByName(own.filter(F.col("unique_key").isNull())), wanted
+
+
+_REJECT_PARTS = {"ingestion_date": "date", "received_year": "int", "received_month": "int"}
 
 
-def _replace_rejects(rows: DataFrame, layers: Layers) -> None:
-    """Store rows without a readable key as raw text, in place of those of the same loads."""
-    spark, columns = rows.sparkSession, _load_columns(rows)
-    text = F.to_json(F.struct(*[c for c in rows.columns if c not in columns])).alias("raw")
-    readable = F.col("unique_key").try_cast("bigint").isNotNull() if "unique_key" in rows.columns else F.lit(False)
-    rejected = rows.filter(~readable).select(text, F.lit("unreadable key").alias("reason"), *columns)
-    if layer_exists(spark, layers.rejects):
-        old = read_layer(spark, layers.rejects)
-        seen = rows.select(*[F.col(c).alias(f"__{c}") for c in columns]).distinct()
-        other = old.join(seen, all_of([old[c].eqNullSafe(seen[f"__{c}"]) for c in columns]), "left_anti")
-        rejected = other.unionByName(rejected, allowMissingColumns=True)
-    overwrite_layer(rejected, layers.rejects)
+def _replace_rejects(own: DataFrame, loads: DataFrame, layers: Layers) -> None:
+    """Store rows without a readable key as raw text, in place of those of the loads they come from, and of no others.
+
+    The layer is laid out by load date and only the dates of these loads are
+    rewritten.
+    """
+    spark, columns = own.sparkSession, list(_REJECT_PARTS)
+    part = lambda df, c: F.col(c) if c in df.columns else F.lit(None)
+    parts = lambda df: [part(df, c).cast(k).alias(c) for c, k in _REJECT_PARTS.items()]
+    text = F.to_json(F.struct(*[c for c in own.columns if c not in (*columns, "load_number")])).alias("raw")
+    readable = F.col("unique_key").try_cast("bigint").isNotNull() if "unique_key" in own.columns else F.lit(False)
+    rejected = own.filter(~readable).select(text, F.lit("unreadable key").alias("reason"), *parts(own))
+    if not layer_exists(spark, layers.rejects):
+        overwrite_layer(rejected, layers.rejects, ["ingestion_date"])
+        return
+    wanted = parked(loads.select(*parts(loads)).distinct().withColumn("kind", F.lit("reread")), "reread").filter("kind = 'reread'")
+    dates = wanted.select("ingestion_date").distinct()
+    named = wanted.select(*[F.col(c).alias(f"__{c}") for c in columns])
+    old = in_partitions(read_layer(spark, layers.rejects), dates, ["ingestion_date"])
+    other = old.join(named, all_of([old[c].eqNullSafe(named[f"__{c}"]) for c in columns]), "left_anti")
+    replace_partitions(other.unionByName(rejected).select(*old.columns), layers.rejects, dates)
+
+
+def _log_changes(spark: SparkSession, layers: Layers, run: str) -> Callable[[DataFrame | None, DataFrame | None], None]:
+    """Record what a run changes in Silver: rows that leave count -1, rows that come count +1, per day and series.
+
+    The run is marked as started before anything is written and as done after
+    Silver has changed, so that Gold can tell a run that was cut off.
+    """
+
+    def counted(df: DataFrame, sign: int) -> DataFrame:
+        day = F.to_date("created_ts_utc").alias("ds")
+        return df.groupBy(day, *DAILY_KEYS).agg((F.count(F.lit(1)) * sign).alias("delta"))
 
+    def log(old: DataFrame | None, new: DataFrame | None) -> None:
+        _mark(spark, layers.silver_runs, run, "started")
+        sides = [counted(df, sign) for df, sign in ((old, -1), (new, 1)) if df is not None]
+        both = sides[0].unionByName(sides[1]) if len(sides) == 2 else sides[0]
+        net = both.groupBy("ds", *DAILY_KEYS).agg(F.sum("delta").alias("delta")).filter("delta <> 0")
+        append_layer(net.select("*", F.trunc("ds", "month").alias("month"), F.lit(run).alias("run")), layers.silver_changes, ["run"])
 
+    return log
+
+
+def _mark(spark: SparkSession, layer: Layer, run: str, state: str) -> None:
+    append_layer(spark.range(1).select(F.lit(run).alias("run"), F.lit(state).alias("state")), layer)
+
+
+@own_scratch
 def silver_job(
     spark: SparkSession,
     layers: Layers,
@@ -170,9 +221,15 @@ def silver_job(
 
     New are loads that no run has taken over yet, also those with an earlier
     load date; ``full`` reads all of Bronze and ``load_dates`` (first and last)
-    a range of loads again. ``bronze_date`` keeps Bronze's own load date. Rows
-    without a readable key cannot be merged: they go to the layer ``rejects``
-    as text, replaced whenever their load is read again.
+    a range of loads again. ``bronze_date`` keeps Bronze's own load date. Of
+    several rows of a key that of the load which arrived last counts, or with
+    ``precedence="load_date"`` that of the latest load date, whichever loads are
+    read again and however Bronze is laid out. Rows without a readable key
+    cannot be merged: they go to the layer ``rejects`` as text, replaced
+    whenever their load is read again.
+
+    What a run changes is logged as signed counts per day and series
+    (``silver_changes``), which the Gold job adds up.
 
     The quality report is stored before it is enforced and names core columns
     the input lacked.
@@ -180,91 +237,155 @@ def silver_job(
     Silver is laid out by month of creation, which a request keeps for life, so
     a daily run rewrites only the months its rows fall in.
     """
-    rows, loads = _bronze_slice(spark, layers, params, full, load_dates)
-    typed = conform(rows, {**CORE_TYPES, "ingestion_date": "date"}, params.source_tz)
+    own, rows, loads = _bronze_slice(spark, layers, params, full, load_dates)
+    typed = conform(rows, {**CORE_TYPES, "ingestion_date": "date", "load_number": "bigint"}, params.source_tz)
     keyed = to_silver(typed).filter(F.col("unique_key").isNotNull()).withColumnRenamed("ingestion_date", "bronze_date")
-    latest = dedup_latest(keyed, ["unique_key"], ["bronze_date", "created_ts_utc"], null_keys="drop")
+    newest = ["load_number", "bronze_date"] if params.precedence == "arrival" else ["bronze_date", "load_number"]
+    latest = dedup_latest(keyed, ["unique_key"], [*newest, "created_ts_utc"], null_keys="drop").drop("load_number")
     if lookup is not None:
         latest = enrich_lookup(latest, lookup, "borough")
     stamped = stamp_ingestion(latest, as_of).withColumn("created_month", F.trunc("created_ts_utc", "month"))
     notes = missing_notes(missing_columns(rows))
+    run = uuid.uuid4().hex
 
     def check(staged: DataFrame) -> None:
         overwrite_layer(quality_report(staged, [*rules, *notes]), layers.quality)
         enforce_report(read_layer(spark, layers.quality))
 
     upsert_layer(
-        stamped, layers.silver, ["unique_key"], partition_by=["created_month"], in_place=params.in_place, check=check
-    )
-    _replace_rejects(rows, layers)
+        stamped, layers.silver, ["unique_key"], partition_by=["created_month"], in_place=params.in_place, check=check,
+        changes=_log_changes(spark, layers, run),
+    )
+    _mark(spark, layers.silver_runs, run, "done")
+    _replace_rejects(own, loads, layers)
     append_layer(loads.select("load_id", "ingestion_date").distinct(), layers.silver_loads)
     return read_layer(spark, layers.silver)
 
 
-def _compared_months(silver: DataFrame, daily: DataFrame) -> DataFrame:
-    """Every month, and whether its daily counts are fresh or stale against Silver.
+@own_scratch
+def forget_job(spark: SparkSession, layers: Layers, gone: DataFrame) -> DataFrame:
+    """Delete the requests whose ``unique_key`` is in ``gone`` from Silver; the next Gold run takes their counts back.
 
-    A month is compared by content: the sum over its rows of a hash of day and
-    series, which the counts give as well (hash times count). Dates of loads
-    play no part. Only the grouped columns of Silver are read.
+    Bronze is left alone: a load of theirs that is read again brings them back.
     """
-    # A hash skips NULLs, so the flags say which key is missing.
-    flags = [F.col(k).isNull() for k in ("ds", *DAILY_KEYS)]
-    content = lambda: F.xxhash64(F.col("ds"), *flags, *DAILY_KEYS).cast("decimal(38,0)")
-    now = silver.withColumn("ds", F.to_date("created_ts_utc")).groupBy(F.col("created_month").alias("month")).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(content()).alias("content")
-    )
-    counted = daily.groupBy(F.col("month").alias("counted_month")).agg(
-        F.sum("y").alias("counted"), F.sum(content() * F.col("y").cast("decimal(18,0)")).cast("decimal(38,0)").alias("was")
-    )
-    same_month = F.col("month").eqNullSafe(F.col("counted_month"))
-    same = (F.col("rows") == F.col("counted")) & (F.col("content") == F.col("was"))
-    return (
-        now.withColumn("in_silver", F.lit(True))
-        .join(counted.withColumn("in_daily", F.lit(True)), same_month, "full")
-        .select(
-            F.when(F.col("in_silver"), F.col("month")).otherwise(F.col("counted_month")).alias("month"),
-            F.when(F.coalesce(same, F.lit(False)), "fresh").otherwise("stale").alias("state"),
-        )
+    run = uuid.uuid4().hex
+    delete_keys(gone, layers.silver, ["unique_key"], _log_changes(spark, layers, run))
+    _mark(spark, layers.silver_runs, run, "done")
+    return read_layer(spark, layers.silver)
+
+
+def _counted(silver: DataFrame) -> DataFrame:
+    counts = silver.groupBy(F.to_date("created_ts_utc").alias("ds"), *DAILY_KEYS).agg(F.count(F.lit(1)).alias("y"))
+    return counts.withColumn("month", F.trunc("ds", "month"))
+
+
+_RUNS = "run string, state string"
+_CHANGES = "ds date, complaint_type string, borough string, agency string, delta bigint, month date, run string"
+
+
+def _open_runs(spark: SparkSession, layers: Layers) -> DataFrame:
+    """Silver runs that Gold has not taken over, one row each, stored.
+
+    ``add`` is the state of a run whose changes can be added. ``recount`` is
+    that of a run which was cut off, in Silver or in an earlier Gold run: the
+    months it names are counted again.
+    """
+    silver = _stored(spark, layers.silver_runs, _RUNS).groupBy("run").agg(F.max((F.col("state") == "done").cast("int")).alias("whole"))
+    gold = _stored(spark, layers.gold_runs, _RUNS).groupBy(F.col("run").alias("seen")).agg(F.max((F.col("state") == "done").cast("int")).alias("taken"))
+    left = silver.join(gold, F.col("run") == F.col("seen"), "left").filter("taken IS NULL OR taken = 0")
+    whole = (F.col("whole") == 1) & F.col("taken").isNull()
+    return parked(left.select("run", F.when(whole, "add").otherwise("recount").alias("state")), "runs")
+
+
+def _net_changes(spark: SparkSession, layers: Layers, runs: DataFrame) -> DataFrame:
+    """Day, series, month and signed count of the changes of these runs, stored; ``state`` says how its month is renewed."""
+    changes = _stored(spark, layers.silver_changes, _CHANGES)
+    renamed = runs.filter("state IS NOT NULL").withColumnRenamed("run", "__run")
+    net = changes.join(renamed, F.col("run") == F.col("__run")).groupBy("ds", *DAILY_KEYS, "month").agg(
+        F.sum("delta").alias("delta"), F.max("state").alias("state")  # recount is the greater word
     )
+    return parked(net.filter("delta <> 0 OR state = 'recount'"), "changes")
 
 
-def _stale_months(silver: DataFrame, daily: DataFrame) -> DataFrame:
-    """Months to count again: one row per month, stored, with a filter that lets Spark prune what it is joined to."""
-    return parked(_compared_months(silver, daily), "months").filter("state = 'stale'").select("month")
+def gold_changes(daily: DataFrame, changes: DataFrame, months: DataFrame) -> DataFrame:
+    """Daily counts of the touched months after the changes: what there was plus the signed counts."""
+    columns = ["ds", *DAILY_KEYS, "month"]
+    held = in_partitions(daily, months, ["month"]).select(*columns, "y")
+    added = changes.select(*columns, F.col("delta").alias("y"))
+    return held.unionByName(added).groupBy(*columns).agg(F.sum("y").alias("y")).filter("y <> 0").select("ds", *DAILY_KEYS, "y", "month")
 
 
+@own_scratch
 def gold_job(spark: SparkSession, layers: Layers, full: bool = False) -> DataFrame:
     """Daily counts with lag and mean, laid out by month.
 
-    The counts are kept in a layer of their own and only the months whose
-    content has changed in Silver are counted again, unless ``full``. The
-    features need the rows before a month, so they are computed over all daily
-    counts, whose number depends on days and series and not on requests.
+    Silver's runs log what they change. Those that Gold has not taken over are
+    added to the counts of the months they name; Silver itself is not read.
+    Features depend on the rows before, so the last rows of every month and
+    series are kept as well (``daily_tails``): only series that changed are
+    computed again, in their changed months and as far as seven rows beyond.
+    Other months keep their files. The result equals that of ``full``, which
+    counts all of Silver.
+
+    A run that was cut off has its months counted again from Silver. ``full``
+    is needed only when Silver was changed by other means than these jobs.
     """
-    silver = read_layer(spark, layers.silver)
-    counted = None
-    rows = silver
-    if not full and layer_exists(spark, layers.daily):
-        counted = read_layer(spark, layers.daily)
-        stale = _stale_months(silver, counted)
-        rows = in_partitions(silver, stale.withColumnRenamed("month", "created_month"), ["created_month"])
-    counts = (
-        rows.groupBy(F.to_date("created_ts_utc").alias("ds"), *DAILY_KEYS)
-        .agg(F.count(F.lit(1)).alias("y"))
-        .withColumn("month", F.trunc("ds", "month"))
-    )
-    if counted is not None:
-        gone = stale.withColumnRenamed("month", "__month")
-        kept = counted.join(gone, F.col("month").eqNullSafe(F.col("__month")), "left_anti")
-        counts = kept.unionByName(counts)
-    if counted is None or not stale.isEmpty():
-        overwrite_layer(counts, layers.daily, ["month"])
-    daily = read_layer(spark, layers.daily)
-    overwrite_layer(add_moving_avg(add_lag(daily)), layers.gold, ["month"])
+    runs = _open_runs(spark, layers)
+    if full or not all(layer_exists(spark, x) for x in (layers.daily, layers.daily_tails, layers.gold)):
+        overwrite_layer(_counted(read_layer(spark, layers.silver)), layers.daily, ["month"])
+        daily = read_layer(spark, layers.daily)
+        overwrite_layer(tails(daily), layers.daily_tails, ["year"])
+        overwrite_layer(with_features(daily), layers.gold, ["month"])
+        append_layer(runs.select("run", F.lit("done").alias("state")), layers.gold_runs)
+        return read_layer(spark, layers.gold)
+    if runs.isEmpty():
+        return read_layer(spark, layers.gold)
+    changes = _net_changes(spark, layers, runs)
+    if not changes.isEmpty():
+        append_layer(runs.select("run", F.lit("started").alias("state")), layers.gold_runs)
+        _add_changes(spark, layers, changes)
+    append_layer(runs.select("run", F.lit("done").alias("state")), layers.gold_runs)
     return read_layer(spark, layers.gold)
 
 
+def _add_changes(spark: SparkSession, layers: Layers, changes: DataFrame) -> None:
+    daily, held = read_layer(spark, layers.daily), read_layer(spark, layers.daily_tails)
+    months = parked(changes.groupBy("month").agg(F.max("state").alias("state")), "months")
+    add, recount = [months.filter(F.col("state") == s).select("month") for s in ("add", "recount")]
+    touched = months.filter("state IS NOT NULL").select("month")
+    counts = gold_changes(daily, in_partitions(changes, add, ["month"]), add)
+    changed = changes.select(*DAILY_KEYS, "month", F.when(F.col("state") == "add", F.col("ds")).alias("last"))
+    whole = lambda df: in_partitions(df, recount, ["month"]).select(*DAILY_KEYS, "month", F.last_day("month").alias("last"))
+    if not recount.isEmpty():
+        silver = read_layer(spark, layers.silver)
+        counts = counts.unionByName(_counted(in_partitions(silver, recount.withColumnRenamed("month", "created_month"), ["created_month"])))
+        changed = changed.unionByName(whole(daily))
+    fresh = parked(counts, "counts")
+    if not recount.isEmpty():
+        changed = changed.unionByName(whole(fresh))
+    changed = changed.groupBy(*DAILY_KEYS, "month").agg(F.max("last").alias("last"))
+    changed = parked(rows_after(fresh, changed), "changed")
+    replace_partitions(fresh, layers.daily, touched)
+    years = parked(touched.select(F.year("month").alias("year")).distinct().withColumn("kind", F.lit("touched")), "years").filter("kind = 'touched'")
+    named = touched.withColumnRenamed("month", "__month")
+    stay = in_partitions(held, years, ["year"]).join(named, F.col("month").eqNullSafe(F.col("__month")), "left_anti")
+    replace_partitions(stay.unionByName(tails(fresh)).select(*held.columns), layers.daily_tails, years)
+
+    series = parked(months_to_redo(read_layer(spark, layers.daily_tails), changed), "series")
+    redo = series.filter("state = 'redo'")
+    stale = parked(redo.select("month").unionByName(touched).distinct().withColumn("kind", F.lit("stale")), "stale").filter("kind = 'stale'").select("month")
+    same = lambda a, b: all_of([a[c].eqNullSafe(b[f"__{c}"]) for c in ("month", *DAILY_KEYS)])
+    mine = redo.select(*[F.col(c).alias(f"__{c}") for c in ("month", *DAILY_KEYS)])
+    gold, daily = read_layer(spark, layers.gold), read_layer(spark, layers.daily)
+    counted = in_partitions(daily, stale, ["month"])
+    rows = counted.join(mine, same(counted, mine), "left_semi").withColumn("state", F.lit("redo"))
+    before = series.filter("state = 'before'").select(*DAILY_KEYS, "month", F.inline("tail"), "state")
+    computed = with_features(rows.unionByName(before.select(*rows.columns))).filter("state = 'redo'").drop("state")
+    old = in_partitions(gold, stale, ["month"])
+    kept = old.join(mine, same(old, mine), "left_anti")
+    replace_partitions(kept.unionByName(computed).select(*gold.columns), layers.gold, stale)
+
+
 def _registry(spark: SparkSession, layers: Layers) -> DataFrame:
     return _stored(spark, layers.model_runs, REGISTRY_SCHEMA)
 
@@ -319,6 +440,7 @@ def anomaly_job(
     return read_layer(spark, layers.anomalies)
 
 
+@own_scratch
 def tune_job(
     spark: SparkSession,
     layers: Layers,
@@ -381,7 +503,7 @@ def run_all(
     method: str = "regression",
 ) -> DataFrame:
     """Every stage once: Bronze, Silver, Gold, forecast, anomalies."""
-    bronze_job(raw, layers, as_of)
+    bronze_job(raw, layers, as_of, params=params)
     silver_job(spark, layers, as_of, params)
     gold_job(spark, layers)
     forecast_job(spark, layers, keys, params, method)
@@ -394,6 +516,7 @@ __all__ = [
     "anomaly_job",
     "bronze_job",
     "forecast_job",
+    "forget_job",
     "gold_job",
     "infer_job",
     "run_all",

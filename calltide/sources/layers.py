@@ -236,6 +236,7 @@ def upsert_layer(
     in_place: bool = True,
     check: Callable[[DataFrame], object] | None = None,
     null_keys: str = "insert",
+    changes: Callable[[DataFrame | None, DataFrame], object] | None = None,
 ) -> None:
     """Upsert into a layer, created if missing.
 
@@ -244,7 +245,9 @@ def upsert_layer(
     list will do) unless the keys of the batch are unique. ``check`` sees the
     staged rows and may raise before the layer is touched. Running the same
     batch twice gives the same layer as far as rows have keys; rows with a NULL
-    key are inserted again unless ``null_keys="once"``.
+    key are inserted again unless ``null_keys="once"``. ``changes`` gets the
+    rows about to be replaced (None where there is no layer yet) and the staged
+    rows, before the layer is touched.
 
     Partitions are swapped one by one when the write job commits. A driver lost
     at that moment can leave a partition unswapped or missing, and running the
@@ -254,7 +257,7 @@ def upsert_layer(
     """
     spark = staged.sparkSession
     fresh = dedup_latest(staged, keys, latest_by) if latest_by is not None else staged
-    if check is None and not layer_exists(spark, layer):
+    if check is None and changes is None and not layer_exists(spark, layer):
         overwrite_layer(fresh, layer, partition_by)
         return
     fresh = parked(fresh, "staged")
@@ -262,23 +265,80 @@ def upsert_layer(
         check(fresh)
     current = _current(spark, layer)
     if current is None:
+        if changes:
+            changes(None, fresh)
         overwrite_layer(fresh, layer, partition_by)
     elif not fresh.isEmpty():
         _widen(spark, layer, current, fresh.schema)
         target, columns = read_layer(spark, layer), current["partition_by"]
         if in_place and columns and set(fresh.columns) == set(target.columns):
             touched = _touched_partitions(target, fresh, keys, columns)
+            if changes:
+                changes(_held(in_partitions(target, touched, columns), fresh, keys), fresh)
             rewritten = in_partitions(target, touched.filter("kind = 'rewritten'"), columns)
-            # An overwrite in place cannot clear a partition that receives no row.
-            placed = target.select(*columns, F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"))
-            emptied = in_partitions(placed, touched.filter("kind = 'emptied'"), columns).select("folder").distinct()
-            emptied = parked(emptied, "emptied")
+            emptied = _folders_of(target, touched.filter("kind = 'emptied'"), columns)
             overwrite_layer(upsert(rewritten, fresh, keys, null_keys=null_keys), layer, only_present=True)
             _drop_folders(emptied)
         else:
+            if changes:
+                changes(_held(target, fresh, keys), fresh)
             overwrite_layer(upsert(target, fresh, keys, null_keys=null_keys), layer, columns)
 
 
+def _held(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key is staged."""
+    return target.join(staged.select(*keys).distinct(), list(keys), "left_semi")
+
+
+def _folders_of(target: DataFrame, partitions: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Folders of the given partitions: an overwrite in place cannot clear one that receives no row."""
+    placed = target.select(*columns, F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"))
+    return parked(in_partitions(placed, partitions, columns).select("folder").distinct(), "emptied")
+
+
+def replace_partitions(df: DataFrame, layer: Layer, partitions: DataFrame) -> None:
+    """Swap the given partitions of a layer for the rows of ``df``, which has no others; those without rows are cleared.
+
+    ``partitions`` has the partition columns. Other partitions keep their
+    files. ``df`` may read the layer itself.
+    """
+    spark = df.sparkSession
+    current = _current(spark, layer)
+    columns = current["partition_by"]
+    rows = parked(df, "partitions")
+    arriving = rows.select(*columns).distinct()
+    same = all_of([partitions[c].eqNullSafe(arriving[c]) for c in columns])
+    cleared = parked(partitions.select(*columns).distinct().join(arriving, same, "left_anti").withColumn("kind", F.lit("emptied")), "cleared")
+    folders = _folders_of(read_layer(spark, layer), cleared.filter("kind = 'emptied'"), columns)
+    overwrite_layer(rows, layer, only_present=True)
+    _drop_folders(folders)
+
+
+def delete_keys(
+    gone: DataFrame,
+    layer: Layer,
+    keys: Sequence[str],
+    changes: Callable[[DataFrame | None, DataFrame | None], object] | None = None,
+) -> None:
+    """Delete the rows whose key is in ``gone``; only partitions that hold one are rewritten.
+
+    ``changes`` gets the rows about to be deleted, before the layer is touched.
+    """
+    spark = gone.sparkSession
+    named = parked(gone.select(*keys).filter(~any_null(keys)).distinct(), "gone")
+    current = _current(spark, layer)
+    target, columns = read_layer(spark, layer), current["partition_by"]
+    if changes:
+        changes(_held(target, named, keys), None)
+    if not columns:
+        overwrite_layer(target.join(named, list(keys), "left_anti").select(*target.columns), layer)
+        return
+    touched = target.select(*dict.fromkeys([*columns, *keys])).join(named, list(keys), "left_semi").select(*columns).distinct()
+    touched = parked(touched.withColumn("kind", F.lit("rewritten")), "touched").filter("kind = 'rewritten'")
+    left = in_partitions(target, touched, columns).join(named, list(keys), "left_anti").select(*target.columns)
+    replace_partitions(left, layer, touched)
+
+
 def _drop_folders(folders: DataFrame) -> None:
     """Delete folders; their names come to the driver one part at a time."""
     spark = folders.sparkSession
@@ -295,12 +355,16 @@ def write_bronze(
     append_only: bool = False,
     in_place: bool = True,
     check: Callable[[DataFrame], object] | None = None,
+    precedence: str = "arrival",
 ) -> None:
     """Upsert when the rows carry the key, else append.
 
     An append-only layer is partitioned by load date. A merged one is
     partitioned by month of receipt, which later loads of a key do not change,
     and holds a key once even when the rows have no column to order them by.
+    A merged layer takes the rows of the load that arrives last, or with
+    ``precedence="load_date"`` those of the load with the latest date: arriving
+    rows whose key is stored with a later date are then left out.
     """
     if append_only or key not in df.columns:
         if check:
@@ -309,6 +373,12 @@ def write_bronze(
         append_layer(df, layer, [c for c in ["ingestion_date"] if c in df.columns])
         return
     months = [c for c in ("received_year", "received_month") if c in df.columns]
+    spark = df.sparkSession
+    if precedence == "load_date" and "ingestion_date" in df.columns and layer_exists(spark, layer):
+        df = parked(df, "arrived")
+        low = df.agg(F.min("ingestion_date").alias("low")).select("low").scalar()
+        stored = read_layer(spark, layer).select(F.col(key).alias("__key"), F.col("ingestion_date").alias("__date")).filter(F.col("__date") > low)
+        df = df.join(stored, (F.col(key) == F.col("__key")) & (F.col("__date") > F.col("ingestion_date")), "left_anti")
     upsert_layer(df, layer, [key], [c for c in latest_by if c in df.columns], months, in_place, check, "once")
 
 

@@ -70,14 +70,17 @@ def test_jobs_read_only_partitions_that_changed(spark, sf_dir, tmp_path):
     jobs.silver_job(spark, where, "2001-07-01")
     jobs.gold_job(spark, where)
     jobs.bronze_job(month.withColumn("complaint_type", F.lit("other")), where, "2001-08-01")
-    rows, _ = jobs._bronze_slice(spark, where, Params(overlap_days=0), False, None)
+    _, rows, _ = jobs._bronze_slice(spark, where, Params(overlap_days=0), False, None)
     assert rows.count() == month.count()
     assert "dynamicpruning" in plan(rows).split("/bronze/")[0]
-    silver = jobs.silver_job(spark, where, "2001-08-01", Params(overlap_days=0))
-    stale = jobs._stale_months(silver, layers.read_layer(spark, where.daily))
-    assert [str(r.month) for r in stale.collect()] == ["1997-03-01"]
-    pruned = layers.in_partitions(silver, stale.withColumnRenamed("month", "created_month"), ["created_month"])
-    assert "dynamicpruning" in plan(pruned).split("/silver/")[0]
+    jobs.silver_job(spark, where, "2001-08-01", Params(overlap_days=0))
+    changes = jobs._net_changes(spark, where, jobs._open_runs(spark, where))
+    months = changes.select("month").distinct().withColumn("kind", F.lit("x")).filter("kind = 'x'").select("month")
+    assert [str(r.month) for r in months.collect()] == ["1997-03-01"]
+    months = layers.parked(months.withColumn("kind", F.lit("x")), "months").filter("kind = 'x'").select("month")
+    counts = jobs.gold_changes(layers.read_layer(spark, where.daily), changes, months)
+    assert "dynamicpruning" in plan(counts).split("/daily/")[0]
+    assert "/silver/" not in plan(counts) and "/bronze/" not in plan(counts)
 
 
 def test_dedup_drops_losers_before_the_shuffle(spark, sf_dir):
