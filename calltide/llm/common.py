@@ -60,6 +60,11 @@ def text_chunks(
             at = end
 
 
+def lower_ascii(text: str) -> str:
+    """The text with A to Z in lower case and all else as it is."""
+    return text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+
+
 def map_texts(
     df: DataFrame, text: str, fn: Callable[[list[str | None]], dict[str, list | np.ndarray | pa.Array]], schema: str,
     keep_text: bool = False,

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from calltide.llm.common import components, staged, tasks, text_chunks
+from calltide.llm.common import components, lower_ascii, staged, tasks, text_chunks
 from calltide.llm.ngram_join import shingles
 
 SHINGLE = 4
@@ -36,7 +36,6 @@ BITS = 512
 TOLERANCE = 1e-6  # probability that a pair at the threshold has more ones than are let pass
 BLOCK = 512  # sketches on one side of a tile, on average
 SET_BLOCK = 96  # sets on one side of a tile
-_UPPER = {c: c + 32 for c in range(65, 91)}
 
 
 @lru_cache(maxsize=1)
@@ -106,7 +105,7 @@ def _signed(docs: DataFrame) -> DataFrame:
     def run(batches):
         for part, texts in text_chunks(batches, "text"):
             sizes, keys, sketches, bands = [], [], [], []
-            for own in shingles([t.translate(_UPPER) if t else t for t in texts], SHINGLE):
+            for own in shingles([lower_ascii(t) if t else t for t in texts], SHINGLE):
                 sizes.append(len(own))
                 if not len(own):
                     keys.append(None), sketches.append(None), bands.append(None)
@@ -356,7 +355,7 @@ def near_duplicates(
 
     def hashes(batches):
         for part, texts in text_chunks(batches, "text"):
-            sets = shingles([t.translate(_UPPER) for t in texts], SHINGLE)
+            sets = shingles([lower_ascii(t) for t in texts], SHINGLE)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["row", "hashes"])
 
     sets = staged(signed.select("row", "text").join(used, F.col("row") == F.col("used"), "left_semi").mapInArrow(hashes, "row long, hashes binary"), "sets")
