@@ -12,150 +12,190 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from calltide.llm.common import staged, tasks, text_chunks
+from calltide.llm.common import lower_ascii, staged, tasks, text_chunks
 
 TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 MIN_DOCS, TOP = 10, 10
 UNIT = 1_000_000_000
-POSTINGS = 200_000  # held by a task before it spills a run
-SEGMENT = 1_000  # postings of a run in a row
+POSTINGS = 2_000_000  # terms of documents that a task holds before it spills a run
+WORDS = 300_000  # different terms it holds
+SEGMENT = 1_000  # terms of a run in a row
 RUNS = 256  # merged at once
 SLICE = 1_000_000  # characters of a text searched at once
-SIDE = 256  # sources on one side of a block of pair sums
-_UPPER = {c: c + 32 for c in range(65, 91)}
-_RUN = "shard int, run long, lang string, term string, langs array<string>, terms array<string>, sources array<string>, counts array<long>, docs array<long>"
-_KINDS = [pa.int32(), pa.int64(), pa.string(), pa.string(), *[pa.list_(pa.string())] * 3, *[pa.list_(pa.int64())] * 2]
-_NAMES = ["shard", "run", "lang", "term", "langs", "terms", "sources", "counts", "docs"]
+SUMS = 500_000  # pair sums a task holds
+_RUN = "shard int, run long, lang string, term string, langs array<string>, terms array<string>, ends array<long>, sources array<string>, counts array<long>, docs array<long>"
+_KINDS = [pa.int32(), pa.int64(), *[pa.string()] * 2, *[pa.list_(pa.string())] * 2, pa.list_(pa.int64()), pa.list_(pa.string()), *[pa.list_(pa.int64())] * 2]
+_NAMES = ["shard", "run", "lang", "term", "langs", "terms", "ends", "sources", "counts", "docs"]
 
 
-def terms_of(text: str) -> Iterator[str]:
-    """Runs of letters and of characters beyond ASCII, with A to Z in lower case."""
+def terms_of(text: str) -> Iterator[list[str]]:
+    """Runs of letters and of characters beyond ASCII, with A to Z in lower case, by slices of the text."""
     at = 0
     while at < len(text):
         end = at + SLICE
         if rest := TERM.match(text, end):  # cut between terms
             end = rest.end()
-        yield from TERM.findall(text[at:end].translate(_UPPER))
+        yield TERM.findall(lower_ascii(text[at:end]))
         at = end
 
 
-def _shard(lang: str, term: str, shards: int) -> int:
-    import xxhash
-
-    return xxhash.xxh64_intdigest(f"{lang}\0{term}") % shards
-
-
-def _segments(postings: Iterator[tuple], run: int):
-    """Rows of a run from postings ``shard, lang, term, source, count, docs`` in order; a row stays inside a shard."""
-    held: list[tuple] = []
-
-    def row():
-        columns = list(zip(*held))
-        return (held[0][0], run, held[0][1], held[0][2], *map(list, columns[1:]))
-
-    for p in postings:
-        if held and (len(held) >= SEGMENT or p[0] != held[0][0]):
-            yield row()
-            held = []
-        held.append(p)
-    if held:
-        yield row()
-
-
-def _written(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple] = []
-    for r in rows:
-        held.append(r)
-        if len(held) == 50:
-            yield _batch(held)
-            held = []
-    if held:
-        yield _batch(held)
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), _KINDS)], names=_NAMES)
-
-
-def _spilled(batches: Iterator[pa.RecordBatch], shards: int):
+class _Numbers(dict):
+    """Numbers things in the order in which they are asked for."""
+
+    def __missing__(self, key) -> int:
+        self[key] = n = len(self)
+        return n
+
+
+class _Block:
+    """Postings of documents in memory."""
+
+    def __init__(self):
+        self.words, self.groups = _Numbers(), _Numbers()
+        self.keys: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, text: str, lang: str, source: str) -> None:
+        codes = [np.fromiter(map(self.words.__getitem__, found), np.int64, len(found)) for found in terms_of(text)]
+        if codes:
+            own, n = np.unique(np.concatenate(codes), return_counts=True)
+            self.keys.append(own + (self.groups[lang, source] << 32))
+            self.counts.append(n)
+            self.size += len(own)
+
+    def postings(self, shards: int) -> Iterator[tuple]:
+        """``shard, lang, term, sources, counts, docs`` in order of the first three."""
+        if not self.size:
+            return
+        keys = np.concatenate(self.keys)
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.diff(keys, prepend=-1))
+        counts, docs = np.add.reduceat(np.concatenate(self.counts)[order], first), np.diff(np.append(first, len(keys)))
+        group, word = keys[first] >> 32, keys[first] & 0xFFFFFFFF
+        words, langs, sources = list(self.words), [g[0] for g in self.groups], [g[1] for g in self.groups]
+
+        def ranks(values: list[str]) -> np.ndarray:
+            order = {v: i for i, v in enumerate(sorted(set(values)))}
+            return np.array([order[v] for v in values])
+
+        lang = ranks(langs)[group]
+        pairs, at = np.unique(lang << 32 | word, return_inverse=True)
+        names = sorted(set(langs))
+        shard = np.array([xxhash.xxh64_intdigest(f"{names[x >> 32]}\0{words[x & 0xFFFFFFFF]}") % shards for x in pairs.tolist()])[at]
+        order = np.lexsort((ranks(sources)[group], ranks(words)[word], lang, shard))
+        ends = np.flatnonzero(np.append(np.diff(at[order]) != 0, True)) + 1
+        own, counts, docs = [sources[g] for g in group[order].tolist()], counts[order].tolist(), docs[order].tolist()
+        starts = [0, *ends[:-1].tolist()]
+        for i, j, s, x in zip(starts, ends.tolist(), shard[order][starts].tolist(), pairs[at[order][starts]].tolist()):
+            yield s, names[x >> 32], words[x & 0xFFFFFFFF], own[i:j], counts[i:j], docs[i:j]
+
+
+def _segments(postings: Iterator[tuple], run: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a run: up to ``SEGMENT`` terms of a shard each, with the number of sources up to the end of each term."""
+    rows: list[tuple] = []
+    shard, langs, terms, ends, flat = -1, [], [], [], ([], [], [])
+
+    def close() -> None:
+        nonlocal langs, terms, ends, flat
+        if terms:
+            rows.append((shard, run, langs[0], terms[0], langs, terms, ends, *flat))
+        langs, terms, ends, flat = [], [], [], ([], [], [])
+
+    def batch() -> pa.RecordBatch:
+        made = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), _KINDS)], names=_NAMES)
+        rows.clear()
+        return made
+
+    for s, lang, term, *values in postings:
+        if s != shard or len(terms) >= SEGMENT:
+            close()
+            shard = s
+            if len(rows) >= 20:
+                yield batch()
+        langs.append(lang)
+        terms.append(term)
+        for held, new in zip(flat, values):
+            held.extend(new)
+        ends.append(len(flat[0]))
+    close()
+    if rows:
+        yield batch()
+
+
+def _spilled(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     """Runs of the documents' postings; columns ``text, lang, source, task``."""
-    counts: dict[tuple[str, str], Counter] = defaultdict(Counter)
-    docs: dict[tuple[str, str], Counter] = defaultdict(Counter)
-    number = 0
-
-    def run(task: int):
-        postings = sorted(
-            (_shard(lang, term, shards), lang, term, source, n, docs[lang, source][term])
-            for (lang, source), own in counts.items()
-            for term, n in own.items()
-        )
-        yield from _written(_segments(postings, (task << 24) + number))
-
-    task = 0
+    block, number, task = _Block(), 0, 0
     for part, texts in text_chunks(batches, "text"):
-        langs, sources, task = part.column(1).to_pylist(), part.column(2).to_pylist(), part.column(3)[0].as_py()
-        for text, lang, source in zip(texts, langs, sources):
-            own = Counter(terms_of(text))
-            counts[lang, source].update(own)
-            docs[lang, source].update(own.keys())
-        if sum(map(len, counts.values())) >= POSTINGS:
-            yield from run(task)
-            number += 1
-            counts.clear()
-            docs.clear()
-    yield from run(task)
+        task = part.column(3)[0].as_py()
+        for row in zip(texts, part.column(1).to_pylist(), part.column(2).to_pylist()):
+            block.add(*row)
+        if block.size >= POSTINGS or len(block.words) >= WORDS:
+            yield from _segments(block.postings(shards), (task << 24) + number)
+            block, number = _Block(), number + 1
+    yield from _segments(block.postings(shards), (task << 24) + number)
 
 
-def merged(segments: Iterator[tuple[list, ...]]) -> Iterator[tuple[str, str, str, int, int]]:
-    """Postings ``lang, term, source, count, docs`` of many runs, in order and added up.
+def merged(segments: Iterator[tuple[list, ...]]) -> Iterator[tuple[str, str, list, list, list]]:
+    """``lang, term, sources, counts, docs`` of many runs, in order and added up.
 
-    The segments come sorted by their first term; one is opened when the merge has reached its first term, so that only
-    those that overlap are held.
+    A heap holds the next term of each open segment. Segments come sorted by their first term; one is opened when the merge has
+    reached its first term, so that only those that overlap are held.
     """
     heap: list[tuple] = []
-    last = None
+    term: tuple | None = None
+    counts: dict[str, int] = {}
+    docs: dict[str, int] = {}
 
-    def head(segment, at: int, number: int) -> tuple:
-        return (segment[0][at], segment[1][at], segment[2][at], number, at, segment)
+    def done() -> tuple:
+        own = sorted(counts)
+        return (*term, own, [counts[s] for s in own], [docs[s] for s in own])
+
+    def take(head: tuple) -> None:
+        _, _, _, at, (langs, terms, ends, sources, n, d) = head
+        for i in range(ends[at - 1] if at else 0, ends[at]):
+            s = sources[i]
+            counts[s] = counts.get(s, 0) + n[i]
+            docs[s] = docs.get(s, 0) + d[i]
 
     def step():
-        nonlocal last
-        lang, term, source, number, at, segment = heap[0]
-        if at + 1 < len(segment[0]):
-            heapq.heapreplace(heap, head(segment, at + 1, number))
+        nonlocal term
+        head = heap[0]
+        if head[:2] != term:
+            if term:
+                yield done()
+            term = head[:2]
+            counts.clear()
+            docs.clear()
+        take(head)
+        _, _, number, at, segment = head
+        if at + 1 < len(segment[1]):
+            heapq.heapreplace(heap, (segment[0][at + 1], segment[1][at + 1], number, at + 1, segment))
         else:
             heapq.heappop(heap)
-        n, d = segment[3][at], segment[4][at]
-        if last and last[:3] == (lang, term, source):
-            last = (*last[:3], last[3] + n, last[4] + d)
-            return None
-        done, last = last, (lang, term, source, n, d)
-        return done
 
     for number, segment in enumerate(segments):
-        first = (segment[0][0], segment[1][0])
-        while heap and heap[0][:2] < first:
-            if done := step():
-                yield done
-        heapq.heappush(heap, head(segment, 0, number))
+        while heap and heap[0][:2] < (segment[0][0], segment[1][0]):
+            yield from step()
+        heapq.heappush(heap, (segment[0][0], segment[1][0], number, 0, segment))
     while heap:
-        if done := step():
-            yield done
-    if last:
-        yield last
+        yield from step()
+    if term:
+        yield done()
 
 
 def _by_key(batches: Iterator[pa.RecordBatch], keys: int):
     """``key, rows`` for each run of equal values of the first ``keys`` columns; the rows must be read before the next key."""
-    rows = (r for b in batches for at in range(0, b.num_rows, 64) for r in zip(*(c.to_pylist() for c in b.slice(at, 64).columns)))
+    rows = (r for b in batches for at in range(0, b.num_rows, 20) for r in zip(*(c.to_pylist() for c in b.slice(at, 20).columns)))
     row = next(rows, None)
 
     def own(key):
@@ -174,28 +214,25 @@ def _merged_runs(runs: DataFrame, shards: int, final: bool, groups: int = 1, min
 
     def longer(batches):
         for (shard, group), rows in _by_key(batches, 2):
-            yield from _written(_segments(((shard, *p) for p in merged(r[4:] for r in rows)), group))
+            yield from _segments(((shard, *p) for p in merged(r[4:] for r in rows)), group)
 
     def frequencies(batches):
-        out: list[tuple] = []
+        out: tuple[list, ...] = ([], [], [], [], [])
+        kinds = [pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64()]
 
         def flush():
-            columns = zip(*out) if out else [[]] * 5
-            kinds = [pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["shard", "lang", "term", "source", "count"])
+            made = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["shard", "lang", "term", "source", "count"])
+            for column in out:
+                column.clear()
+            return made
 
         for (shard, _), rows in _by_key(batches, 2):
-            term, own, docs = None, [], 0
-            for lang, word, source, n, d in merged(r[4:] for r in rows):
-                if (lang, word) != term:
-                    out += own if docs >= min_docs else []
-                    term, own, docs = (lang, word), [], 0
-                    if len(out) >= 5_000:
+            for lang, term, sources, counts, docs in merged(r[4:] for r in rows):
+                if sum(docs) >= min_docs:
+                    for column, values in zip(out, ([shard] * len(sources), [lang] * len(sources), [term] * len(sources), sources, counts)):
+                        column.extend(values)
+                    if len(out[0]) >= 10_000:
                         yield flush()
-                        out.clear()
-                own.append((shard, lang, word, source, n))
-                docs += d
-            out += own if docs >= min_docs else []
         yield flush()
 
     group = F.lit(0).cast("long") if final else F.pmod(F.xxhash64("run"), F.lit(groups)).cast("long")
@@ -231,42 +268,68 @@ def _value(p: str, q: str) -> Column:
     return F.expr(f"(({p} - {q}) * ({p} - {q})) div ({p} + {q})")
 
 
-def _pair_sums(batches: Iterator[pa.RecordBatch]):
-    """Corrections of the terms that two sources share, added up; rows come by shard, language and term.
+def _pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Corrections of the terms that two sources share, added up as they stream by; rows come by shard, language and term.
 
-    Columns ``shard, lang, term, source, p, p0``. Sums are kept in blocks of ``SIDE`` by ``SIDE`` sources, and handed on
-    early when many blocks are touched.
+    Columns ``lang, term, source, p, p0``. Each pair of sources gets one row, the smaller name first, unless so many pairs are
+    touched that the sums are handed on early.
     """
-    names: dict[str, dict[str, int]] = defaultdict(dict)
-    sums: dict[tuple[str, int, int], np.ndarray] = {}
-
-    def handed():
-        for (lang, a, b), block in sums.items():
-            order = list(names[lang])
-            x, y = np.nonzero(block)
-            if len(x):
-                yield pa.RecordBatch.from_pydict({
-                    "lang": pa.array([lang] * len(x), pa.string()), "source": pa.array([order[a * SIDE + i] for i in x], pa.string()),
-                    "item": pa.array([order[b * SIDE + j] for j in y], pa.string()), "part": block[x, y],
-                })
+    names = _Numbers()  # of languages and sources, together
+    sums: dict[tuple[int, int], int] = {}
+    rest: pa.RecordBatch | None = None
+
+    def handed() -> pa.RecordBatch:
+        of = list(names)
+        made = pa.RecordBatch.from_arrays(
+            [
+                pa.array([of[a][0] for a, _ in sums], pa.string()), pa.array([of[a][1] for a, _ in sums], pa.string()),
+                pa.array([of[b][1] for _, b in sums], pa.string()), pa.array(sums.values(), pa.int64()),
+            ],
+            names=["lang", "source", "item", "part"],
+        )
         sums.clear()
-
-    for (_, lang, _), rows in _by_key(batches, 3):
-        own = [(names[lang].setdefault(r[3], len(names[lang])), r[4], r[5]) for r in rows]
-        if len(own) < 2:
-            continue
-        at, p, p0 = np.array(sorted(own), np.int64).T
-        side = at // SIDE
-        cuts = np.flatnonzero(np.diff(side, prepend=-1, append=-1)).tolist()
-        for i, j in zip(cuts, cuts[1:]):
-            for k, m in zip(cuts, cuts[1:]):
-                a, b, a0, b0 = p[i:j, None], p[None, k:m], p0[i:j, None], p0[None, k:m]
-                more = sum(s * ((u - v) * (u - v) // (u + v)) for s, u, v in ((1, a, b), (-1, a, b0), (-1, a0, b), (1, a0, b0)))
-                block = sums.setdefault((lang, int(side[i]), int(side[k])), np.zeros((SIDE, SIDE), np.int64))
-                block[np.ix_(at[i:j] % SIDE, at[k:m] % SIDE)] += more
-        if len(sums) > 32:
-            yield from handed()
-    yield from handed()
+        return made
+
+    def numbers(b: pa.RecordBatch, *columns: int) -> np.ndarray:
+        """Each row's number among the different values of the columns."""
+        out = np.zeros(b.num_rows, np.int64)
+        for c in columns:
+            coded = b.column(c).dictionary_encode()
+            out = out * (len(coded.dictionary) + 1) + coded.indices.to_numpy()
+        return out
+
+    def add(b: pa.RecordBatch) -> None:
+        term = np.cumsum(np.diff(numbers(b, 0, 1), prepend=-1) != 0)
+        _, first, at = np.unique(numbers(b, 0, 2), return_index=True, return_inverse=True)
+        own = np.array([names[b.column(0)[i].as_py(), b.column(2)[i].as_py()] for i in first.tolist()], np.int64)[at]
+        p, p0 = b.column(3).to_numpy(), b.column(4).to_numpy()
+        f = lambda u, v: (u - v) * (u - v) // (u + v)
+        for apart in range(1, b.num_rows):  # terms' sources are neighbours
+            i = np.flatnonzero(term[apart:] == term[:-apart])
+            if not len(i):
+                break
+            j = i + apart
+            part = f(p[i], p[j]) - f(p[i], p0[j]) - f(p0[i], p[j]) + f(p0[i], p0[j])
+            pairs, where = np.unique(np.minimum(own[i], own[j]) << 32 | np.maximum(own[i], own[j]), return_inverse=True)
+            total = np.zeros(len(pairs), np.int64)
+            np.add.at(total, where, part)
+            for pair, value in zip(pairs.tolist(), total.tolist()):
+                key = (pair >> 32, pair & 0xFFFFFFFF)
+                sums[key] = sums.get(key, 0) + value
+
+    for b in batches:
+        if rest is not None:
+            b = pa.concat_batches([rest, b])
+        term = numbers(b, 0, 1)
+        cut = len(term) - int(np.argmax(term[::-1] != term[-1])) if len(term) and (term != term[-1]).any() else 0
+        rest = b.slice(cut)
+        if cut:
+            add(b.slice(0, cut))
+        if len(sums) >= SUMS:
+            yield handed()
+    if rest is not None and rest.num_rows:
+        add(rest)
+    yield handed()
 
 
 def divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_docs: int = MIN_DOCS, top: int = TOP) -> DataFrame:
@@ -306,8 +369,9 @@ def divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     )
     swapped = alone.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), "part")
     dealt = shares.select("shard", "lang", "term", "source", "p", "p0").repartition(tasks(docs), "shard").sortWithinPartitions("shard", "lang", "term")
-    both = dealt.mapInArrow(_pair_sums, "lang string, source string, item string, part long").where(unlike)
-    pairs = base.unionByName(alone).unionByName(swapped).unionByName(both).groupBy("lang", "source", "item").agg(F.sum("part").alias("value"))
+    both = staged(dealt.drop("shard").mapInArrow(_pair_sums, "lang string, source string, item string, part long"), "pairs")
+    turned = both.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), "part")
+    pairs = base.unionByName(alone).unionByName(swapped).unionByName(both).unionByName(turned).groupBy("lang", "source", "item").agg(F.sum("part").alias("value"))
     pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", "value")
 
     whole = words.select("lang", "term", F.col("n").alias("all"))
