@@ -46,6 +46,50 @@ def stream_dedup(spark, sf_dir):
     return spark.read.schema("event_id bigint, event_type string, value double").parquet(f"{out}/rows")
 
 
+LATE = """parts AS (SELECT *, event_id % 5 = 0 AS second FROM events),
+closed AS (SELECT CAST(max(ts) - INTERVAL 5 DAY AS DATE) AS day FROM parts WHERE NOT second AND ts < TIMESTAMP '2024-01-20'),
+first_open AS (SELECT * FROM parts WHERE NOT second AND ts < TIMESTAMP '2024-01-20')"""
+
+
+@query(f"""
+WITH {LATE},
+rest AS (SELECT *, CAST(ts AS DATE) < day AS late FROM parts, closed WHERE second OR ts >= TIMESTAMP '2024-01-20')
+SELECT CAST(ts AS DATE) AS ds, event_type, count(*) FILTER (NOT late) AS y, count(*) FILTER (late) AS late
+FROM (SELECT ts, event_type, FALSE AS late FROM first_open UNION ALL SELECT ts, event_type, late FROM rest) GROUP BY ALL
+""")
+def stream_daily_totals(spark, sf_dir):
+    """Two batches, the second one with new days and with late rows of old ones."""
+    out = shared_dir(spark, "stream")
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    first = "event_id % 5 <> 0 AND ts < TIMESTAMP_NTZ '2024-01-20'"
+    for part in (events.filter(first), events.filter(f"NOT ({first})")):
+        part.write.mode("append").parquet(f"{out}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{out}/in")
+        finished(streams.stream_daily_totals(stream, f"{out}/layers", "ts", ["event_type"], f"{out}/checkpoint", overlap_days=5))
+    counts, late = [layers.read_layer(spark, layers.Layer(f"{out}/layers", n)) for n in ("counts", "late")]
+    both = counts.select("ds", "event_type", "y", F.lit(0).cast("bigint").alias("late")).unionByName(
+        late.select("ds", "event_type", F.lit(0).cast("bigint").alias("y"), F.col("y").alias("late"))
+    )
+    return both.groupBy("ds", "event_type").agg(F.sum("y").alias("y"), F.sum("late").alias("late"))
+
+
+@query("""
+WITH marked AS (SELECT *, ts > lag(ts) OVER w + INTERVAL 1 DAY OR lag(ts) OVER w IS NULL AS opens FROM events
+  WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id)),
+numbered AS (SELECT *, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS session FROM marked),
+newest AS (SELECT user_id, event_type, session, max(struct_pack(value := value, event_id := event_id, ts := ts)) AS row, max(ts) AS last FROM numbered GROUP BY ALL)
+SELECT user_id, event_type, row.event_id AS event_id, row.value AS value FROM newest
+WHERE last + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)
+""")
+def stream_latest(spark, sf_dir):
+    """The largest value of each user and kind in every spell without a day's pause."""
+    out = shared_dir(spark, "stream")
+    events = streams.read_stream(spark, sf_dir, "events.parquet").select("user_id", "event_type", "value", "event_id", "ts")
+    latest = streams.stream_latest(events, ["user_id", "event_type"], "ts", ["value", "event_id"])
+    finished(streams.write_stream(latest.drop("ts"), f"{out}/rows", f"{out}/checkpoint"))
+    return spark.read.schema("user_id bigint, event_type string, value double, event_id bigint").parquet(f"{out}/rows")
+
+
 @query("SELECT event_id, ts, value, CAST(ts AS DATE) AS day FROM events")
 def stream_upsert(spark, sf_dir):
     layer = new_layer(spark, "streamed")
@@ -218,7 +262,7 @@ def gold_job_backfill(spark, sf_dir):
 CHANGED = """req AS (
   SELECT * REPLACE (
     CASE WHEN unique_key % 50 = 1 THEN created_date + INTERVAL 40 DAY ELSE created_date END AS created_date,
-    CASE WHEN unique_key % 50 = 2 THEN NULL ELSE complaint_type END AS complaint_type)
+    CASE WHEN unique_key % 50 = 2 THEN NULL ELSE agency END AS agency)
   FROM req0 WHERE unique_key % 50 <> 4)"""
 
 
@@ -243,7 +287,7 @@ def gold_job_delta(spark, sf_dir):
     silver(rows.filter(kind != 3), "2001-07-01")
     jobs.gold_job(spark, where)
     silver(rows.filter(kind == 1).withColumn("created_date", F.col("created_date") + F.expr("interval 40 days")), "2001-07-02")
-    silver(rows.filter(kind == 2).withColumn("complaint_type", F.lit(None).cast("string")), "2001-07-03")
+    silver(rows.filter(kind == 2).withColumn("agency", F.lit(None).cast("string")), "2001-07-03")
     jobs.gold_job(spark, where)
     silver(rows.filter(kind == 3), "2001-06-01")
     jobs.forget_job(spark, where, rows.filter(kind == 4).select("unique_key"))
