@@ -240,6 +240,24 @@ def upsert_table(spark, sf_dir):
     return spark.table(name)
 
 
+@query(
+    with_sql(
+        REQ,
+        select="""
+SELECT unique_key, created_date, CASE WHEN created_date < TIMESTAMP '1998-06-01' THEN status ELSE 'R' END AS status,
+       CAST(date_trunc('month', created_date) AS DATE) AS month FROM req
+""",
+    )
+)
+def upsert_table_bucketed(spark, sf_dir):
+    """Into a table partitioned by month and bucketed by key, which a merge does not shuffle."""
+    name = new_table(spark, "bucketed")
+    for batch in two_batches(spark, sf_dir):
+        staged = batch.select("unique_key", "created_date", "status").withColumn("month", F.trunc("created_date", "month"))
+        tables.upsert_table(staged, name, ["unique_key"], ["created_date"], ["month"], buckets=8)
+    return spark.table(name)
+
+
 @query(
     with_sql(
         REQ,

@@ -183,16 +183,19 @@ def in_partitions(df: DataFrame, partitions: DataFrame, columns: Sequence[str])
     """Rows of ``df`` in the given partitions, NULL being a value too.
 
     A semi-join with one row per partition. When Spark broadcasts that side and
-    it has a filter, only those partitions are read. Partitions with a NULL
-    value are looked up apart, since only plain equality prunes.
+    it has a filter, only those partitions are read.
     """
+    whole, partly = by_partitions(df, partitions, columns)
+    return whole.unionByName(partly)
+
+
+def by_partitions(df: DataFrame, partitions: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` in the given partitions, apart for values without and with NULL, since only plain equality prunes."""
     named = partitions.select(*[F.col(c).alias(f"__{c}") for c in columns])
     whole = df.join(named, all_of([df[c] == named[f"__{c}"] for c in columns]), "left_semi")
     missing = named.filter(any_null([f"__{c}" for c in columns]))
     partly = df.filter(any_null(columns))
-    return whole.unionByName(
-        partly.join(missing, all_of([partly[c].eqNullSafe(missing[f"__{c}"]) for c in columns]), "left_semi")
-    )
+    return whole, partly.join(missing, all_of([partly[c].eqNullSafe(missing[f"__{c}"]) for c in columns]), "left_semi")
 
 
 def _touched_partitions(
@@ -276,9 +279,9 @@ def upsert_layer(
             if changes:
                 changes(_held(in_partitions(target, touched, columns), fresh, keys), fresh)
             rewritten = in_partitions(target, touched.filter("kind = 'rewritten'"), columns)
-            emptied = _folders_of(target, touched.filter("kind = 'emptied'"), columns)
+            emptied = folders_of(target, touched.filter("kind = 'emptied'"), columns)
             overwrite_layer(upsert(rewritten, fresh, keys, null_keys=null_keys), layer, only_present=True)
-            _drop_folders(emptied)
+            drop_folders(emptied)
         else:
             if changes:
                 changes(_held(target, fresh, keys), fresh)
@@ -290,7 +293,7 @@ def _held(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFram
     return target.join(staged.select(*keys).distinct(), list(keys), "left_semi")
 
 
-def _folders_of(target: DataFrame, partitions: DataFrame, columns: Sequence[str]) -> DataFrame:
+def folders_of(target: DataFrame, partitions: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Folders of the given partitions: an overwrite in place cannot clear one that receives no row."""
     placed = target.select(*columns, F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"))
     return parked(in_partitions(placed, partitions, columns).select("folder").distinct(), "emptied")
@@ -309,9 +312,9 @@ def replace_partitions(df: DataFrame, layer: Layer, partitions: DataFrame) -> No
     arriving = rows.select(*columns).distinct()
     same = all_of([partitions[c].eqNullSafe(arriving[c]) for c in columns])
     cleared = parked(partitions.select(*columns).distinct().join(arriving, same, "left_anti").withColumn("kind", F.lit("emptied")), "cleared")
-    folders = _folders_of(read_layer(spark, layer), cleared.filter("kind = 'emptied'"), columns)
+    folders = folders_of(read_layer(spark, layer), cleared.filter("kind = 'emptied'"), columns)
     overwrite_layer(rows, layer, only_present=True)
-    _drop_folders(folders)
+    drop_folders(folders)
 
 
 def delete_keys(
@@ -339,7 +342,7 @@ def delete_keys(
     replace_partitions(left, layer, touched)
 
 
-def _drop_folders(folders: DataFrame) -> None:
+def drop_folders(folders: DataFrame) -> None:
     """Delete folders; their names come to the driver one part at a time."""
     spark = folders.sparkSession
     for row in folders.toLocalIterator():  # folder names

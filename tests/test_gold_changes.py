@@ -118,7 +118,7 @@ def test_a_silver_run_that_was_cut_off_is_counted_again(spark, where, monkeypatc
     def breaks(*a, **k):
         raise OSError("lost")
 
-    monkeypatch.setattr(layers, "_drop_folders", breaks)  # after the swap, before the run is marked as done
+    monkeypatch.setattr(layers, "drop_folders", breaks)  # after the swap, before the run is marked as done
     with pytest.raises(OSError):
         load(spark, where, random_rows(rng, range(10)), "2021-06-02")
     monkeypatch.undo()
