@@ -11,6 +11,7 @@ summed by count, plus corrections of the terms both have, which are added up whi
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -26,13 +27,12 @@ TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 MIN_DOCS, TOP = 10, 10
 UNIT = 1_000_000_000
 POSTINGS = 2_000_000  # terms of documents that a task holds before it spills a run
-WORDS = 300_000  # different terms it holds
+WORDS = 500_000  # different terms it holds
 SEGMENT = 1_000  # terms of a run in a row
 RUNS = 256  # merged at once
 SLICE = 1_000_000  # characters of a text searched at once
 SUMS = 500_000  # pair sums a task holds
 _RUN = "shard int, run long, lang string, term string, langs array<string>, terms array<string>, ends array<long>, sources array<string>, counts array<long>, docs array<long>"
-_KINDS = [pa.int32(), pa.int64(), *[pa.string()] * 2, *[pa.list_(pa.string())] * 2, pa.list_(pa.int64()), pa.list_(pa.string()), *[pa.list_(pa.int64())] * 2]
 _NAMES = ["shard", "run", "lang", "term", "langs", "terms", "ends", "sources", "counts", "docs"]
 
 
@@ -72,8 +72,8 @@ class _Block:
             self.counts.append(n)
             self.size += len(own)
 
-    def postings(self, shards: int) -> Iterator[tuple]:
-        """``shard, lang, term, sources, counts, docs`` in order of the first three."""
+    def run(self, shards: int, number: int) -> Iterator[pa.RecordBatch]:
+        """The postings as rows of a run, in order of shard, language, term and source."""
         if not self.size:
             return
         keys = np.concatenate(self.keys)
@@ -89,47 +89,37 @@ class _Block:
             return np.array([order[v] for v in values])
 
         lang = ranks(langs)[group]
-        pairs, at = np.unique(lang << 32 | word, return_inverse=True)
         names = sorted(set(langs))
-        shard = np.array([xxhash.xxh64_intdigest(f"{names[x >> 32]}\0{words[x & 0xFFFFFFFF]}") % shards for x in pairs.tolist()])[at]
-        order = np.lexsort((ranks(sources)[group], ranks(words)[word], lang, shard))
+        pairs, at = np.unique(lang << 32 | word, return_inverse=True)
+        shard = np.array([xxhash.xxh64_intdigest(f"{names[x >> 32]}\0{words[x & 0xFFFFFFFF]}") % shards for x in pairs.tolist()])
+        order = np.lexsort((ranks(sources)[group], ranks(words)[word], lang, shard[at]))
         ends = np.flatnonzero(np.append(np.diff(at[order]) != 0, True)) + 1
-        own, counts, docs = [sources[g] for g in group[order].tolist()], counts[order].tolist(), docs[order].tolist()
-        starts = [0, *ends[:-1].tolist()]
-        for i, j, s, x in zip(starts, ends.tolist(), shard[order][starts].tolist(), pairs[at[order][starts]].tolist()):
-            yield s, names[x >> 32], words[x & 0xFFFFFFFF], own[i:j], counts[i:j], docs[i:j]
-
-
-def _segments(postings: Iterator[tuple], run: int) -> Iterator[pa.RecordBatch]:
-    """Rows of a run: up to ``SEGMENT`` terms of a shard each, with the number of sources up to the end of each term."""
-    rows: list[tuple] = []
-    shard, langs, terms, ends, flat = -1, [], [], [], ([], [], [])
-
-    def close() -> None:
-        nonlocal langs, terms, ends, flat
-        if terms:
-            rows.append((shard, run, langs[0], terms[0], langs, terms, ends, *flat))
-        langs, terms, ends, flat = [], [], [], ([], [], [])
-
-    def batch() -> pa.RecordBatch:
-        made = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), _KINDS)], names=_NAMES)
-        rows.clear()
-        return made
+        own = at[order][ends - 1]
+        yield from _rows(
+            shard[own], number, pa.array(names, pa.string()).take(pa.array(pairs[own] >> 32)),
+            pa.array(words, pa.string()).take(pa.array(pairs[own] & 0xFFFFFFFF)), ends,
+            pa.array(sources, pa.string()).take(pa.array(group[order])), pa.array(counts[order]), pa.array(docs[order]),
+        )
 
-    for s, lang, term, *values in postings:
-        if s != shard or len(terms) >= SEGMENT:
-            close()
-            shard = s
-            if len(rows) >= 20:
-                yield batch()
-        langs.append(lang)
-        terms.append(term)
-        for held, new in zip(flat, values):
-            held.extend(new)
-        ends.append(len(flat[0]))
-    close()
-    if rows:
-        yield batch()
+
+def _rows(shard: np.ndarray, run: int, langs: pa.Array, terms: pa.Array, ends: np.ndarray, *values: pa.Array) -> Iterator[pa.RecordBatch]:
+    """Rows of a run: up to ``SEGMENT`` terms of a shard each, with the number of values up to the end of each term."""
+    change = np.flatnonzero(np.diff(shard, prepend=-1))
+    place = np.arange(len(shard)) - np.repeat(change, np.diff(np.append(change, len(shard))))
+    cuts = np.append(np.flatnonzero(place % SEGMENT == 0), len(shard))
+    starts = np.append(0, ends)
+    for at in range(0, len(cuts) - 1, 20):
+        own = cuts[at : at + 21]
+        first, since, upto = own[0], starts[own[0]], starts[own[-1]]
+        inner = ends[first : own[-1]] - np.repeat(starts[own[:-1]], np.diff(own))
+        of_terms, of_values = pa.array(own - first, pa.int32()), pa.array(starts[own] - since, pa.int32())
+        lists = [pa.ListArray.from_arrays(of_terms, c.slice(first, own[-1] - first)) for c in (langs, terms)]
+        lists.append(pa.ListArray.from_arrays(of_terms, pa.array(inner, pa.int64())))
+        lists += [pa.ListArray.from_arrays(of_values, c.slice(since, upto - since)) for c in values]
+        heads = [c.take(pa.array(own[:-1])) for c in (langs, terms)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(shard[own[:-1]], pa.int32()), pa.array(np.full(len(own) - 1, run, np.int64)), *heads, *lists], names=_NAMES
+        )
 
 
 def _spilled(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
@@ -140,57 +130,55 @@ def _spilled(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.Reco
         for row in zip(texts, part.column(1).to_pylist(), part.column(2).to_pylist()):
             block.add(*row)
         if block.size >= POSTINGS or len(block.words) >= WORDS:
-            yield from _segments(block.postings(shards), (task << 24) + number)
+            yield from block.run(shards, (task << 24) + number)
             block, number = _Block(), number + 1
-    yield from _segments(block.postings(shards), (task << 24) + number)
+    yield from block.run(shards, (task << 24) + number)
 
 
-def merged(segments: Iterator[tuple[list, ...]]) -> Iterator[tuple[str, str, list, list, list]]:
-    """``lang, term, sources, counts, docs`` of many runs, in order and added up.
+def merged(segments: Iterator[tuple[list, ...]]) -> Iterator[tuple[tuple[str, str], list, list, list]]:
+    """``(lang, term), sources, counts, docs`` of many runs, in order and added up.
 
     A heap holds the next term of each open segment. Segments come sorted by their first term; one is opened when the merge has
     reached its first term, so that only those that overlap are held.
     """
     heap: list[tuple] = []
-    term: tuple | None = None
-    counts: dict[str, int] = {}
-    docs: dict[str, int] = {}
-
-    def done() -> tuple:
-        own = sorted(counts)
-        return (*term, own, [counts[s] for s in own], [docs[s] for s in own])
-
-    def take(head: tuple) -> None:
-        _, _, _, at, (langs, terms, ends, sources, n, d) = head
-        for i in range(ends[at - 1] if at else 0, ends[at]):
-            s = sources[i]
-            counts[s] = counts.get(s, 0) + n[i]
-            docs[s] = docs.get(s, 0) + d[i]
-
-    def step():
-        nonlocal term
-        head = heap[0]
-        if head[:2] != term:
-            if term:
-                yield done()
-            term = head[:2]
-            counts.clear()
-            docs.clear()
-        take(head)
-        _, _, number, at, segment = head
-        if at + 1 < len(segment[1]):
-            heapq.heapreplace(heap, (segment[0][at + 1], segment[1][at + 1], number, at + 1, segment))
+
+    def take() -> tuple[list, list, list]:
+        """The values of the first term on the heap, which moves on."""
+        key, number, at, keys, ends, values = heap[0]
+        if at + 1 < len(keys):
+            heapq.heapreplace(heap, (keys[at + 1], number, at + 1, keys, ends, values))
         else:
             heapq.heappop(heap)
-
-    for number, segment in enumerate(segments):
-        while heap and heap[0][:2] < (segment[0][0], segment[1][0]):
-            yield from step()
-        heapq.heappush(heap, (segment[0][0], segment[1][0], number, 0, segment))
+        cut = slice(ends[at - 1] if at else 0, ends[at])
+        return values[0][cut], values[1][cut], values[2][cut]
+
+    def step() -> tuple:
+        key = heap[0][0]
+        found = take()
+        if not heap or heap[0][0] != key:
+            return key, *found
+        total: dict[str, list[int]] = {}
+        while True:
+            for source, n, d in zip(*found):
+                if held := total.get(source):
+                    held[0] += n
+                    held[1] += d
+                else:
+                    total[source] = [n, d]
+            if not heap or heap[0][0] != key:
+                break
+            found = take()
+        own = sorted(total)
+        return key, own, [total[s][0] for s in own], [total[s][1] for s in own]
+
+    for number, (langs, terms, ends, *values) in enumerate(segments):
+        keys = list(zip(langs, terms))
+        while heap and heap[0][0] < keys[0]:
+            yield step()
+        heapq.heappush(heap, (keys[0], number, 0, keys, ends, values))
     while heap:
-        yield from step()
-    if term:
-        yield done()
+        yield step()
 
 
 def _by_key(batches: Iterator[pa.RecordBatch], keys: int):
@@ -214,7 +202,13 @@ def _merged_runs(runs: DataFrame, shards: int, final: bool, groups: int = 1, min
 
     def longer(batches):
         for (shard, group), rows in _by_key(batches, 2):
-            yield from _segments(((shard, *p) for p in merged(r[4:] for r in rows)), group)
+            found = merged(r[4:] for r in rows)
+            while part := list(itertools.islice(found, 10 * SEGMENT)):
+                keys, *values = zip(*part)
+                ends = np.cumsum([len(v) for v in values[0]])
+                langs, terms = (pa.array(c, pa.string()) for c in zip(*keys))
+                sources, counts, docs = (pa.array(list(itertools.chain.from_iterable(v))) for v in values)
+                yield from _rows(np.full(len(part), shard), group, langs, terms, ends, sources, counts, docs)
 
     def frequencies(batches):
         out: tuple[list, ...] = ([], [], [], [], [])
@@ -227,7 +221,7 @@ def _merged_runs(runs: DataFrame, shards: int, final: bool, groups: int = 1, min
             return made
 
         for (shard, _), rows in _by_key(batches, 2):
-            for lang, term, sources, counts, docs in merged(r[4:] for r in rows):
+            for (lang, term), sources, counts, docs in merged(r[4:] for r in rows):
                 if sum(docs) >= min_docs:
                     for column, values in zip(out, ([shard] * len(sources), [lang] * len(sources), [term] * len(sources), sources, counts)):
                         column.extend(values)

@@ -75,7 +75,7 @@ def test_merge_adds_up_and_opens_late():
     segments = [
         (["a", "a"], ["x", "y"], [2, 3], ["r", "s", "s"], [4, 1, 2], [1, 1, 1]), (["a"], ["x"], [1], ["r"], [5], [1]), (["a"], ["y"], [1], ["q"], [3], [2]),
     ]
-    assert list(dv.merged(segments)) == [("a", "x", ["r", "s"], [9, 1], [2, 1]), ("a", "y", ["q", "s"], [3, 2], [2, 1])]
+    assert list(dv.merged(segments)) == [(("a", "x"), ["r", "s"], [9, 1], [2, 1]), (("a", "y"), ["q", "s"], [3, 2], [2, 1])]
 
 
 def test_sums_handed_on_early_add_up(frame, monkeypatch):
