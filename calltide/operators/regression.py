@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 import random
 import sys
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 import numpy as np
@@ -85,25 +85,47 @@ def season_features(ds: str) -> list[Column]:
 
 def _solve(x: np.ndarray, y: np.ndarray, prior_sd: np.ndarray) -> np.ndarray:
     """Penalised least squares under independent normal priors, noise variance refined twice."""
-    gram, right = x.T @ x, x.T @ y
-    noise, coef = max(float(np.var(y)) * 0.1, 1e-8), np.zeros(x.shape[1])
+    return solve_gram(x.T @ x, x.T @ y, float(np.var(y)), prior_sd, lambda coef: float(np.mean((y - x @ coef) ** 2)))
+
+
+def solve_gram(
+    gram: np.ndarray, right: np.ndarray, variance: float, prior_sd: np.ndarray, error: Callable[[np.ndarray], float]
+) -> np.ndarray:
+    """The same from sums of products; ``error`` gives the mean squared residual of coefficients.
+
+    An infinite prior leaves a coefficient unpenalised. What the days cannot tell apart is then split evenly.
+    """
+    noise, coef = max(variance * 0.1, 1e-8), np.zeros(len(right))
     for _ in range(3):
-        coef = np.linalg.solve(gram + np.diag(noise / prior_sd**2), right)
-        noise = max(float(np.mean((y - x @ coef) ** 2)), 1e-8)
+        penalised = gram + np.diag(noise / prior_sd**2)
+        try:
+            coef = np.linalg.solve(penalised, right)
+        except np.linalg.LinAlgError:
+            coef = np.linalg.lstsq(penalised, right, rcond=None)[0]
+        noise = max(error(coef), 1e-8)
     return coef
 
 
+def prior_scales(params: dict[str, str], n_trend: int, n_season: int) -> tuple[np.ndarray, np.ndarray]:
+    """Standard deviations of the priors of the trend's and the seasons' coefficients."""
+    trend_sd = np.full(n_trend, float(params["changepoint_prior_scale"]))
+    trend_sd[:2] = float(params.get("trend_prior_scale", "5.0"))
+    season_sd = np.full(n_season, float(params["seasonality_prior_scale"]))
+    season_sd[_HOLIDAY] = float(params["holidays_prior_scale"])
+    return trend_sd, season_sd
+
+
+def unused_seasons(params: dict[str, str]) -> list[slice]:
+    """Season columns that the settings switch off."""
+    return [cut for name, cut in (("weekly_seasonality", _WEEKLY), ("yearly_seasonality", _YEARLY)) if params[name] != "true"]
+
+
 def solve_series(trend: np.ndarray, season: np.ndarray, y: np.ndarray, params: dict[str, str]):
     """(trend coefficients, season coefficients, fitted values) of one series scaled to about 1."""
-    trend_sd = np.full(trend.shape[1], float(params["changepoint_prior_scale"]))
-    trend_sd[:2] = 5.0
-    season_sd = np.full(season.shape[1], float(params["seasonality_prior_scale"]))
-    season_sd[_HOLIDAY] = float(params["holidays_prior_scale"])
+    trend_sd, season_sd = prior_scales(params, trend.shape[1], season.shape[1])
     season = season.copy()  # a column of zeros gets coefficient 0
-    if params["weekly_seasonality"] != "true":
-        season[:, _WEEKLY] = 0.0
-    if params["yearly_seasonality"] != "true":
-        season[:, _YEARLY] = 0.0
+    for cut in unused_seasons(params):
+        season[:, cut] = 0.0
 
     if params["seasonality_mode"] == "additive":
         both = _solve(np.hstack([trend, season]), y, np.concatenate([trend_sd, season_sd]))
@@ -117,6 +139,15 @@ def solve_series(trend: np.ndarray, season: np.ndarray, y: np.ndarray, params: d
     return a, b, (trend @ a) * (1 + season @ b)
 
 
+def unpenalised(weekly: bool = True) -> dict[str, str]:
+    """Settings of ordinary least squares: a straight line, with or without weekday effects, no penalty and nothing else."""
+    off, free = "1e-12", "inf"
+    return {
+        **DEFAULTS, "changepoint_prior_scale": off, "holidays_prior_scale": off, "seasonality_prior_scale": free,
+        "trend_prior_scale": free, "weekly_seasonality": str(weekly).lower(), "yearly_seasonality": "false",
+    }
+
+
 def _with_features(points: DataFrame, groups: Sequence[str], held_days: int = 0) -> DataFrame:
     """Add training span and features; the window shares the grouping's partitioning.
 
