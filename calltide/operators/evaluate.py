@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from calltide.functions.columns import join_series
+from calltide.functions.columns import all_of, join_series
 from calltide.operators.forecast import held_out, holdout_forecast
 
 
@@ -73,7 +73,7 @@ def backtest(points: DataFrame, keys: Sequence[str] = (), test_days: int = 28) -
     return forecast_metrics(holdout_forecast(points, keys, test_days), keys)
 
 
-def rolling_origin_backtest(
+def rolling_origin_forecasts(
     points: DataFrame,
     keys: Sequence[str] = (),
     origins: int = 4,
@@ -81,7 +81,7 @@ def rolling_origin_backtest(
     train_days: int = 90,
     test_days: int = 14,
 ) -> DataFrame:
-    """Backtest at several cutoffs, each trained on its trailing ``train_days``.
+    """Held-out forecasts (keys, cutoff, ds, y, yhat) of the trend + weekday model at several cutoffs.
 
     Every day opens into the cutoffs that use it and (series, cutoff) becomes
     the series, so all cutoffs are fitted in one job.
@@ -93,5 +93,76 @@ def rolling_origin_backtest(
     )
     used = (F.col("ds") > F.date_sub("cutoff", train_days)) & (F.col("ds") <= F.date_add("cutoff", test_days))
     opened = points.withColumn("__last", last).withColumn("cutoff", F.explode(cutoffs)).filter(used)
-    by_cutoff = [*keys, "cutoff"]
-    return forecast_metrics(held_out(opened.drop("__last"), by_cutoff), by_cutoff)
+    return held_out(opened.drop("__last"), [*keys, "cutoff"])
+
+
+def rolling_origin_backtest(
+    points: DataFrame,
+    keys: Sequence[str] = (),
+    origins: int = 4,
+    step_days: int = 14,
+    train_days: int = 90,
+    test_days: int = 14,
+) -> DataFrame:
+    """Backtest at several cutoffs, each trained on its trailing ``train_days``."""
+    held = rolling_origin_forecasts(points, keys, origins, step_days, train_days, test_days)
+    return forecast_metrics(held, [*keys, "cutoff"])
+
+
+def conformal_widths(held: DataFrame, keys: Sequence[str] = (), interval_width: float = 0.95, block_days: int = 7) -> DataFrame:
+    """Half-widths by horizon from held-out residuals: (keys, last_ds, block, half).
+
+    Split-conformal: of n absolute residuals of a series and block of ``block_days`` horizon days, the ceil((n + 1) *
+    ``interval_width``)-th smallest. A new residual of the same kind lies within it with at least that probability, whatever its
+    distribution. A block with too few residuals for that rank takes the residuals of all blocks of the series, and their largest
+    when those are too few as well. ``held`` are rolling-origin forecasts (keys, cutoff, ds, y, yhat); ``last_ds`` is the last day
+    they know.
+    """
+    days = held.withColumns(
+        {
+            "__error": F.abs(F.col("y") - F.col("yhat")),
+            "block": F.floor((F.datediff("ds", "cutoff") - 1) / block_days).cast("int"),
+        }
+    )
+
+    def rank(n: str) -> Column:
+        # A hair less, as 0.95 * 20 is a little more than 19 in binary.
+        return F.ceil((F.col(n) + 1) * interval_width - 1e-9).cast("int")
+
+    errors = F.sort_array(F.collect_list("__error"))  # a group holds origins times horizon days at most
+    own = Window.partitionBy(*keys)
+    found = (
+        days.groupBy(*keys, "block").agg(errors.alias("__own"), F.max("ds").alias("__last"))
+        .withColumns({"__all": F.sort_array(F.flatten(F.collect_list("__own").over(own))), "last_ds": F.max("__last").over(own)})
+        .withColumns({"__n": F.size("__own"), "__m": F.size("__all")})
+    )
+    half = (
+        F.when(rank("__n") <= F.col("__n"), F.get("__own", rank("__n") - 1))
+        .when(rank("__m") <= F.col("__m"), F.get("__all", rank("__m") - 1))
+        .otherwise(F.array_max("__all"))
+    )
+    return found.select(*keys, "last_ds", "block", half.alias("half"))
+
+
+def calibrated_band(
+    forecast: DataFrame, held: DataFrame, keys: Sequence[str] = (), interval_width: float = 0.95, block_days: int = 7
+) -> DataFrame:
+    """The forecast with a band from held-out residuals on the days after the data; observed days keep theirs.
+
+    Days further ahead than any held-out day take the widths of the last block.
+    """
+    widths = conformal_widths(held, keys, interval_width, block_days)
+    listed = widths.groupBy(*keys).agg(
+        F.max("last_ds").alias("__last"), F.max("block").alias("__blocks"), F.map_from_entries(F.collect_list(F.struct("block", "half"))).alias("__halves")
+    )
+    joined = join_series(forecast, listed, keys) if keys else forecast.join(listed, F.lit(True), "left")
+    ahead = F.datediff("ds", "__last")
+    block = F.least(F.floor((ahead - 1) / block_days).cast("int"), F.col("__blocks"))
+    half = F.try_element_at("__halves", block)
+    use = (ahead > 0) & half.isNotNull()
+    return joined.withColumns(
+        {
+            "yhat_lower": F.when(use, F.col("yhat") - half).otherwise(F.col("yhat_lower")),
+            "yhat_upper": F.when(use, F.col("yhat") + half).otherwise(F.col("yhat_upper")),
+        }
+    ).select(*forecast.columns)

@@ -101,7 +101,9 @@ def solve_gram(
         try:
             coef = np.linalg.solve(penalised, right)
         except np.linalg.LinAlgError:
-            coef = np.linalg.lstsq(penalised, right, rcond=None)[0]
+            size = np.sqrt(np.diag(penalised))
+            size[size == 0] = 1.0
+            coef = np.linalg.lstsq(penalised / np.outer(size, size), right / size, rcond=1e-12)[0] / size
         noise = max(error(coef), 1e-8)
     return coef
 
@@ -112,6 +114,8 @@ def prior_scales(params: dict[str, str], n_trend: int, n_season: int) -> tuple[n
     trend_sd[:2] = float(params.get("trend_prior_scale", "5.0"))
     season_sd = np.full(n_season, float(params["seasonality_prior_scale"]))
     season_sd[_HOLIDAY] = float(params["holidays_prior_scale"])
+    for cut in unused_seasons(params):
+        season_sd[cut] = 1.0  # columns of zeros
     return trend_sd, season_sd
 
 
@@ -151,6 +155,8 @@ def unpenalised(weekly: bool = True) -> dict[str, str]:
 def _with_features(points: DataFrame, groups: Sequence[str], held_days: int = 0) -> DataFrame:
     """Add training span and features; the window shares the grouping's partitioning.
 
+    The span ends with the last day before the ``held_days``.
+
     The series are spread over a fixed number of partitions: their rows are few
     and their fits are not, so adaptive execution must not merge them by size.
     """
@@ -160,9 +166,9 @@ def _with_features(points: DataFrame, groups: Sequence[str], held_days: int = 0)
         known = known.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), *groups)
     return (
         known.withColumn("y", F.col("y").cast("double"))
-        .withColumns(
-            {"first_ds": F.min("ds").over(series), "last_ds": F.date_sub(F.max("ds").over(series), held_days)}
-        )
+        .withColumns({"first_ds": F.min("ds").over(series), "__cut": F.date_sub(F.max("ds").over(series), held_days)})
+        .withColumn("last_ds", F.coalesce(F.max(F.when(F.col("ds") <= F.col("__cut"), F.col("ds"))).over(series), "__cut"))
+        .drop("__cut")
         .withColumns(
             {
                 "trend": F.array(*trend_features("ds", "first_ds", "last_ds")),
@@ -246,13 +252,26 @@ def predict_regression(
     include_history: bool = True,
     interval_width: float = 0.95,
     fill_gaps: bool = False,
+    trend_variance: bool = False,
 ) -> DataFrame:
-    """Forecast from a coefficient table without refitting, all inside Spark."""
+    """Forecast from a coefficient table without refitting, all inside Spark.
+
+    With ``trend_variance`` the band widens ahead of the data by the slope
+    changes that may come: as many a day as the trend had knots, each as large
+    as they were on average. They add the rate times twice the squared mean
+    change times a third of the cubed time ahead to the variance.
+    """
     level = _dot(trend_features("ds", "first_ds", "last_ds"), "trend_coef")
     season = _dot(season_features("ds"), "season_coef")
     additive = F.col("params")["seasonality_mode"] == "additive"
     yhat = F.col("y_scale") * F.when(additive, level + season).otherwise(level * (1 + season))
     days = open_days(model, horizon, include_history, fill_gaps).withColumn("yhat", yhat)
+    if trend_variance:
+        span = F.greatest(F.datediff("last_ds", "first_ds"), F.lit(1))
+        ahead = F.greatest(F.datediff("ds", "last_ds"), F.lit(0)) / span
+        change = F.aggregate(F.slice("trend_coef", 3, KNOTS), F.lit(0.0), lambda s, c: s + F.abs(c)) / KNOTS
+        coming = (KNOTS / KNOT_RANGE) * 2 * change * change * ahead * ahead * ahead / 3
+        days = days.withColumn("sigma", F.sqrt(F.col("sigma") * F.col("sigma") + F.col("y_scale") * F.col("y_scale") * coming))
     return with_band(days, interval_width).select(*keys, "ds", "yhat", "yhat_lower", "yhat_upper")
 
 

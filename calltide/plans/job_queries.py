@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from calltide.operators.regression import unpenalised
 from calltide.params import Params
 from calltide.plans import jobs
 from calltide.plans.ingest_queries import CLEAN, SILVER, new_layer, raw_requests
-from calltide.plans.registry import DAILY, PAIRS, REQ, TOTAL, fit_sql, forecast_sql, query, rounded, with_sql
-from calltide.plans.series_queries import BAND, GOLD, PAIR, ROUND_BAND, SPINE_AHEAD, STREAK, Z50, Z95
+from calltide.plans.registry import BOROUGHS, DAILY, REQ, TOTAL, fit_sql, forecast_sql, ols_ahead_sql, ols_sql, query, rounded, with_sql
+from calltide.plans.series_queries import BAND, GOLD, OLS_BAND, ROUND_BAND, STREAK, Z50, Z95
 from calltide.sources import layers
 from calltide.sources.pages import read_landed_pages
 from calltide.sources.requests import requests, table
@@ -310,25 +311,19 @@ def forecast_job(spark, sf_dir):
     return rounded(jobs.forecast_job(spark, where, method="trend"), BAND)
 
 
-def banded(df: DataFrame) -> DataFrame:
-    """Whether a forecast lies inside its band, in place of its numbers, which no SQL can give."""
-    inside = (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
-    return df.withColumn("banded", F.coalesce(inside, F.lit(False))).drop(*BAND)
-
-
 @query(
     with_sql(
-        REQ,
-        DAILY,
-        PAIRS,
-        select="SELECT complaint_type, borough, ds, TRUE AS banded FROM pairs UNION ALL SELECT *, TRUE FROM ("
-        + SPINE_AHEAD.format(first="max(ds) + 1") + ")",
+        REQ, DAILY, BOROUGHS, ols_sql("line", "boroughs", ["borough"]),
+        select=f"""
+SELECT borough, ds, {OLS_BAND} FROM (SELECT borough, ds, yhat FROM line_f UNION ALL SELECT * FROM {ols_ahead_sql("line", 14)})
+JOIN line_s USING (borough)""",
     )
-)
+)
 def forecast_job_regression(spark, sf_dir):
+    """The regression without penalties, which is least squares, so that SQL gives its numbers."""
     where = new_layers(spark)
     up_to_gold(spark, sf_dir, where)
-    return banded(jobs.forecast_job(spark, where, PAIR))
+    return rounded(jobs.forecast_job(spark, where, ["borough"], model_params=unpenalised()), BAND)
 
 
 TOTAL_FLAGS = """flags AS (
@@ -355,15 +350,25 @@ def anomaly_job(spark, sf_dir):
     return rounded(jobs.anomaly_job(spark, where), ["yhat_upper"])
 
 
+LINES = [unpenalised(), unpenalised(weekly=False)]
+LINE_SCORES = ",\n".join([
+    "cut AS (SELECT boroughs.*, max(ds) OVER (PARTITION BY borough) - 14 AS cutoff FROM boroughs)",
+    *[ols_sql(f"try{i}", "cut", ["borough"], weekly=i == 0, train="ds <= cutoff") for i in range(2)],
+    """scores AS (SELECT borough, trial, avg(abs(y - yhat) / greatest(y, 1)) AS mape FROM (
+    SELECT 0 AS trial, borough, ds, cutoff, CAST(y AS DOUBLE) AS y, yhat FROM try0_f UNION ALL SELECT 1, borough, ds, cutoff, CAST(y AS DOUBLE), yhat FROM try1_f)
+  WHERE ds > cutoff GROUP BY ALL)""",
+])
+
+
 @query(with_sql(REQ, DAILY, select="""
-SELECT DISTINCT 'requests/' || replace(borough, '/', '\\/') AS model_name, TRUE AS promoted, TRUE AS is_lowest, CAST(4 AS BIGINT) AS versions,
-       CAST(4 AS BIGINT) AS models FROM daily
+SELECT DISTINCT 'requests/' || replace(borough, '/', '\\/') AS model_name, TRUE AS promoted, TRUE AS is_lowest, CAST(20 AS BIGINT) AS versions,
+       CAST(20 AS BIGINT) AS models FROM daily
 """))
 def tune_job(spark, sf_dir):
     """Each series: the promoted version has the lowest score, and every version has a stored model."""
     where = new_layers(spark)
     up_to_gold(spark, sf_dir, where)
-    decided = jobs.tune_job(spark, where, ["borough"], n_trials=4)
+    decided = jobs.tune_job(spark, where, ["borough"])
     runs = layers.read_layer(spark, where.model_runs).groupBy("model_name").agg(
         F.min(F.col("mape").cast("double")).alias("lowest"), F.count(F.lit(1)).alias("versions")
     )
@@ -372,18 +377,38 @@ def tune_job(spark, sf_dir):
     return joined.select("model_name", "promoted", (F.col("best_mape") == F.col("lowest")).alias("is_lowest"), "versions", "models")
 
 
-@query(with_sql(REQ, DAILY, select="""
-SELECT borough, CAST(t AS DATE) AS ds, TRUE AS banded FROM (
-  SELECT borough, unnest(generate_series(CAST(max(ds) + 1 AS TIMESTAMP), CAST(max(ds) + 14 AS TIMESTAMP), INTERVAL 1 DAY)) AS t
-  FROM daily GROUP BY borough)
-"""))
+@query(
+    with_sql(
+        REQ, DAILY, BOROUGHS, LINE_SCORES,
+        select="""SELECT 'requests/' || replace(borough, '/', '\\/') AS model_name, CAST(trial + 1 AS BIGINT) AS version, round(mape, 6) AS mape,
+  CASE WHEN row_number() OVER (PARTITION BY borough ORDER BY mape, trial) = 1 THEN 'Staging' ELSE 'None' END AS stage FROM scores""",
+    )
+)
+def tune_job_numbers(spark, sf_dir):
+    """Held-out scores and stages of two settings whose fits SQL can solve."""
+    where = new_layers(spark)
+    up_to_gold(spark, sf_dir, where)
+    jobs.tune_job(spark, where, ["borough"], trials=LINES)
+    runs = layers.read_layer(spark, where.model_runs)
+    return rounded(runs.select("model_name", "version", F.col("mape").cast("double").alias("mape"), "stage"), ["mape"])
+
+
+@query(
+    with_sql(
+        REQ, DAILY, BOROUGHS, LINE_SCORES, *[ols_sql(f"line{i}", "boroughs", ["borough"], weekly=i == 0) for i in range(2)],
+        "best AS (SELECT borough, trial FROM scores QUALIFY row_number() OVER (PARTITION BY borough ORDER BY mape, trial) = 1)",
+        select=f"""SELECT borough, ds, {OLS_BAND} FROM (
+  SELECT 0 AS trial, a.*, sigma FROM {ols_ahead_sql("line0", 14)} a JOIN line0_s USING (borough)
+  UNION ALL SELECT 1, a.*, sigma FROM {ols_ahead_sql("line1", 14)} a JOIN line1_s USING (borough)) JOIN best USING (borough, trial)""",
+    )
+)
 def infer_job(spark, sf_dir):
     """Tune, promote, set the stage, and forecast from the stored models."""
     where = new_layers(spark)
     up_to_gold(spark, sf_dir, where)
-    jobs.tune_job(spark, where, ["borough"], n_trials=4)
+    jobs.tune_job(spark, where, ["borough"], trials=LINES)
     jobs.stage_job(spark, where)
-    return banded(jobs.infer_job(spark, where, ["borough"])).drop("model_name", "version")
+    return rounded(jobs.infer_job(spark, where, ["borough"]), BAND).drop("model_name", "version")
 
 
 @query(ANOMALIES)

@@ -17,10 +17,11 @@ from calltide.functions.columns import all_of
 from calltide.functions.times import NTZ, as_utc, ntz
 from calltide.operators.anomaly import actual_vs_forecast, breach_streak, flag_breaches
 from calltide.operators.conform import CORE_TYPES, conform, enrich_lookup, missing_columns, to_silver
-from calltide.operators.evaluate import mape_tail
+from calltide.operators.evaluate import calibrated_band, mape_tail, rolling_origin_forecasts
 from calltide.operators.forecast import forecast_trend_seasonal, require_rows
 from calltide.operators.merge import dedup_latest
 from calltide.operators.models import apply_promotions, promote_if_better, register_runs, set_stage
+from calltide.operators.origins import origin_forecasts
 from calltide.operators.quality import SILVER_RULES, Rule, enforce_report, missing_notes, quality_report
 from calltide.operators.regression import (
     draw_trials,
@@ -403,21 +404,33 @@ def forecast_job(
     params: Params = Params(),
     method: str = "regression",
     model_prefix: str = "requests",
+    model_params: dict[str, str] | None = None,
+    calibrated: bool = False,
+    origins: int = 6,
 ) -> DataFrame:
     """Forecast the daily totals, store the forecast, and log the training score.
 
     The score is in-sample and says nothing against the held-out scores of
     tuned versions, so it goes to ``training_log`` and not to the registry.
+    ``calibrated`` takes the band ahead from held-out residuals at that many
+    ``origins`` instead of the spread of the fit.
     """
     series = require_rows(series_total(read_layer(spark, layers.gold), keys), "daily table")
     if method == "regression":
-        overwrite_layer(fit_regression(series, keys), layers.latest_fit)
+        overwrite_layer(fit_regression(series, keys, model_params), layers.latest_fit)
         fitted = read_layer(spark, layers.latest_fit)
         forecast = predict_regression(fitted, keys, params.horizon_days, interval_width=params.interval_width)
     else:
         forecast = forecast_trend_seasonal(
             series, keys, params.horizon_days, interval_width=params.interval_width
         )
+    if calibrated:
+        days = params.horizon_days
+        if method == "regression":
+            held = origin_forecasts(series, keys, origins, days, None, days, model_params)
+        else:
+            held = rolling_origin_forecasts(series, keys, origins, days, 90, days)
+        forecast = calibrated_band(forecast, held, keys, params.interval_width)
     overwrite_layer(forecast, layers.forecasts)
     stored = read_layer(spark, layers.forecasts)
 
@@ -448,14 +461,16 @@ def tune_job(
     params: Params = Params(),
     n_trials: int = 20,
     model_prefix: str = "requests",
+    trials: list[dict[str, str]] | None = None,
 ) -> DataFrame:
     """Score all trials, register them with their fitted models, and promote the best version when it is better.
 
     Every trial is scored on held-out days and then fitted on all days; its
-    coefficients are stored under the version it is registered as.
+    coefficients are stored under the version it is registered as. Without
+    ``trials`` there are ``n_trials`` of a seeded draw.
     """
     series = require_rows(series_total(read_layer(spark, layers.gold), keys), "daily table")
-    settings = draw_trials(n_trials)
+    settings = trials or draw_trials(n_trials)
     trials = tune(series, keys, settings, params.horizon_days).withColumn("model_name", _model_name(model_prefix, keys))
     overwrite_layer(register_runs(_registry(spark, layers), trials, keep=["trial"]), layers.latest_trials)
     numbered = read_layer(spark, layers.latest_trials)

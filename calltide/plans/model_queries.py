@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from calltide.operators import models, regression
-from calltide.plans.registry import DAILY, PAIRS, REQ, query, with_sql
-from calltide.plans.series_queries import PAIR, SPINE_AHEAD, pairs
+from calltide.operators.evaluate import ape
+from calltide.plans.registry import BOROUGHS, DAILY, PAIRS, REQ, ols_ahead_sql, ols_sql, query, rounded, with_sql
+from calltide.plans.series_queries import BAND, OLS_BAND, PAIR, boroughs, pairs
 from calltide.sources.requests import table
 
 REGISTRY = """registry AS (
@@ -114,34 +116,60 @@ TRIALS = ", ".join(f"({i}, '{t['seasonality_mode']}')" for i, t in enumerate(reg
         DAILY,
         PAIRS,
         select=f"""
-SELECT DISTINCT complaint_type, borough, CAST(trial AS INTEGER) AS trial, mode AS seasonality_mode, TRUE AS scored
+SELECT DISTINCT complaint_type, borough, CAST(trial AS INTEGER) AS trial, mode AS seasonality_mode, TRUE AS scored, CAST(0 AS DOUBLE) AS off
 FROM pairs, (VALUES {TRIALS}) t(trial, mode)
 """,
     )
 )
 def tune(spark, sf_dir):
-    """Every series and trial with its parameters, and whether it has a score that a forecast can have."""
-    trials = regression.tune(pairs(spark, sf_dir), PAIR, regression.draw_trials(20))
-    scored = F.coalesce(F.col("mape").between(0, 10), F.lit(False)).alias("scored")
-    return trials.select(*PAIR, "trial", F.col("params")["seasonality_mode"].alias("seasonality_mode"), scored)
+    """Every series and trial with its parameters, whether it has a score, and how far that is from the score of its own forecasts.
+
+    The latter come by another way: models fitted on the days before and stored, and their forecasts of the held-out days.
+    """
+    points = pairs(spark, sf_dir)
+    settings = regression.draw_trials(20)
+    trials = regression.tune(points, PAIR, settings)
+    last = Window.partitionBy(*PAIR)
+    cut = points.withColumn("cutoff", F.date_sub(F.max("ds").over(last), 14))
+    fitted = regression.fit_trials(cut.filter("ds <= cutoff"), PAIR, settings)
+    ahead = regression.predict_regression(fitted, [*PAIR, "trial"], 400, include_history=False)
+    again = ahead.join(cut.filter("ds > cutoff"), [*PAIR, "ds"]).groupBy(*PAIR, "trial").agg(F.avg(ape()).alias("again"))
+    off = F.round((F.col("mape") - F.col("again")) / F.col("again"), 6) + F.lit(0.0)
+    return trials.join(again, [*PAIR, "trial"], "left").select(
+        *PAIR, "trial", F.col("params")["seasonality_mode"].alias("seasonality_mode"), F.coalesce(F.col("mape").between(0, 10), F.lit(False)).alias("scored"), F.abs(off).alias("off")
+    )
+
+
+LINE_TRIALS = [regression.unpenalised(), regression.unpenalised(weekly=False)]
 
 
 @query(
     with_sql(
-        REQ,
-        DAILY,
-        PAIRS,
-        select="SELECT complaint_type AS model_name, CAST(1 AS BIGINT) AS version, borough, ds, TRUE AS banded FROM ("
-        + SPINE_AHEAD.format(first="max(ds) + 1") + ")",
+        REQ, DAILY, BOROUGHS, "cut AS (SELECT boroughs.*, max(ds) OVER (PARTITION BY borough) - 14 AS cutoff FROM boroughs)",
+        *[ols_sql(f"try{i}", "cut", ["borough"], weekly=i == 0, train="ds <= cutoff") for i in range(2)],
+        select="""
+SELECT borough, trial, round(avg(abs(y - yhat) / greatest(y, 1)), 6) AS mape FROM (
+  SELECT 0 AS trial, borough, ds, cutoff, CAST(y AS DOUBLE) AS y, yhat FROM try0_f UNION ALL SELECT 1, borough, ds, cutoff, CAST(y AS DOUBLE), yhat FROM try1_f)
+WHERE ds > cutoff GROUP BY ALL""",
     )
-)
-def forecast_infer(spark, sf_dir):
-    points = pairs(spark, sf_dir).withColumn("model_name", F.col("complaint_type"))
-    coefficients = regression.fit_regression(points, ["model_name", "borough"]).withColumn(
-        "version", F.lit(1).cast("bigint")
+)
+def tune_numbers(spark, sf_dir):
+    """Held-out scores of two settings whose fits SQL can solve."""
+    return rounded(regression.tune(boroughs(spark, sf_dir), ["borough"], LINE_TRIALS).select("borough", "trial", "mape"), ["mape"])
+
+
+@query(
+    with_sql(
+        REQ, DAILY, BOROUGHS, ols_sql("line", "boroughs", ["borough"]),
+        select=f"""SELECT 'requests' AS model_name, CAST(1 AS BIGINT) AS version, borough, ds, {OLS_BAND}
+FROM {ols_ahead_sql("line", 14)} JOIN line_s USING (borough)""",
     )
-    live = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("model_name")).distinct()
-    live = live.withColumns({"version": F.lit(1).cast("bigint"), "stage": F.lit("Production")})
-    found = regression.forecast_infer(coefficients, live, ["borough"])
-    inside = (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
-    return found.select("model_name", "version", "borough", "ds", inside.alias("banded"))
+)
+def forecast_infer(spark, sf_dir):
+    """Days ahead from a stored model in Production, the numbers of least squares; a newer version is not live."""
+    points = boroughs(spark, sf_dir).withColumn("model_name", F.lit("requests"))
+    version = lambda n, params: regression.fit_regression(points, ["model_name", "borough"], params).withColumn("version", F.lit(n).cast("bigint"))
+    coefficients = version(1, regression.unpenalised()).unionByName(version(2, None))
+    runs = table(spark, sf_dir, "region").select(F.lit("requests").alias("model_name"), F.explode(F.array(F.lit(1).cast("bigint"), F.lit(2).cast("bigint"))).alias("version")).distinct()
+    staged = runs.withColumn("stage", F.when(F.col("version") == 1, "Production").otherwise("Staging"))
+    return rounded(regression.forecast_infer(coefficients, staged, ["borough"]), BAND)

@@ -84,3 +84,26 @@ p AS (SELECT d.*, intercept + slope * CAST(ds - DATE '2000-01-01' AS DOUBLE) + c
       FROM d LEFT JOIN e USING ({', '.join([*keys, 'dow'])})),
 f AS (SELECT {k}ds, yhat, yhat - {z!r} * sigma AS yhat_lower, yhat + {z!r} * sigma AS yhat_upper
       FROM p LEFT JOIN g {using})"""
+
+
+def ols_sql(name: str, source: str, keys: Sequence[str], weekly: bool = True, train: str = "TRUE") -> str:
+    """CTEs of a least-squares line with or without weekday effects: ``<name>_x`` (rows), ``_m`` (means), ``_b`` (slope), ``_f`` (yhat), ``_s`` (spread)."""
+    by = ", ".join(keys)
+    return f"""
+{name}_x AS (SELECT *, CAST(ds - DATE '2000-01-01' AS DOUBLE) AS x, {"dayofweek(ds)" if weekly else "0"} AS dow FROM {source}),
+{name}_m AS (SELECT {by}, dow, avg(x) AS mx, avg(y) AS my FROM {name}_x WHERE {train} GROUP BY ALL),
+{name}_b AS (SELECT {by}, sum((x - mx) * (y - my)) / sum((x - mx) * (x - mx)) AS slope FROM {name}_x JOIN {name}_m USING ({by}, dow) WHERE {train} GROUP BY ALL),
+{name}_f AS (SELECT x.*, my + slope * (x - mx) AS yhat FROM {name}_x x JOIN {name}_m USING ({by}, dow) JOIN {name}_b USING ({by})),
+{name}_s AS (SELECT {by}, stddev_pop(y - yhat) AS sigma FROM {name}_f WHERE {train} GROUP BY ALL)"""
+
+
+BOROUGHS = """boroughs AS (SELECT borough, ds, CAST(sum(y) AS BIGINT) AS y FROM daily GROUP BY ALL)"""
+
+
+def ols_ahead_sql(name: str, horizon: int) -> str:
+    """Rows of the ``horizon`` days after each borough's data, forecast by the line called ``name``."""
+    dow = f"CASE WHEN (SELECT max(dow) FROM {name}_x) = 0 THEN 0 ELSE dayofweek(ds) END"
+    return f"""(SELECT borough, ds, my + slope * (CAST(ds - DATE '2000-01-01' AS DOUBLE) - mx) AS yhat FROM (
+      SELECT borough, CAST(t AS DATE) AS ds FROM (SELECT borough, unnest(generate_series(CAST(max(ds) + 1 AS TIMESTAMP),
+        CAST(max(ds) + {horizon} AS TIMESTAMP), INTERVAL 1 DAY)) AS t FROM boroughs GROUP BY borough)) d
+    JOIN {name}_b USING (borough) JOIN {name}_m m ON m.borough = d.borough AND m.dow = {dow})"""

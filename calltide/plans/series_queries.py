@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from calltide.operators import anomaly, evaluate, forecast, holidays, regression, series
+from calltide.operators import anomaly, evaluate, forecast, holidays, origins, regression, series
 from calltide.plans.registry import (
+    BOROUGHS,
     DAILY,
     PAIRS,
     REQ,
     TOTAL,
     fit_sql,
     forecast_sql,
+    ols_ahead_sql,
+    ols_sql,
     query,
     rounded,
     with_sql,
@@ -415,3 +418,83 @@ def rolling_origin_backtest(spark, sf_dir):
         pairs(spark, sf_dir), PAIR, origins=4, step_days=14, train_days=90, test_days=14
     )
     return rounded(scores, SCORE_COLUMNS)
+
+
+BOROUGH = ["borough"]
+
+
+def boroughs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series.series_total(daily(spark, sf_dir), BOROUGH)
+
+
+OLS_BAND = f"""round(yhat, 6) AS yhat, round(yhat - {Z95!r} * sigma, 6) AS yhat_lower, round(yhat + {Z95!r} * sigma, 6) AS yhat_upper"""
+
+
+@query(
+    with_sql(
+        REQ, DAILY, BOROUGHS, ols_sql("line", "boroughs", BOROUGH),
+        select=f"""
+SELECT borough, ds, {OLS_BAND} FROM (SELECT borough, ds, yhat FROM line_f UNION ALL SELECT * FROM {ols_ahead_sql("line", 14)})
+JOIN line_s USING (borough)""",
+    )
+)
+def forecast_regression_numbers(spark, sf_dir):
+    """The regression forecast without penalties, which is least squares: its numbers, day by day."""
+    found = regression.forecast_regression(boroughs(spark, sf_dir), BOROUGH, 14, params=regression.unpenalised())
+    return rounded(found, BAND)
+
+
+@query(
+    with_sql(
+        REQ, DAILY, BOROUGHS, """line_cut AS (SELECT boroughs.*, max(ds) OVER (PARTITION BY borough) - 28 AS cutoff FROM boroughs)""",
+        ols_sql("line", "line_cut", BOROUGH, train="ds <= cutoff"),
+        select=f"SELECT borough, {SCORES} FROM line_f WHERE ds > cutoff GROUP BY ALL",
+    )
+)
+def backtest_regression(spark, sf_dir):
+    """Scores of the unpenalised regression on the last 28 days."""
+    return rounded(origins.backtest_regression(boroughs(spark, sf_dir), BOROUGH, 28, regression.unpenalised()), SCORE_COLUMNS)
+
+
+@query(
+    with_sql(
+        REQ, DAILY, BOROUGHS,
+        """ends AS (SELECT borough, CAST(unnest([max(ds) - 14, max(ds) - 28, max(ds) - 42, max(ds) - 56]) AS DATE) AS cutoff FROM boroughs GROUP BY borough)""",
+        """line_cut AS (SELECT boroughs.*, cutoff FROM boroughs JOIN ends USING (borough) WHERE ds <= cutoff + 14)""",
+        ols_sql("line", "line_cut", ["borough", "cutoff"], train="ds <= cutoff"),
+        select=f"SELECT borough, cutoff, {SCORES} FROM line_f WHERE ds > cutoff GROUP BY ALL",
+    )
+)
+def rolling_origin_regression(spark, sf_dir):
+    """Scores of the unpenalised regression at four cutoffs, solved from running sums."""
+    scores = origins.rolling_origin_regression(boroughs(spark, sf_dir), BOROUGH, 4, 14, None, 14, regression.unpenalised())
+    return rounded(scores, SCORE_COLUMNS)
+
+
+CONFORMAL = """held AS (SELECT borough, abs(y - yhat) AS e, (CAST(ds - cutoff AS INTEGER) - 1) // 7 AS block FROM line_f WHERE ds > cutoff),
+n AS (SELECT *, count(*) OVER (PARTITION BY borough, block) AS n, row_number() OVER (PARTITION BY borough, block ORDER BY e) AS r,
+  count(*) OVER (PARTITION BY borough) AS m, row_number() OVER (PARTITION BY borough ORDER BY e) AS q FROM held),
+half AS (SELECT borough, b.block, coalesce(
+    max(CASE WHEN n.block = b.block AND r = CAST(ceil((n + 1) * 0.8 - 1e-9) AS BIGINT) THEN e END),
+    max(CASE WHEN q = CAST(ceil((m + 1) * 0.8 - 1e-9) AS BIGINT) THEN e END), max(e)) AS half
+  FROM n JOIN (SELECT DISTINCT borough, block FROM held) b USING (borough) GROUP BY ALL)"""
+
+
+@query(
+    with_sql(
+        REQ, DAILY, BOROUGHS,
+        """ends AS (SELECT borough, max(ds) AS last, unnest([1, 2, 3, 4, 5, 6]) AS i FROM boroughs GROUP BY borough)""",
+        """line_cut AS (SELECT boroughs.*, CAST(last - CAST(14 * i AS INTEGER) AS DATE) AS cutoff FROM boroughs JOIN ends USING (borough) WHERE ds <= last - CAST(14 * (i - 1) AS INTEGER))""",
+        ols_sql("line", "line_cut", ["borough", "cutoff"], train="ds <= cutoff"), CONFORMAL, ols_sql("whole", "boroughs", BOROUGH),
+        select=f"""
+SELECT a.borough, a.ds, round(a.yhat, 6) AS yhat, round(a.yhat - half, 6) AS yhat_lower, round(a.yhat + half, 6) AS yhat_upper
+FROM {ols_ahead_sql("whole", 14)} a JOIN (SELECT borough, max(ds) AS last FROM boroughs GROUP BY borough) l ON a.borough = l.borough
+JOIN half ON half.borough = a.borough AND half.block = least((CAST(a.ds - last AS INTEGER) - 1) // 7, (SELECT max(h.block) FROM half h WHERE h.borough = a.borough))""",
+    )
+)
+def calibrated_band(spark, sf_dir):
+    """The next days with a band from the residuals at six held-out origins."""
+    points = boroughs(spark, sf_dir)
+    ahead = regression.forecast_regression(points, BOROUGH, 14, include_history=False, params=regression.unpenalised())
+    held = origins.origin_forecasts(points, BOROUGH, 6, 14, None, 14, regression.unpenalised())
+    return rounded(evaluate.calibrated_band(ahead, held, BOROUGH, 0.8), BAND)
