@@ -161,6 +161,37 @@ def drift_report(
     return scored.withColumn("drifted", far[0] | far[1])
 
 
+def value_drift(
+    df: DataFrame, ts: str, columns: Sequence[str], history: int = 28, least: float = 0.1, sketch_size: int = 800
+) -> DataFrame:
+    """How far the values of a day lie from those of the preceding ``history`` observed days: per day and column.
+
+    Each day and column is one quantile sketch (KLL), combined before the only shuffle of values; the sketches of the days before
+    are merged for the reference. ``distance`` is the largest difference of the two distributions, read off 49 quantiles of both.
+    ``drifted`` is TRUE when it exceeds ``least`` and what chance explains in one of a hundred days (Kolmogorov and Smirnov). It is
+    NULL while there is no reference or the day has no values. NULL and NaN are no values; their rate is ``drift_report``'s matter.
+    Up to ``sketch_size`` values are held exactly; beyond, ranks are off by about 2 / ``sketch_size``.
+    """
+    sketch = lambda c: F.kll_sketch_agg_double(F.col(c).cast("double"), F.lit(sketch_size))
+    daily = df.groupBy(F.to_date(ts).alias("ds")).agg(*[sketch(c).alias(f"__{i}") for i, c in enumerate(columns)])
+    rows = daily.select("ds", F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"__{i}").alias("day")) for i, c in enumerate(columns)])).alias("r"))
+    past = Window.partitionBy("column").orderBy("ds").rowsBetween(-history, -1)
+    both = rows.select("ds", "r.column", "r.day").withColumn("past", F.kll_merge_agg_double("day", F.lit(sketch_size)).over(past))
+    number = lambda c: F.kll_sketch_get_n_double(c)
+    ranks = F.array(*[F.lit(i / 50) for i in range(1, 50)])
+    # A sketch without values has no quantiles.
+    at = lambda c, n: F.when(F.col(n) > 0, F.kll_sketch_get_quantile_double(F.col(c), ranks))
+    known = both.select("ds", "column", "day", "past", number("day").alias("records"), F.coalesce(number("past"), F.lit(0)).alias("reference"))
+    known = known.withColumns({"__a": at("day", "records"), "__b": at("past", "reference")})
+    upto = lambda of, x: F.size(F.filter(of, lambda v: v <= x))
+    apart = F.transform(F.concat("__a", "__b"), lambda x: F.abs(upto(F.col("__a"), x) - upto(F.col("__b"), x)))
+    chance = 1.63 * F.sqrt((F.col("records") + F.col("reference")) / (F.col("records") * F.col("reference")))
+    scored = known.withColumn("distance", F.array_max(apart) / 50)
+    return scored.select(
+        "ds", "column", "records", "reference", "distance", F.when(F.col("distance").isNotNull(), F.col("distance") > F.greatest(F.lit(least), chance)).alias("drifted")
+    )
+
+
 def freshness(df: DataFrame, ts: str, as_of: str, limit_hours: float = 2.0) -> DataFrame:
     """One row: newest time, its lag behind ``as_of`` in seconds, and whether it is in the limit."""
     newest = df.agg(F.max(ts).alias("last_ts"))

@@ -108,6 +108,29 @@ def drift_report(spark, sf_dir):
     return rounded(report, ["null_rate", "records_z", "null_rate_z"])
 
 
+@query("""
+WITH v AS (SELECT CAST(ts AS DATE) AS ds, CAST(ts AS DATE) - DATE '2024-01-01' AS nth,
+             CASE WHEN CAST(ts AS DATE) = DATE '2024-01-20' THEN value + 3 ELSE value END AS value FROM events),
+d AS (SELECT ds, dense_rank() OVER (ORDER BY ds) AS nth FROM (SELECT DISTINCT ds FROM v)),
+w AS (SELECT d.nth, value FROM v JOIN d USING (ds)),
+s AS (SELECT nth, 'a' AS side, value FROM w UNION ALL SELECT t.nth, 'b', w.value FROM d t JOIN w ON w.nth BETWEEN t.nth - 28 AND t.nth - 1),
+o AS (SELECT *, row_number() OVER (PARTITION BY nth, side ORDER BY value) AS r, count(*) OVER (PARTITION BY nth, side) AS n FROM s),
+q AS (SELECT nth, side, n, i, value FROM o, (SELECT unnest(range(1, 50)) AS i) g WHERE r = CAST(ceil(round(i / 50 * n, 7)) AS BIGINT)),
+f AS (SELECT x.nth, x.side, x.i, abs(count(*) FILTER (WHERE y.side = 'a' AND y.value <= x.value) - count(*) FILTER (WHERE y.side = 'b' AND y.value <= x.value)) / 50 AS apart
+  FROM q x JOIN q y USING (nth) GROUP BY ALL),
+n AS (SELECT nth, count(*) FILTER (WHERE side = 'a') AS records, count(*) FILTER (WHERE side = 'b') AS reference FROM s GROUP BY nth),
+m AS (SELECT nth, max(apart) AS distance FROM f GROUP BY nth)
+SELECT ds, 'value' AS "column", records, reference, CASE WHEN reference > 0 THEN round(distance, 6) END AS distance,
+  CASE WHEN reference > 0 THEN distance > greatest(0.1, 1.63 * sqrt((records + reference) / (records * reference))) END AS drifted
+FROM d JOIN n USING (nth) JOIN m USING (nth)
+""")
+def value_drift(spark, sf_dir):
+    """Values against the days before; those of one day are raised, while counts and NULLs stay the same."""
+    raised = F.when(F.to_date("ts") == F.lit("2024-01-20").cast("date"), F.col("value") + 3).otherwise(F.col("value"))
+    events = table(spark, sf_dir, "events").select("ts", raised.alias("value"))
+    return rounded(quality.value_drift(events, "ts", ["value"], sketch_size=32_768), ["distance"])
+
+
 @query("""
 SELECT max(ts) AS last_ts,
        date_diff('second', date_trunc('second', max(ts)), TIMESTAMP '2024-01-31 01:00:00') AS lag_seconds,
