@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from calltide.operators.evaluate import forecast_metrics
 from calltide.operators.regression import (
-    DEFAULTS, KNOT_RANGE, KNOTS, prior_scales, season_features, solve_gram, unused_seasons,
+    DEFAULTS, KNOT_RANGE, KNOTS, prior_scales, season_features, solve_gram, sparse_hinges, unused_seasons,
 )
 
 # Executors need not have this package: the solver travels with the task.
@@ -88,7 +88,7 @@ class RunningSums:
         square = (self.squares[hi] - self.squares[lo]) / scale**2
         variance = max(square / days - (right[0] / days) ** 2, 0.0)
         priors = np.concatenate(prior_scales(params, n, len(right) - n))
-        coef = solve_gram(gram, right, variance, priors, lambda b: max(float(square - 2 * b @ right + b @ gram @ b), 0.0) / days)
+        coef = solve_gram(gram, right, variance, priors, lambda b: max(float(square - 2 * b @ right + b @ gram @ b), 0.0) / days, sparse_hinges(params, n))
         hinges = np.maximum((self.u[hi:upto, None] - knots) / width, 0.0)
         return scale * (coef[0] + hinges @ coef[1:n] + self.season[hi:upto] @ coef[n:])
 

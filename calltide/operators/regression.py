@@ -1,5 +1,8 @@
 """Regression forecast: piecewise-linear trend, Fourier seasons, holidays.
 
+The setting ``changepoint_prior`` is ``normal`` (the default), which spreads a
+change of slope over neighbouring knots, or ``laplace``, which keeps few knots.
+
 Spark computes the features of a day, both for fitting and for forecasting;
 Python only solves one small penalised least-squares problem per series
 (``applyInPandas``). A group holds one series of daily points, so its size is
@@ -34,6 +37,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Shape of the model.
 KNOTS = 25
 KNOT_RANGE = 0.8
+SPARSE_STEPS = 40
 WEEKLY_ORDER = 3
 YEARLY_ORDER = 10
 DEFAULTS = {
@@ -83,21 +87,27 @@ def season_features(ds: str) -> list[Column]:
     return waves + holiday_flags(F.col(ds))
 
 
-def _solve(x: np.ndarray, y: np.ndarray, prior_sd: np.ndarray) -> np.ndarray:
-    """Penalised least squares under independent normal priors, noise variance refined twice."""
-    return solve_gram(x.T @ x, x.T @ y, float(np.var(y)), prior_sd, lambda coef: float(np.mean((y - x @ coef) ** 2)))
+def _solve(x: np.ndarray, y: np.ndarray, prior_sd: np.ndarray, sparse: int = 0) -> np.ndarray:
+    """Penalised least squares under independent priors, the noise variance refined on the way."""
+    return solve_gram(x.T @ x, x.T @ y, float(np.var(y)), prior_sd, lambda coef: float(np.mean((y - x @ coef) ** 2)), sparse)
 
 
 def solve_gram(
-    gram: np.ndarray, right: np.ndarray, variance: float, prior_sd: np.ndarray, error: Callable[[np.ndarray], float]
+    gram: np.ndarray, right: np.ndarray, variance: float, prior_sd: np.ndarray, error: Callable[[np.ndarray], float], sparse: int = 0
 ) -> np.ndarray:
     """The same from sums of products; ``error`` gives the mean squared residual of coefficients.
 
-    An infinite prior leaves a coefficient unpenalised. What the days cannot tell apart is then split evenly.
+    Priors are normal, for the ``sparse`` coefficients after the first two double exponential: those are reweighted again and
+    again, a small one being penalised ever harder, so that a few large ones stay and the others go to zero. An infinite prior
+    leaves a coefficient unpenalised. What the days cannot tell apart is then split evenly.
     """
     noise, coef = max(variance * 0.1, 1e-8), np.zeros(len(right))
-    for _ in range(3):
-        penalised = gram + np.diag(noise / prior_sd**2)
+    hinges = slice(2, 2 + sparse)
+    for step in range(SPARSE_STEPS if sparse else 3):
+        weight = noise / prior_sd**2
+        if step and sparse:
+            weight[hinges] = noise / (prior_sd[hinges] * np.maximum(np.abs(coef[hinges]), 1e-9))
+        penalised = gram + np.diag(weight)
         try:
             coef = np.linalg.solve(penalised, right)
         except np.linalg.LinAlgError:
@@ -119,6 +129,11 @@ def prior_scales(params: dict[str, str], n_trend: int, n_season: int) -> tuple[n
     return trend_sd, season_sd
 
 
+def sparse_hinges(params: dict[str, str], n_trend: int) -> int:
+    """Number of hinges with a double exponential prior."""
+    return n_trend - 2 if params.get("changepoint_prior") == "laplace" else 0
+
+
 def unused_seasons(params: dict[str, str]) -> list[slice]:
     """Season columns that the settings switch off."""
     return [cut for name, cut in (("weekly_seasonality", _WEEKLY), ("yearly_seasonality", _YEARLY)) if params[name] != "true"]
@@ -127,17 +142,18 @@ def unused_seasons(params: dict[str, str]) -> list[slice]:
 def solve_series(trend: np.ndarray, season: np.ndarray, y: np.ndarray, params: dict[str, str]):
     """(trend coefficients, season coefficients, fitted values) of one series scaled to about 1."""
     trend_sd, season_sd = prior_scales(params, trend.shape[1], season.shape[1])
+    sparse = sparse_hinges(params, trend.shape[1])
     season = season.copy()  # a column of zeros gets coefficient 0
     for cut in unused_seasons(params):
         season[:, cut] = 0.0
 
     if params["seasonality_mode"] == "additive":
-        both = _solve(np.hstack([trend, season]), y, np.concatenate([trend_sd, season_sd]))
+        both = _solve(np.hstack([trend, season]), y, np.concatenate([trend_sd, season_sd]), sparse)
         a, b = both[: trend.shape[1]], both[trend.shape[1] :]
         return a, b, trend @ a + season @ b
     b = np.zeros(season.shape[1])
     for _ in range(5):  # trend * (1 + season): solve one factor while the other is held
-        a = _solve(trend * (1 + season @ b)[:, None], y, trend_sd)
+        a = _solve(trend * (1 + season @ b)[:, None], y, trend_sd, sparse)
         level = trend @ a
         b = _solve(season * level[:, None], y - level, season_sd)
     return a, b, (trend @ a) * (1 + season @ b)
