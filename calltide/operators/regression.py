@@ -12,6 +12,7 @@ and forecasting is a sum of products on it.
 
 from __future__ import annotations
 
+import json
 import math
 import random
 import sys
@@ -30,6 +31,7 @@ from calltide.functions.holidays import HOLIDAY_NAMES, holiday_flags
 from calltide.functions.times import day_number
 from calltide.operators.evaluate import tuning_days
 from calltide.operators.forecast import open_days, with_band
+from calltide.sources.layers import parked
 
 # Executors need not have this package: the solver travels with the task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -335,9 +337,13 @@ def require_models(coefficients: DataFrame, registry: DataFrame, stage: str = "P
         raise ValueError(f"no stored model for version {lacking['version']} of {lacking['model_name']}")
 
 
+# Ranges of the search.
+_RANGES = {"changepoint_prior_scale": (0.01, 0.5), "seasonality_prior_scale": (0.01, 10.0), "holidays_prior_scale": (0.01, 10.0)}
+
+
 def draw_trials(n_trials: int = 20, seed: int = 7) -> list[dict[str, str]]:
     """Seeded random draw from the search space, one parameter map per trial."""
-    rng = random.Random(seed)  # Fixed values: the ranges below.
+    rng = random.Random(seed)
 
     def log_uniform(low: float, high: float) -> str:
         return repr(math.exp(rng.uniform(math.log(low), math.log(high))))
@@ -345,9 +351,7 @@ def draw_trials(n_trials: int = 20, seed: int = 7) -> list[dict[str, str]]:
     return [
         {
             **DEFAULTS,
-            "changepoint_prior_scale": log_uniform(0.01, 0.5),
-            "seasonality_prior_scale": log_uniform(0.01, 10.0),
-            "holidays_prior_scale": log_uniform(0.01, 10.0),
+            **{name: log_uniform(low, high) for name, (low, high) in _RANGES.items()},
             "seasonality_mode": rng.choice(["additive", "multiplicative"]),
             "weekly_seasonality": rng.choice(["true", "false"]),
             "yearly_seasonality": rng.choice(["true", "false"]),
@@ -370,8 +374,19 @@ def tune(
     parallel; features are computed after the shuffle and never travel.
     """
     trials = trials or draw_trials()
-    held_days = tuning_days(horizon)
-    schema = T.StructType(
+    kept = list(keys)
+
+    def score(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = int(pdf["block"].iloc[0]) * trials_per_task
+        return _scores(pdf, list(enumerate(trials))[first : first + trials_per_task], kept)
+
+    groups = [*keys, "block"]
+    featured = _with_features(_in_blocks(points, trials, trials_per_task), groups, tuning_days(horizon))
+    return featured.groupBy(*groups).applyInPandas(score, _score_schema(points, keys))
+
+
+def _score_schema(points: DataFrame, keys: Sequence[str]) -> T.StructType:
+    return T.StructType(
         [points.schema[k] for k in keys]
         + [
             T.StructField("trial", T.IntegerType()),
@@ -379,25 +394,84 @@ def tune(
             T.StructField("mape", T.DoubleType()),
         ]
     )
-    kept = list(keys)
 
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        held = (pd.to_datetime(pdf["ds"]) > pd.to_datetime(pdf["last_ds"])).to_numpy()
-        first = int(pdf["block"].iloc[0]) * trials_per_task
-        block = list(enumerate(trials))[first : first + trials_per_task]
-        trend, season, y = _matrices(pdf)
-        out = []
-        for number, params in block:
-            if held.all() or not held.any():
-                out.append({**{k: pdf[k].iloc[0] for k in kept}, "trial": number, "params": params, "mape": None})
-                continue
-            scale = max(float(np.abs(y[~held]).max()), 1e-12)
-            a, b, _ = solve_series(trend[~held], season[~held], y[~held] / scale, params)
-            level, wave = trend[held] @ a, season[held] @ b
-            yhat = scale * (level + wave if params["seasonality_mode"] == "additive" else level * (1 + wave))
-            mape = float(np.mean(np.abs(y[held] - yhat) / np.maximum(y[held], 1.0)))
-            out.append({**{k: pdf[k].iloc[0] for k in kept}, "trial": number, "params": params, "mape": mape})
-        return pd.DataFrame(out, columns=[*kept, "trial", "params", "mape"])
 
-    groups = [*keys, "block"]
-    return _with_features(_in_blocks(points, trials, trials_per_task), groups, held_days).groupBy(*groups).applyInPandas(score, schema)
+def _scores(pdf: pd.DataFrame, block: list[tuple[int, dict[str, str]]], kept: list[str]) -> pd.DataFrame:
+    """Held-out scores of numbered settings on one series."""
+    held = (pd.to_datetime(pdf["ds"]) > pd.to_datetime(pdf["last_ds"])).to_numpy()
+    trend, season, y = _matrices(pdf)
+    out = []
+    for number, params in block:
+        if held.all() or not held.any():
+            out.append({**{k: pdf[k].iloc[0] for k in kept}, "trial": number, "params": params, "mape": None})
+            continue
+        scale = max(float(np.abs(y[~held]).max()), 1e-12)
+        a, b, _ = solve_series(trend[~held], season[~held], y[~held] / scale, params)
+        level, wave = trend[held] @ a, season[held] @ b
+        yhat = scale * (level + wave if params["seasonality_mode"] == "additive" else level * (1 + wave))
+        mape = float(np.mean(np.abs(y[held] - yhat) / np.maximum(y[held], 1.0)))
+        out.append({**{k: pdf[k].iloc[0] for k in kept}, "trial": number, "params": params, "mape": mape})
+    return pd.DataFrame(out, columns=[*kept, "trial", "params", "mape"])
+
+
+def score_trials(points: DataFrame, keys: Sequence[str], trials: DataFrame, horizon: int = 14, trials_per_task: int = 4) -> DataFrame:
+    """Score each series' own trials (keys, trial, params): the columns of ``tune``."""
+    kept, groups = list(keys), [*keys, "block"]
+    blocked = trials.withColumn("block", F.floor(F.col("trial") / trials_per_task).cast("int"))
+    needed = blocked.select(*[F.col(c).alias(f"__{c}") for c in groups]).distinct()
+    same = [points[k].eqNullSafe(needed[f"__{k}"]) for k in keys]
+    opened = points.join(needed, same) if keys else points.join(needed, F.lit(True))
+    opened = opened.select(*points.columns, F.col("__block").alias("block"))
+    own = blocked.select(*groups, "trial", F.to_json("params").alias("settings"))
+
+    def score(pdf: pd.DataFrame, mine: pd.DataFrame) -> pd.DataFrame:
+        if not len(pdf):
+            return pd.DataFrame(columns=[*kept, "trial", "params", "mape"])
+        block = [(int(n), json.loads(p)) for n, p in zip(mine["trial"], mine["settings"])]
+        return _scores(pdf, block, kept)
+
+    featured = _with_features(opened, groups, tuning_days(horizon))
+    return featured.groupBy(*groups).cogroup(own.groupBy(*groups)).applyInPandas(score, _score_schema(points, keys))
+
+
+def refined(best: DataFrame, keys: Sequence[str], turn: int, first_trial: int, seed: int = 7) -> DataFrame:
+    """New settings near good ones: scales moved by a seeded factor that narrows with each turn, choices flipped now and then.
+
+    ``best`` has keys, ``rank`` from 1 and ``params``; the draw depends on series, rank and turn alone.
+    """
+
+    def draw(name: Column, salt: int) -> Column:
+        h = F.xxhash64(F.concat_ws("\x01", name, *[F.coalesce(F.col(k).cast("string"), F.lit("\x02")) for k in keys]), "rank", F.lit(turn), F.lit(seed + salt))
+        return F.pmod(h, F.lit(1 << 20)) / (1 << 20)
+
+    def moved(name: Column, value: Column) -> Column:
+        factor = F.exp((2 * draw(name, 0) - 1) * (1.5 / turn))
+        out = value
+        for scale, (low, high) in _RANGES.items():
+            out = F.when(name == scale, F.least(F.greatest(value.cast("double") * factor, F.lit(low)), F.lit(high)).cast("string")).otherwise(out)
+        flip = draw(name, 1) < 0.15
+        out = F.when((name == "seasonality_mode") & flip, F.when(value == "additive", "multiplicative").otherwise("additive")).otherwise(out)
+        switch = name.isin("weekly_seasonality", "yearly_seasonality") & flip
+        return F.when(switch, F.when(value == "true", "false").otherwise("true")).otherwise(out)
+
+    trial = (F.col("rank") + (first_trial - 1)).cast("int").alias("trial")
+    return best.select(*keys, trial, F.transform_values("params", moved).alias("params"))
+
+
+def tune_adaptive(
+    points: DataFrame, keys: Sequence[str] = (), n_trials: int = 20, keep: int = 4, horizon: int = 14, seed: int = 7
+) -> DataFrame:
+    """Search in turns: a random draw, then settings near the best ``keep`` of each series so far, ``n_trials`` fits in all.
+
+    Returns the columns of ``tune`` and ``turn`` (0: the draw). Trials are rows, and a series has its own from turn 1 on. The turns
+    come one after the other; inside a turn all series and trials are independent tasks.
+    """
+    turns = max(1, (2 * n_trials // 5) // keep)
+    drawn = n_trials - turns * keep
+    done = parked(tune(points, keys, draw_trials(drawn, seed), horizon).withColumn("turn", F.lit(0)), "turn")
+    for turn in range(1, turns + 1):
+        best = done.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("mape").asc_nulls_last(), "trial"))).filter(F.col("rank") <= keep)
+        near = parked(refined(best, keys, turn, drawn + (turn - 1) * keep, seed), "near")
+        scored = parked(score_trials(points, keys, near, horizon, keep).withColumn("turn", F.lit(turn)), "turn")
+        done = done.unionByName(scored)
+    return done

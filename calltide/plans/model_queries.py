@@ -140,6 +140,19 @@ def tune(spark, sf_dir):
     )
 
 
+@query(
+    with_sql(
+        REQ, DAILY, BOROUGHS,
+        select="""SELECT DISTINCT borough, CAST(trial AS INTEGER) AS trial, CAST(CASE WHEN trial < 12 THEN 0 WHEN trial < 16 THEN 1 ELSE 2 END AS INTEGER) AS turn,
+  TRUE AS scored FROM boroughs, range(20) t(trial)""",
+    )
+)
+def tune_adaptive(spark, sf_dir):
+    """Every series' twenty trials in three turns, and whether each has a score that a forecast can have."""
+    found = regression.tune_adaptive(boroughs(spark, sf_dir), ["borough"])
+    return found.select("borough", "trial", "turn", F.coalesce(F.col("mape").between(0, 10), F.lit(False)).alias("scored"))
+
+
 LINE_TRIALS = [regression.unpenalised(), regression.unpenalised(weekly=False)]
 
 
