@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,20 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def set_aside(df: DataFrame, names: Iterable[str], *used: str) -> tuple[DataFrame, list[str]]:
+    """Rename columns that are called like one of ``names``, in any case, to the name and an underscore or more.
+
+    Returns the frame and the names that the ``used`` columns have now.
+    """
+    reserved = {n.lower() for n in names}
+    now = {}
+    for c in df.columns:
+        if c.lower() in reserved:
+            now[c] = fresh(df, c)
+            df = df.withColumnRenamed(c, now[c])
+    return df, [now.get(u, u) for u in used]
+
+
 def with_row_id(df: DataFrame, label: str, name: str) -> DataFrame:
     """Stage ``df`` with a unique long per row, which later reads then share."""
     return staged(df.withColumn(name, F.monotonically_increasing_id()), label)

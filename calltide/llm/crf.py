@@ -18,6 +18,8 @@ from calltide.llm.common import keyed_hash, text_chunks
 
 TRAIN_DOCS = 6_000  # labelled documents the model is fitted on, the first ones by hash
 TRAIN_LINES = 64  # consecutive lines taken of each of them
+JOINED = 3_000  # training sequences joined from good and bad documents
+JOINED_LINES = 24  # consecutive lines that a joined sequence takes of a document
 ROUNDS = 120
 FOLDS, HELD_OUT = 5, 0
 
@@ -171,6 +173,9 @@ def fit(x: np.ndarray, y: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS,
     inner = np.ones(len(y), bool)
     inner[starts] = False
     later = np.flatnonzero(inner)
+    # What a line says itself comes before what its neighbours and the moves say.
+    own = np.arange(x.shape[1] + 4) < FEATURES
+    penalties = np.where(own, penalty, 300 * penalty)
     prior = np.clip(y.mean(), 1e-3, 1 - 1e-3)
     w, m = np.zeros(x.shape[1]), np.zeros((2, 2))
     w[0] = np.log(prior / (1 - prior))
@@ -185,7 +190,7 @@ def fit(x: np.ndarray, y: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS,
         joint = np.stack([np.zeros(len(later)) + m[0, 0], right + m[0, 1], left + m[1, 0], left + right + m[1, 1]])
         joint = np.exp(joint - joint.max(0)) if len(later) else joint
         joint = (joint / np.maximum(joint.sum(0), 1e-300)).sum(1) if len(later) else np.zeros(4)
-        g = np.r_[x.T @ (p - y), joint - pairs.ravel()] / len(y) + penalty * np.r_[w, m.ravel()]
+        g = np.r_[x.T @ (p - y), joint - pairs.ravel()] / len(y) + penalties * np.r_[w, m.ravel()]
         first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
         move = 0.15 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
         w, m = w - move[:-4], m - move[-4:].reshape(2, 2)
@@ -201,9 +206,11 @@ def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
     max_docs: int = TRAIN_DOCS, max_lines: int = TRAIN_LINES,
 ) -> Chain:
-    """Fit the chain to labelled documents outside the held-out fold; each of their lines gets the document's label.
+    """Fit the chain to labelled documents outside the held-out fold.
 
-    At most ``max_docs`` documents, the first by hash, and ``max_lines`` consecutive lines of each are used. NULL ids, texts
+    Labels are those of documents. A document of its own teaches what its lines look like; where content begins and ends is
+    learned from sequences joined from parts of good and of bad documents (``joined``), in which a line's label is known and
+    changes. At most ``max_docs`` documents, the first by hash, and ``max_lines`` consecutive lines of each are used. NULL ids, texts
     and labels are left out; of several labels of a document the lowest holds.
     """
     picked = (
@@ -232,6 +239,33 @@ def train(
     if not got:
         return fit(np.zeros((0, FEATURES)), np.zeros(0), np.zeros(0, np.int64))
     xs = [np.frombuffer(bytes(r.x), np.float32).reshape(-1, FEATURES) for r in got]
-    counts = np.array([len(x) for x in xs], np.int64)
-    y = np.repeat([float(r.y > 0) for r in got], counts)
-    return fit(np.vstack(xs), y, counts)
+    ys = [np.full(len(x), float(r.y > 0)) for x, r in zip(xs, got)]
+    more_x, more_y = joined(xs, [bool(r.y > 0) for r in got])
+    xs, ys = xs + more_x, ys + more_y
+    return fit(np.vstack(xs), np.concatenate(ys), np.array([len(x) for x in xs], np.int64))
+
+
+def joined(xs: list[np.ndarray], good: list[bool], most: int = JOINED, seed: int = 3) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Sequences of two or three parts, by turns of good and of bad documents, and the labels of their lines.
+
+    As many as there are documents, ``most`` at most; documents and the lines taken of them are a seeded draw. Without good or without
+    bad documents there are none.
+    """
+    rng = np.random.default_rng(seed)
+    kinds = [[i for i, g in enumerate(good) if g == k] for k in (False, True)]
+    if not kinds[0] or not kinds[1]:
+        return [], []
+    out_x, out_y = [], []
+    for n in range(min(len(xs), most)):
+        first, parts = n % 2, 2 + n // 2 % 2
+        x, y = [], []
+        for k in range(parts):
+            label = (first + k) % 2
+            own = xs[kinds[label][rng.integers(len(kinds[label]))]]
+            size = min(len(own), JOINED_LINES, 1 + int(rng.exponential(3)))
+            at = int(rng.integers(len(own) - size + 1))
+            x.append(own[at : at + size])
+            y.append(np.full(size, float(label)))
+        out_x.append(np.vstack(x))
+        out_y.append(np.concatenate(y))
+    return out_x, out_y

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from calltide.llm import crf
-from calltide.llm.common import map_texts
+from calltide.llm.common import map_texts, set_aside
 
 MIN_CONTENT = 0.5
 MIN_WORDS, MAX_REPEATED = 10, 20  # words; percent of words in repeated windows
@@ -72,8 +72,9 @@ def quality_rules(
 
     A document is kept if it passes the base rules (10 words at least, at most a fifth of them in repeated five-word windows)
     and at least ``min_content`` of it is content. NULL and empty texts have no words and fail. Each row is judged alone, so
-    repeated rows agree. ``docs`` must not have columns of these names.
+    repeated rows agree. Columns of ``docs`` that have one of these names are returned with an underscore behind it.
     """
+    docs, (text_col,) = set_aside(docs, [*_COUNTS, "content_share", "base_failed", "kept"], text_col)
 
     def run(texts):
         counts = [text_counts(t) for t in texts]
@@ -92,8 +93,10 @@ def quality_score(docs: DataFrame, chain: crf.Chain, text_col: str = "text", thr
     """Append ``score`` and ``predicted`` to the other columns; the text is not returned.
 
     The score is the mean of the lines' marginals of being good, weighted by their bytes that are not white space. NULL
-    texts and those of white space alone score 0.
+    texts and those of white space alone score 0. Columns of ``docs`` that are called like these are returned with an
+    underscore behind the name.
     """
+    docs, (text_col,) = set_aside(docs, ["score", "predicted"], text_col)
 
     def run(texts):
         lines = crf.line_features(texts)

@@ -77,8 +77,8 @@ def test_without_labels_every_line_is_content(spark, frame, edge_rows):
 def test_counts_and_rules_equal_brute_force(spark, frame, edge_rows):
     rows = [*edge_rows, (20, "a b c d e f a b c d e f\n\nx\nx\n \n "), (21, "w " * 40), (22, "a\x1cb\xa0c d\x0be\x0cf " * 3)]
     chain = crf.train(frame(rows), spark.createDataFrame([(8, 1), (21, 0), (None, 1), (3, None)], "doc_id long, quality int"))
-    got = quality.quality_rules(frame(rows).select("doc_id", "text", "size"), chain).collect()
-    assert len(got) == len(rows)
+    got = quality.quality_rules(frame(rows), chain).collect()
+    assert {r["kept_"] for r in got} == {"7"} and len(got) == len(rows)
     want = Counter((r[0], *brute_counts(r[1])) for r in rows)
     assert Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got) == want
     for r in got:
@@ -88,7 +88,7 @@ def test_counts_and_rules_equal_brute_force(spark, frame, edge_rows):
 
 def test_rules_of_no_documents(frame):
     chain = crf.Chain(np.zeros(3 * crf.FEATURES), np.zeros((2, 2)))
-    docs = frame([]).select("doc_id", "text")
+    docs = frame([])
     assert quality.quality_rules(docs, chain).count() == quality.quality_score(docs, chain).count() == 0
 
 
@@ -100,11 +100,43 @@ def test_very_many_lines_stay_finite():
 
 def test_scores_of_edge_cases(frame, edge_rows):
     chain = crf.Chain(np.r_[1.0, np.zeros(3 * crf.FEATURES - 1)], np.zeros((2, 2)))
-    got = quality.quality_score(frame(edge_rows).select("doc_id", "text"), chain).collect()
+    got = quality.quality_score(frame(edge_rows), chain).collect()
+    assert {r["score_"] for r in got} == {"7"}
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
     assert {r.score for r in got if r.doc_id in (1, 2, 3, 9)} == {0.0}
 
 
+@pytest.fixture(scope="module")
+def labelled(spark):
+    """The held-out labelled texts by label, and the chain fitted to the others."""
+    sf_dir = "/root/testdata/sf0.01"
+    docs, labels = (queries.table(spark, sf_dir, t) for t in ("documents", "labels"))
+    rows = docs.join(labels.where(crf.held_out(F.col("doc_id"))), "doc_id").where("text is not null").select("doc_id", "text", "quality").collect()
+    texts = {k: [r.text for r in sorted(rows, key=lambda r: r.doc_id) if r.quality == k and len(r.text.split()) >= 10] for k in (0, 1)}
+    return texts, crf.train(docs, labels)
+
+
+def test_planted_boundaries_are_found(labelled):
+    """Lines of a good and a bad text in one document get the label of the text they come from."""
+    texts, chain = labelled
+    right = total = 0
+    for i, good in enumerate(texts[1]):
+        bad = texts[0][i % len(texts[0])]
+        for parts in ([(good, 1), (bad, 0)], [(bad, 0), (good, 1)], [(bad, 0), (good, 1), (bad, 0)]):
+            want = np.concatenate([np.full(t.count("\n") + 1, k) for t, k in parts])
+            states = chain.viterbi(crf.line_features(["\n".join(t for t, _ in parts)]))
+            right, total = right + (states == want).sum(), total + len(want)
+    assert right > 0.9 * total
+
+
+def test_prose_between_navigation_lines_is_kept(labelled):
+    texts, chain = labelled
+    menu = "\n".join(["Home | About | Contact", "LOGIN | REGISTER", "Share | Tweet | Pin", "Next >> 2 3 4 5", "$$$ CLICK HERE $$$", "| Menu | Search |"])
+    shares = quality.content_share(chain, [f"{menu}\n{t}\n{menu}" for t in texts[1]])
+    prose = np.array([len(t) for t in texts[1]]) / np.array([len(t) + 2 * len(menu) + 2 for t in texts[1]])
+    assert (shares[prose > 0.6] >= 0.5).all() and (shares[prose > 0.5] > 0).all()
+
+
 @pytest.mark.parametrize("name", ["op2_quality_rules", "op10_quality_classifier"])
 def test_held_out_documents_are_judged_rightly(spark, name):
     sf_dir = "/root/testdata/sf0.01"
