@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from calltide.llm.common import keyed_hash, map_texts, text_chunks
+from calltide.llm.common import keyed_hash, map_texts, set_aside, text_chunks
 
 DOCS_PER_LANGUAGE = 2_000  # texts of a language that n-grams are learned from, on average
 SLOTS = 1 << 19
@@ -164,8 +164,10 @@ def identify(docs: DataFrame, filters: Filters, text_col: str = "text") -> DataF
     """Append ``lang_pred`` and ``score`` to the other columns; the text is not returned.
 
     NULL texts and texts without a letter are ``und`` with score 0; a text none of whose n-grams is known gets the language
-    with most documents, with score 0. Of equally good languages the first by name holds.
+    with most documents, with score 0. Of equally good languages the first by name holds. Columns of ``docs`` that are called
+    like these are returned with an underscore behind the name.
     """
+    docs, (text_col,) = set_aside(docs, ["lang_pred", "score"], text_col)
     held = docs.sparkSession.sparkContext.broadcast(filters)  # its size is set by SLOTS and the number of languages
 
     def run(texts):
