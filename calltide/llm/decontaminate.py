@@ -2,138 +2,181 @@
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from calltide.llm.common import staged, text_chunks
+from calltide.llm.common import set_aside, staged, text_chunks
 
 MIN_MATCH = 4  # tokens of the shortest tile, and of a seed
 MIN_COVERAGE = 0.5
 BLOCK_CHARS = 8_000_000  # benchmark text that is compared in one pass over the documents
 START = 32  # first search length
-_BASE, _MOD = 1_000_003, (1 << 61) - 1
+_BASE = np.uint64(0x5851F42D4C957F2D)
 
 tokens = re.compile(r"\w+").findall
 
 
-def rolling(codes: list[int], n: int) -> Iterator[int]:
-    """Karp-Rabin hash of each window of ``n`` codes."""
+def rolling(codes: np.ndarray, n: int) -> np.ndarray:
+    """Karp-Rabin hash, modulo 2**64, of each window of ``n`` codes, from running sums of codes times powers of the base."""
     if len(codes) < n:
-        return
-    top = pow(_BASE, n - 1, _MOD)
-    h = 0
-    for c in codes[:n]:
-        h = (h * _BASE + c) % _MOD
-    yield h
-    for old, new in zip(codes, codes[n:]):
-        h = ((h - old * top) * _BASE + new) % _MOD
-        yield h
-
-
-def _free_windows(marked: list[bool], n: int) -> list[int]:
-    """Starts of the windows of ``n`` places none of which is marked."""
-    out, run = [], 0
-    for i, m in enumerate(marked):
-        run = 0 if m else run + 1
-        if run >= n:
-            out.append(i - n + 1)
+        return np.zeros(0, np.uint64)
+    out = np.zeros(len(codes) - n + 1, np.uint64)
+    for k in range(n):
+        out = out * _BASE + codes[k : len(codes) - n + 1 + k].astype(np.uint64)
+    out ^= out >> np.uint64(32)  # the low bits of a product know little of the high ones
+    return out * np.uint64(0x9E3779B97F4A7C15)
+
+
+def _free_runs(marked: np.ndarray, n: int) -> np.ndarray:
+    """Whether a window of ``n`` places that begins here has none marked."""
+    if len(marked) < n:
+        return np.zeros(0, bool)
+    upto = np.concatenate([[0], np.cumsum(marked)])
+    return upto[n:] == upto[:-n]
+
+
+def _maximal(text: np.ndarray, item: np.ndarray, in_text: np.ndarray, in_item: np.ndarray, n: int) -> list[tuple[int, int, int]]:
+    """Runs of at least ``n`` equal unmarked tokens that cannot be extended, as (-length, place in text, place in item).
+
+    Rolling hashes of free windows tell which places of the text to look at; from one of them to the next the length of each
+    run is carried on along its diagonal.
+    """
+    free_item, free_text = _free_runs(in_item, n), _free_runs(in_text, n)
+    wanted = np.unique(rolling(item, n)[free_item])
+    at = np.flatnonzero(free_text & np.isin(rolling(text, n), wanted))
+    if not len(at):
+        return []
+    # Places inside a window that matches, in order; a run ends wherever they leave a gap.
+    near = np.unique(np.concatenate([at + k for k in range(n)]))
+    out: list[tuple[int, int, int]] = []
+    held, last = np.zeros(len(item) + 1, np.int64), -2
+    usable = ~in_item
+
+    def close(ended: np.ndarray, t: int) -> None:
+        for p in np.flatnonzero(ended >= n).tolist():
+            k = int(ended[p])
+            out.append((-k, t - k, p - k))
+
+    for t in near.tolist():
+        if t != last + 1:
+            close(held, last + 1)
+            held = np.zeros(len(item) + 1, np.int64)
+        now = np.zeros(len(item) + 1, np.int64)  # by the place behind the run in the item
+        if not in_text[t]:
+            now[1:] = np.where((item == text[t]) & usable, held[:-1] + 1, 0)
+        ended = held.copy()
+        ended[:-1][now[1:] > 0] = 0  # those go on
+        close(ended, t)
+        held, last = now, t
+    close(held, last + 1)
     return out
 
 
 def tile(text: list[int], item: list[int], min_match: int = MIN_MATCH) -> list[tuple[int, int, int]]:
     """Non-overlapping common runs as (place in text, place in item, length), longest first.
 
-    Running Karp-Rabin: windows of a search length that are free on both sides are matched by hash, compared token by
-    token and extended; the longest are marked first, then the search length is halved down to ``min_match``. A match
-    of more than twice the search length restarts the search at its own length. Of equally long matches the earlier in
-    the text, then in the item, is marked.
+    Running Karp-Rabin: hashes of windows of a search length find maximal runs; the longest is marked, a run that a mark
+    has cut counts with what is left of it, and when no run of the search length is left it is halved, down to
+    ``min_match``. Of equally long runs the earlier in the text, then in the item, is marked.
     """
-    in_text, in_item = [False] * len(text), [False] * len(item)
+    text, item = np.asarray(text, np.int64), np.asarray(item, np.int64)
+    in_text, in_item = np.zeros(len(text), bool), np.zeros(len(item), bool)
     tiles: list[tuple[int, int, int]] = []
     n = max(min_match, min(START, len(item), len(text)))
-    while n >= min_match:
-        item_hash, text_hash = list(rolling(item, n)), list(rolling(text, n))
-        places = defaultdict(list)
-        for p in _free_windows(in_item, n):
-            places[item_hash[p]].append(p)
-        found = []
-        for t in _free_windows(in_text, n):
-            for p in places.get(text_hash[t], ()):
-                k = 0
-                while (
-                    t + k < len(text) and p + k < len(item) and text[t + k] == item[p + k]
-                    and not in_text[t + k] and not in_item[p + k]
-                ):
-                    k += 1
-                if k >= n:
-                    found.append((-k, t, p))
-        longest = -min(found)[0] if found else 0
-        if longest > 2 * n:
-            n = longest
-            continue
-        for k, t, p in sorted(found):
-            if not any(in_text[t : t - k]) and not any(in_item[p : p - k]):
-                in_text[t : t - k] = in_item[p : p - k] = [True] * -k
-                tiles.append((t, p, -k))
-        if not found:  # else what longer tiles have cut off may still be long enough
-            if n == min_match:
-                break
-            n = max(min_match, n // 2)
-    return tiles
+    while True:
+        heap = _maximal(text, item, in_text, in_item, n)
+        heapq.heapify(heap)
+        while heap:
+            k, t, p = heapq.heappop(heap)
+            k = -k
+            taken = in_text[t : t + k] | in_item[p : p + k]
+            if not taken.any():
+                in_text[t : t + k] = in_item[p : p + k] = True
+                tiles.append((t, p, k))
+                continue
+            edges = np.flatnonzero(np.diff(np.concatenate([[1], taken, [1]])))
+            for first, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
+                if end - first >= n:
+                    heapq.heappush(heap, (first - end, t + first, p + first))
+        if n == min_match or in_item.all():
+            return tiles
+        n = max(min_match, n // 2)
 
 
 @dataclass
 class Block:
-    """Some benchmark items: their tokens as numbers, and where each seed occurs."""
+    """Some benchmark items: their tokens as numbers, and the sorted hashes of their seeds with the items they occur in."""
 
     ids: list = field(default_factory=list)
-    items: list[list[int]] = field(default_factory=list)
+    items: list[np.ndarray] = field(default_factory=list)
     codes: dict[str, int] = field(default_factory=dict)
-    seeds: dict[int, dict[tuple, set[int]]] = field(default_factory=lambda: defaultdict(lambda: defaultdict(set)))
+    lengths: list[int] = field(default_factory=list)
+    seeds: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
     chars: int = 0
 
     def add(self, item_id, text: str, min_match: int) -> None:
         words = tokens(text.lower())
         if not words:
             return
-        i, n = len(self.items), min(min_match, len(words))
         self.ids.append(item_id)
-        self.items.append([self.codes.setdefault(w, len(self.codes) + 1) for w in words])
-        for seed in zip(*(words[k:] for k in range(n))):
-            self.seeds[n][seed].add(i)
+        self.items.append(np.array([self.codes.setdefault(w, len(self.codes) + 1) for w in words], np.int64))
+        self.lengths.append(min(min_match, len(words)))
         self.chars += len(text)
 
+    def closed(self) -> Block:
+        """With the seeds of all items."""
+        for n in set(self.lengths):
+            own = [i for i, k in enumerate(self.lengths) if k == n]
+            hashes = [np.unique(rolling(self.items[i], n)) for i in own]
+            owner = np.repeat(np.array(own, np.int32), [len(h) for h in hashes])
+            hashes = np.concatenate(hashes)
+            order = np.argsort(hashes, kind="stable")
+            self.seeds[n] = (hashes[order], owner[order])
+        return self
+
     def matches(self, text: str | None, min_match: int, min_coverage: float) -> list[dict]:
         """Items whose coverage by tiles from ``text`` reaches the threshold."""
         words = tokens((text or "").lower())
-        places: dict[int, list[int]] = defaultdict(list)
-        for n, seeds in self.seeds.items():
-            for at, gram in enumerate(zip(*(words[k:] for k in range(n)))):
-                if gram in seeds:
-                    for i in seeds[gram]:
-                        places[i].append(at)
+        codes = np.fromiter((self.codes.get(w, 0) for w in words), np.int64, len(words))
+        places: dict[int, list[np.ndarray]] = defaultdict(list)
+        for n, (hashes, owner) in self.seeds.items():
+            own = rolling(codes, n)
+            known = np.flatnonzero(_free_runs(codes == 0, n))
+            first, end = (np.searchsorted(hashes, own[known], side=side) for side in ("left", "right"))
+            hit = np.flatnonzero(end > first)
+            if not len(hit):
+                continue
+            times = (end - first)[hit]
+            at = np.repeat(known[hit], times)
+            which = owner[np.repeat(first[hit] - np.concatenate([[0], np.cumsum(times)[:-1]]), times) + np.arange(times.sum())]
+            order = np.argsort(which, kind="stable")
+            at, which = at[order], which[order]
+            cuts = np.flatnonzero(np.diff(which, prepend=-1))
+            for i, part in zip(which[cuts].tolist(), np.split(at, cuts[1:])):
+                places[i].append(part)
         out = []
-        for i, at in places.items():
+        for i, found in places.items():
             item = self.items[i]
             n = min(min_match, len(item))
-            # Tiles lie within runs of seed places; all other tokens can be left out.
-            zone: list[int] = []
-            until = 0
-            for p in at:
-                if p > until:
-                    zone.append(0)  # matches nothing
-                zone += (self.codes.get(w, 0) for w in words[max(p, until) : p + n])
-                until = max(until, p + n)
-            tiles = tile(zone, item, n)
-            covered = sum(k for _, _, k in tiles) / len(item)
-            if covered >= min_coverage:
-                out.append({"item_id": self.ids[i], "coverage": covered, "n_tiles": len(tiles)})
+            at = found[0]  # seeds of an item have one length
+            # Tiles lie within runs of seed places; all other tokens can be left out, with a 0, which matches nothing, between runs.
+            covered = np.zeros(len(codes) + 1, np.int64)
+            np.add.at(covered, at, 1)
+            np.add.at(covered, at + n, -1)
+            inside = np.flatnonzero(np.cumsum(covered[:-1]) > 0)
+            gaps = np.flatnonzero(np.diff(inside) > 1) + 1
+            tiles = tile(np.insert(codes[inside], gaps, 0), item, n)
+            share = sum(k for _, _, k in tiles) / len(item)
+            if share >= min_coverage:
+                out.append({"item_id": self.ids[i], "coverage": share, "n_tiles": len(tiles)})
         return sorted(out, key=lambda m: (-m["coverage"], m["item_id"] is None, m["item_id"] or 0))
 
 
@@ -143,14 +186,9 @@ def _blocks(benchmark: DataFrame, min_match: int, limit: int) -> Iterator[Block]
     for r in benchmark.toLocalIterator():
         block.add(r.item_id, r.text, min_match)
         if block.chars >= limit:
-            yield block
+            yield block.closed()
             block = Block()
-    yield block
-
-
-def _plain(block: Block) -> Block:
-    block.seeds = {n: dict(s) for n, s in block.seeds.items()}
-    return block
+    yield block.closed()
 
 
 MATCHES = "array<struct<item_id: bigint, coverage: double, n_tiles: int>>"
@@ -166,6 +204,7 @@ def decontaminate(
     with an item (items shorter than that: all their tokens) are tiled with it; the coverage is the part of the item's
     tokens in tiles, in whatever order they stand. The benchmark is compared in blocks of bounded text, one pass over the
     documents each. NULL or empty texts and items match nothing; repeated rows agree; an empty benchmark gives empty lists.
+    A column of ``docs`` that is called like ``out`` is returned with an underscore behind the name.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -173,13 +212,14 @@ def decontaminate(
     items = benchmark.select(
         F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")
     ).where("text is not null")
+    docs, (text_col,) = set_aside(docs, [out], text_col)
     context, names = docs.sparkSession.sparkContext, docs.columns
     schema = StructType([*docs.schema, *StructType.fromDDL(f"{out} {MATCHES}")])
     arrow = to_arrow_schema(schema)
     result = docs.withColumn(out, F.expr(f"cast(array() as {MATCHES})"))
 
     def one_pass(df: DataFrame, block: Block) -> DataFrame:
-        held = context.broadcast(_plain(block))  # bounded by block_chars
+        held = context.broadcast(block)  # bounded by block_chars
 
         def run(batches):
             for part, texts in text_chunks(batches, text_col):

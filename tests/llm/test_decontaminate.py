@@ -31,7 +31,7 @@ def test_tiles_are_a_maximal_greedy_cover(seed):
 
 
 def found(docs, benchmark, **options):
-    got = decontaminate.decontaminate(docs.select("doc_id", "text", "size"), benchmark, **options).collect()
+    got = decontaminate.decontaminate(docs, benchmark, **options).collect()
     return {(r.doc_id, r.text): [(m.item_id, round(m.coverage, 3)) for m in r.matches] for r in got}
 
 
@@ -54,3 +54,47 @@ def test_nothing_to_compare(frame, edge_rows, spark):
     nothing = spark.createDataFrame([], "item_id long, text string")
     assert all(not m for m in found(frame(edge_rows), nothing).values())
     assert found(frame([]), spark.createDataFrame([(1, ITEM)], "item_id long, text string")) == {}
+
+
+def brute_tiles(text, item, n):
+    """Marks the longest free common run, the earliest of equally long ones, until none of ``n`` tokens is left."""
+    in_text, in_item, out = [False] * len(text), [False] * len(item), []
+    while True:
+        best = (0, 0, 0)
+        for t in range(len(text)):
+            for p in range(len(item)):
+                k = 0
+                while (
+                    t + k < len(text) and p + k < len(item) and text[t + k] == item[p + k] and not in_text[t + k] and not in_item[p + k]
+                ):
+                    k += 1
+                best = min(best, (-k, t, p))
+        if -best[0] < n:
+            return out
+        k, t, p = -best[0], *best[1:]
+        in_text[t : t + k] = in_item[p : p + k] = [True] * k
+        out.append((t, p, k))
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_tiles_equal_brute_force(seed, monkeypatch):
+    rng = random.Random(seed)
+    monkeypatch.setattr(decontaminate, "START", rng.choice([2, 5, 32]))
+    letters = rng.choice([1, 2, 3, 6])
+    text, item = [rng.randrange(letters + 1) for _ in range(rng.randint(0, 40))], [rng.randrange(1, letters + 1) for _ in range(rng.randint(1, 25))]
+    n = rng.randint(1, 4)
+    assert sorted(tile(text, item, n)) == sorted(brute_tiles(text, item, n))
+
+
+@pytest.mark.parametrize(("text", "item"), [([7] * 20_000, [7] * 300), ([7] * 20_000, [7] * 150 + [8] + [7] * 149)])
+def test_repeated_tokens_take_linear_time(text, item):
+    import time
+
+    begun = time.process_time()
+    tiles = tile(text, item)
+    assert time.process_time() - begun < 2 and sum(k for _, _, k in tiles) >= 299
+
+
+def test_column_of_the_result_name_is_kept(frame, spark):
+    got = decontaminate.decontaminate(frame([(1, ITEM)]), spark.createDataFrame([(1, ITEM)], "item_id long, text string")).first()
+    assert got.matches[0].item_id == 1 and got.matches_ == "7"
