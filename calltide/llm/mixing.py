@@ -151,15 +151,15 @@ def mix(
     excess being shared anew. A source with a target of e epochs gives each document floor(e) whole times; the rest of the
     target is filled with documents in a seeded hash order, leaving out those that no longer fit, and then the one document
     that comes nearest to what is still missing. The order is found by sums over hash ranges (two levels), so no task ever
-    holds a source. NULL sources are one source, last in order; NULL or wordless texts have size 0. Rows with the same id and size
-    are interchangeable, and equal ids are ordered by their row. With ``row_col`` the result has that column as well.
+    holds a source, even if its rows have no id. NULL sources are one source, last in order; NULL or wordless texts have size 0. Rows
+    with the same id and size are interchangeable, and equal ids are ordered by their row. With ``row_col`` the result has that column as well.
     """
     row = "__row"
     given = [F.col(row_col).alias("__given")] if row_col else []
     sized = with_row_id(
         docs.select(
             F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-            word_count(F.col(text_col).cast("string")).alias("size"), *given,
+            word_count(F.col(text_col).cast("string")).alias("size"), F.xxhash64(F.col(text_col).cast("string")).alias("__text"), *given,
         ),
         "sizes", row,
     )
@@ -175,9 +175,12 @@ def mix(
         .select("source", "source_size", "target", "whole", "rest"),
         "targets",
     )
-    h = keyed_hash(F.col("doc_id"), F.col("size"), seed=seed)
+    # Rows without an id would share a hash with all of their size: their text and number tell them apart.
+    h = F.when(
+        F.col("doc_id").isNull(), keyed_hash(F.col("size"), F.col("__text"), F.col(row), seed=seed)
+    ).otherwise(keyed_hash(F.col("doc_id"), F.col("size"), seed=seed))
     parts = [F.pmod(F.shiftrightunsigned(h, 16 * i), F.lit(BUCKETS)).cast("int").alias(f"b{i}") for i in range(LEVELS)]
-    keyed = sized.select("*", *parts, h.alias("h"))
+    keyed = sized.select("*", *parts, h.alias("h")).drop("__text")
 
     cuts = _cuts(keyed, plan.select("source", F.col("rest").alias("gap")), row).withColumnRenamed("source", "s")
     taken = F.exists("cuts", lambda c: (F.col("size") <= c["gap"]) & ((F.col("size") > 0) | (c["round"] == 0)) & _up_to(c, row))

@@ -81,6 +81,17 @@ def test_rest_is_filled_first_fit_in_hash_order(spark, frame, edge_rows):
         assert abs(sum(r.taken for r in mine) - mine[0].target) <= min(left, default=0) / 2 + 1e-6
 
 
+def test_rows_without_an_id_spread_over_hash_ranges(spark, monkeypatch):
+    """Equal rows without an id have hashes of their own, so that a range holds a few of them only."""
+    docs = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("w w w").alias("text"), F.lit("s").alias("source"))
+    found = []
+    cuts = mixing._cuts
+    monkeypatch.setattr(mixing, "_cuts", lambda keyed, *a: found.append(keyed) or cuts(keyed, *a))
+    taken, target = mixing.mix(docs).agg(F.sum("taken"), F.first("target")).first()
+    assert abs(taken - target) <= 1.5
+    assert found[0].groupBy("b0", "b1").count().agg(F.max("count")).first()[0] < 10
+
+
 def test_one_source_holds_nearly_all(spark):
     docs = spark.range(20_000).select(
         F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") % 13).cast("int")).alias("text"),
