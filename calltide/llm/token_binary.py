@@ -36,7 +36,7 @@ class EliasFano:
         if n and (v[0] < 0 or (np.diff(v) < 0).any()):
             raise ValueError("values must rise and be at least 0")
         top = int(v[-1]) if n else 0
-        bits = max(0, int(top // n).bit_length() - 1) if n else 0
+        bits = max(0, (top // n).bit_length() - 1) if n else 0
         low = np.packbits((v[:, None] >> np.arange(bits)) & 1, bitorder="little") if bits else np.empty(0, np.uint8)
         ones = (v >> bits) + np.arange(n)
         unary = np.zeros((top >> bits) + n, np.uint8)
@@ -46,6 +46,10 @@ class EliasFano:
             ones[::SELECT_STEP].astype("<u4").tobytes(),
         )
 
+    def stored(self) -> dict:
+        """The parts as a row keeps them."""
+        return {"n": self.n, "low_bits": self.low_bits, "low": self.low.tobytes(), "high": self.high.tobytes(), "samples": self.samples.tobytes()}
+
     def _low(self, first: int, last: int) -> np.ndarray:
         k = self.low_bits
         if not k:
@@ -86,28 +90,34 @@ def _shards(batches: Iterator[pa.RecordBatch], encoder_path: str, end_id: int, l
         ends = EliasFano.encode(np.cumsum(lengths))
         flat = np.frombuffer(b"".join(ids), "<u4")
         width = 2 if flat.max() < 1 << 16 else 4
+        known = np.array([d for d in docs if d is not None], np.int64)  # NULL ids come first
+        first = int(known[0]) if len(known) else 0
         row = {
-            "part": part, "seq": seq, "before": before, "n_ids": len(flat), "doc_ids": docs, "width": width,
-            "ids": flat.astype(f"<u{width}").tobytes(), "ef_n": ends.n, "ef_low_bits": ends.low_bits,
-            "ef_low": ends.low.tobytes(), "ef_high": ends.high.tobytes(), "ef_samples": ends.samples.tobytes(),
+            "part": part, "seq": seq, "before": before, "n_ids": len(flat), "width": width, "ids": flat.astype(f"<u{width}").tobytes(),
+            "ends": ends.stored(), "no_id": len(docs) - len(known), "first_id": first, "doc_ids": EliasFano.encode(known - first).stored(),
         }
         return pa.RecordBatch.from_pylist([row], schema=schema)
 
+    low = None  # the first id of the shard
     for batch, texts in text_chunks(batches, "text"):
         for doc, text in zip(batch.column(batch.schema.get_field_index("doc")).to_pylist(), texts):
+            if ids and low is not None and doc - low >= 1 << 62:  # differences must fit
+                yield shard()
+                ids, docs, size, seq, before, low = [], [], 0, seq + 1, before + size, None
+            low = doc if low is None else low
             ids.append(encoder.encode(text) + end)
             docs.append(doc)
             size += len(ids[-1]) // 4
             if size >= limit:
                 yield shard()
-                ids, docs, size, seq, before = [], [], 0, seq + 1, before + size
+                ids, docs, size, seq, before, low = [], [], 0, seq + 1, before + size, None
     if ids:
         yield shard()
 
 
+_STORED = "struct<n: int, low_bits: int, low: binary, high: binary, samples: binary>"
 SHARD_SCHEMA = (
-    "part int, seq int, before long, n_ids long, doc_ids array<long>, width int, ids binary, ef_n int, ef_low_bits int, ef_low binary,"
-    " ef_high binary, ef_samples binary"
+    f"part int, seq int, before long, n_ids long, width int, ids binary, ends {_STORED}, no_id int, first_id long, doc_ids {_STORED}"
 )
 
 
@@ -117,7 +127,8 @@ def write_token_files(
 ) -> None:
     """Encode all texts in ascending id order and write them as rows of id arrays with Elias-Fano boundaries.
 
-    A row holds the ids of consecutive documents, each closed by ``end_id``, in 2 bytes an id where they fit, else 4. It is
+    A row holds the ids of consecutive documents, each closed by ``end_id``, in 2 bytes an id where they fit, else 4. Where they
+    end, and the documents' rising ids, are Elias-Fano encoded, so a document costs a few bits. It is
     closed by the document that reaches ``shard_ids``, so its size is bounded by that and the longest document. NULL texts
     are empty documents, NULL ids come first, and rows with equal ids keep some fixed order; as ranges also count the row,
     an id that holds much of the table is spread over tasks. An empty table gives empty files.
@@ -160,13 +171,16 @@ def document_index(shards: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for r in batch.to_pylist():
-                ends = EliasFano(r["ef_n"], r["ef_low_bits"], r["ef_low"], r["ef_high"], r["ef_samples"]).values()
+                selected = EliasFano(**r["ends"])
+                ends = np.array([selected.select(i) for i in range(selected.n)], np.int64)
+                named = EliasFano(**r["doc_ids"])
+                ids = [None] * r["no_id"] + [r["first_id"] + named.select(i) for i in range(named.n)]
                 starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
                 raw = np.frombuffer(r["ids"], f"<u{r['width']}").astype("<u4").tobytes()
                 sums = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "doc_id": pa.array(r["doc_ids"], pa.int64()), "start": starts + r["base"],
+                        "doc_id": pa.array(ids, pa.int64()), "start": starts + r["base"],
                         "n_tokens": ends - starts, "ids_crc32": pa.array(sums, pa.int64()),
                     }
                 )

@@ -95,3 +95,12 @@ def test_scan_of_nothing(spark, frame):
     path = shared_dir(spark, "flat")
     token_counts.write_flat(frame([]), path, vocabulary(), 49_408)
     assert token_counts.scan(spark.read.schema(token_counts.BLOCK_SCHEMA).parquet(path), 49_408).count() == 0
+
+
+def test_ids_far_apart_make_shards_of_their_own(spark, tmp_path):
+    ids = [None, None, -(1 << 63), -5, 0, 0, 3, (1 << 62) - 1, 1 << 62, (1 << 63) - 1]
+    docs = spark.createDataFrame([(i, f"text {n}") for n, i in enumerate(ids)], "doc_id long, text string")
+    token_binary.write_token_files(docs, str(tmp_path / "far"), vocabulary(), partitions=1)
+    shards = token_binary.read_token_files(spark, str(tmp_path / "far"))
+    got = token_binary.document_index(shards).orderBy("start").collect()
+    assert [r.doc_id for r in got] == sorted(ids, key=lambda i: (i is not None, i or 0)) and shards.count() >= 3
