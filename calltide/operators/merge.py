@@ -19,7 +19,7 @@ def _apart(keys: Sequence[str]) -> Column:
 
 
 def dedup_latest(
-    df: DataFrame, keys: Sequence[str], latest_by: Sequence[str], null_keys: str = "keep"
+    df: DataFrame, keys: Sequence[str], latest_by: Sequence[str], null_keys: str = "keep", one_pass: bool = True
 ) -> DataFrame:
     """One row per key: the latest by ``latest_by``, ties broken by all other columns.
 
@@ -27,9 +27,11 @@ def dedup_latest(
     inside each input partition before the shuffle: a key that holds a third of
     all rows reaches its reducer as one row per input partition (the rows are
     sorted by key for it on both sides of the shuffle). NULL counts as the
-    smallest value. NULL is not a key: such rows are all kept, each as a group
-    of its own in the same pass, or all dropped with ``null_keys="drop"``.
-    Without ``latest_by`` the other columns alone decide.
+    smallest value. NULL is not a key: such rows are all kept, or all dropped
+    with ``null_keys="drop"``. Each is a group of its own in the same pass;
+    without ``one_pass`` they are looked up apart instead, which is faster on
+    stored files, whose statistics answer that filter, and reads any other
+    ``df`` twice. Without ``latest_by`` the other columns alone decide.
     """
     others = [f for f in df.schema.fields if f.name not in (*keys, *latest_by)]
     unordered = [f.name for f in others if isinstance(f.dataType, _UNORDERED)]
@@ -38,11 +40,12 @@ def dedup_latest(
     newest = [F.max(order).alias("__newest")]
     if unordered:
         newest.append(F.max_by(F.struct(*unordered), order).alias("__with"))
-    if null_keys == "drop":
-        grouped = df.filter(~any_null(keys)).groupBy(*keys).agg(*newest)
-    else:
+    if null_keys == "keep" and one_pass:
         grouped = df.withColumn("__apart", _apart(keys)).groupBy(*keys, "__apart").agg(*newest)
-    return grouped.select(*keys, "__newest.*", *(["__with.*"] if unordered else [])).select(*df.columns)
+    else:
+        grouped = df.filter(~any_null(keys)).groupBy(*keys).agg(*newest)
+    found = grouped.select(*keys, "__newest.*", *(["__with.*"] if unordered else [])).select(*df.columns)
+    return found if null_keys == "drop" or one_pass else found.unionByName(df.filter(any_null(keys)))
 
 
 def _unmatched(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -418,7 +418,7 @@ SELECT l_orderkey, l_shipdate, l_linenumber, l_quantity FROM (
 """)
 def dedup_latest(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate", "l_linenumber", "l_quantity")
-    return merge.dedup_latest(lines, ["l_orderkey"], ["l_shipdate"])
+    return merge.dedup_latest(lines, ["l_orderkey"], ["l_shipdate"], one_pass=False)
 
 
 @query("""

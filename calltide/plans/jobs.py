@@ -195,6 +195,8 @@ def _log_changes(spark: SparkSession, layers: Layers, run: str) -> Callable[[Dat
 
     def log(old: DataFrame | None, new: DataFrame | None) -> None:
         _mark(spark, layers.silver_runs, run, "started")
+        if old is None and not layer_exists(spark, layers.daily):
+            return  # the first load, all of which the first Gold run counts
         sides = [counted(df, sign) for df, sign in ((old, -1), (new, 1)) if df is not None]
         both = sides[0].unionByName(sides[1]) if len(sides) == 2 else sides[0]
         net = both.groupBy("ds", *DAILY_KEYS).agg(F.sum("delta").alias("delta")).filter("delta <> 0")

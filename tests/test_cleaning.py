@@ -158,6 +158,7 @@ def test_dedup_keeps_latest_and_all_null_keys(spark, rows):
     )
     assert rows(merge.dedup_latest(df, ["k"], ["t"])) == [(1, 2, "c"), (2, None, "d"), (None, 9, "e"), (None, 9, "e")]
     assert rows(merge.dedup_latest(df, ["k"], ["t"], null_keys="drop")) == [(1, 2, "c"), (2, None, "d")]
+    assert rows(merge.dedup_latest(df, ["k"], ["t"], one_pass=False)) == rows(merge.dedup_latest(df, ["k"], ["t"]))
 
 
 def test_dedup_carries_columns_without_an_order(spark):
