@@ -54,11 +54,11 @@ def months_to_redo(held: DataFrame, changed: DataFrame, keys: Sequence[str] = DA
     both = own.select(*keys, "month", "n", "tail", no.alias("after")).unionByName(
         changed.select(*keys, "month", F.lit(0).cast("bigint").alias("n"), none, "after")
     )
-    spans = both.groupBy(*keys, "month").agg(F.sum("n").alias("n"), F.max("after").alias("after"), F.first("tail", ignorenulls=True).alias("tail"))
+    spans = both.groupBy(*keys, "month").agg(F.sum("n").alias("n"), F.max("after").alias("after"), F.any_value("tail", F.lit(True)).alias("tail"))
     by_month = Window.partitionBy(*keys).orderBy("month")
     upto = F.sum("n").over(by_month.rowsBetween(Window.unboundedPreceding, 0))
     last = F.last(F.col("upto") - F.col("after"), ignorenulls=True).over(by_month.rowsBetween(Window.unboundedPreceding, -1))
-    ahead = F.first(F.when(F.col("redo"), F.col("upto") - F.col("n")), ignorenulls=True).over(by_month.rowsBetween(1, Window.unboundedFollowing))
+    ahead = F.first_value(F.when(F.col("redo"), F.col("upto") - F.col("n")), F.lit(True)).over(by_month.rowsBetween(1, Window.unboundedFollowing))
     found = (
         spans.withColumn("upto", upto).withColumn("last", last)
         .withColumn("redo", F.col("after").isNotNull() | F.coalesce(F.col("upto") - F.col("n") - F.col("last") < REACH, F.lit(False)))
