@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import functools
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,21 +34,28 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{_run.get() or _base(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def own_scratch(job: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """Give a job a folder for its intermediate tables, deleted when it ends. Its result must read none of them."""
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A folder for what is staged inside the block, deleted at its end, or the one that is open already."""
+    if _run.get():
+        yield
+        return
+    folder = shared_dir(spark, "run")
+    token = _run.set(folder)
+    try:
+        yield
+    finally:
+        _run.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def own_scratch(job: Callable) -> Callable:
+    """Run a job, whose first argument is a session or a DataFrame, inside ``scratch``. Its result must read none of it."""
 
     @functools.wraps(job)
-    def run(first: SparkSession | DataFrame, *args, **kwargs) -> DataFrame:
-        if _run.get():
-            return job(first, *args, **kwargs)
-        spark = first if isinstance(first, SparkSession) else first.sparkSession
-        folder = shared_dir(spark, "run")
-        token = _run.set(folder)
-        try:
+    def run(first: SparkSession | DataFrame, *args, **kwargs):
+        with scratch(first if isinstance(first, SparkSession) else first.sparkSession):
             return job(first, *args, **kwargs)
-        finally:
-            _run.reset(token)
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
     return run

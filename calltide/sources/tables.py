@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from calltide.functions.columns import any_null
 from calltide.operators.merge import dedup_latest, upsert
 from calltide.sources.layers import by_partitions, drop_folders, folders_of, parked
+from calltide.sources.scratch import own_scratch
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+@own_scratch
 def overwrite_table(
     df: DataFrame, name: str, partition_by: Sequence[str] = (), bucket_by: Sequence[str] = (), buckets: int = 0
 ) -> None:
@@ -83,6 +85,7 @@ def merged(target: DataFrame, staged: DataFrame, keys: Sequence[str], touched: D
     return kept[0].unionByName(kept[1]).unionByName(staged, allowMissingColumns=True).select(*target.columns)
 
 
+@own_scratch
 def upsert_table(
     staged: DataFrame,
     name: str,

@@ -170,6 +170,7 @@ def stream_upsert(
     A row without a key enters once: it is left out when an equal row is there.
     """
 
+    @own_scratch
     def apply(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
             upsert_layer(batch, layer, keys, latest_by, partition_by, null_keys="once")
