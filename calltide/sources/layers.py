@@ -299,22 +299,30 @@ def folders_of(target: DataFrame, partitions: DataFrame, columns: Sequence[str])
     return parked(in_partitions(placed, partitions, columns).select("folder").distinct(), "emptied")
 
 
+def files_of(target: DataFrame, partitions: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
+    """Paths of the files of the given partitions, stored. No column is read."""
+    placed = target.select(*columns, F.col("_metadata.file_path").alias("file"))
+    return parked(in_partitions(placed, partitions, columns).select("file").distinct(), label)
+
+
+def drop_left(before: DataFrame, after: DataFrame) -> None:
+    """Delete the folders of files that an overwrite of their partition left, as it can't clear one that receives no row."""
+    left = before.join(after, "file", "left_semi").select(F.regexp_replace("file", "/[^/]*$", "").alias("folder")).distinct()
+    drop_folders(parked(left, "emptied"))
+
+
 def replace_partitions(df: DataFrame, layer: Layer, partitions: DataFrame) -> None:
     """Swap the given partitions of a layer for the rows of ``df``, which has no others; those without rows are cleared.
 
     ``partitions`` has the partition columns. Other partitions keep their
-    files. ``df`` may read the layer itself.
+    files. ``df`` may read the layer itself, and is written once.
     """
     spark = df.sparkSession
-    current = _current(spark, layer)
-    columns = current["partition_by"]
-    rows = parked(df, "partitions")
-    arriving = rows.select(*columns).distinct()
-    same = all_of([partitions[c].eqNullSafe(arriving[c]) for c in columns])
-    cleared = parked(partitions.select(*columns).distinct().join(arriving, same, "left_anti").withColumn("kind", F.lit("emptied")), "cleared")
-    folders = folders_of(read_layer(spark, layer), cleared.filter("kind = 'emptied'"), columns)
-    overwrite_layer(rows, layer, only_present=True)
-    drop_folders(folders)
+    columns = _current(spark, layer)["partition_by"]
+    touched = parked(partitions.select(*columns).distinct().withColumn("kind", F.lit("touched")), "touched").filter("kind = 'touched'")
+    before = files_of(read_layer(spark, layer), touched, columns, "before")
+    overwrite_layer(df, layer, only_present=True)
+    drop_left(before, files_of(read_layer(spark, layer), touched, columns, "after"))
 
 
 def delete_keys(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from calltide.functions.columns import any_null
 from calltide.operators.merge import dedup_latest, upsert
-from calltide.sources.layers import by_partitions, drop_folders, folders_of, parked
+from calltide.sources.layers import by_partitions, drop_left, files_of, parked
 from calltide.sources.scratch import own_scratch
 
 
@@ -119,18 +119,15 @@ def upsert_table(
     arriving = fresh.select(*columns).distinct()
     touched = parked(homes(target, fresh, keys, columns).unionByName(arriving).distinct().withColumn("kind", F.lit("touched")), "touched")
     touched = touched.filter("kind = 'touched'").select(*columns)
-    rows = parked(merged(target, fresh, keys, touched, columns), "rows")
-    left = rows.select(*columns).distinct()
-    gone = touched.join(left, [touched[c].eqNullSafe(left[c]) for c in columns], "left_anti").withColumn("kind", F.lit("emptied"))
-    emptied = folders_of(target, parked(gone, "gone").filter("kind = 'emptied'"), columns)
+    before = files_of(target, touched, columns, "before")
     setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
+    mode = spark.conf.get(setting)
     spark.conf.set(setting, "dynamic")
     try:
-        rows.write.insertInto(name, overwrite=True)
+        merged(target, fresh, keys, touched, columns).write.insertInto(name, overwrite=True)
     finally:
-        spark.conf.set(setting, before)
-    if not emptied.isEmpty():
-        drop_folders(emptied)
-        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+        spark.conf.set(setting, mode)
+    spark.catalog.refreshTable(name)
+    drop_left(before, files_of(spark.table(name), touched, columns, "after"))
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.catalog.refreshTable(name)
