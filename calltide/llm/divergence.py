@@ -211,11 +211,12 @@ def _merged_runs(runs: DataFrame, shards: int, final: bool, groups: int = 1, min
                 yield from _rows(np.full(len(part), shard), group, langs, terms, ends, sources, counts, docs)
 
     def frequencies(batches):
-        out: tuple[list, ...] = ([], [], [], [], [])
-        kinds = [pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64()]
+        out: tuple[list, ...] = ([], [], [], [], [], [], [])
+        kinds = [pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_()]
+        names = ["shard", "lang", "term", "source", "count", "all", "first"]
 
         def flush():
-            made = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["shard", "lang", "term", "source", "count"])
+            made = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
             for column in out:
                 column.clear()
             return made
@@ -223,7 +224,9 @@ def _merged_runs(runs: DataFrame, shards: int, final: bool, groups: int = 1, min
         for (shard, _), rows in _by_key(batches, 2):
             for (lang, term), sources, counts, docs in merged(r[4:] for r in rows):
                 if sum(docs) >= min_docs:
-                    for column, values in zip(out, ([shard] * len(sources), [lang] * len(sources), [term] * len(sources), sources, counts)):
+                    k = len(sources)
+                    row = ([shard] * k, [lang] * k, [term] * k, sources, counts, [sum(counts)] * k, [True] + [False] * (k - 1))
+                    for column, values in zip(out, row):
                         column.extend(values)
                     if len(out[0]) >= 10_000:
                         yield flush()
@@ -234,13 +237,15 @@ def _merged_runs(runs: DataFrame, shards: int, final: bool, groups: int = 1, min
         runs.withColumn("run", group).repartition(shards, "shard", "run").sortWithinPartitions("shard", "run", "lang", "term")
     )
     if final:
-        return dealt.mapInArrow(frequencies, "shard int, lang string, term string, source string, count long")
+        return dealt.mapInArrow(frequencies, "shard int, lang string, term string, source string, count long, all long, first boolean")
     return dealt.mapInArrow(longer, _RUN)
 
 
 def term_frequencies(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """Stage ``shard, lang, term, source, count`` for the terms in at least ``min_docs`` documents of their language.
 
+    ``all`` is the count in the language, and ``first`` holds for one row of each term.
+
     ``docs`` has ``text``, ``lang`` and ``source`` without NULLs.
     """
     shards = tasks(docs)
@@ -343,8 +348,7 @@ def divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     rows = docs.select(text(text_col).alias("text"), text(lang_col).alias("lang"), text(source_col).alias("source"))
     kept = term_frequencies(rows, min_docs)
     size = kept.groupBy("lang", "source").agg(F.sum("count").alias("n"))
-    words = kept.groupBy("lang", "term").agg(F.sum("count").alias("n"))
-    langs = words.groupBy("lang").agg(F.count("*").alias("v"), F.sum("n").alias("lang_n"))
+    langs = kept.groupBy("lang").agg(F.count_if("first").alias("v"), F.sum("count").alias("lang_n"))
     v = F.coalesce("v", F.lit(0))
     groups = staged(
         rows.select("lang", "source").distinct().join(size, ["lang", "source"], "left").join(langs, "lang", "left").select(
@@ -368,9 +372,8 @@ def divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     pairs = base.unionByName(alone).unionByName(swapped).unionByName(both).unionByName(turned).groupBy("lang", "source", "item").agg(F.sum("part").alias("value"))
     pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", "value")
 
-    whole = words.select("lang", "term", F.col("n").alias("all"))
     terms = (
-        shares.join(whole, ["lang", "term"]).withColumn("q", _share("`all`", "lang_total")).where("p > q")
+        shares.withColumn("q", _share("`all`", "lang_total")).where("p > q")
         .select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), _value("p", "q").alias("value"))
     )
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
