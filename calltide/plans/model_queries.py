@@ -134,7 +134,7 @@ def tune(spark, sf_dir):
     fitted = regression.fit_trials(cut.filter("ds <= cutoff"), PAIR, settings)
     ahead = regression.predict_regression(fitted, [*PAIR, "trial"], 400, include_history=False)
     again = ahead.join(cut.filter("ds > cutoff"), [*PAIR, "ds"]).groupBy(*PAIR, "trial").agg(F.avg(ape()).alias("again"))
-    off = F.round((F.col("mape") - F.col("again")) / F.col("again"), 6) + F.lit(0.0)
+    off = F.round(F.col("mape") - F.col("again"), 6)
     return trials.join(again, [*PAIR, "trial"], "left").select(
         *PAIR, "trial", F.col("params")["seasonality_mode"].alias("seasonality_mode"), F.coalesce(F.col("mape").between(0, 10), F.lit(False)).alias("scored"), F.abs(off).alias("off")
     )
