@@ -42,6 +42,7 @@ from calltide.sources.layers import (
     delete_keys,
     in_partitions,
     layer_exists,
+    layer_partitions,
     overwrite_layer,
     parked,
     read_layer,
@@ -174,6 +175,9 @@ def _replace_rejects(own: DataFrame, loads: DataFrame, layers: Layers) -> None:
     if not layer_exists(spark, layers.rejects):
         overwrite_layer(rejected, layers.rejects, ["ingestion_date"])
         return
+    if layer_partitions(spark, layers.rejects) != ["ingestion_date"]:  # written by an earlier version
+        stored = read_layer(spark, layers.rejects)
+        overwrite_layer(stored.select("raw", "reason", *parts(stored)), layers.rejects, ["ingestion_date"])
     wanted = parked(loads.select(*parts(loads)).distinct().withColumn("kind", F.lit("reread")), "reread").filter("kind = 'reread'")
     dates = wanted.select("ingestion_date").distinct()
     named = wanted.select(*[F.col(c).alias(f"__{c}") for c in columns])

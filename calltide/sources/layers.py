@@ -114,6 +114,11 @@ def append_only_layer(spark: SparkSession, layer: Layer) -> bool:
     return current is not None and current["partition_by"] == ["ingestion_date"]
 
 
+def layer_partitions(spark: SparkSession, layer: Layer) -> list[str]:
+    """Columns the layer is partitioned by."""
+    return _current(spark, layer)["partition_by"]
+
+
 def layer_exists(spark: SparkSession, layer: Layer) -> bool:
     return bool(_commit_numbers(spark, layer))
 

@@ -183,3 +183,10 @@ def test_rejects_of_other_loads_stay(spark, where):
         silver = jobs.silver_job(spark, where, "2021-01-04", **how)
         assert len(stored()) == 3
         assert [r.status for r in silver.collect()] == ["c"]
+
+
+def test_rejects_of_an_earlier_layout_are_carried_over(spark, where):
+    old = spark.createDataFrame([("{}", "unreadable key", date(2020, 1, 1))], "raw string, reason string, ingestion_date date")
+    layers.overwrite_layer(old, where.rejects)
+    load(spark, where, [request("x1", "a"), request(2, "a")], "2021-01-01")
+    assert {r[1] for r in rows_of(spark, where.rejects, ["raw", "ingestion_date"])} == {date(2020, 1, 1), date(2021, 1, 1)}
