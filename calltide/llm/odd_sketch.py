@@ -324,6 +324,19 @@ def _linked(similarity: float) -> Callable:
     return solve
 
 
+def forest(links: DataFrame) -> DataFrame:
+    """Components ``node, component`` of links ``a, b`` with b below a and each a at most once, by doubling the steps to the root."""
+    now = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    while True:
+        up = now.select(F.col("node").alias("at"), F.col("component").alias("further"))
+        next_ = now.join(up.hint("merge"), F.col("component") == F.col("at"), "left")
+        next_ = staged(next_.select("node", F.coalesce("further", "component").alias("component"), F.col("further").isNotNull().alias("moved")), "roots")
+        now = next_.drop("moved")
+        if next_.where("moved").isEmpty():
+            break
+    return now.unionByName(now.select(F.col("component").alias("node"), "component").distinct())
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY
 ) -> DataFrame:
@@ -362,9 +375,11 @@ def near_duplicates(
 
     met = staged(entries.where("row <> center").select(F.col("row").alias("a"), F.col("center").alias("b")).distinct(), "met")
     chosen = _near(met, signed, similarity).groupBy("a").agg(F.min(F.struct("ones", "b")).alias("x")).select("a", "x.b")
-    comps = staged(components(_confirmed(chosen, sets, similarity)), "components")
+    comps = staged(forest(_confirmed(chosen, sets, similarity)), "components")  # a band's first text has the smallest row number
 
     def joined(links: DataFrame) -> DataFrame:
+        if links.isEmpty():
+            return comps
         known = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
         return staged(components(known.unionByName(links)), "components")
 

@@ -107,3 +107,15 @@ def test_limit_of_ones_bounds_misses():
         flips = np.bincount(rng.integers(0, od.BITS, 2 * rng.binomial(od.SAMPLES, 0.2)), minlength=od.BITS)
         over += (flips & 1).sum() > limit
     assert 40 < over < 125
+
+
+def test_roots_of_a_forest(spark):
+    rng = random.Random(4)
+    links = [(i, rng.randrange(max(0, i - 3), i)) for i in range(1, 60) if i % 13] + [(100 + i, 99 + i) for i in range(1, 40)]
+    root = {}
+    for a, b in links:
+        root.setdefault(b, b)
+        root[a] = root[b]
+    got = od.forest(spark.createDataFrame(links, "a long, b long")).collect()
+    assert {r.node: r.component for r in got} == root and len(got) == len(root)
+    assert od.forest(spark.createDataFrame([], "a long, b long")).count() == 0
