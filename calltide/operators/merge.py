@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from calltide.functions.columns import any_null
 
 _UNORDERED = (T.MapType, T.VariantType)
+FEW_KEYS = 200_000  # that Spark may send to every task
 
 
 def _apart(keys: Sequence[str]) -> Column:
@@ -48,7 +49,16 @@ def dedup_latest(
     return found if null_keys == "drop" or one_pass else found.unionByName(df.filter(any_null(keys)))
 
 
-def _unmatched(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+def sized(keys: DataFrame, n: int) -> DataFrame:
+    """The ``n`` keys to join a large table with, to be shuffled when they are more than a few.
+
+    Spark takes stored keys for as small as their share of the files, and would
+    send millions of well compressed ones through the driver to every task.
+    """
+    return keys.hint("merge") if n > FEW_KEYS else keys
+
+
+def _unmatched(target: DataFrame, staged: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     """Target rows whose key is not staged, in one pass over the target.
 
     NULL keys never match; a number of their own joins the key, so that those
@@ -58,7 +68,7 @@ def _unmatched(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> Dat
     whole = (F.pmod(F.hash(*keys), F.lit(1)) - 1).cast("bigint")
     staged_keys = staged.filter(~any_null(keys)).select(*keys, whole.alias("__apart"))
     apart = target.withColumn("__apart", F.coalesce(_apart(keys), F.lit(-1).cast("bigint")))
-    return apart.join(staged_keys, [*keys, "__apart"], "left_anti").select(*target.columns)
+    return apart.join(sized(staged_keys, n), [*keys, "__apart"], "left_anti").select(*target.columns)
 
 
 def _comparable(value: Column, kind: T.DataType) -> Column:
@@ -108,6 +118,7 @@ def upsert(
     keys: Sequence[str],
     latest_by: Sequence[str] | None = None,
     null_keys: str = "insert",
+    n: int = 0,
 ) -> DataFrame:
     """Staged rows replace target rows of the same key; other staged rows are inserted.
 
@@ -115,11 +126,11 @@ def upsert(
     the old rows. Give ``latest_by`` when one batch may hold a key twice. Rows
     with a NULL key are inserted each time, as in SQL; with ``null_keys="once"``
     only those that the target does not hold already, so that a batch can be
-    replayed.
+    replayed. ``n`` is the number of staged rows where it is known.
     """
     lacking = [c for c in target.columns if c not in staged.columns]
     if lacking:
         raise ValueError(f"staged rows lack target columns: {lacking}")
     fresh = dedup_latest(staged, keys, latest_by) if latest_by is not None else staged
     arriving = _new_rows(target, fresh, keys) if null_keys == "once" else fresh
-    return _unmatched(target, fresh, keys).unionByName(arriving, allowMissingColumns=True)
+    return _unmatched(target, fresh, keys, n).unionByName(arriving, allowMissingColumns=True)

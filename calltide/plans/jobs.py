@@ -19,7 +19,7 @@ from calltide.operators.anomaly import actual_vs_forecast, breach_streak, flag_b
 from calltide.operators.conform import CORE_TYPES, conform, enrich_lookup, missing_columns, to_silver
 from calltide.operators.evaluate import calibrated_band, mape_tail, rolling_origin_forecasts
 from calltide.operators.forecast import forecast_trend_seasonal, require_rows
-from calltide.operators.merge import dedup_latest
+from calltide.operators.merge import dedup_latest, sized
 from calltide.operators.models import apply_promotions, promote_if_better, register_runs, set_stage
 from calltide.operators.origins import origin_forecasts
 from calltide.operators.quality import SILVER_RULES, Rule, enforce_report, missing_notes, quality_report
@@ -153,7 +153,7 @@ def _bronze_slice(
     if not append_only_layer(spark, layers.bronze) or "unique_key" not in bronze.columns:
         return own, own, wanted
     keys = own.select(F.col("unique_key").alias("__key")).distinct()
-    rows = bronze.join(keys, F.col("unique_key") == F.col("__key"), "left_semi")
+    rows = bronze.join(sized(keys, own.count()), F.col("unique_key") == F.col("__key"), "left_semi")
     return own, rows.unionByName(own.filter(F.col("unique_key").isNull())), wanted
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from calltide.functions.columns import all_of, any_null
-from calltide.operators.merge import dedup_latest, upsert
+from calltide.operators.merge import dedup_latest, sized, upsert
 from calltide.sources.scratch import shared_dir
 from calltide.sources.slices import preview
 
@@ -204,7 +204,7 @@ def by_partitions(df: DataFrame, partitions: DataFrame, columns: Sequence[str])
 
 
 def _touched_partitions(
-    target: DataFrame, staged: DataFrame, keys: Sequence[str], partition_by: Sequence[str]
+    target: DataFrame, staged: DataFrame, keys: Sequence[str], partition_by: Sequence[str], n: int
 ) -> DataFrame:
     """Partitions an upsert changes, with ``kind``: rewritten, or emptied when all their rows leave.
 
@@ -218,7 +218,7 @@ def _touched_partitions(
     low, high = [staged_keys.agg(*[f(k).alias(k) for k in keys]) for f in (F.min, F.max)]
     in_range = all_of([F.col(k).between(low.select(k).scalar(), high.select(k).scalar()) for k in keys])
     held = target.select(*dict.fromkeys([*partition_by, *keys])).filter(in_range)
-    giving = held.join(staged_keys, list(keys), "left_semi").groupBy(*partition_by).agg(F.count(F.lit(1)).alias("moved"))
+    giving = held.join(sized(staged_keys, n), list(keys), "left_semi").groupBy(*partition_by).agg(F.count(F.lit(1)).alias("moved"))
     elsewhere = all_of([giving[c].eqNullSafe(arriving[c]) for c in partition_by])
     moved = parked(giving.join(arriving, elsewhere, "left_anti"), "moved")
     sizes = in_partitions(target.select(*partition_by), moved, partition_by).groupBy(*partition_by).count()
@@ -276,26 +276,26 @@ def upsert_layer(
         if changes:
             changes(None, fresh)
         overwrite_layer(fresh, layer, partition_by)
-    elif not fresh.isEmpty():
+    elif n := fresh.count():  # from the files' footers
         _widen(spark, layer, current, fresh.schema)
         target, columns = read_layer(spark, layer), current["partition_by"]
         if in_place and columns and set(fresh.columns) == set(target.columns):
-            touched = _touched_partitions(target, fresh, keys, columns)
+            touched = _touched_partitions(target, fresh, keys, columns, n)
             if changes:
-                changes(_held(in_partitions(target, touched, columns), fresh, keys), fresh)
+                changes(_held(in_partitions(target, touched, columns), fresh, keys, n), fresh)
             rewritten = in_partitions(target, touched.filter("kind = 'rewritten'"), columns)
             emptied = folders_of(target, touched.filter("kind = 'emptied'"), columns)
-            overwrite_layer(upsert(rewritten, fresh, keys, null_keys=null_keys), layer, only_present=True)
+            overwrite_layer(upsert(rewritten, fresh, keys, null_keys=null_keys, n=n), layer, only_present=True)
             drop_folders(emptied)
         else:
             if changes:
-                changes(_held(target, fresh, keys), fresh)
-            overwrite_layer(upsert(target, fresh, keys, null_keys=null_keys), layer, columns)
+                changes(_held(target, fresh, keys, n), fresh)
+            overwrite_layer(upsert(target, fresh, keys, null_keys=null_keys, n=n), layer, columns)
 
 
-def _held(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows whose key is staged."""
-    return target.join(staged.select(*keys).distinct(), list(keys), "left_semi")
+def _held(target: DataFrame, staged: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """Target rows whose key is one of the ``n`` staged ones."""
+    return target.join(sized(staged.select(*keys).distinct(), n), list(keys), "left_semi")
 
 
 def folders_of(target: DataFrame, partitions: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -342,10 +342,12 @@ def delete_keys(
     """
     spark = gone.sparkSession
     named = parked(gone.select(*keys).filter(~any_null(keys)).distinct(), "gone")
+    n = named.count()
+    named = sized(named, n)
     current = _current(spark, layer)
     target, columns = read_layer(spark, layer), current["partition_by"]
     if changes:
-        changes(_held(target, named, keys), None)
+        changes(_held(target, named, keys, n), None)
     if not columns:
         overwrite_layer(target.join(named, list(keys), "left_anti").select(*target.columns), layer)
         return
@@ -394,7 +396,7 @@ def write_bronze(
         df = parked(df, "arrived")
         low = df.agg(F.min("ingestion_date").alias("low")).select("low").scalar()
         stored = read_layer(spark, layer).select(F.col(key).alias("__key"), F.col("ingestion_date").alias("__date")).filter(F.col("__date") > low)
-        df = df.join(stored, (F.col(key) == F.col("__key")) & (F.col("__date") > F.col("ingestion_date")), "left_anti")
+        df = df.join(sized(stored, stored.count()), (F.col(key) == F.col("__key")) & (F.col("__date") > F.col("ingestion_date")), "left_anti")
     upsert_layer(df, layer, [key], [c for c in latest_by if c in df.columns], months, in_place, check, "once")
 
 

@@ -260,3 +260,17 @@ def test_catalog_tables(spark):
     tables.upsert_table(spark.createDataFrame([(1, "b", None), (3, "c", None)], "k int, v string, w string"), name, ["k"], ["v"])
     assert sorted((r.k, r.v) for r in spark.table(name).collect()) == [(1, "b"), (2, None), (3, "c")]
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_many_stored_keys_are_not_sent_through_the_driver(spark, layer):
+    """Their files are far smaller than a broadcast of them, which this setting bounds."""
+    rows = lambda t: spark.range(400_000).select(F.col("id").cast("int").alias("k"), F.lit(t).alias("t"), F.lit("v" * 40).alias("v"), (F.col("id") % 2).cast("int").alias("p"))
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "8m")
+    try:
+        for t in (1, 2):
+            layers.upsert_layer(rows(t), layer, ["k"], [], ["p"], changes=lambda old, new: old and old.count())
+        assert layers.read_layer(spark, layer).groupBy("t").count().collect() == [(2, 400_000)]
+        layers.delete_keys(rows(2).filter("k > 9"), layer, ["k"])
+        assert sorted(r.k for r in layers.read_layer(spark, layer).collect()) == list(range(10))
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
