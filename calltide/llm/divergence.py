@@ -2,7 +2,7 @@
 
 Single-pass in-memory indexing: a task counts the terms of its documents per language and source until a bounded number of
 postings is held, then spills them as a run sorted by term, cut by the hash shard of the term. The runs of a shard are merged
-with a heap of the runs' heads into frequencies; with very many runs, groups of them are merged into longer runs first, so a
+with a heap of the runs' heads into frequencies, many terms at a time; with very many runs, groups of them are merged into longer runs first, so a
 merge holds the heads of a bounded number of runs. The divergence of two sources is a sum over all terms of the language: the
 value both have without a term, plus corrections of the terms that one of them has, which depend on a count only and are
 summed by count, plus corrections of the terms both have, which are added up while the merged terms stream by.
@@ -11,42 +11,54 @@ summed by count, plus corrections of the terms both have, which are added up whi
 from __future__ import annotations
 
 import heapq
-import itertools
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from calltide.llm.common import lower_ascii, staged, tasks, text_chunks
+from calltide.llm.common import staged, tasks, text_chunks
 
-TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
+TERM = re.compile(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
+_LETTERS = bytes(c if c > 127 else ord(chr(c).lower()) if chr(c).isalpha() else 32 for c in range(256))  # all others are blanks
 MIN_DOCS, TOP = 10, 10
 UNIT = 1_000_000_000
 POSTINGS = 2_000_000  # terms of documents that a task holds before it spills a run
 WORDS = 500_000  # different terms it holds
 SEGMENT = 1_000  # terms of a run in a row
 RUNS = 256  # merged at once
-SLICE = 1_000_000  # characters of a text searched at once
+MERGED = 50_000  # terms of runs merged at once, at least
+SLICE = 1_000_000  # bytes of a text searched at once
 SUMS = 500_000  # pair sums a task holds
 _RUN = "shard int, run long, lang string, term string, langs array<string>, terms array<string>, ends array<long>, sources array<string>, counts array<long>, docs array<long>"
 _NAMES = ["shard", "run", "lang", "term", "langs", "terms", "ends", "sources", "counts", "docs"]
 
 
-def terms_of(text: str) -> Iterator[list[str]]:
-    """Runs of letters and of characters beyond ASCII, with A to Z in lower case, by slices of the text."""
-    at = 0
-    while at < len(text):
+def terms_of(text: str) -> Iterator[list[bytes]]:
+    """Runs of letters and of characters beyond ASCII, with A to Z in lower case, as UTF-8, by slices of the text."""
+    raw, at = text.encode(), 0
+    while at < len(raw):
         end = at + SLICE
-        if rest := TERM.match(text, end):  # cut between terms
+        if rest := TERM.match(raw, end):  # cut between terms
             end = rest.end()
-        yield TERM.findall(lower_ascii(text[at:end]))
+        yield raw[at:end].translate(_LETTERS).split()
         at = end
 
 
+def _ranked(values: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The different values in order of their bytes, and each value's place among them."""
+    coded = values.dictionary_encode()
+    order = pc.sort_indices(coded.dictionary).to_numpy()
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return coded.dictionary.take(pa.array(order)), rank[coded.indices.to_numpy()]
+
+
 class _Numbers(dict):
     """Numbers things in the order in which they are asked for."""
 
@@ -82,23 +94,18 @@ class _Block:
         first = np.flatnonzero(np.diff(keys, prepend=-1))
         counts, docs = np.add.reduceat(np.concatenate(self.counts)[order], first), np.diff(np.append(first, len(keys)))
         group, word = keys[first] >> 32, keys[first] & 0xFFFFFFFF
-        words, langs, sources = list(self.words), [g[0] for g in self.groups], [g[1] for g in self.groups]
-
-        def ranks(values: list[str]) -> np.ndarray:
-            order = {v: i for i, v in enumerate(sorted(set(values)))}
-            return np.array([order[v] for v in values])
-
-        lang = ranks(langs)[group]
-        names = sorted(set(langs))
-        pairs, at = np.unique(lang << 32 | word, return_inverse=True)
-        shard = np.array([xxhash.xxh64_intdigest(f"{names[x >> 32]}\0{words[x & 0xFFFFFFFF]}") % shards for x in pairs.tolist()])
-        order = np.lexsort((ranks(sources)[group], ranks(words)[word], lang, shard[at]))
+        words, of_word = _ranked(pa.array(list(self.words), pa.binary()).cast(pa.string()))
+        langs, of_lang = _ranked(pa.array([g[0] for g in self.groups], pa.string()))
+        sources, of_source = _ranked(pa.array([g[1] for g in self.groups], pa.string()))
+        pairs, at = np.unique(of_lang[group] << 32 | of_word[word], return_inverse=True)
+        raw, names = words.cast(pa.binary()).to_pylist(), [n.encode() + b"\0" for n in langs.to_pylist()]
+        shard = np.array([xxhash.xxh64_intdigest(names[x >> 32] + raw[x & 0xFFFFFFFF]) % shards for x in pairs.tolist()])
+        order = np.lexsort((of_source[group], at, shard[at]))
         ends = np.flatnonzero(np.append(np.diff(at[order]) != 0, True)) + 1
         own = at[order][ends - 1]
         yield from _rows(
-            shard[own], number, pa.array(names, pa.string()).take(pa.array(pairs[own] >> 32)),
-            pa.array(words, pa.string()).take(pa.array(pairs[own] & 0xFFFFFFFF)), ends,
-            pa.array(sources, pa.string()).take(pa.array(group[order])), pa.array(counts[order]), pa.array(docs[order]),
+            shard[own], number, langs.take(pa.array(pairs[own] >> 32)), words.take(pa.array(pairs[own] & 0xFFFFFFFF)), ends,
+            sources.take(pa.array(of_source[group[order]])), pa.array(counts[order]), pa.array(docs[order]),
         )
 
 
@@ -135,65 +142,101 @@ def _spilled(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.Reco
     yield from block.run(shards, (task << 24) + number)
 
 
-def merged(segments: Iterator[tuple[list, ...]]) -> Iterator[tuple[tuple[str, str], list, list, list]]:
-    """``(lang, term), sources, counts, docs`` of many runs, in order and added up.
+class _Piece:
+    """What is left of a segment: ``langs, terms`` and for each term its ``sources, counts, docs``."""
+
+    def __init__(self, langs: pa.Array, terms: pa.Array, ends: np.ndarray, sources: pa.Array, counts: np.ndarray, docs: np.ndarray):
+        self.langs, self.terms, self.sources, self.counts, self.docs = langs, terms, sources, counts, docs
+        self.starts, self.at = np.append(0, ends), 0
+
+    def __len__(self) -> int:
+        return len(self.terms)
+
+    def __getitem__(self, i: int) -> tuple[str, str]:
+        return self.langs[i].as_py(), self.terms[i].as_py()
+
+    def upto(self, end: int) -> tuple:
+        """The terms up to ``end`` that were not taken yet."""
+        at, self.at = self.at, end
+        cut = slice(self.starts[at], self.starts[end])
+        return self.langs[at:end], self.terms[at:end], np.diff(self.starts[at : end + 1]), self.sources[cut], self.counts[cut], self.docs[cut]
+
+
+def _summed(parts: list[tuple]) -> tuple[pa.Array, pa.Array, np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+    """``langs, terms, ends, sources, counts, docs`` of parts of runs, in order and added up."""
+    langs, terms, sizes, sources, counts, docs = zip(*parts)
+    (lang_names, lang), (names, term), (source_names, source) = [_ranked(pa.concat_arrays(c)) for c in (langs, terms, sources)]
+    pairs, at = np.unique(lang * len(names) + term, return_inverse=True)
+    keys = np.repeat(at, np.concatenate(sizes)) * len(source_names) + source
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    own, source = np.divmod(keys[first], len(source_names))
+    ends = np.flatnonzero(np.append(np.diff(own) != 0, True)) + 1
+    counts, docs = (np.add.reduceat(np.concatenate(c)[order], first) for c in (counts, docs))
+    return lang_names.take(pa.array(pairs // len(names))), names.take(pa.array(pairs % len(names))), ends, source_names.take(pa.array(source)), counts, docs
 
-    A heap holds the next term of each open segment. Segments come sorted by their first term; one is opened when the merge has
-    reached its first term, so that only those that overlap are held.
+
+def merged_blocks(segments: Iterator[tuple]) -> Iterator[tuple]:
+    """``langs, terms, ends, sources, counts, docs`` of many runs, in order and added up, whole terms at a time.
+
+    A heap holds the next term of each open segment. Segments come sorted by their first term, so all terms before that of the
+    newest one are complete. They are taken off the heap together once twice as many terms are held as were left the last time.
     """
     heap: list[tuple] = []
+    held, limit = 0, MERGED
+
+    def before(key: tuple[str, str] | None) -> Iterator[tuple]:
+        """The terms before ``key``, which leave the heap; all terms for None."""
+        while heap and (key is None or heap[0][0] < key):
+            _, number, piece = heap[0]
+            end = len(piece) if key is None else bisect_left(piece, key, piece.at)
+            yield piece.upto(end)
+            if end < len(piece):
+                heapq.heapreplace(heap, (piece[end], number, piece))
+            else:
+                heapq.heappop(heap)
+
+    for number, segment in enumerate(segments):
+        piece = _Piece(*segment)
+        if held >= limit and (parts := list(before(piece[0]))):
+            held -= sum(len(p[0]) for p in parts)
+            limit = MERGED + 2 * held
+            yield _summed(parts)
+        heapq.heappush(heap, (piece[0], number, piece))
+        held += len(piece)
+    if parts := list(before(None)):
+        yield _summed(parts)
 
-    def take() -> tuple[list, list, list]:
-        """The values of the first term on the heap, which moves on."""
-        key, number, at, keys, ends, values = heap[0]
-        if at + 1 < len(keys):
-            heapq.heapreplace(heap, (keys[at + 1], number, at + 1, keys, ends, values))
-        else:
-            heapq.heappop(heap)
-        cut = slice(ends[at - 1] if at else 0, ends[at])
-        return values[0][cut], values[1][cut], values[2][cut]
-
-    def step() -> tuple:
-        key = heap[0][0]
-        found = take()
-        if not heap or heap[0][0] != key:
-            return key, *found
-        total: dict[str, list[int]] = {}
-        while True:
-            for source, n, d in zip(*found):
-                if held := total.get(source):
-                    held[0] += n
-                    held[1] += d
-                else:
-                    total[source] = [n, d]
-            if not heap or heap[0][0] != key:
-                break
-            found = take()
-        own = sorted(total)
-        return key, own, [total[s][0] for s in own], [total[s][1] for s in own]
-
-    for number, (langs, terms, ends, *values) in enumerate(segments):
-        keys = list(zip(langs, terms))
-        while heap and heap[0][0] < keys[0]:
-            yield step()
-        heapq.heappush(heap, (keys[0], number, 0, keys, ends, values))
-    while heap:
-        yield step()
-
-
-def _by_key(batches: Iterator[pa.RecordBatch], keys: int):
-    """``key, rows`` for each run of equal values of the first ``keys`` columns; the rows must be read before the next key."""
-    rows = (r for b in batches for at in range(0, b.num_rows, 20) for r in zip(*(c.to_pylist() for c in b.slice(at, 20).columns)))
+
+def merged(segments: Iterator[tuple[list, ...]]) -> Iterator[tuple[tuple[str, str], list, list, list]]:
+    """``(lang, term), sources, counts, docs`` of many runs given as lists, a term at a time."""
+    kinds = (pa.string(), pa.string(), None, pa.string(), None, None)
+    for langs, terms, ends, *values in merged_blocks([np.array(c, np.int64) if k is None else pa.array(c, k) for c, k in zip(s, kinds)] for s in segments):
+        starts = np.append(0, ends)
+        for i, key in enumerate(zip(langs.to_pylist(), terms.to_pylist())):
+            yield key, *(c[starts[i] : starts[i + 1]].tolist() for c in values)
+
+
+def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], Iterator[tuple]]]:
+    """``(shard, run), segments`` for each run of equal ones; the segments must be read before the next key."""
+
+    def segment(b: pa.RecordBatch, i: int) -> tuple:
+        own = [b.column(c)[i].values for c in range(4, 10)]
+        # copies, so that a batch isn't held for the sake of some of its segments
+        return tuple(np.array(c) if pa.types.is_integer(c.type) else c.take(pa.array(np.arange(len(c)))) for c in own)
+
+    rows = ((tuple(b.column(c)[i].as_py() for c in (0, 1)), segment(b, i)) for b in batches for i in range(b.num_rows))
     row = next(rows, None)
 
     def own(key):
         nonlocal row
-        while row is not None and row[:keys] == key:
-            yield row
+        while row is not None and row[0] == key:
+            yield row[1]
             row = next(rows, None)
 
     while row is not None:
-        key = row[:keys]
+        key = row[0]
         yield key, own(key)
 
 
@@ -201,36 +244,29 @@ def _merged_runs(runs: DataFrame, shards: int, final: bool, groups: int = 1, min
     """Merge the runs of each shard: into ``groups`` longer runs, or (``final``) into frequencies of kept terms."""
 
     def longer(batches):
-        for (shard, group), rows in _by_key(batches, 2):
-            found = merged(r[4:] for r in rows)
-            while part := list(itertools.islice(found, 10 * SEGMENT)):
-                keys, *values = zip(*part)
-                ends = np.cumsum([len(v) for v in values[0]])
-                langs, terms = (pa.array(c, pa.string()) for c in zip(*keys))
-                sources, counts, docs = (pa.array(list(itertools.chain.from_iterable(v))) for v in values)
-                yield from _rows(np.full(len(part), shard), group, langs, terms, ends, sources, counts, docs)
+        for (shard, group), segments in _by_key(batches):
+            for langs, terms, ends, sources, counts, docs in merged_blocks(segments):
+                yield from _rows(np.full(len(terms), shard), group, langs, terms, ends, sources, pa.array(counts), pa.array(docs))
 
     def frequencies(batches):
-        out: tuple[list, ...] = ([], [], [], [], [], [], [])
-        kinds = [pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_()]
         names = ["shard", "lang", "term", "source", "count", "all", "first"]
-
-        def flush():
-            made = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
-            for column in out:
-                column.clear()
-            return made
-
-        for (shard, _), rows in _by_key(batches, 2):
-            for (lang, term), sources, counts, docs in merged(r[4:] for r in rows):
-                if sum(docs) >= min_docs:
-                    k = len(sources)
-                    row = ([shard] * k, [lang] * k, [term] * k, sources, counts, [sum(counts)] * k, [True] + [False] * (k - 1))
-                    for column, values in zip(out, row):
-                        column.extend(values)
-                    if len(out[0]) >= 10_000:
-                        yield flush()
-        yield flush()
+        for (shard, _), segments in _by_key(batches):
+            for langs, terms, ends, sources, counts, docs in merged_blocks(segments):
+                starts = np.append(0, ends[:-1])
+                sizes = ends - starts
+                at = np.repeat(np.arange(len(terms)), sizes)  # the term of each row
+                first = np.zeros(len(at), bool)
+                first[starts] = True
+                rows = np.flatnonzero(np.repeat(np.add.reduceat(docs, starts) >= min_docs, sizes))
+                total, of = np.add.reduceat(counts, starts), pa.array(at[rows])
+                made = pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(rows), shard, np.int32)), langs.take(of), terms.take(of), sources.take(pa.array(rows)),
+                        pa.array(counts[rows]), pa.array(total[at[rows]]), pa.array(first[rows]),
+                    ],
+                    names=names,
+                )
+                yield from (made.slice(i, 10_000) for i in range(0, len(rows), 10_000))
 
     group = F.lit(0).cast("long") if final else F.pmod(F.xxhash64("run"), F.lit(groups)).cast("long")
     dealt = (

@@ -86,3 +86,28 @@ def test_sums_handed_on_early_add_up(frame, monkeypatch):
         assert sorted(map(tuple, dv.divergence(frame(rows)).collect())) == brute(rows)
     finally:
         frame(rows).sparkSession.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_terms_are_merged_many_at_a_time(monkeypatch):
+    """A random merge equals plain sums, in blocks that are few beside the terms."""
+    rng = random.Random(1)
+    monkeypatch.setattr(dv, "MERGED", 40)
+    want, segments = defaultdict(lambda: [0, 0]), []
+    for _ in range(9):
+        run = sorted({(rng.choice(["", "a", "a\0b"]), f"t{rng.randrange(60)}é") for _ in range(50)})
+        for at in range(0, len(run), 7):
+            own = run[at : at + 7]
+            sources = [sorted(rng.sample(["q", "r", "s"], rng.randint(1, 3))) for _ in own]
+            flat = [(key, s, rng.randint(1, 9), rng.randint(1, 3)) for key, found in zip(own, sources) for s in found]
+            for key, s, n, d in flat:
+                want[key, s][0] += n
+                want[key, s][1] += d
+            ends = [sum(map(len, sources[: i + 1])) for i in range(len(own))]
+            segments.append(([k[0] for k in own], [k[1] for k in own], ends, [f[1] for f in flat], [f[2] for f in flat], [f[3] for f in flat]))
+    segments.sort(key=lambda s: (s[0][0], s[1][0]))
+    blocks = []
+    summed = dv._summed
+    monkeypatch.setattr(dv, "_summed", lambda parts: blocks.append(len(parts)) or summed(parts))
+    got = list(dv.merged(segments))
+    assert [(key, s, n, d) for key, own, counts, docs in got for s, n, d in zip(own, counts, docs)] == [(*k, *v) for k, v in sorted(want.items())]
+    assert 1 < len(blocks) < len(got) / 5
