@@ -14,12 +14,13 @@ import heapq
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from calltide.llm.common import staged, tasks, text_chunks
@@ -30,6 +31,8 @@ MIN_DOCS, TOP = 10, 10
 UNIT = 1_000_000_000
 POSTINGS = 2_000_000  # terms of documents that a task holds before it spills a run
 WORDS = 500_000  # different terms it holds
+FOLD = 250_000  # postings it holds before it adds up those of a term in a language and source
+BATCH = 1_000  # documents handed to a task at once
 SEGMENT = 1_000  # terms of a run in a row
 RUNS = 256  # merged at once
 MERGED = 50_000  # terms of runs merged at once, at least
@@ -50,13 +53,19 @@ def terms_of(text: str) -> Iterator[list[bytes]]:
         at = end
 
 
-def _ranked(values: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The different values in order of their bytes, and each value's place among them."""
-    coded = values.dictionary_encode()
-    order = pc.sort_indices(coded.dictionary).to_numpy()
+def _sorted(values: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Different values in order of their bytes, and each value's place among them."""
+    order = pc.sort_indices(values).to_numpy()
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
-    return coded.dictionary.take(pa.array(order)), rank[coded.indices.to_numpy()]
+    return values.take(pa.array(order)), rank
+
+
+def _ranked(values: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The different ones of the values in order of their bytes, and each value's place among them."""
+    coded = values.dictionary_encode()
+    names, rank = _sorted(coded.dictionary)
+    return names, rank[coded.indices.to_numpy()]
 
 
 class _Numbers(dict):
@@ -68,33 +77,49 @@ class _Numbers(dict):
 
 
 class _Block:
-    """Postings of documents in memory."""
+    """Postings of documents in memory, those of a term in a language and source added up from time to time."""
 
     def __init__(self):
         self.words, self.groups = _Numbers(), _Numbers()
-        self.keys: list[np.ndarray] = []
+        self.keys: list[np.ndarray] = []  # of documents not added up yet
         self.counts: list[np.ndarray] = []
-        self.size = 0
+        self.size = self.waiting = 0
+        self.held = (np.zeros(0, np.int64),) * 3  # keys, counts and numbers of documents
 
     def add(self, text: str, lang: str, source: str) -> None:
         codes = [np.fromiter(map(self.words.__getitem__, found), np.int64, len(found)) for found in terms_of(text)]
         if codes:
             own, n = np.unique(np.concatenate(codes), return_counts=True)
             self.keys.append(own + (self.groups[lang, source] << 32))
-            self.counts.append(n)
+            self.counts.append(n.astype(np.int32))
             self.size += len(own)
+            self.waiting += len(own)
+            if self.waiting >= max(FOLD, len(self.held[0]) // 2):
+                self._fold()
+
+    def _fold(self) -> None:
+        """Add the documents' postings up."""
+        keys, counts, docs = self.held
+        keys = np.concatenate([keys, *self.keys])
+        counts = np.concatenate([counts, *self.counts])
+        docs = np.concatenate([docs, np.ones(self.waiting, np.int64)])
+        self.keys, self.counts, self.waiting = [], [], 0
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.diff(keys, prepend=-1))
+        self.held = keys[first], np.add.reduceat(counts[order], first), np.add.reduceat(docs[order], first)
 
     def run(self, shards: int, number: int) -> Iterator[pa.RecordBatch]:
-        """The postings as rows of a run, in order of shard, language, term and source."""
+        """The postings as rows of a run, in order of shard, language, term and source. The block is used up."""
         if not self.size:
             return
-        keys = np.concatenate(self.keys)
-        order = np.argsort(keys, kind="stable")
-        keys = keys[order]
-        first = np.flatnonzero(np.diff(keys, prepend=-1))
-        counts, docs = np.add.reduceat(np.concatenate(self.counts)[order], first), np.diff(np.append(first, len(keys)))
-        group, word = keys[first] >> 32, keys[first] & 0xFFFFFFFF
-        words, of_word = _ranked(pa.array(list(self.words), pa.binary()).cast(pa.string()))
+        if self.waiting:
+            self._fold()
+        keys, counts, docs = self.held
+        group, word = keys >> 32, keys & 0xFFFFFFFF
+        words = pa.array(list(self.words), pa.binary()).cast(pa.string())
+        self.words.clear()
+        words, of_word = _sorted(words)
         langs, of_lang = _ranked(pa.array([g[0] for g in self.groups], pa.string()))
         sources, of_source = _ranked(pa.array([g[1] for g in self.groups], pa.string()))
         pairs, at = np.unique(of_lang[group] << 32 | of_word[word], return_inverse=True)
@@ -277,6 +302,21 @@ def _merged_runs(runs: DataFrame, shards: int, final: bool, groups: int = 1, min
     return dealt.mapInArrow(longer, _RUN)
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Hand at most ``BATCH`` rows to Python at once: a batch of texts is held several times over outside the JVM's heap."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    most = spark.conf.get(setting)
+    if 0 < int(most) <= BATCH:
+        yield
+        return
+    spark.conf.set(setting, str(BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, most)
+
+
 def term_frequencies(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """Stage ``shard, lang, term, source, count`` for the terms in at least ``min_docs`` documents of their language.
 
@@ -286,7 +326,8 @@ def term_frequencies(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """
     shards = tasks(docs)
     rows = docs.select("text", "lang", "source", F.spark_partition_id().cast("long").alias("task"))
-    runs = staged(rows.mapInArrow(lambda b: _spilled(b, shards), _RUN), "runs")
+    with _small_batches(docs.sparkSession):
+        runs = staged(rows.mapInArrow(lambda b: _spilled(b, shards), _RUN), "runs")
     n = runs.select("run").distinct().count()
     while n > RUNS:
         n = -(-n * 2 // RUNS)  # half full on average, as groups are dealt by hash

@@ -111,3 +111,40 @@ def test_terms_are_merged_many_at_a_time(monkeypatch):
     got = list(dv.merged(segments))
     assert [(key, s, n, d) for key, own, counts, docs in got for s, n, d in zip(own, counts, docs)] == [(*k, *v) for k, v in sorted(want.items())]
     assert 1 < len(blocks) < len(got) / 5
+
+
+def test_block_adds_postings_up_while_it_fills(monkeypatch):
+    monkeypatch.setattr(dv, "FOLD", 50)
+    block, rows = dv._Block(), documents(3)
+    for _, text, lang, source in rows:
+        block.add(text, lang, source)
+        assert block.waiting == sum(map(len, block.keys)) < max(50, 64 * 10)  # terms of a language and source
+    got = {}
+    for b in block.run(3, 0):
+        for r in b.to_pylist():
+            starts = [0, *r["ends"]]
+            for i, key in enumerate(zip(r["langs"], r["terms"])):
+                for at in range(starts[i], starts[i + 1]):
+                    got[key, r["sources"][at]] = (r["counts"][at], r["docs"][at])
+    counts, docs = Counter(), Counter()
+    for _, text, lang, source in rows:
+        found = [w.decode() for part in dv.terms_of(text) for w in part]
+        counts.update(((lang, w), source) for w in found)
+        docs.update(((lang, w), source) for w in set(found))
+    assert got == {k: (n, docs[k]) for k, n in counts.items()}
+
+
+def test_documents_come_in_small_batches(frame, spark, monkeypatch):
+    """A batch of texts is held several times over outside the JVM's heap."""
+    setting, seen, staged = "spark.sql.execution.arrow.maxRecordsPerBatch", {}, dv.staged
+    before = spark.conf.get(setting)
+    monkeypatch.setattr(dv, "staged", lambda df, label: seen.setdefault(label, int(spark.conf.get(setting))) and staged(df, label))
+    dv.term_frequencies(frame(documents(1)).select("text", "lang", "source"))
+    assert seen["runs"] <= 1000 and spark.conf.get(setting) == before
+    spark.conf.set(setting, "17")
+    try:
+        seen.clear()
+        dv.term_frequencies(frame(documents(1)).select("text", "lang", "source"))
+        assert seen["runs"] == 17 and spark.conf.get(setting) == "17"
+    finally:
+        spark.conf.set(setting, before)
