@@ -225,3 +225,10 @@ def test_no_rows_travel_through_the_driver():
                 found.append(f"{path.name}: {line.strip()}")
     allowed = ("one row per failed rule", "folder names", "limit(1).first()")
     assert len(found) == 3 and all(any(a in f for a in allowed) for f in found), found
+
+
+def test_customers_are_not_broadcast_for_their_nations(spark, sf_dir):
+    """Spark takes the product of two file sizes for that of a join, which well compressed customers can stay below."""
+    for closed in (False, True):
+        text = plan(requests(spark, sf_dir, closed))
+        assert re.search(r"BroadcastHashJoin \[c_nationkey#\d+L?\], \[n_nationkey#\d+L?\], Inner, BuildRight", text), text
