@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from calltide.functions.columns import all_of
+from calltide.operators.merge import sized
 from calltide.operators.series import DAILY_KEYS, add_lag, add_moving_avg
 
 REACH = 7  # rows a feature looks back
@@ -32,23 +33,26 @@ def tails(daily: DataFrame, keys: Sequence[str] = DAILY_KEYS) -> DataFrame:
     return daily.groupBy("month", *keys).agg(F.count(F.lit(1)).alias("n"), rows.alias("tail")).withColumn("year", F.year("month"))
 
 
-def rows_after(daily: DataFrame, changed: DataFrame, keys: Sequence[str] = DAILY_KEYS) -> DataFrame:
-    """``changed`` (keys, month and its last changed day ``last``) with the number ``after`` of later rows in the month."""
+def rows_after(daily: DataFrame, changed: DataFrame, keys: Sequence[str] = DAILY_KEYS, n: int = 0) -> DataFrame:
+    """``changed`` (keys, month and its last changed day ``last``) with the number ``after`` of later rows in the month.
+
+    ``n`` is the number of rows of ``daily`` where it is known.
+    """
     later = daily.select("month", *keys, "ds").withColumnsRenamed({c: f"__{c}" for c in ("month", *keys, "ds")})
     same = all_of([changed[c].eqNullSafe(later[f"__{c}"]) for c in ("month", *keys)])
-    both = changed.join(later, same & (later["__ds"] > changed["last"]), "left")
+    both = changed.join(sized(later, n), same & (later["__ds"] > changed["last"]), "left")
     return both.groupBy(*keys, "month").agg(F.count("__ds").alias("after"))
 
 
-def months_to_redo(held: DataFrame, changed: DataFrame, keys: Sequence[str] = DAILY_KEYS) -> DataFrame:
+def months_to_redo(held: DataFrame, changed: DataFrame, keys: Sequence[str] = DAILY_KEYS, n: int = 0) -> DataFrame:
     """Months of changed series with ``state``: ``redo``, or ``before`` for those whose last rows the former need.
 
     ``held`` are the tails after the change, ``changed`` the series and months that changed, with the number ``after`` of rows
     that the month has after its last changed day. To be redone are changed months and those with a row at most ``REACH`` rows
-    after a changed one.
+    after a changed one. ``n`` is the number of rows of ``changed`` where it is known.
     """
     series = changed.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
-    own = held.join(series, all_of([held[k].eqNullSafe(series[f"__{k}"]) for k in keys]), "left_semi")
+    own = held.join(sized(series, n), all_of([held[k].eqNullSafe(series[f"__{k}"]) for k in keys]), "left_semi")
     none = F.lit(None).cast(held.schema["tail"].dataType).alias("tail")
     no = F.lit(None).cast("bigint")
     both = own.select(*keys, "month", "n", "tail", no.alias("after")).unionByName(

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from calltide.functions.columns import any_null
 
 _UNORDERED = (T.MapType, T.VariantType)
-FEW_KEYS = 200_000  # that Spark may send to every task
+FEW_KEYS = 20_000  # that Spark may send to every task, two to five MB of the driver's memory
 
 
 def _apart(keys: Sequence[str]) -> Column:

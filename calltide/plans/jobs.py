@@ -371,18 +371,18 @@ def _add_changes(spark: SparkSession, layers: Layers, changes: DataFrame) -> Non
     if not recount.isEmpty():
         changed = changed.unionByName(whole(fresh))
     changed = changed.groupBy(*DAILY_KEYS, "month").agg(F.max("last").alias("last"))
-    changed = parked(rows_after(fresh, changed), "changed")
+    changed = parked(rows_after(fresh, changed, n=fresh.count()), "changed")  # counts are from the files' footers
     replace_partitions(fresh, layers.daily, touched)
     years = parked(touched.select(F.year("month").alias("year")).distinct().withColumn("kind", F.lit("touched")), "years").filter("kind = 'touched'")
     named = touched.withColumnRenamed("month", "__month")
     stay = in_partitions(held, years, ["year"]).join(named, F.col("month").eqNullSafe(F.col("__month")), "left_anti")
     replace_partitions(stay.unionByName(tails(fresh)).select(*held.columns), layers.daily_tails, years)
 
-    series = parked(months_to_redo(read_layer(spark, layers.daily_tails), changed), "series")
+    series = parked(months_to_redo(read_layer(spark, layers.daily_tails), changed, n=changed.count()), "series")
     redo = series.filter("state = 'redo'")
     stale = parked(redo.select("month").unionByName(touched).distinct().withColumn("kind", F.lit("stale")), "stale").filter("kind = 'stale'").select("month")
     same = lambda a, b: all_of([a[c].eqNullSafe(b[f"__{c}"]) for c in ("month", *DAILY_KEYS)])
-    mine = redo.select(*[F.col(c).alias(f"__{c}") for c in ("month", *DAILY_KEYS)])
+    mine = sized(redo.select(*[F.col(c).alias(f"__{c}") for c in ("month", *DAILY_KEYS)]), redo.count())
     gold, daily = read_layer(spark, layers.gold), read_layer(spark, layers.daily)
     counted = in_partitions(daily, stale, ["month"])
     rows = counted.join(mine, same(counted, mine), "left_semi").withColumn("state", F.lit("redo"))

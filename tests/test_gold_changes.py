@@ -2,11 +2,13 @@
 
 import random
 from datetime import date, datetime, timedelta
+from functools import partial
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from calltide.operators import merge
 from calltide.operators.carry import months_to_redo, rows_after, tails, with_features
 from calltide.params import Params
 from calltide.plans import jobs
@@ -190,3 +192,23 @@ def test_rejects_of_an_earlier_layout_are_carried_over(spark, where):
     layers.overwrite_layer(old, where.rejects)
     load(spark, where, [request("x1", "a"), request(2, "a")], "2021-01-01")
     assert {r[1] for r in rows_of(spark, where.rejects, ["raw", "ingestion_date"])} == {date(2020, 1, 1), date(2021, 1, 1)}
+
+
+def test_many_series_are_not_sent_through_the_driver(spark, where, monkeypatch):
+    """Days and months of changed series are as many as the tables ask for, and take little room in files."""
+    rows = [(k, datetime(2020, 1, 1) + timedelta(days=k), "a", None, "g", "O") for k in range(40)]
+    load(spark, where, rows, "2021-06-01")
+    jobs.gold_job(spark, where)
+    load(spark, where, [(k, t, "b", *rest) for k, t, _, *rest in rows[:2]], "2021-06-02")
+    plans = []
+
+    def seen(df, *args, into):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return into(df, *args)
+
+    for name in ("parked", "replace_partitions"):
+        monkeypatch.setattr(jobs, name, partial(seen, into=getattr(jobs, name)))
+    monkeypatch.setattr(merge, "FEW_KEYS", 0)
+    jobs.gold_job(spark, where)
+    joins = [line for p in plans for line in p.splitlines() if "Join" in line and "complaint_type" in line]
+    assert len(joins) >= 4 and all("SortMergeJoin" in j for j in joins), joins

@@ -232,3 +232,10 @@ def test_customers_are_not_broadcast_for_their_nations(spark, sf_dir):
     for closed in (False, True):
         text = plan(requests(spark, sf_dir, closed))
         assert re.search(r"BroadcastHashJoin \[c_nationkey#\d+L?\], \[n_nationkey#\d+L?\], Inner, BuildRight", text), text
+
+
+def test_a_hundred_thousand_keys_are_not_broadcast(spark, sf_dir):
+    """180,000 keys made relations of 21 MB on the driver."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    assert "SortMergeJoin" in plan(merge.upsert(orders, orders, ["o_orderkey"], n=180_000))
+    assert "BroadcastHashJoin" in plan(merge.upsert(orders, orders, ["o_orderkey"], n=1_000))
